@@ -61,6 +61,11 @@ def add_time_diff(df: DataFrame, key: str = "ip", ts: str = "timestamp",
 # Training profile (T)
 # ---------------------------------------------------------------------------
 
+def ip_counts(df: DataFrame) -> DataFrame:
+    """A1: requests per IP."""
+    return df.groupBy("ip").agg(F.count(F.lit(1)).alias("request_count"))
+
+
 def ip_stats_train(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Per-IP aggregates used by T: A1, A2, A3 (without time_diff moments), A4, A5.
 

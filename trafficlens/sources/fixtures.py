@@ -92,7 +92,11 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns ``value`` (the line) plus pass-through ``n``, ``classification``
     and ``confidence`` (the fixture's labels; a real log has none).
     """
-    r = req_all(spark, sf_dir)
+    return lines_from_requests(req_all(spark, sf_dir))
+
+
+def lines_from_requests(r: DataFrame) -> DataFrame:
+    """Render request rows (``req_all`` shape) as combined-format lines."""
     size = F.when(F.col("status_code") == 404, F.lit("-")).otherwise(F.col("response_size").cast("string"))
     line = F.concat(
         F.col("ip"), F.lit(" - - ["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss Z"), F.lit('] "'),
