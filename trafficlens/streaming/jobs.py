@@ -32,9 +32,9 @@ from ..sources import fixtures as fx
 
 def event_log_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
     """The fixture access log as a stream of raw lines, from the ``events`` file source."""
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    ev = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    ev = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+          .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
           .withColumn("ts", F.col("ts").cast("timestamp")))
     return fx.lines_from_requests(spark.sql(fx.REQ_ALL_SQL, events=ev))
 
