@@ -17,6 +17,25 @@ def group(line: Column, i: int) -> Column:
     return F.regexp_extract(line, ACCESS_LOG_REGEX, i)
 
 
+# One regex pass per line: a matching line (leading whitespace allowed, any
+# trailing text) is rewritten to its 7 groups joined by NUL, then split.  A
+# non-matching line is returned unchanged and splits into fewer parts.
+FIELD_SEP = "\u0000"
+_BODY = ACCESS_LOG_REGEX[1:]  # drop the leading '^'
+_RECORD_REGEX = "(?s)^\\s*" + _BODY + ".*$"
+_RECORD_REPLACEMENT = FIELD_SEP.join(f"${i}" for i in range(1, 8))
+
+
+def log_fields(value: Column) -> Column:
+    """Array of the 7 log fields, or an array of another size when the line does not match."""
+    rec = F.regexp_replace(value, F.lit(_RECORD_REGEX), F.lit(_RECORD_REPLACEMENT))
+    return F.split(rec, FIELD_SEP)
+
+
+def fields_ok(value: Column, fields: Column) -> Column:
+    return (F.size(fields) == 7) & ~F.coalesce(value.contains("\u0000"), F.lit(True))
+
+
 def is_access_log_line(line: Column) -> Column:
     return F.coalesce(line.rlike(ACCESS_LOG_REGEX), F.lit(False))
 

@@ -5,8 +5,10 @@ computed from the rows by ``groupBy`` (map-side partial aggregation, so a hot
 key costs one partial row per task, not a hot task).  It is joined back with
 :func:`join_dim`:
 
-* the dimension is materialised once into the shared checkpoint folder
-  (``spark.checkpoint.dir``; lineage cut, survives executor loss) and counted;
+* the dimension is persisted (memory and disk) and counted in one job; a lost
+  executor's blocks are recomputed from the dimension's short lineage (scan ->
+  partial aggregate -> shuffle).  ``reliable=True`` writes it to the shared
+  checkpoint folder instead (``spark.checkpoint.dir``), cutting the lineage;
 * it is broadcast only when that count is at most ``max_broadcast_rows``
   (a proven bound), otherwise it is a shuffle join, where AQE's skew-join
   handling splits the hot keys of the row side.
@@ -15,6 +17,7 @@ key costs one partial row per task, not a hot task).  It is joined back with
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -28,15 +31,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-            materialize_first: bool = True) -> tuple[DataFrame, bool]:
-    """Return ``(df, small)``; ``small`` is True when ``df`` has at most ``max_rows`` rows.
+_PERSISTED: list[DataFrame] = []
 
-    The count uses ``limit(max_rows + 1)`` so it stops early on large tables.
-    """
-    if materialize_first:
+
+def release_all() -> None:
+    """Unpersist the per-key tables cached by :func:`bounded` (after the job's actions)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
+def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+            reliable: bool = False) -> tuple[DataFrame, bool]:
+    """Materialise ``df`` once and return ``(df, small)``: ``small`` is True when it
+    has at most ``max_rows`` rows (the proven bound for a broadcast)."""
+    if reliable:
         df = materialize(df)
-    n = df.limit(max_rows + 1).count()
+    else:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _PERSISTED.append(df)
+    n = df.count()
     return df, n <= max_rows
 
 

@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions import parse as pf
 from ..functions.fixed import REDIRECT_STATUS_CODES
+from ..functions.once import with_once
 from ..schemas import PARSED_COLUMNS
 
 
 def _split(lines: DataFrame, value_col: str) -> DataFrame:
-    line = pf.strip_ws(F.col(value_col))
-    return lines.withColumn("_line", line).withColumn("_ok", pf.is_access_log_line(F.col("_line")))
+    v = F.col(value_col)
+    d = with_once(lines, _f=pf.log_fields(v))
+    return d.withColumn("_ok", pf.fields_ok(v, F.col("_f")))
+
+
+def _field(i: int):
+    # null (not an error) on the short array of a non-matching line
+    return F.try_element_at(F.col("_f"), F.lit(i))
 
 
 def parse_access_log(lines: DataFrame, value_col: str = "value", drop_redirects: bool = True) -> DataFrame:
@@ -23,19 +30,18 @@ def parse_access_log(lines: DataFrame, value_col: str = "value", drop_redirects:
     as a string keeps them (``drop_redirects=False``).
     """
     d = _split(lines, value_col).where("_ok")
-    ln = F.col("_line")
-    request = pf.group(ln, 3)
+    request = _field(3)
     parsed = {
-        "ip": pf.group(ln, 1),
-        "timestamp": pf.log_timestamp(pf.group(ln, 2)),
+        "ip": _field(1),
+        "timestamp": pf.log_timestamp(_field(2)),
         "method": pf.request_part(request, 1),
         "path": pf.request_part(request, 2),
         "protocol": pf.request_part(request, 3),
-        "status_code": pf.group(ln, 4).try_cast("int"),
-        "response_size": pf.response_size(pf.group(ln, 5)),
-        "referer": pf.group(ln, 6),
-        "user_agent": pf.group(ln, 7),
-        "raw_log": ln,
+        "status_code": _field(4).try_cast("int"),
+        "response_size": pf.response_size(_field(5)),
+        "referer": _field(6),
+        "user_agent": _field(7),
+        "raw_log": pf.strip_ws(F.col(value_col)),
     }
     passthrough = [c for c in lines.columns if c != value_col and c not in parsed]
     out = d.select(*[v.alias(k) for k, v in parsed.items()], *passthrough)
@@ -47,13 +53,13 @@ def parse_access_log(lines: DataFrame, value_col: str = "value", drop_redirects:
 def parse_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines the log regex does not match (P7), with their pass-through columns."""
     d = _split(lines, value_col).where(~F.col("_ok"))
-    return d.drop("_ok").withColumnRenamed("_line", "stripped_line")
+    return d.drop("_ok", "_f").withColumn("stripped_line", pf.strip_ws(F.col(value_col)))
 
 
 def parse_counters(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """One row: total lines, parsed rows kept, redirects skipped, unparseable."""
     d = _split(lines, value_col)
-    status = pf.group(F.col("_line"), 4).try_cast("int")
+    status = _field(4).try_cast("int")
     redirect = F.col("_ok") & status.isin(REDIRECT_STATUS_CODES)
     return d.agg(
         F.count(F.lit(1)).alias("total_lines"),

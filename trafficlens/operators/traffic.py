@@ -166,15 +166,18 @@ def ip_rate_serve(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 def spike_threshold_serve(ip_rate: DataFrame, k: float = 2.0) -> Column:
     """A10 threshold: mean + k * std_samp of ``requests_per_minute`` over *rows*.
 
-    Computed from the per-IP table with row-count weights (two small passes:
-    mean, then centred sum of squares), as a scalar subquery.
+    Computed from the per-IP table with row-count weights in one aggregate
+    (sums of w, w*x and w*x^2; map-side partial), as a scalar subquery.
     """
     r = ip_rate.where(F.col("requests_per_minute").isNotNull())
-    n = F.sum("ip_rows")
-    mean = scalar(r.agg((F.sum(F.col("ip_rows") * F.col("requests_per_minute")) / n)))
-    var = scalar(r.agg(F.when(n > 1, F.sum(F.col("ip_rows") * (F.col("requests_per_minute") - mean) ** 2)
-                              / (n - 1))))
-    return mean + F.lit(k) * F.sqrt(var)
+    w = F.col("ip_rows").cast("double")
+    x = F.col("requests_per_minute")
+    m = r.agg(F.sum(w).alias("n"), F.sum(w * x).alias("sx"), F.sum(w * x * x).alias("sxx"))
+    n, sx, sxx = F.col("n"), F.col("sx"), F.col("sxx")
+    mean = sx / n
+    # Clamp the rounding residue of a zero variance at 0.
+    var = F.when(n > 1, F.greatest((sxx - sx * sx / n) / (n - 1), F.lit(0.0)))
+    return scalar(m.select(mean + F.lit(k) * F.sqrt(var)))
 
 
 def coordinated_asns_serve(ip_dim: DataFrame) -> DataFrame:

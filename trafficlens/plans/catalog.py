@@ -22,7 +22,7 @@ from ..operators import parse as PO
 from ..operators import reports as RP
 from ..operators import summary as SM
 from ..operators import traffic as TR
-from ..operators.dims import join_dim
+from ..operators.dims import join_dim, materialize
 from ..operators.reputation import add_reputation, asn_reputation
 from ..operators.sampling import sample_exact, train_validation_split
 from ..session import checkpoint_dir
@@ -65,12 +65,18 @@ def classified(spark: SparkSession, sf: str) -> DataFrame:
     return with_class_flags(parsed(spark, sf))
 
 
+def parsed_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """The parsed table written once to the shared checkpoint folder (a stage
+    table), so the several scans of an enrichment do not re-parse the text."""
+    return materialize(parsed(spark, sf))
+
+
 def enriched_train(spark: SparkSession, sf: str) -> DataFrame:
-    return EN.enrich_train(parsed(spark, sf), blocklist(spark), tiebreak=TIE)
+    return EN.enrich_train(parsed_stage(spark, sf), blocklist(spark), tiebreak=TIE)
 
 
 def enriched_serve(spark: SparkSession, sf: str) -> DataFrame:
-    return EN.enrich_serve(parsed(spark, sf), blocklist(spark), tiebreak=TIE)
+    return EN.enrich_serve(parsed_stage(spark, sf), blocklist(spark), tiebreak=TIE)
 
 
 def classified_serve(spark: SparkSession, sf: str) -> DataFrame:

@@ -59,17 +59,17 @@ def label_index() -> F.Column:
     return e
 
 
-def build_pipeline(reg_param: float = 0.01, num_path_features: int = 1 << 12) -> Pipeline:
+def build_pipeline(reg_param: float = 0.01, num_path_features: int = 1 << 10) -> Pipeline:
     tok = RegexTokenizer(inputCol="_path_text", outputCol="_path_tokens", pattern=r"[/?&=.\-_]+")
     tf = HashingTF(inputCol="_path_tokens", outputCol="_path_tf", numFeatures=num_path_features)
     feats = [f"f_{c}" for c in NUMERIC_FEATURES + BOOL_FEATURES] + ["_path_tf"]
     va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
     lr = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial",
-                            regParam=reg_param, maxIter=50)
+                            regParam=reg_param, maxIter=30)
     return Pipeline(stages=[tok, tf, va, lr])
 
 
-def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params=(0.0, 0.01, 0.1),
+def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params=(0.001, 0.01),
           key_cols: list[str] | None = None) -> tuple[PipelineModel, DataFrame]:
     """M8: fit on the training share, keep the best ``regParam`` by validation log-loss.
 

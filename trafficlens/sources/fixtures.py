@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import REDIRECT_STATUS_CODES
+from .spread import spread
 
 REQ_ALL_SQL = """
 SELECT n, ip, ts, method, path, 'HTTP/1.1' AS protocol, status_code,
@@ -77,7 +78,8 @@ def duck_blocklist_sql() -> str:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = spread(ev)
     return ev.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
