@@ -9,8 +9,8 @@ Statistics over the whole input (A6, A10, A11) are not streamable as defined;
 run the batch plans per closed period in ``foreachBatch`` instead.
 
 :func:`run_to_table` runs a stream to completion with an ``availableNow``
-trigger and a ``foreachBatch`` sink writing Parquet in the shared checkpoint
-folder; results never pass through the driver.
+trigger into a Parquet table in the shared checkpoint folder; results never
+pass through the driver.
 """
 
 from __future__ import annotations
@@ -92,17 +92,18 @@ def run_to_table(spark: SparkSession, source: DataFrame, build: Callable[[DataFr
                  mode: str = "append", name: str | None = None) -> DataFrame:
     """Run ``build(source)`` as a stream until the available input is processed.
 
-    Each micro-batch is written as Parquet under the shared checkpoint folder
-    (appended, or replaced in ``complete`` mode); the table is read back.
+    Output goes to a Parquet table under the shared checkpoint folder.  Append
+    mode uses the file sink (exactly-once: its commit log ignores the files of
+    a retried batch); complete mode replaces the table in ``foreachBatch``,
+    which is idempotent.  The table is read back.
     """
     base = os.path.join(checkpoint_dir(spark), "streams", name or f"run-{uuid.uuid4().hex[:12]}")
     out, ckpt = os.path.join(base, "table"), os.path.join(base, "checkpoint")
-    write_mode = "overwrite" if mode == "complete" else "append"
-
-    def sink(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode(write_mode).parquet(out)
-
-    q = (build(source).writeStream.outputMode(mode).foreachBatch(sink)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    w = build(source).writeStream.outputMode(mode).option("checkpointLocation", ckpt)
+    if mode == "append":
+        w = w.format("parquet").option("path", out)
+    else:
+        w = w.foreachBatch(lambda batch, epoch_id: batch.write.mode("overwrite").parquet(out))
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(out)
