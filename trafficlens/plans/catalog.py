@@ -471,9 +471,9 @@ def m9_classify(spark, sf):
 # streaming (ST1-ST3): the same transforms over a file stream, run to completion
 # ---------------------------------------------------------------------------
 
-def _stream_run(spark, sf, build, mode: str) -> DataFrame:
+def _stream_run(spark, sf, build, mode: str, keys: list[str] | None = None) -> DataFrame:
     from ..streaming import jobs as ST
-    return ST.run_to_table(spark, ST.event_log_stream(spark, sf), build, mode)
+    return ST.run_to_table(spark, ST.event_log_stream(spark, sf), build, mode, keys=keys)
 
 
 def st1_stream_parse(spark, sf):
@@ -484,13 +484,13 @@ def st1_stream_parse(spark, sf):
 
 def st2_stream_hourly(spark, sf):
     from ..streaming import jobs as ST
-    out = _stream_run(spark, sf, ST.hourly_stream, "complete")
+    out = _stream_run(spark, sf, ST.hourly_stream, "update", keys=["hour"])
     return out.withColumn("avg_confidence", r6("avg_confidence"))
 
 
 def st3_stream_rate_alert(spark, sf):
     from ..streaming import jobs as ST
-    return _stream_run(spark, sf, ST.rate_alert_stream, "complete")
+    return _stream_run(spark, sf, ST.rate_alert_stream, "update", keys=["ip", "minute"])
 
 
 NAMES = [
