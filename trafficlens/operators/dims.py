@@ -40,6 +40,14 @@ def release_all() -> None:
         _PERSISTED.pop().unpersist()
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Persist (memory and disk) a per-key table read by several consumers, so the
+    row scan and aggregate behind it run once; lost blocks are recomputed."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    return df
+
+
 def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
             reliable: bool = False) -> tuple[DataFrame, bool]:
     """Materialise ``df`` once and return ``(df, small)``: ``small`` is True when it

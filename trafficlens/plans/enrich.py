@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import features as X
 from ..functions import fixed
 from ..operators import traffic as TR
-from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, flag_join, join_dim
+from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, flag_join, join_dim, reuse
 from ..operators.reputation import add_reputation
 from ..schemas import PARSED_COLUMNS
 from ..sources.threat_patterns import DEFAULT_LIBRARY
@@ -91,7 +91,8 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     rows = parsed
 
     # Per-IP: A1, A2, A4, A5, reputation (J1), coordinated ASN.
-    ip = TR.ip_stats_train(rows)
+    # The per-IP aggregate feeds the reputation join, A7 and the final join: computed once.
+    ip = reuse(TR.ip_stats_train(rows))
     ip = add_reputation(ip, blocklist, "train", mb)
     ip = ip.select("ip", "request_count_per_ip", "requests_per_minute", "potential_dos", "potential_scanner",
                    "ip_reputation_score", "ip_is_known_bad", "country", "asn", "organization",
@@ -152,7 +153,8 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     rows = parsed
 
     # Per-IP: A9 rate, reputation (J1), A11 coordinated ASN, A10 threshold.
-    ip = TR.ip_rate_serve(rows)
+    # The per-IP aggregate feeds the reputation join, A11, the A10 threshold and the final join.
+    ip = reuse(TR.ip_rate_serve(rows))
     ip = add_reputation(ip, blocklist, "serve", mb)
     ip = flag_join(ip, TR.coordinated_asns_serve(ip), "asn", "from_coordinated_asn", max_broadcast_rows=mb)
     spike_thr = TR.spike_threshold_serve(ip)
