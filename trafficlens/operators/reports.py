@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import features as X
+from ..functions.fixed import CLASSES, ILLEGITIMATE_CLASSES, UNKNOWN_CLASS
 from . import summary as SM
 
 R1_COLUMNS = ["section", "rank", "key", "count", "pct"]
@@ -26,24 +27,52 @@ def _section(df: DataFrame, section: str, key, count, pct=None, rank=None) -> Da
     )
 
 
+def _scalar_sections(classified: DataFrame) -> DataFrame:
+    """Overview (A20), class breakdown (A19) and attack totals (A21) from ONE aggregate
+    over the classified rows, emitted as report rows by a single ``inline``."""
+    cls = F.col("classification")
+    attack_row = cls.isin(ILLEGITIMATE_CLASSES) & F.coalesce(F.col("has_malicious_pattern"), F.lit(False))
+    attack_flags = [
+        ("sql_injection", F.col("sql_injection_matches")), ("xss", F.col("xss_matches")),
+        ("command_injection", F.col("cmd_injection_matches")), ("file_inclusion", F.col("file_inclusion_matches")),
+        ("path_traversal", X.path_traversal()), ("wordpress", F.col("wordpress_matches")),
+        ("shell_upload", F.col("shell_upload_matches")),
+    ]
+    names = CLASSES + [UNKNOWN_CLASS]
+    one = classified.agg(
+        F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("t0"), F.max("timestamp").alias("t1"),
+        *[F.count_if(cls == c).alias(f"c_{c}") for c in names],
+        F.count_if(attack_row).alias("a_potential_attacks"),
+        *[F.count_if(attack_row & flag).alias(f"a_{k}") for k, flag in attack_flags],
+    )
+    n = F.col("n")
+
+    def row(section, rank, key, count, pct=None):
+        return F.struct(F.lit(section).alias("section"), F.lit(rank).cast("int").alias("rank"),
+                        key.cast("string").alias("key"), count.cast("bigint").alias("count"),
+                        (pct if pct is not None else F.lit(None)).cast("double").alias("pct"))
+
+    rows = [row("overview", 0, F.lit("total_requests"), n),
+            row("overview", 1, F.concat(F.lit("start_time="), F.col("t0").cast("string")), F.lit(None)),
+            row("overview", 2, F.concat(F.lit("end_time="), F.col("t1").cast("string")), F.lit(None))]
+    rows += [row("classes", 0, F.lit(c), F.col(f"c_{c}"),
+                 F.when(n > 0, F.col(f"c_{c}") * 100.0 / n).otherwise(F.lit(0.0))) for c in names]
+    attacks = ["potential_attacks"] + [k for k, _ in attack_flags]
+    rows += [row("attacks", 0, F.lit(k), F.col(f"a_{k}")) for k in attacks]
+    # File inclusion and path traversal overlap; their sum is reported as well (Q21).
+    rows.append(row("attacks", 0, F.lit("file_inclusion_or_traversal"),
+                    F.col("a_file_inclusion") + F.col("a_path_traversal")))
+    return one.select(F.inline(F.array(*rows)))
+
+
 def summary_report(classified: DataFrame, top_ips: int = 10, top_asns: int = 5, top_countries: int = 5,
                    top_paths: int = 10) -> DataFrame:
-    """Overview, class breakdown, attack totals, four top-k lists and examples."""
-    parts = []
-    n = classified.agg(F.count(F.lit(1)).alias("n"))
-    parts.append(_section(n, "overview", F.lit("total_requests"), F.col("n")))
-    tr = SM.time_range(classified)
-    parts.append(_section(tr, "overview", F.concat(F.lit("start_time="), F.col("start_time").cast("string")),
-                         F.lit(None), rank=F.lit(1)))
-    parts.append(_section(tr, "overview", F.concat(F.lit("end_time="), F.col("end_time").cast("string")),
-                          F.lit(None), rank=F.lit(2)))
-    cb = SM.class_breakdown(classified)
-    parts.append(_section(cb, "classes", F.col("classification"), F.col("count"), F.col("pct")))
-    at = SM.attack_totals(classified)
-    names = ["potential_attacks", "sql_injection", "xss", "command_injection", "file_inclusion",
-             "path_traversal", "file_inclusion_or_traversal", "wordpress", "shell_upload"]
-    stack = "stack({}, {}) as (key, count)".format(len(names), ", ".join(f"'{c}', {c}" for c in names))
-    parts.append(_section(at.selectExpr(stack), "attacks", F.col("key"), F.col("count")))
+    """Overview, class breakdown, attack totals, four top-k lists and examples.
+
+    Six passes over the (materialised) classified table: one aggregate for all
+    scalar sections, one partial-count + top-k per list, one for the examples.
+    """
+    parts = [_scalar_sections(classified)]
     for section, key, k in (("top_ips", "ip", top_ips), ("top_asns", "asn", top_asns),
                             ("top_countries", "country", top_countries), ("top_paths", "path", top_paths)):
         t = SM.top_k_ranked(classified, key, k)

@@ -53,7 +53,10 @@ def read_access_logs(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def lines_from_text(spark: SparkSession, content: str) -> DataFrame:
-    """IO2: log content given as one string -> one row per line (small inputs only)."""
-    one = spark.createDataFrame([(content,)], "content string")
-    return one.select(F.posexplode(F.split(F.trim(F.col("content")), "\n")).alias("line_id", "value")) \
-              .select("value", F.col("line_id").cast("bigint"))
+    """IO2: log content given as one string -> one row per line.
+
+    The string is already in the driver; it is split there and the lines are
+    distributed over the default parallelism (not exploded in one task).
+    """
+    lines = content.strip().split("\n")
+    return spark.createDataFrame([(line, i) for i, line in enumerate(lines)], "value string, line_id bigint")
