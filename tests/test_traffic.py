@@ -100,3 +100,17 @@ def test_partition_invariance(spark):
             sorted(tuple(r) for r in TR.ip_stats_train(d).collect())
 
     assert run(df.repartition(1)) == run(df.repartition(16))
+
+
+def test_enrichment_partition_invariance(spark):
+    from trafficlens.plans import catalog as C
+    from trafficlens.plans import enrich as EN
+    from conftest import SF_SMALL
+
+    parsed = C.parsed(spark, SF_SMALL)
+    bl = C.blocklist(spark)
+    for fn, cols in ((EN.enrich_train, EN.T_FEATURES), (EN.enrich_serve, EN.S_FEATURES)):
+        def run(d):
+            out = fn(d, bl, tiebreak=C.TIE).select("n", *cols)
+            return sorted(tuple(r) for r in out.collect())
+        assert run(parsed.repartition(1)) == run(parsed.repartition(16))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from ..operators.dims import materialize
+from ..operators.dims import materialize, release_all
 from ..operators.parse import filter_status
 from ..operators.reports import summary_report
 from ..operators.summary import hourly_summary
@@ -27,4 +27,6 @@ def analyze(parsed: DataFrame, model: PipelineModel, blocklist: DataFrame,
     classified = MD.classify(model, enriched)
     if materialize_result:
         classified = materialize(classified)
+        # The checkpointed result no longer reads the persisted per-key tables.
+        release_all()
     return classified, hourly_summary(classified), summary_report(classified)
