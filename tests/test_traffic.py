@@ -114,3 +114,18 @@ def test_enrichment_partition_invariance(spark):
             out = fn(d, bl, tiebreak=C.TIE).select("n", *cols)
             return sorted(tuple(r) for r in out.collect())
         assert run(parsed.repartition(1)) == run(parsed.repartition(16))
+
+
+def test_enrichment_large_key_fallback(spark):
+    """With no broadcast allowed, key features run inline / as shuffle joins: same rows."""
+    from trafficlens.plans import catalog as C
+    from trafficlens.plans import enrich as EN
+    from conftest import SF_SMALL
+
+    parsed = C.parsed(spark, SF_SMALL)
+    bl = C.blocklist(spark)
+    for fn, cols in ((EN.enrich_train, EN.T_FEATURES), (EN.enrich_serve, EN.S_FEATURES)):
+        def run(**kw):
+            out = fn(parsed, bl, tiebreak=C.TIE, **kw).select("n", *cols)
+            return sorted(tuple(r) for r in out.collect())
+        assert run() == run(max_broadcast_rows=0)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import features as X
 from ..functions import fixed
 from ..operators import traffic as TR
-from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, flag_join, join_dim, reuse
+from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, bounded, flag_join, join_dim, reuse
 from ..operators.reputation import add_reputation
 from ..schemas import PARSED_COLUMNS
 from ..sources.threat_patterns import DEFAULT_LIBRARY
@@ -67,10 +67,32 @@ def _dim_by(rows: DataFrame, col: str, aggs: list[F.Column]) -> DataFrame:
     return g.withColumn(f"_k_{col}", _key(col))
 
 
-def _join_by(rows: DataFrame, dim: DataFrame, col: str, max_rows: int) -> DataFrame:
+def _key_features(rows: DataFrame, source: DataFrame, col: str, exprs: Mapping[str, F.Column], max_rows: int,
+                  aggs: list[F.Column] | None = None,
+                  agg_flags: Mapping[str, F.Column] | None = None) -> DataFrame:
+    """Attach to ``rows`` features that depend only on the key column ``col``; the
+    per-key table is aggregated from ``source`` (the parsed rows).
+
+    ``exprs`` are expressions over ``col`` alone (regex flags etc.); ``agg_flags``
+    are boolean expressions over the per-key ``aggs``.  The distinct keys (with
+    their aggregates) are counted first:
+
+    * at most ``max_rows`` keys: the expressions run once per distinct key and
+      the per-key table is broadcast onto the rows;
+    * more: the expressions run inline on the rows (no shuffle of the rows),
+      and each aggregate flag joins only the set of keys that carry it.
+    """
+    aggs = aggs or []
+    agg_flags = agg_flags or {}
     k = f"_k_{col}"
-    r = rows.withColumn(k, _key(col))
-    return join_dim(r, dim.drop(col), k, "left", max_broadcast_rows=max_rows).drop(k)
+    keys, small = bounded(_dim_by(source, col, aggs), max_rows)
+    if small:
+        dim = keys.select(k, *[e.alias(n) for n, e in exprs.items()], *[e.alias(n) for n, e in agg_flags.items()])
+        return rows.withColumn(k, _key(col)).join(F.broadcast(dim), k, "left").drop(k)
+    d = rows.withColumns(dict(exprs)).withColumn(k, _key(col))
+    for n, e in agg_flags.items():
+        d = flag_join(d, keys.where(e).select(k), k, n, max_broadcast_rows=max_rows)
+    return d.drop(k)
 
 
 def _passthrough(df: DataFrame, features: list[str]) -> list[str]:
@@ -99,30 +121,24 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
                    "asn_reputation_score")
     ip = flag_join(ip, TR.coordinated_asns_train(ip), "asn", "from_coordinated_asn", max_broadcast_rows=mb)
 
-    # Per-path: X2-X4, X11-X12 on the path, A8.
-    path_flags = X.path_pattern_flags_T(lib)
-    path = _dim_by(rows, "path", [F.count_if(F.col("status_code") >= 500).alias("_srv")])
-    path = path.select(
-        "path", "_k_path",
-        X.path_length().alias("path_length"),
-        X.has_query_params().alias("has_query_params"),
-        X.suspicious_path_T().alias("has_suspicious_patterns"),
-        *[v.alias(k) for k, v in path_flags.items()],
-        (F.col("_srv") > 5).alias("to_high_error_path"),
-    )
-
-    # Per-user-agent: X5-X10 and ua_matches.
-    ua = _dim_by(rows, "user_agent", [])
-    ua_cols = {**X.ua_flags_T(ua_list, compat_ua), **X.ua_pattern_flags_T(lib)}
-    ua = ua.select("user_agent", "_k_user_agent", *[v.alias(k) for k, v in ua_cols.items()])
+    # Per-path: X2-X4, X11-X12 on the path, A8.  Per-user-agent: X5-X10 and ua_matches.
+    path_exprs = {
+        "path_length": X.path_length(),
+        "has_query_params": X.has_query_params(),
+        "has_suspicious_patterns": X.suspicious_path_T(),
+        **X.path_pattern_flags_T(lib),
+    }
+    path_aggs = [F.count_if(F.col("status_code") >= 500).alias("_srv")]
+    path_agg_flags = {"to_high_error_path": F.col("_srv") > 5}
+    ua_exprs = {**X.ua_flags_T(ua_list, compat_ua), **X.ua_pattern_flags_T(lib)}
 
     # Spike minutes.
     spikes = TR.spike_minutes_train(rows)
 
     d = TR.add_time_diff(rows, tiebreak=tiebreak)
     d = join_dim(d, ip, "ip", "left", max_broadcast_rows=mb)
-    d = _join_by(d, path, "path", mb)
-    d = _join_by(d, ua, "user_agent", mb)
+    d = _key_features(d, rows, "path", path_exprs, mb, path_aggs, path_agg_flags)
+    d = _key_features(d, rows, "user_agent", ua_exprs, mb)
     d = d.withColumn("minute", TR.minute_of())
     d = flag_join(d, spikes, "minute", "during_traffic_spike", max_broadcast_rows=mb)
     d = d.withColumns({
@@ -161,31 +177,25 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     ip = ip.withColumn("during_traffic_spike", F.coalesce(F.col("requests_per_minute") > spike_thr, F.lit(False)))
     ip = ip.drop("ip_rows")
 
-    # Per-path: X4 (S), families on base path and query, A14.
-    path = _dim_by(rows, "path", [F.count_if(F.col("status_code") >= 400).alias("_err")])
+    # Per-path: X4 (S), families on base path and query, A14.  Per-user-agent: X5-X10 (S), families.
     base_hits = X.family_hits_S(X.base_path())
     query_hits = X.family_hits_S(X.query_string())
-    path = path.select(
-        "path", "_k_path",
-        X.suspicious_path_S().alias("has_suspicious_patterns"),
-        (F.col("_err") > 5).alias("to_high_error_path"),
-        *[v.alias(f"_b_{k}") for k, v in base_hits.items()],
-        *[v.alias(f"_q_{k}") for k, v in query_hits.items()],
-    )
-
-    # Per-user-agent: X5-X10 (S) and families on the user agent.
-    ua = _dim_by(rows, "user_agent", [])
+    path_exprs = {
+        "has_suspicious_patterns": X.suspicious_path_S(),
+        **{f"_b_{k}": v for k, v in base_hits.items()},
+        **{f"_q_{k}": v for k, v in query_hits.items()},
+    }
+    path_aggs = [F.count_if(F.col("status_code") >= 400).alias("_err")]
+    path_agg_flags = {"to_high_error_path": F.col("_err") > 5}
     ua_hits = X.family_hits_S(F.coalesce(F.col("user_agent"), F.lit("")))
-    ua = ua.select("user_agent", "_k_user_agent",
-                   *[v.alias(k) for k, v in X.ua_flags_S(ua_list).items()],
-                   *[v.alias(f"_u_{k}") for k, v in ua_hits.items()])
+    ua_exprs = {**X.ua_flags_S(ua_list), **{f"_u_{k}": v for k, v in ua_hits.items()}}
 
     d = rows.withColumns(X.calendar_columns())
     d = TR.add_time_diff(d, tiebreak=tiebreak, with_prev=False)
     d = d.withColumn("minute_bucket", TR.minute_of())
     d = join_dim(d, ip, "ip", "left", max_broadcast_rows=mb)
-    d = _join_by(d, path, "path", mb)
-    d = _join_by(d, ua, "user_agent", mb)
+    d = _key_features(d, rows, "path", path_exprs, mb, path_aggs, path_agg_flags)
+    d = _key_features(d, rows, "user_agent", ua_exprs, mb)
 
     ref_hits = X.family_hits_S(F.coalesce(F.col("referer"), F.lit("")))
     d = d.withColumns({f"_r_{k}": v for k, v in ref_hits.items()})
