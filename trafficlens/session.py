@@ -40,13 +40,16 @@ def get_spark(master: str | None = None, app: str = "trafficlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    Only when the setting is absent *and* the master is local (tests) a scratch
+    folder is created and registered; on a cluster a missing setting is an
+    error, never a machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
         d = tempfile.mkdtemp(prefix="trafficlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
