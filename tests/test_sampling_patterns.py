@@ -65,3 +65,16 @@ def test_pattern_routing_compat(spark):
     assert lib["wordpress"] == [] and lib["malicious_file_ext"] == []
     # Q5c: '(a)(b)' loses its outer parentheses, fails to compile, becomes a literal
     assert lib["sql_injection"] == [r"union\s+select", r"a\)\(b"]
+
+
+def test_read_pattern_file(spark, tmp_path):
+    f = tmp_path / "patterns.txt"
+    f.write_text("\n".join(["# leading comment", "orphan line before any header"] + PATTERN_FILE
+                           + ["# END OF PATTERNS", "after the end"]) + "\n")
+    from trafficlens.sources.threat_patterns import read_patterns
+    pats = read_patterns(spark, str(f))
+    lib = library(pats)
+    assert lib["xss"] == ["<script"]
+    assert lib["command_injection"] == [r"\(a", "a|", r"\["]
+    assert pats.count() == 8   # 2+1+1+1+3 pattern lines; orphan line (no header yet) and lines after END are dropped
+    assert {r.status for r in pats.collect()} == {"ok", "escaped"}

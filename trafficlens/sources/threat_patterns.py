@@ -1,8 +1,8 @@
 """Threat-pattern library (IO9): a text file of regexes in ``# NAME PATTERNS`` sections.
 
 The file is input data passed by path.  Lines get ordinals, each pattern line
-takes the category of the last header above it (a running ``last`` over the
-line order), outer parentheses are stripped, and each pattern is checked with
+takes the category of the last header above it (header positions are few and
+become one ``CASE WHEN`` over the line number), outer parentheses are stripped, and each pattern is checked with
 Python ``re`` in a pandas UDF; a pattern that does not compile is kept as a
 literal (``re.escape``).  The library is a reference list (about 1.5k lines),
 so it is collected into one alternation per category for ``rlike``.
@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,16 +131,30 @@ def _strip_outer(p: pd.Series, compat: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def patterns_from_lines(lines: DataFrame, compat: bool = False, value_col: str = "value") -> DataFrame:
-    """Lines (with ``line_no`` if present) -> (line_no, category, pattern, status)."""
+def patterns_from_lines(lines: DataFrame, compat: bool = False, value_col: str = "value",
+                        max_headers: int = 1_000) -> DataFrame:
+    """Lines (with ``line_no`` if present) -> (line_no, category, pattern, status).
+
+    Section headers are few: their positions are collected (behind a hard
+    limit) and each line takes the category of the last header above it
+    through one flat ``CASE WHEN line_no >= start`` expression, so the lines
+    stay distributed (no ordered window, no join).
+    """
     if "line_no" not in lines.columns:
         lines = lines.withColumn("line_no", F.monotonically_increasing_id())
     d = lines.select("line_no", F.trim(F.col(value_col)).alias("line"))
-    d = d.withColumn("_hdr", F.when(F.col("line").startswith("#"),
-                                    _header_category(F.col("line"), F.lit(compat))))
-    # A small reference file: one ordered window over all of its lines.
-    w = Window.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("category", F.last("_hdr", ignorenulls=True).over(w))
+    hdr = F.when(F.col("line").startswith("#"), _header_category(F.col("line"), F.lit(compat)))
+    heads = (d.where(F.col("line").startswith("#")).select("line_no", hdr.alias("_hdr"))
+              .where(F.col("_hdr").isNotNull()).orderBy(F.desc("line_no")).limit(max_headers + 1).collect())
+    if len(heads) > max_headers:
+        raise ValueError(f"pattern file with more than {max_headers} section headers")
+    category = F.lit(None).cast("string")
+    if heads:
+        category = None
+        for h in heads:  # last header first
+            cond = F.col("line_no") >= F.lit(h["line_no"])
+            category = F.when(cond, F.lit(h["_hdr"])) if category is None else category.when(cond, F.lit(h["_hdr"]))
+    d = d.withColumn("category", category)
     d = d.where((F.col("line") != "") & ~F.col("line").startswith("#") & F.col("category").isNotNull()
                 & (F.col("category") != "__end__"))
     d = d.withColumn("_p", _strip_outer(F.col("line"), F.lit(compat)))
@@ -149,7 +163,8 @@ def patterns_from_lines(lines: DataFrame, compat: bool = False, value_col: str =
 
 
 def read_patterns(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    lines = spark.read.text(path).coalesce(1).withColumn("line_no", F.monotonically_increasing_id())
+    # Line numbers increase with the file position across the splits of the file.
+    lines = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
     return patterns_from_lines(lines, compat)
 
 
