@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions import features as X
 from ..functions import labels as L
 from ..functions.fixed import CLASSES, FALLBACK_MALICIOUS_USER_AGENTS
+from ..operators.dims import join_dim
 from ..operators.parse import parse_access_log
 from ..session import checkpoint_dir
 from ..sources import fixtures as fx
@@ -55,8 +56,9 @@ def parse_stream(lines: DataFrame, blocklist: DataFrame | None = None) -> DataFr
     })
     if blocklist is not None:
         from ..sources.reputation_lists import blocklist_by_ip
+        # The static side is counted once; broadcast only within the bound.
         bl = blocklist_by_ip(blocklist).select("ip", "country", "asn")
-        p = p.join(F.broadcast(bl), "ip", "left").withColumns({
+        p = join_dim(p, bl, "ip", "left").withColumns({
             "ip_is_known_bad": F.col("asn").isNotNull(),
             "country": F.coalesce("country", F.lit("Unknown")),
             "asn": F.coalesce("asn", F.lit("Unknown"))})
