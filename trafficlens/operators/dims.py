@@ -12,10 +12,18 @@ key costs one partial row per task, not a hot task).  It is joined back with
 * it is broadcast only when that count is at most ``max_broadcast_rows``
   (a proven bound), otherwise it is a shuffle join, where AQE's skew-join
   handling splits the hot keys of the row side.
+
+:func:`sizes` persists and counts several independent tables in *one* Spark
+job (their stages run side by side); a table derived from a counted one by
+filters or left joins on distinct keys reuses that count as its bound
+(``rows_bound``) instead of running another job.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
@@ -61,10 +69,33 @@ def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     return df, n <= max_rows
 
 
+def sizes(tables: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Persist each table and count all of them in one job.
+
+    Returns the persisted tables and their exact row counts.  Only one small
+    row per table reaches the driver; the tables stay on the executors.
+    """
+    kept = {name: reuse(df) for name, df in tables.items()}
+    if not kept:
+        return {}, {}
+    tagged = [df.select(F.lit(name).alias("_table")) for name, df in kept.items()]
+    counted = reduce(DataFrame.unionByName, tagged).groupBy("_table").agg(F.count(F.lit(1)).alias("_n"))
+    n = {r["_table"]: r["_n"] for r in counted.collect()}
+    return kept, {name: int(n.get(name, 0)) for name in kept}
+
+
 def join_dim(rows: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, check: bool = True) -> DataFrame:
-    """Left-join a per-key table onto the rows, broadcasting it only behind a size check."""
-    if check:
+             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, check: bool = True,
+             rows_bound: int | None = None) -> DataFrame:
+    """Left-join a per-key table onto the rows, broadcasting it only behind a size check.
+
+    ``rows_bound`` is an already proven upper bound of the table's row count
+    (e.g. the count of the table it was derived from); no new job is run then.
+    """
+    if rows_bound is not None:
+        if rows_bound <= max_broadcast_rows:
+            dim = F.broadcast(dim)
+    elif check:
         dim, small = bounded(dim, max_broadcast_rows)
         if small:
             dim = F.broadcast(dim)

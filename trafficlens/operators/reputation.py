@@ -25,22 +25,31 @@ def asn_reputation(bl: DataFrame) -> DataFrame:
     return g.select("asn", "count", "_f.country", "_f.organization", score.alias("reputation_score"))
 
 
+def reputation_table(bl: DataFrame, profile: str) -> DataFrame:
+    """The blocklist side of J1: one row per listed IP with its country, ASN,
+    organisation and ASN score (``train``: 100; ``serve``: the A15 score)."""
+    by_ip = blocklist_by_ip(bl)
+    if profile == "serve":
+        asn = asn_reputation(bl).select("asn", F.col("reputation_score").alias("_asn_score"))
+        by_ip = by_ip.join(asn, "asn", "left")
+    else:
+        by_ip = by_ip.withColumn("_asn_score", F.lit(100.0))
+    return by_ip.withColumn("_hit", F.lit(True))
+
+
 def add_reputation(ip_dim: DataFrame, bl: DataFrame, profile: str,
-                   max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                   max_broadcast_rows: int = 2_000_000, table: DataFrame | None = None,
+                   table_rows: int | None = None) -> DataFrame:
     """J1 on a per-IP table.
 
     ``train``: a listed IP gets ip score 100 and ASN score 100.
     ``serve``: a listed IP gets ip score 100 and its ASN's A15 score.
     Unlisted: country/asn/organization 'Unknown', scores 0, ``ip_is_known_bad`` false.
+    ``table``/``table_rows``: the :func:`reputation_table` of ``bl`` and its
+    counted size, when the caller has already materialised it.
     """
-    by_ip = blocklist_by_ip(bl)
-    if profile == "serve":
-        asn = asn_reputation(bl).select("asn", F.col("reputation_score").alias("_asn_score"))
-        by_ip = by_ip.join(asn, "asn", "left")
-    else:
-        by_ip = by_ip.withColumn("_asn_score", F.lit(100.0))
-    by_ip = by_ip.withColumn("_hit", F.lit(True))
-    d = join_dim(ip_dim, by_ip, "ip", "left", max_broadcast_rows=max_broadcast_rows)
+    by_ip = table if table is not None else reputation_table(bl, profile)
+    d = join_dim(ip_dim, by_ip, "ip", "left", max_broadcast_rows=max_broadcast_rows, rows_bound=table_rows)
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     return (d.withColumn("ip_reputation_score", F.when(hit, 100.0).otherwise(0.0))
              .withColumn("ip_is_known_bad", hit)

@@ -9,9 +9,12 @@ Plan shape (both profiles)::
            └─ W1 lag within (ip, minute) ── join per-IP / per-path / per-UA / minute tables
 
 Each per-key table is built with map-side partial aggregation (hot keys are
-cheap), evaluated once per distinct key (regexes run once per distinct path
-and user agent, not per request), materialised to the shared checkpoint folder
-and broadcast only behind a row-count check (:mod:`trafficlens.operators.dims`).
+cheap) and evaluated once per distinct key (regexes run once per distinct path
+and user agent, not per request).  The independent tables (per-IP, blocklist,
+per-path, per-UA, spike minutes) are persisted and counted together in one
+job; each is broadcast only when its count is within the bound
+(:mod:`trafficlens.operators.dims`).  Tables derived from the per-IP table
+(coordinated ASNs, the final per-IP features) are bounded by its count.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from pyspark.sql import functions as F
 from ..functions import features as X
 from ..functions import fixed
 from ..operators import traffic as TR
-from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, bounded, flag_join, join_dim, reuse
-from ..operators.reputation import add_reputation
+from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, flag_join, join_dim, sizes
+from ..operators.reputation import add_reputation, reputation_table
 from ..schemas import PARSED_COLUMNS
 from ..sources.threat_patterns import DEFAULT_LIBRARY
 
@@ -67,26 +70,23 @@ def _dim_by(rows: DataFrame, col: str, aggs: list[F.Column]) -> DataFrame:
     return g.withColumn(f"_k_{col}", _key(col))
 
 
-def _key_features(rows: DataFrame, source: DataFrame, col: str, exprs: Mapping[str, F.Column], max_rows: int,
-                  aggs: list[F.Column] | None = None,
-                  agg_flags: Mapping[str, F.Column] | None = None) -> DataFrame:
-    """Attach to ``rows`` features that depend only on the key column ``col``; the
-    per-key table is aggregated from ``source`` (the parsed rows).
+def _key_features(rows: DataFrame, keys: DataFrame, n_keys: int, col: str, exprs: Mapping[str, F.Column],
+                  max_rows: int, agg_flags: Mapping[str, F.Column] | None = None) -> DataFrame:
+    """Attach to ``rows`` features that depend only on the key column ``col``.
 
-    ``exprs`` are expressions over ``col`` alone (regex flags etc.); ``agg_flags``
-    are boolean expressions over the per-key ``aggs``.  The distinct keys (with
-    their aggregates) are counted first:
+    ``keys`` is the persisted per-key table (``_dim_by``: the distinct keys and
+    their aggregates) and ``n_keys`` its exact row count.  ``exprs`` are
+    expressions over ``col`` alone (regex flags etc.); ``agg_flags`` are
+    boolean expressions over the per-key aggregates.
 
     * at most ``max_rows`` keys: the expressions run once per distinct key and
       the per-key table is broadcast onto the rows;
     * more: the expressions run inline on the rows (no shuffle of the rows),
       and each aggregate flag joins only the set of keys that carry it.
     """
-    aggs = aggs or []
     agg_flags = agg_flags or {}
     k = f"_k_{col}"
-    keys, small = bounded(_dim_by(source, col, aggs), max_rows)
-    if small:
+    if n_keys <= max_rows:
         dim = keys.select(k, *[e.alias(n) for n, e in exprs.items()], *[e.alias(n) for n, e in agg_flags.items()])
         return rows.withColumn(k, _key(col)).join(F.broadcast(dim), k, "left").drop(k)
     d = rows.withColumns(dict(exprs)).withColumn(k, _key(col))
@@ -112,14 +112,25 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     mb = max_broadcast_rows
     rows = parsed
 
-    # Per-IP: A1, A2, A4, A5, reputation (J1), coordinated ASN.
-    # The per-IP aggregate feeds the reputation join, A7 and the final join: computed once.
-    ip = reuse(TR.ip_stats_train(rows))
-    ip = add_reputation(ip, blocklist, "train", mb)
+    path_aggs = [F.count_if(F.col("status_code") >= 500).alias("_srv")]
+    # One job persists and counts the independent per-key tables.
+    t, n = sizes({
+        "ip": TR.ip_stats_train(rows),                   # A1, A2, A4, A5
+        "blocklist": reputation_table(blocklist, "train"),
+        "path": _dim_by(rows, "path", path_aggs),        # A8 counts
+        "user_agent": _dim_by(rows, "user_agent", []),
+        "spike_minutes": TR.spike_minutes_train(rows),  # A6
+    })
+
+    # Per-IP: reputation (J1), coordinated ASN (A7).  The per-IP aggregate feeds
+    # the reputation join, A7 and the final join: computed once (persisted).
+    # The ASN set and the joined per-IP table have at most n["ip"] rows.
+    ip = add_reputation(t["ip"], blocklist, "train", mb, table=t["blocklist"], table_rows=n["blocklist"])
     ip = ip.select("ip", "request_count_per_ip", "requests_per_minute", "potential_dos", "potential_scanner",
                    "ip_reputation_score", "ip_is_known_bad", "country", "asn", "organization",
                    "asn_reputation_score")
-    ip = flag_join(ip, TR.coordinated_asns_train(ip), "asn", "from_coordinated_asn", max_broadcast_rows=mb)
+    ip = flag_join(ip, TR.coordinated_asns_train(ip), "asn", "from_coordinated_asn", max_broadcast_rows=mb,
+                   rows_bound=n["ip"])
 
     # Per-path: X2-X4, X11-X12 on the path, A8.  Per-user-agent: X5-X10 and ua_matches.
     path_exprs = {
@@ -128,19 +139,16 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
         "has_suspicious_patterns": X.suspicious_path_T(),
         **X.path_pattern_flags_T(lib),
     }
-    path_aggs = [F.count_if(F.col("status_code") >= 500).alias("_srv")]
     path_agg_flags = {"to_high_error_path": F.col("_srv") > 5}
     ua_exprs = {**X.ua_flags_T(ua_list, compat_ua), **X.ua_pattern_flags_T(lib)}
 
-    # Spike minutes.
-    spikes = TR.spike_minutes_train(rows)
-
     d = TR.add_time_diff(rows, tiebreak=tiebreak)
-    d = join_dim(d, ip, "ip", "left", max_broadcast_rows=mb)
-    d = _key_features(d, rows, "path", path_exprs, mb, path_aggs, path_agg_flags)
-    d = _key_features(d, rows, "user_agent", ua_exprs, mb)
+    d = join_dim(d, ip, "ip", "left", max_broadcast_rows=mb, rows_bound=n["ip"])
+    d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags)
+    d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
     d = d.withColumn("minute", TR.minute_of())
-    d = flag_join(d, spikes, "minute", "during_traffic_spike", max_broadcast_rows=mb)
+    d = flag_join(d, t["spike_minutes"], "minute", "during_traffic_spike", max_broadcast_rows=mb,
+                  rows_bound=n["spike_minutes"])
     d = d.withColumns({
         "is_error": X.is_error(),
         "is_server_error": X.is_server_error(),
@@ -168,11 +176,21 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     mb = max_broadcast_rows
     rows = parsed
 
-    # Per-IP: A9 rate, reputation (J1), A11 coordinated ASN, A10 threshold.
-    # The per-IP aggregate feeds the reputation join, A11, the A10 threshold and the final join.
-    ip = reuse(TR.ip_rate_serve(rows))
-    ip = add_reputation(ip, blocklist, "serve", mb)
-    ip = flag_join(ip, TR.coordinated_asns_serve(ip), "asn", "from_coordinated_asn", max_broadcast_rows=mb)
+    path_aggs = [F.count_if(F.col("status_code") >= 400).alias("_err")]
+    # One job persists and counts the independent per-key tables.
+    t, n = sizes({
+        "ip": TR.ip_rate_serve(rows),                    # A9
+        "blocklist": reputation_table(blocklist, "serve"),
+        "path": _dim_by(rows, "path", path_aggs),        # A14 counts
+        "user_agent": _dim_by(rows, "user_agent", []),
+    })
+
+    # Per-IP: reputation (J1), A11 coordinated ASN, A10 threshold.  The per-IP
+    # aggregate feeds the reputation join, A11, the A10 threshold and the final
+    # join (persisted); tables derived from it have at most n["ip"] rows.
+    ip = add_reputation(t["ip"], blocklist, "serve", mb, table=t["blocklist"], table_rows=n["blocklist"])
+    ip = flag_join(ip, TR.coordinated_asns_serve(ip), "asn", "from_coordinated_asn", max_broadcast_rows=mb,
+                   rows_bound=n["ip"])
     spike_thr = TR.spike_threshold_serve(ip)
     ip = ip.withColumn("during_traffic_spike", F.coalesce(F.col("requests_per_minute") > spike_thr, F.lit(False)))
     ip = ip.drop("ip_rows")
@@ -185,7 +203,6 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
         **{f"_b_{k}": v for k, v in base_hits.items()},
         **{f"_q_{k}": v for k, v in query_hits.items()},
     }
-    path_aggs = [F.count_if(F.col("status_code") >= 400).alias("_err")]
     path_agg_flags = {"to_high_error_path": F.col("_err") > 5}
     ua_hits = X.family_hits_S(F.coalesce(F.col("user_agent"), F.lit("")))
     ua_exprs = {**X.ua_flags_S(ua_list), **{f"_u_{k}": v for k, v in ua_hits.items()}}
@@ -193,9 +210,9 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     d = rows.withColumns(X.calendar_columns())
     d = TR.add_time_diff(d, tiebreak=tiebreak, with_prev=False)
     d = d.withColumn("minute_bucket", TR.minute_of())
-    d = join_dim(d, ip, "ip", "left", max_broadcast_rows=mb)
-    d = _key_features(d, rows, "path", path_exprs, mb, path_aggs, path_agg_flags)
-    d = _key_features(d, rows, "user_agent", ua_exprs, mb)
+    d = join_dim(d, ip, "ip", "left", max_broadcast_rows=mb, rows_bound=n["ip"])
+    d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags)
+    d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
 
     ref_hits = X.family_hits_S(F.coalesce(F.col("referer"), F.lit("")))
     d = d.withColumns({f"_r_{k}": v for k, v in ref_hits.items()})
