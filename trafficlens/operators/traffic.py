@@ -119,8 +119,9 @@ def ip_stats_full(df_with_diff: DataFrame, ts: str = "timestamp") -> DataFrame:
 def spike_minutes_train(df: DataFrame, ts: str = "timestamp", z: float = 3.0) -> DataFrame:
     """Minutes whose request count has z-score > ``z`` over minutes with requests."""
     per_min = df.where(F.col(ts).isNotNull()).groupBy(minute_of(ts).alias("minute")).count()
-    mean = scalar(per_min.agg(F.avg("count")))
-    std = scalar(per_min.agg(F.stddev_samp("count")))
+    # Mean and std in one scalar subquery (one pass over the per-minute table).
+    st = scalar(per_min.agg(F.struct(F.avg("count").alias("m"), F.stddev_samp("count").alias("s"))))
+    mean, std = st.getField("m"), st.getField("s")
     return per_min.where((std > 0) & ((F.col("count") - mean) / std > z)).select("minute")
 
 
