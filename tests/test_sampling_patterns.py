@@ -17,6 +17,20 @@ def test_sample_exact(spark):
     assert ordered == sorted(ordered)
 
 
+def test_sample_exact_matches_brute_force(spark):
+    # The thresholded candidate filter returns exactly the global top-n by hash,
+    # also when the first threshold passes too few rows (negative oversampling
+    # forces the widening loop).
+    df = spark.range(20_000).withColumn("raw_log", F.concat(F.lit("req "), F.col("id").cast("string")))
+    df = df.repartition(9)
+    for n, seed, sig in [(1, 1, 8.0), (50, 42, 8.0), (400, 7, 8.0), (400, 7, -20.0), (5000, 3, 8.0)]:
+        h = F.xxhash64(F.col("raw_log"), F.lit(seed))
+        want = [r.id for r in df.withColumn("_h", h).orderBy("_h", "raw_log").limit(n).collect()]
+        got = sample_exact(df, n, seed=seed, oversample_sigmas=sig).collect()
+        assert len(got) == n
+        assert sorted(r.id for r in got) == sorted(want)
+
+
 def test_split_reproducible(spark):
     df = spark.range(2000).withColumn("raw_log", F.col("id").cast("string"))
     tr, va = train_validation_split(df, ["raw_log"], 0.1)

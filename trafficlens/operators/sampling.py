@@ -2,24 +2,56 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .dims import reuse
+
+
+def _hash_below(fraction: float) -> int:
+    """The signed 64-bit value below which a uniform ``xxhash64`` falls with probability ``fraction``."""
+    return min(-(1 << 63) + int(fraction * float(1 << 64)), (1 << 63) - 1)
+
 
 def sample_exact(df: DataFrame, n: int, seed: int = 42, key_cols: list[str] | None = None,
-                 order_cols: list[str] | None = None) -> DataFrame:
+                 order_cols: list[str] | None = None, oversample_sigmas: float = 8.0) -> DataFrame:
     """``n`` rows chosen uniformly by a seeded hash, without replacement.
 
-    All rows when ``n`` is 0 or at least the row count.  The choice is a
-    top-``n`` by ``xxhash64(key_cols, seed)`` (each task keeps n candidates),
-    so it is exact-n and reproducible, unlike ``DataFrame.sample``.  The
-    result is returned in ``order_cols`` order when given (file order).
+    All rows when ``n`` is 0 or at least the row count.  The sample is the
+    ``n`` rows with the smallest ``(xxhash64(key_cols, seed), key_cols)``, so it
+    is exact-n and reproducible (independent of partitioning), unlike
+    ``DataFrame.sample``.  The result is returned in ``order_cols`` order when
+    given (file order).
+
+    A plain ``orderBy(hash).limit(n)`` would merge ``n`` rows from every input
+    partition in one task.  Instead the rows are counted (one job) and each
+    task keeps only rows whose hash is below a threshold expected to pass
+    ``n + oversample_sigmas * sqrt(n)`` rows.  The candidates are persisted and
+    counted: if at least ``n`` passed, every row of the sample is among them
+    (all others hash higher) and the top-``n`` runs over the candidates only;
+    otherwise the threshold is doubled and the filter re-run.
     """
     if n <= 0:
         return df
     key_cols = key_cols or ["raw_log"]
     h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    out = df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
+    d = df.withColumn("_h", h)
+    total = df.count()
+    if total <= n:
+        out = df
+    else:
+        fraction = (n + oversample_sigmas * math.sqrt(n) + 64) / total
+        while True:
+            if fraction >= 1.0:
+                cand = d
+                break
+            cand = reuse(d.where(F.col("_h") < F.lit(_hash_below(fraction))))
+            if cand.count() >= n:
+                break
+            fraction *= 2
+        out = cand.orderBy("_h", *key_cols).limit(n).drop("_h")
     if order_cols:
         out = out.orderBy(*order_cols)
     return out
