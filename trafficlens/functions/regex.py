@@ -2,7 +2,9 @@
 
 Java's ``java.util.regex`` and Python's ``re`` agree on the syntax used by the
 pattern lists; ``(?d)`` (UNIX_LINES) makes ``.``/``$`` treat only ``\\n`` as a
-line end, as in Python.  A list is combined into one alternation of
+line end, as in Python, and ``(?U)`` (UNICODE_CHARACTER_CLASS, implying
+Unicode case folding) makes ``\\w``, ``\\d``, ``\\s``, ``\\b`` and ``(?i)``
+Unicode-aware, as Python's ``re`` is for text (Java's defaults are ASCII).  A list is combined into one alternation of
 non-capturing groups so each row is scanned once per list.  Patterns with
 back-references cannot be combined (group numbers shift) and stay separate.
 """
@@ -25,7 +27,7 @@ def alternation(patterns: Iterable[str]) -> str:
 def java_regex(patterns: Iterable[str], ignore_case: bool) -> list[str]:
     """Return as few Java regexes as possible that together match like ``any(re.search)``."""
     pats = list(patterns)
-    flags = "(?id)" if ignore_case else "(?d)"
+    flags = "(?idU)" if ignore_case else "(?dU)"
     simple = [p for p in pats if not _BACKREF.search(p)]
     special = [p for p in pats if _BACKREF.search(p)]
     out = []
