@@ -9,7 +9,7 @@ CASES = [
     ("/ÉTC/passwd", "étc", True),       # Unicode case folding
     ("id=٣", r"=\d", True),            # Unicode digit
     ("naïve", r"^\w+$", False),         # Unicode word character
-    ("a b", r"a\sb", False),       # Unicode space
+    ("a\u2003b", r"a\sb", False),      # Unicode space (em space)
     ("line\nnext", r"line$", False),    # only \n ends a line for $ (UNIX_LINES)
     ("abc\r", r"abc$", False),          # \r is not a line end in Python
     ("wp-login.php", "WP-LOGIN", True),
