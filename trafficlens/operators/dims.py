@@ -102,10 +102,11 @@ def join_dim(rows: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "l
     return rows.join(dim, on=on, how=how)
 
 
-def flag_join(rows: DataFrame, keys: DataFrame, on: str, flag: str, **kw) -> DataFrame:
+def flag_join(rows: DataFrame, keys: DataFrame, on: str | list[str], flag: str, **kw) -> DataFrame:
     """Semi-join as a flag: ``flag`` is true when the row's key is in ``keys``."""
-    k = keys.select(on).distinct().withColumn(flag, F.lit(True))
-    out = join_dim(rows, k, on, "left", **kw)
+    cols = [on] if isinstance(on, str) else list(on)
+    k = keys.select(*cols).distinct().withColumn(flag, F.lit(True))
+    out = join_dim(rows, k, cols, "left", **kw)
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

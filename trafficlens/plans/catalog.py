@@ -185,6 +185,26 @@ def a10_spike_serve(spark, sf):
     return ip.select("ip", F.coalesce(F.col("requests_per_minute") > thr, F.lit(False)).alias("during_traffic_spike"))
 
 
+def _by_day(spark, sf) -> DataFrame:
+    """Parsed rows with a non-null ``day`` scope column (Q1: statistics per day)."""
+    day = F.coalesce(F.to_date("timestamp"), F.lit("1970-01-01").cast("date"))
+    return parsed(spark, sf).withColumn("day", day)
+
+
+def q1_scope_time_diff(spark, sf):
+    d = TR.add_time_diff(_by_day(spark, sf), key=["day", "ip"], tiebreak=TIE, with_prev=False)
+    return d.select("n", "day", r6("time_diff").alias("time_diff"))
+
+
+def q1_scope_spike_train(spark, sf):
+    return TR.spike_minutes_train(_by_day(spark, sf), scope=["day"])
+
+
+def q1_scope_spike_serve(spark, sf):
+    ip = TR.with_spike_flag_serve(TR.ip_rate_serve(_by_day(spark, sf), scope=["day"]), scope=["day"])
+    return ip.select("day", "ip", "during_traffic_spike")
+
+
 def a11_asn_serve(spark, sf):
     ip = add_reputation(TR.ip_rate_serve(parsed(spark, sf)), blocklist(spark), "serve")
     return TR.coordinated_asns_serve(ip)
@@ -497,7 +517,7 @@ NAMES = [
     "p1_parse", "p7_rejects", "p8_redirect_filter", "p9_counters", "p10_whitelist", "p10_blacklist", "u1_union",
     "w1_time_diff", "a1_ip_counts", "a2_rate_train", "a3_ip_stats", "a4_dos_train", "a5_scanner_train",
     "a6_spike_train", "a7_asn_train", "a8_error_path_train", "a9_rate_serve", "a10_spike_serve",
-    "a11_asn_serve", "a12_dos_serve", "a13_scanner_serve", "a14_error_path_serve", "a15_asn_reputation",
+    "a11_asn_serve", "q1_scope_time_diff", "q1_scope_spike_train", "q1_scope_spike_serve", "a12_dos_serve", "a13_scanner_serve", "a14_error_path_serve", "a15_asn_reputation",
     "j1_reputation_train", "j1_reputation_serve", "x1_x3_basic", "x4_x10_ua_train", "x4_x10_ua_serve",
     "x11_x13_patterns_train", "x11_x13_patterns_serve", "x14_likely_train", "x14_likely_serve",
     "x16_x18_risk", "x16_x18_risk_serve", "x20_calendar", "x21_path_split", "x22_traversal",

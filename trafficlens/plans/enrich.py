@@ -64,14 +64,16 @@ def _key(col: str) -> F.Column:
     return F.coalesce(F.col(col), F.lit(NULL_KEY))
 
 
-def _dim_by(rows: DataFrame, col: str, aggs: list[F.Column]) -> DataFrame:
-    """groupBy a nullable column, keeping a non-null join key ``_k_<col>``."""
-    g = rows.groupBy(col).agg(*aggs) if aggs else rows.select(col).distinct()
+def _dim_by(rows: DataFrame, col: str, aggs: list[F.Column], scope: list[str] | None = None) -> DataFrame:
+    """groupBy a nullable column (within the scope), keeping a non-null join key ``_k_<col>``."""
+    scope = scope or []
+    g = rows.groupBy(*scope, col).agg(*aggs) if aggs else rows.select(*scope, col).distinct()
     return g.withColumn(f"_k_{col}", _key(col))
 
 
 def _key_features(rows: DataFrame, keys: DataFrame, n_keys: int, col: str, exprs: Mapping[str, F.Column],
-                  max_rows: int, agg_flags: Mapping[str, F.Column] | None = None) -> DataFrame:
+                  max_rows: int, agg_flags: Mapping[str, F.Column] | None = None,
+                  scope: list[str] | None = None) -> DataFrame:
     """Attach to ``rows`` features that depend only on the key column ``col``.
 
     ``keys`` is the persisted per-key table (``_dim_by``: the distinct keys and
@@ -85,13 +87,15 @@ def _key_features(rows: DataFrame, keys: DataFrame, n_keys: int, col: str, exprs
       and each aggregate flag joins only the set of keys that carry it.
     """
     agg_flags = agg_flags or {}
+    scope = scope or []
     k = f"_k_{col}"
+    on = [*scope, k]
     if n_keys <= max_rows:
-        dim = keys.select(k, *[e.alias(n) for n, e in exprs.items()], *[e.alias(n) for n, e in agg_flags.items()])
-        return rows.withColumn(k, _key(col)).join(F.broadcast(dim), k, "left").drop(k)
+        dim = keys.select(*on, *[e.alias(n) for n, e in exprs.items()], *[e.alias(n) for n, e in agg_flags.items()])
+        return rows.withColumn(k, _key(col)).join(F.broadcast(dim), on, "left").drop(k)
     d = rows.withColumns(dict(exprs)).withColumn(k, _key(col))
     for n, e in agg_flags.items():
-        d = flag_join(d, keys.where(e).select(k), k, n, max_broadcast_rows=max_rows)
+        d = flag_join(d, keys.where(e).select(*on), on, n, max_broadcast_rows=max_rows)
     return d.drop(k)
 
 
@@ -105,8 +109,14 @@ def _false_if_null(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | None = None,
                  patterns: Mapping[str, list[str]] | None = None, tiebreak: list[str] | None = None,
-                 compat_ua: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Profile T: parsed rows -> parsed + 44 feature columns (+ pass-through columns)."""
+                 compat_ua: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 scope: list[str] | None = None) -> DataFrame:
+    """Profile T: parsed rows -> parsed + 44 feature columns (+ pass-through columns).
+
+    ``scope``: optional non-null columns of ``parsed`` (e.g. a day) that bound
+    every statistic (Q1); by default statistics cover the whole input.
+    """
+    scope = list(scope or [])
     ua_list = malicious_user_agents if malicious_user_agents is not None else fixed.FALLBACK_MALICIOUS_USER_AGENTS
     lib = patterns if patterns is not None else DEFAULT_LIBRARY
     mb = max_broadcast_rows
@@ -115,22 +125,22 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     path_aggs = [F.count_if(F.col("status_code") >= 500).alias("_srv")]
     # One job persists and counts the independent per-key tables.
     t, n = sizes({
-        "ip": TR.ip_stats_train(rows),                   # A1, A2, A4, A5
+        "ip": TR.ip_stats_train(rows, scope=scope),      # A1, A2, A4, A5
         "blocklist": reputation_table(blocklist, "train"),
-        "path": _dim_by(rows, "path", path_aggs),        # A8 counts
+        "path": _dim_by(rows, "path", path_aggs, scope),  # A8 counts
         "user_agent": _dim_by(rows, "user_agent", []),
-        "spike_minutes": TR.spike_minutes_train(rows),  # A6
+        "spike_minutes": TR.spike_minutes_train(rows, scope=scope),  # A6
     })
 
     # Per-IP: reputation (J1), coordinated ASN (A7).  The per-IP aggregate feeds
     # the reputation join, A7 and the final join: computed once (persisted).
     # The ASN set and the joined per-IP table have at most n["ip"] rows.
     ip = add_reputation(t["ip"], blocklist, "train", mb, table=t["blocklist"], table_rows=n["blocklist"])
-    ip = ip.select("ip", "request_count_per_ip", "requests_per_minute", "potential_dos", "potential_scanner",
-                   "ip_reputation_score", "ip_is_known_bad", "country", "asn", "organization",
+    ip = ip.select(*scope, "ip", "request_count_per_ip", "requests_per_minute", "potential_dos",
+                   "potential_scanner", "ip_reputation_score", "ip_is_known_bad", "country", "asn", "organization",
                    "asn_reputation_score")
-    ip = flag_join(ip, TR.coordinated_asns_train(ip), "asn", "from_coordinated_asn", max_broadcast_rows=mb,
-                   rows_bound=n["ip"])
+    ip = flag_join(ip, TR.coordinated_asns_train(ip, scope), [*scope, "asn"], "from_coordinated_asn",
+                   max_broadcast_rows=mb, rows_bound=n["ip"])
 
     # Per-path: X2-X4, X11-X12 on the path, A8.  Per-user-agent: X5-X10 and ua_matches.
     path_exprs = {
@@ -142,12 +152,12 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     path_agg_flags = {"to_high_error_path": F.col("_srv") > 5}
     ua_exprs = {**X.ua_flags_T(ua_list, compat_ua), **X.ua_pattern_flags_T(lib)}
 
-    d = TR.add_time_diff(rows, tiebreak=tiebreak)
-    d = join_dim(d, ip, "ip", "left", max_broadcast_rows=mb, rows_bound=n["ip"])
-    d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags)
+    d = TR.add_time_diff(rows, key=[*scope, "ip"], tiebreak=tiebreak)
+    d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
+    d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags, scope)
     d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
     d = d.withColumn("minute", TR.minute_of())
-    d = flag_join(d, t["spike_minutes"], "minute", "during_traffic_spike", max_broadcast_rows=mb,
+    d = flag_join(d, t["spike_minutes"], [*scope, "minute"], "during_traffic_spike", max_broadcast_rows=mb,
                   rows_bound=n["spike_minutes"])
     d = d.withColumns({
         "is_error": X.is_error(),
@@ -170,8 +180,13 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
 
 def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | None = None,
                  tiebreak: list[str] | None = None,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Profile S: parsed rows -> parsed + serving features (+ pass-through columns)."""
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 scope: list[str] | None = None) -> DataFrame:
+    """Profile S: parsed rows -> parsed + serving features (+ pass-through columns).
+
+    ``scope``: as for :func:`enrich_train`.
+    """
+    scope = list(scope or [])
     ua_list = malicious_user_agents if malicious_user_agents is not None else fixed.FALLBACK_MALICIOUS_USER_AGENTS
     mb = max_broadcast_rows
     rows = parsed
@@ -179,9 +194,9 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     path_aggs = [F.count_if(F.col("status_code") >= 400).alias("_err")]
     # One job persists and counts the independent per-key tables.
     t, n = sizes({
-        "ip": TR.ip_rate_serve(rows),                    # A9
+        "ip": TR.ip_rate_serve(rows, scope=scope),       # A9
         "blocklist": reputation_table(blocklist, "serve"),
-        "path": _dim_by(rows, "path", path_aggs),        # A14 counts
+        "path": _dim_by(rows, "path", path_aggs, scope),  # A14 counts
         "user_agent": _dim_by(rows, "user_agent", []),
     })
 
@@ -189,10 +204,9 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     # aggregate feeds the reputation join, A11, the A10 threshold and the final
     # join (persisted); tables derived from it have at most n["ip"] rows.
     ip = add_reputation(t["ip"], blocklist, "serve", mb, table=t["blocklist"], table_rows=n["blocklist"])
-    ip = flag_join(ip, TR.coordinated_asns_serve(ip), "asn", "from_coordinated_asn", max_broadcast_rows=mb,
-                   rows_bound=n["ip"])
-    spike_thr = TR.spike_threshold_serve(ip)
-    ip = ip.withColumn("during_traffic_spike", F.coalesce(F.col("requests_per_minute") > spike_thr, F.lit(False)))
+    ip = flag_join(ip, TR.coordinated_asns_serve(ip, scope), [*scope, "asn"], "from_coordinated_asn",
+                   max_broadcast_rows=mb, rows_bound=n["ip"])
+    ip = TR.with_spike_flag_serve(ip, scope=scope)
     ip = ip.drop("ip_rows")
 
     # Per-path: X4 (S), families on base path and query, A14.  Per-user-agent: X5-X10 (S), families.
@@ -208,10 +222,10 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     ua_exprs = {**X.ua_flags_S(ua_list), **{f"_u_{k}": v for k, v in ua_hits.items()}}
 
     d = rows.withColumns(X.calendar_columns())
-    d = TR.add_time_diff(d, tiebreak=tiebreak, with_prev=False)
+    d = TR.add_time_diff(d, key=[*scope, "ip"], tiebreak=tiebreak, with_prev=False)
     d = d.withColumn("minute_bucket", TR.minute_of())
-    d = join_dim(d, ip, "ip", "left", max_broadcast_rows=mb, rows_bound=n["ip"])
-    d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags)
+    d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
+    d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags, scope)
     d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
 
     ref_hits = X.family_hits_S(F.coalesce(F.col("referer"), F.lit("")))

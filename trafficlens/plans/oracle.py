@@ -200,6 +200,22 @@ def build() -> dict[str, str]:
         f"{PRE}{IPS}, rr AS (SELECT coalesce(b.asn, 'Unknown') AS asn, p.rpm FROM req r JOIN ips p ON r.ip = p.ip"
         " LEFT JOIN bl b ON r.ip = b.ip), am AS (SELECT asn, avg(rpm) AS a FROM rr GROUP BY asn),"
         " thr AS (SELECT avg(a) + stddev_samp(a) AS t FROM am) SELECT asn FROM am, thr WHERE a > t")
+    day = "coalesce(CAST(ts AS DATE), DATE '1970-01-01')"
+    q["q1_scope_time_diff"] = (
+        f"{PRE}, w AS (SELECT n, {day} AS day, ts, lag(ts) OVER (PARTITION BY {day}, ip ORDER BY ts, n) AS prev_ts"
+        f" FROM req) SELECT n, day, round({SECONDS.format(a='ts', b='prev_ts')}, 6) AS time_diff FROM w")
+    q["q1_scope_spike_train"] = (
+        f"{PRE}, pm AS (SELECT {day} AS day, date_trunc('minute', ts) AS minute, count(*) AS c FROM req"
+        " WHERE ts IS NOT NULL GROUP BY 1, 2),"
+        " st AS (SELECT day, avg(c) AS mu, stddev_samp(c) AS sd FROM pm GROUP BY day)"
+        " SELECT pm.day, minute FROM pm JOIN st ON pm.day = st.day WHERE sd > 0 AND (c - mu) / sd > 3")
+    q["q1_scope_spike_serve"] = (
+        f"{PRE}, ipm AS (SELECT {day} AS day, ip, date_trunc('minute', ts) AS m, count(*) AS c FROM req"
+        " GROUP BY 1, 2, 3), ips AS (SELECT day, ip, avg(c) AS rpm FROM ipm GROUP BY 1, 2),"
+        f" rr AS (SELECT p.day, p.rpm FROM req r JOIN ips p ON {day} = p.day AND r.ip = p.ip),"
+        " thr AS (SELECT day, avg(rpm) + 2 * stddev_samp(rpm) AS t FROM rr GROUP BY day)"
+        " SELECT ips.day, ip, coalesce(rpm > t, FALSE) AS during_traffic_spike FROM ips"
+        " LEFT JOIN thr ON ips.day = thr.day")
     q["a12_dos_serve"] = (f"{PRE}{W1}{IPS} SELECT n, coalesce(p.rpm > 30 AND td < 1, FALSE) AS potential_dos"
                           " FROM wd JOIN ips p ON wd.ip = p.ip")
     q["a13_scanner_serve"] = (f"{PRE}{IPS} SELECT n, coalesce(p.rpm > 10 AND status_code >= 400"
