@@ -111,12 +111,21 @@ def malicious_ua_S(entries: Iterable[str]) -> Column:
     return matches_any(c("user_agent"), [ua_pattern_regex(e) for e in entries], ignore_case=True)
 
 
-def ua_flags_T(malicious_entries: Iterable[str], compat: bool = False) -> dict[str, Column]:
+def old_browser_patterns(profile: str, preset: str = "reference") -> list[str]:
+    """X8 pattern list: ``reference`` (as the reference, over-matching, Q9) or ``corrected``."""
+    try:
+        return fixed.OLD_BROWSER_PRESETS[profile][preset]
+    except KeyError:
+        raise ValueError(f"unknown old-browser preset {preset!r} for profile {profile!r}") from None
+
+
+def ua_flags_T(malicious_entries: Iterable[str], compat: bool = False,
+               old_browser: str = "reference") -> dict[str, Column]:
     ua = c("user_agent")
     has = has_user_agent_T()
     bot = matches_any(ua, [fixed.T_KNOWN_BOT_REGEX])
     common = matches_any(ua, [fixed.T_COMMON_BROWSER_REGEX])
-    old = matches_any(ua, [fixed.T_OLD_BROWSER_REGEX])
+    old = matches_any(ua, old_browser_patterns("train", old_browser))
     mal = malicious_ua_T(malicious_entries, compat)
     susp = (~has) | bot | (old & ~bot) | mal
     return {
@@ -129,11 +138,11 @@ def ua_flags_T(malicious_entries: Iterable[str], compat: bool = False) -> dict[s
     }
 
 
-def ua_flags_S(malicious_entries: Iterable[str]) -> dict[str, Column]:
+def ua_flags_S(malicious_entries: Iterable[str], old_browser: str = "reference") -> dict[str, Column]:
     ua = c("user_agent")
     return {
         "has_user_agent": has_user_agent_S(),
-        "is_old_browser": matches_any(ua, fixed.S_OLD_BROWSER_PATTERNS, ignore_case=False),
+        "is_old_browser": matches_any(ua, old_browser_patterns("serve", old_browser), ignore_case=False),
         "is_known_bot": matches_any(ua, fixed.S_KNOWN_BOT_PATTERNS),
         "is_suspicious_user_agent": matches_any(ua, fixed.S_SUSPICIOUS_UA_PATTERNS),
         "is_malicious_user_agent": malicious_ua_S(malicious_entries),

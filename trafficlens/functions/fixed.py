@@ -191,6 +191,25 @@ THREAT_CATEGORIES = [
 # End of fixed values.
 # ---------------------------------------------------------------------------
 
+# Corrected "old browser" presets (Q9; own design, not reference values).  The
+# reference patterns above match version prefixes ("Firefox/[1-2][0-9]" also
+# hits Firefox/121, "Chrome/[1-3][0-9]" hits Chrome/120) and read Safari's
+# version from the "Safari/<WebKit build>" token, which every Safari UA has.
+# Here a major version must end at its dot, and Safari's version is the
+# "Version/<n>" token.  Upper version bounds as in the reference presets;
+# single-digit majors (older still) are included.
+T_OLD_BROWSER_REGEX_CORRECTED = (
+    r"MSIE [1-9]\.|MSIE 10\.|Firefox/[1-2]?[0-9]\.|Chrome/[1-3]?[0-9]\.|"
+    r"Version/[1-5]\.[0-9.]* (Mobile/\S+ )?Safari/|Android [1-4]\.|Opera/[1-9]\.|Opera/1[0-2]\."
+)
+S_OLD_BROWSER_PATTERNS_CORRECTED = [r"MSIE [1-9]\.", r"Firefox/[1-9]\.", r"Chrome/[1-9]\.",
+                                    r"Version/[1-9]\.[0-9.]* (Mobile/\S+ )?Safari/"]
+
+OLD_BROWSER_PRESETS = {
+    "train": {"reference": [T_OLD_BROWSER_REGEX], "corrected": [T_OLD_BROWSER_REGEX_CORRECTED]},
+    "serve": {"reference": S_OLD_BROWSER_PATTERNS, "corrected": S_OLD_BROWSER_PATTERNS_CORRECTED},
+}
+
 # Serving-profile family lists keyed by the output flag they set.
 S_FAMILIES = {
     "sql_injection_matches": S_SQL_PATTERNS,

@@ -305,6 +305,14 @@ def x16_x18_risk_serve(spark, sf):
     return _risk(enriched_serve(spark, sf), ["is_high_risk_country", "is_high_risk_asn"])
 
 
+def x8_old_browser_presets(spark, sf):
+    """Q9: X8 under both presets and both profiles."""
+    flags = {f"old_{prof}_{preset}": (X.ua_flags_T([], old_browser=preset) if prof == "train"
+                                      else X.ua_flags_S([], old_browser=preset))["is_old_browser"]
+             for prof in ("train", "serve") for preset in ("reference", "corrected")}
+    return parsed(spark, sf).select("n", *[v.alias(k) for k, v in flags.items()])
+
+
 def x20_calendar(spark, sf):
     return parsed(spark, sf).select("n", *[v.alias(k) for k, v in X.calendar_columns().items()])
 
@@ -520,7 +528,7 @@ NAMES = [
     "a11_asn_serve", "q1_scope_time_diff", "q1_scope_spike_train", "q1_scope_spike_serve", "a12_dos_serve", "a13_scanner_serve", "a14_error_path_serve", "a15_asn_reputation",
     "j1_reputation_train", "j1_reputation_serve", "x1_x3_basic", "x4_x10_ua_train", "x4_x10_ua_serve",
     "x11_x13_patterns_train", "x11_x13_patterns_serve", "x14_likely_train", "x14_likely_serve",
-    "x16_x18_risk", "x16_x18_risk_serve", "x20_calendar", "x21_path_split", "x22_traversal",
+    "x16_x18_risk", "x16_x18_risk_serve", "x8_old_browser_presets", "x20_calendar", "x21_path_split", "x22_traversal",
     "x23_ua_category", "m5_flags", "q2_compat_flags", "a16_hourly", "a17_hourly_pct", "a18_hourly_alt",
     "a19_class_breakdown", "a20_time_range", "a21_attacks", "a22_report_totals", "a23_distinct_ips",
     "s3_top_ips", "s3_top_asns", "s3_top_countries", "s3_top_paths", "s4_examples", "r1_summary",

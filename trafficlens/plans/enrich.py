@@ -110,11 +110,12 @@ def _false_if_null(df: DataFrame, cols: list[str]) -> DataFrame:
 def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | None = None,
                  patterns: Mapping[str, list[str]] | None = None, tiebreak: list[str] | None = None,
                  compat_ua: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 scope: list[str] | None = None) -> DataFrame:
+                 scope: list[str] | None = None, old_browser: str = "reference") -> DataFrame:
     """Profile T: parsed rows -> parsed + 44 feature columns (+ pass-through columns).
 
     ``scope``: optional non-null columns of ``parsed`` (e.g. a day) that bound
     every statistic (Q1); by default statistics cover the whole input.
+    ``old_browser``: X8 preset, ``reference`` or ``corrected`` (Q9).
     """
     scope = list(scope or [])
     ua_list = malicious_user_agents if malicious_user_agents is not None else fixed.FALLBACK_MALICIOUS_USER_AGENTS
@@ -150,7 +151,7 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
         **X.path_pattern_flags_T(lib),
     }
     path_agg_flags = {"to_high_error_path": F.col("_srv") > 5}
-    ua_exprs = {**X.ua_flags_T(ua_list, compat_ua), **X.ua_pattern_flags_T(lib)}
+    ua_exprs = {**X.ua_flags_T(ua_list, compat_ua, old_browser), **X.ua_pattern_flags_T(lib)}
 
     d = TR.add_time_diff(rows, key=[*scope, "ip"], tiebreak=tiebreak)
     d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
@@ -181,10 +182,10 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
 def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | None = None,
                  tiebreak: list[str] | None = None,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 scope: list[str] | None = None) -> DataFrame:
+                 scope: list[str] | None = None, old_browser: str = "reference") -> DataFrame:
     """Profile S: parsed rows -> parsed + serving features (+ pass-through columns).
 
-    ``scope``: as for :func:`enrich_train`.
+    ``scope``, ``old_browser``: as for :func:`enrich_train`.
     """
     scope = list(scope or [])
     ua_list = malicious_user_agents if malicious_user_agents is not None else fixed.FALLBACK_MALICIOUS_USER_AGENTS
@@ -219,7 +220,7 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     }
     path_agg_flags = {"to_high_error_path": F.col("_err") > 5}
     ua_hits = X.family_hits_S(F.coalesce(F.col("user_agent"), F.lit("")))
-    ua_exprs = {**X.ua_flags_S(ua_list), **{f"_u_{k}": v for k, v in ua_hits.items()}}
+    ua_exprs = {**X.ua_flags_S(ua_list, old_browser), **{f"_u_{k}": v for k, v in ua_hits.items()}}
 
     d = rows.withColumns(X.calendar_columns())
     d = TR.add_time_diff(d, key=[*scope, "ip"], tiebreak=tiebreak, with_prev=False)

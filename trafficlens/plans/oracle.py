@@ -263,6 +263,12 @@ def build() -> dict[str, str]:
                          " CASE WHEN isodow(ts) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend,"
                          " CASE WHEN hour(ts) BETWEEN 9 AND 17 THEN 1 ELSE 0 END AS is_business_hours FROM req")
     q["x21_path_split"] = f"{PRE} SELECT n, {BP} AS base_path, {QS} AS query_string FROM req"
+    presets = fixed.OLD_BROWSER_PRESETS
+    q["x8_old_browser_presets"] = (
+        f"{PRE} SELECT n, "
+        + ", ".join(f"{m('user_agent', presets[prof][preset], ci=(prof == 'train'))} AS old_{prof}_{preset}"
+                    for prof in ("train", "serve") for preset in ("reference", "corrected"))
+        + " FROM req")
     q["x22_traversal"] = f"{PRE} SELECT n, {m('path', [fixed.PATH_TRAVERSAL_REGEX])} AS path_traversal FROM req"
     q["x23_ua_category"] = f"{PRE} SELECT n, {T['ua_category']} AS ua_category FROM req"
 
