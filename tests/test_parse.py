@@ -98,3 +98,41 @@ def test_directory_source(spark, tmp_path):
     assert df.select(F.countDistinct("source_file")).first()[0] == 3
     parsed = PO.parse_access_log(df)
     assert parsed.count() == 8
+
+
+def _log_line(i: int, path: str, ts: str = "15/Jan/2024:12:00:00 +0000") -> str:
+    return f'10.0.0.{i % 3 + 1} - - [{ts}] "GET {path} HTTP/1.1" 200 {100 + i} "-" "agent-{i}"'
+
+
+def test_file_order_columns_across_splits(spark, tmp_path):
+    """Q18: FILE_ORDER sorts lines as in their files, also when a file is read in many splits."""
+    from trafficlens.schemas import FILE_ORDER
+
+    files = {}
+    for name in ("a.log", "b.log"):
+        lines = [_log_line(i, f"/{name}/{i:03d}") for i in range(60)]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        files[str(tmp_path / name)] = lines
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        df = read_access_logs(spark, [str(tmp_path)])
+        splits = df.select("source_file", "block_start").distinct().count()
+        got = df.orderBy(*FILE_ORDER).select("source_file", "value").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert splits > 4
+    for path, lines in files.items():
+        assert [r.value for r in got if r.source_file.endswith(path)] == lines
+
+
+def test_equal_timestamps_keep_file_order(spark, tmp_path):
+    """W1 ties on (ip, timestamp): the first request in file order gets the gap."""
+    from trafficlens.operators.traffic import add_time_diff
+
+    lines = [_log_line(0, "/start", "15/Jan/2024:11:59:50 +0000")]
+    lines += [_log_line(3 * k, p) for k, p in enumerate(["/z", "/m", "/a"])]   # same ip, same second
+    (tmp_path / "t.log").write_text("\n".join(lines) + "\n")
+    parsed = PO.parse_access_log(read_access_logs(spark, [str(tmp_path / "t.log")]))
+    got = {r.path: r.time_diff for r in add_time_diff(parsed).collect()}
+    assert got == {"/start": None, "/z": 10.0, "/m": 0.0, "/a": 0.0}

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import FILE_ORDER
 from .dims import join_dim, scalar
 
 FAR_FUTURE = "9999-12-31 00:00:00"
@@ -35,14 +36,21 @@ def minute_of(ts: str = "timestamp") -> Column:
     return F.date_trunc("minute", F.col(ts))
 
 
+def default_order(df: DataFrame) -> list[str]:
+    """Tie-break for equal timestamps: file order where the reader provided it
+    (``FILE_ORDER`` columns present), then the raw line."""
+    return [c for c in FILE_ORDER if c in df.columns] + [c for c in ["raw_log"] if c in df.columns]
+
+
 def add_time_diff(df: DataFrame, key: str | list[str] = "ip", ts: str = "timestamp",
                   tiebreak: list[str] | None = None, bucket: str = "minute",
                   with_prev: bool = True) -> DataFrame:
     """``prev_timestamp`` (lag of ``ts`` within ``key`` ordered by ts, nulls
-    last, then ``tiebreak``) and ``time_diff`` in seconds (null for the first
-    row and for rows with a null ts).  ``key`` may be several columns (scope + ip)."""
+    last, then ``tiebreak``, by default :func:`default_order`) and ``time_diff``
+    in seconds (null for the first row and for rows with a null ts).  ``key`` may
+    be several columns (scope + ip)."""
     keys = [key] if isinstance(key, str) else list(key)
-    tiebreak = tiebreak or ["raw_log"]
+    tiebreak = tiebreak or default_order(df)
     b = F.coalesce(F.date_trunc(bucket, F.col(ts)), F.to_timestamp(F.lit(FAR_FUTURE)))
     d = df.withColumn("_tb", b)
     w = Window.partitionBy(*keys, "_tb").orderBy(F.col(ts).asc_nulls_last(), *[F.col(c) for c in tiebreak])

@@ -16,6 +16,11 @@ PARSED = T.StructType([
 ])
 PARSED_COLUMNS = [f.name for f in PARSED.fields]
 
+# Columns of the log reader that together give file order (Q18): the file, the
+# start of its split, the position within the split.  Requests with equal
+# (ip, timestamp) keep this order in the lag.
+FILE_ORDER = ["source_file", "block_start", "line_id"]
+
 LABEL_COLUMNS = T.StructType([
     T.StructField("classification", T.StringType()),
     T.StructField("confidence", T.DoubleType()),

@@ -41,15 +41,22 @@ def resolve_log_paths(spark: SparkSession, paths: list[str] | str) -> list[str]:
 def read_access_logs(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """IO1 + U1: all lines of the given files/directories as one DataFrame.
 
-    Columns ``value`` (the line), ``source_file`` and ``line_id`` (increasing
-    within a file split; a stable tie-break for equal (ip, timestamp)).
+    Columns ``value`` (the line) and the file-order columns ``source_file``,
+    ``block_start`` (start of the line's split) and ``line_id`` (increasing
+    within a split).  ``line_id`` is taken in the scan task, before the rows are
+    spread over the cluster, so ``FILE_ORDER`` sorts lines as in their files;
+    it is deterministic, so a retried task reproduces it.
     """
     resolved = resolve_log_paths(spark, paths)
     if not resolved:
-        return spark.createDataFrame([], "value string, source_file string, line_id bigint")
-    df = spread(spark.read.text(resolved))
-    return df.select("value", F.col("_metadata.file_path").alias("source_file"),
-                     F.monotonically_increasing_id().alias("line_id"))
+        return spark.createDataFrame([], "value string, source_file string, block_start bigint, line_id bigint")
+    df = spark.read.text(resolved).select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line_id"),
+    )
+    return spread(df)
 
 
 def lines_from_text(spark: SparkSession, content: str) -> DataFrame:
