@@ -41,3 +41,22 @@ def test_ua_list(spark):
     lines = spark.createDataFrame([(0, "pattern,comment"), (1, "sqlmap*, scanner"), (2, ""), (3, " nikto ,x")],
                                   "line_no bigint, value string")
     assert sorted(r.pattern for r in ua_list_from_lines(lines).collect()) == ["nikto", "sqlmap*"]
+
+
+def test_missing_blocklist_is_empty_list(spark, tmp_path):
+    """Q11: an unavailable blocklist gives an empty list; every IP is unlisted."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from trafficlens.plans import catalog as C
+    from trafficlens.plans import enrich as EN
+    from trafficlens.sources.reputation_lists import read_blocklist
+
+    for path in (None, str(tmp_path / "no-such-list.txt")):
+        bl = read_blocklist(spark, path)
+        assert bl.count() == 0
+        out = EN.enrich_serve(C.parsed(spark, SF_SMALL), bl, tiebreak=C.TIE)
+        agg = out.agg(F.count(F.lit(1)).alias("n"), F.count_if("ip_is_known_bad").alias("bad"),
+                      F.count_if(F.col("asn") != "Unknown").alias("known"),
+                      F.max("combined_reputation_score").alias("score")).first()
+        assert agg.n > 0 and agg.bad == 0 and agg.known == 0 and agg.score == 0.0

@@ -6,11 +6,15 @@ reference is not built (pass a path or a DataFrame of lines).
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import BLOCKLIST_LINE_REGEX, FALLBACK_MALICIOUS_USER_AGENTS
 
+log = logging.getLogger(__name__)
+
 
 def _with_line_no(df: DataFrame) -> DataFrame:
     # Deterministic for a given file split layout; orders lines within the list.
@@ -36,7 +40,14 @@ def blocklist_from_lines(lines: DataFrame, value_col: str = "value") -> DataFram
     )
 
 
-def read_blocklist(spark: SparkSession, path: str) -> DataFrame:
+def read_blocklist(spark: SparkSession, path: str | None) -> DataFrame:
+    """IO7: the blocklist file.  No path or a missing file gives an empty list
+    (every IP unlisted), as the serving side of the reference falls back to
+    when its list cannot be fetched (Q11); a warning is logged."""
+    from .access_log import _hadoop_status
+    if path is None or not _hadoop_status(spark, path)[0]:
+        log.warning("blocklist %s not available; using an empty list", path)
+        return blocklist_from_lines(spark.createDataFrame([], "value string, line_no bigint"))
     return blocklist_from_lines(spark.read.text(path))
 
 
