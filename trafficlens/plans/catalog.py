@@ -475,7 +475,9 @@ def m4_answer_parse(spark, sf):
                     F.col("confidence").cast("string"), F.lit("\nReasoning: request to "), F.col("path"),
                     F.lit("\n\ntrailing text"))
     r = L.parse_generated_answer(text)
-    return p.select("n", r.alias("r")).select("n", "r.*")
+    # Fields by name: a "r.*" star would resolve against the fixture SQL's alias "r".
+    fields = ["classification", "confidence", "reasoning", "is_legitimate", "is_human"]
+    return p.select("n", *[r.getField(f).alias(f) for f in fields])
 
 
 def _train(spark, sf):

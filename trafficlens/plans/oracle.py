@@ -269,6 +269,51 @@ def build() -> dict[str, str]:
         + ", ".join(f"{m('user_agent', presets[prof][preset], ci=(prof == 'train'))} AS old_{prof}_{preset}"
                     for prof in ("train", "serve") for preset in ("reference", "corrected"))
         + " FROM req")
+    # M3: the four answer shapes of the catalog query, parsed back.
+    nl = "chr(10)"
+    js = "to_json({'classification': classification, 'confidence': confidence, 'reasoning': 'path ' || path})"
+    q["m3_answer_parse"] = (
+        f"{PRE}, t AS (SELECT n, CASE n % 4"
+        f" WHEN 0 THEN 'Here you go:' || {nl} || '```json' || {nl} || {js} || {nl} || '```'"
+        f" WHEN 1 THEN 'Result: ' || {js}"
+        " WHEN 2 THEN '\"classification\": \"' || classification || '\", \"confidence\": ' || CAST(confidence AS VARCHAR)"
+        " ELSE 'I cannot decide.' END AS text FROM req),"
+        " x AS (SELECT n, text, regexp_extract(text, '(?s)```json\\s*(\\{.*?\\})\\s*```', 1) AS fenced,"
+        " regexp_extract(text, '(?s)(\\{.*\\})', 1) AS braces FROM t),"
+        " j AS (SELECT n,"
+        " CASE WHEN fenced <> '' THEN json_extract_string(fenced, '$.classification') END AS fc,"
+        " CASE WHEN fenced <> '' THEN TRY_CAST(json_extract(fenced, '$.confidence') AS DOUBLE) END AS ff,"
+        " CASE WHEN fenced <> '' THEN json_extract_string(fenced, '$.reasoning') END AS fr,"
+        " CASE WHEN braces <> '' THEN json_extract_string(braces, '$.classification') END AS bc,"
+        " CASE WHEN braces <> '' THEN TRY_CAST(json_extract(braces, '$.confidence') AS DOUBLE) END AS bf,"
+        " CASE WHEN braces <> '' THEN json_extract_string(braces, '$.reasoning') END AS br,"
+        " nullif(regexp_extract(text, '\"classification\":\\s*\"([^\"]+)\"', 1), '') AS lc,"
+        " TRY_CAST(nullif(regexp_extract(text, '\"confidence\":\\s*([0-9.]+)', 1), '') AS DOUBLE) AS lf,"
+        " nullif(regexp_extract(text, '\"reasoning\":\\s*\"([^\"]+)\"', 1), '') AS lr FROM x)"
+        " SELECT n,"
+        " CASE WHEN fc IS NOT NULL THEN fc WHEN bc IS NOT NULL THEN bc WHEN lc IS NOT NULL AND lf IS NOT NULL THEN lc"
+        " ELSE 'unknown' END AS classification,"
+        " coalesce(CASE WHEN fc IS NOT NULL THEN ff WHEN bc IS NOT NULL THEN bf"
+        " WHEN lc IS NOT NULL AND lf IS NOT NULL THEN lf END, 0.0) AS confidence,"
+        " coalesce(CASE WHEN fc IS NOT NULL THEN fr WHEN bc IS NOT NULL THEN br"
+        " WHEN lc IS NOT NULL AND lf IS NOT NULL THEN coalesce(lr, 'No reasoning provided') END, '') AS reasoning"
+        " FROM j")
+    # M4: generated answers, parsed back.
+    q["m4_answer_parse"] = (
+        f"{PRE}, t AS (SELECT n, 'Classification: ' || classification || {nl} || 'Confidence: '"
+        f" || CAST(confidence AS VARCHAR) || {nl} || 'Reasoning: request to ' || path || {nl} || {nl}"
+        " || 'trailing text' AS text FROM req),"
+        " x AS (SELECT n, regexp_extract(text, 'Classification:\\s*(\\w+)', 1) AS cr,"
+        " regexp_extract(text, 'Confidence:\\s*([0-9.]+)', 1) AS ct,"
+        " regexp_extract(text, '(?s)Reasoning:\\s*(.+?)(\\n\\n|$)', 1) AS rs FROM t),"
+        " y AS (SELECT *, TRY_CAST(ct AS DOUBLE) AS cf, ct <> '' AND TRY_CAST(ct AS DOUBLE) IS NULL AS bad FROM x),"
+        " z AS (SELECT n, bad, CASE WHEN bad THEN 'unknown' WHEN cr <> '' THEN cr ELSE 'unknown' END AS cls,"
+        " CASE WHEN bad THEN 0.0 ELSE coalesce(cf, 0.0) END AS confidence,"
+        " CASE WHEN bad THEN 'Error parsing model output' WHEN rs <> '' THEN trim(rs)"
+        " ELSE 'No reasoning provided' END AS reasoning FROM y)"
+        " SELECT n, cls AS classification, confidence, reasoning,"
+        " NOT bad AND starts_with(lower(cls), 'legitimate') AS is_legitimate,"
+        " NOT bad AND contains(lower(cls), 'human') AS is_human FROM z")
     q["x22_traversal"] = f"{PRE} SELECT n, {m('path', [fixed.PATH_TRAVERSAL_REGEX])} AS path_traversal FROM req"
     q["x23_ua_category"] = f"{PRE} SELECT n, {T['ua_category']} AS ua_category FROM req"
 
