@@ -44,9 +44,10 @@ def test_time_diff_equals_plain_lag_on_hot_ip(spark):
     rows = [(i, "hot" if i % 3 else f"c{i % 7}", T0 + timedelta(seconds=(i * 17) % 5000), "/", 200)
             for i in range(3000)]
     df = _frame(spark, rows)
-    a = {r.n: r.prev_timestamp for r in TR.add_time_diff(df, tiebreak=["n"]).collect()}
     b = {r.n: r.prev_timestamp for r in _plain_lag(df).collect()}
-    assert a == b
+    for bucket in ("second", "minute", "hour"):
+        a = {r.n: r.prev_timestamp for r in TR.add_time_diff(df, tiebreak=["n"], bucket=bucket).collect()}
+        assert a == b, bucket
 
 
 def test_rate_train_cases(spark):
@@ -128,7 +129,9 @@ def test_enrichment_large_key_fallback(spark):
         def run(**kw):
             out = fn(parsed, bl, tiebreak=C.TIE, **kw).select("n", *cols)
             return sorted(tuple(r) for r in out.collect())
-        assert run() == run(max_broadcast_rows=0)
+        base = run()
+        assert base == run(max_broadcast_rows=0)
+        assert base == run(lag_bucket="second")
 
 
 def test_enrichment_scope_equals_per_scope_runs(spark):

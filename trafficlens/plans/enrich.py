@@ -110,12 +110,16 @@ def _false_if_null(df: DataFrame, cols: list[str]) -> DataFrame:
 def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | None = None,
                  patterns: Mapping[str, list[str]] | None = None, tiebreak: list[str] | None = None,
                  compat_ua: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 scope: list[str] | None = None, old_browser: str = "reference") -> DataFrame:
+                 scope: list[str] | None = None, old_browser: str = "reference",
+                 lag_bucket: str = "minute") -> DataFrame:
     """Profile T: parsed rows -> parsed + 44 feature columns (+ pass-through columns).
 
     ``scope``: optional non-null columns of ``parsed`` (e.g. a day) that bound
     every statistic (Q1); by default statistics cover the whole input.
     ``old_browser``: X8 preset, ``reference`` or ``corrected`` (Q9).
+    ``lag_bucket``: time bucket of the W1 window partitions (ip, bucket); the
+    result does not depend on it.  A finer bucket ("second") bounds the largest
+    window partition when single clients send bursts within one minute.
     """
     scope = list(scope or [])
     ua_list = malicious_user_agents if malicious_user_agents is not None else fixed.FALLBACK_MALICIOUS_USER_AGENTS
@@ -153,7 +157,7 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     path_agg_flags = {"to_high_error_path": F.col("_srv") > 5}
     ua_exprs = {**X.ua_flags_T(ua_list, compat_ua, old_browser), **X.ua_pattern_flags_T(lib)}
 
-    d = TR.add_time_diff(rows, key=[*scope, "ip"], tiebreak=tiebreak)
+    d = TR.add_time_diff(rows, key=[*scope, "ip"], tiebreak=tiebreak, bucket=lag_bucket)
     d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
     d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags, scope)
     d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
@@ -182,10 +186,11 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
 def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | None = None,
                  tiebreak: list[str] | None = None,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 scope: list[str] | None = None, old_browser: str = "reference") -> DataFrame:
+                 scope: list[str] | None = None, old_browser: str = "reference",
+                 lag_bucket: str = "minute") -> DataFrame:
     """Profile S: parsed rows -> parsed + serving features (+ pass-through columns).
 
-    ``scope``, ``old_browser``: as for :func:`enrich_train`.
+    ``scope``, ``old_browser``, ``lag_bucket``: as for :func:`enrich_train`.
     """
     scope = list(scope or [])
     ua_list = malicious_user_agents if malicious_user_agents is not None else fixed.FALLBACK_MALICIOUS_USER_AGENTS
@@ -223,7 +228,7 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     ua_exprs = {**X.ua_flags_S(ua_list, old_browser), **{f"_u_{k}": v for k, v in ua_hits.items()}}
 
     d = rows.withColumns(X.calendar_columns())
-    d = TR.add_time_diff(d, key=[*scope, "ip"], tiebreak=tiebreak, with_prev=False)
+    d = TR.add_time_diff(d, key=[*scope, "ip"], tiebreak=tiebreak, with_prev=False, bucket=lag_bucket)
     d = d.withColumn("minute_bucket", TR.minute_of())
     d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
     d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags, scope)
