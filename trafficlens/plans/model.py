@@ -77,8 +77,10 @@ def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params
     """
     d = feature_frame(labeled_enriched).withColumn("label", label_index()).where(F.col("label").isNotNull())
     tr, va = train_validation_split(d, key_cols or ["raw_log"], validation_split)
-    tr = tr.cache()
-    va = va.cache()
+    # Cache only what the pipeline reads (not the whole enriched rows).
+    cols = [f"f_{c}" for c in NUMERIC_FEATURES + BOOL_FEATURES] + ["_path_text", "label"]
+    tr = tr.select(*cols).cache()
+    va = va.select(*cols).cache()
     ll = MulticlassClassificationEvaluator(metricName="logLoss")
     acc = MulticlassClassificationEvaluator(metricName="accuracy")
     best = None
