@@ -62,6 +62,22 @@ def test_user_labeller_failures_become_unknown(spark):
             assert (r.classification, r.confidence) == ("legitimate_human", 0.9)
 
 
+def test_user_labeller_runs_once_per_row(spark):
+    """A non-deterministic labeller: its labels are checkpointed, so every read sees the same ones."""
+    import numpy as np
+
+    enriched = C.enriched_train(spark, SF_SMALL)
+
+    def labeller(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"classification": ["legitimate_human"] * len(pdf),
+                             "confidence": np.random.random(len(pdf)), "reasoning": ["r"] * len(pdf)})
+
+    out = LB.label(enriched, max_samples=100, labeller=labeller, key_cols=["n"])
+    first = sorted((r.n, r.confidence) for r in out.select("n", "confidence").collect())
+    again = sorted((r.n, r.confidence) for r in out.select("n", "confidence").collect())
+    assert len(first) == 100 and first == again
+
+
 def test_train_save_load_analyze(spark, tmp_path):
     bl = C.blocklist(spark)
     parsed = C.parsed(spark, SF_SMALL)

@@ -20,10 +20,14 @@ from . import model as MD
 def analyze(parsed: DataFrame, model: PipelineModel, blocklist: DataFrame,
             malicious_user_agents: list[str] | None = None, whitelist: str | None = None,
             blacklist: str | None = None, tiebreak: list[str] | None = None,
-            materialize_result: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Returns (classified rows, hourly summary, summary report)."""
+            materialize_result: bool = True, **enrich_options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Returns (classified rows, hourly summary, summary report).
+
+    ``enrich_options`` go to :func:`enrich.enrich_serve` (``scope``,
+    ``old_browser``, ``lag_bucket``, ``max_broadcast_rows``).
+    """
     rows = filter_status(parsed, whitelist, blacklist)
-    enriched = EN.enrich_serve(rows, blocklist, malicious_user_agents, tiebreak=tiebreak)
+    enriched = EN.enrich_serve(rows, blocklist, malicious_user_agents, tiebreak=tiebreak, **enrich_options)
     classified = MD.classify(model, enriched)
     if materialize_result:
         classified = materialize(classified)

@@ -7,7 +7,10 @@ The reference calls a remote model per row; here the labeller is pluggable:
 * any user function ``fn(pandas.DataFrame) -> pandas.DataFrame`` with columns
   ``classification, confidence, reasoning``, run with ``mapInPandas`` over
   Arrow batches.  A failing batch is retried row by row; a failing row gets
-  ``unknown`` / 0.0 / the error text, so output rows = input rows.
+  ``unknown`` / 0.0 / the error text, so output rows = input rows.  The sample
+  is spread over tasks first (the top-n arrives in one partition), and the
+  labelled rows are checkpointed to the shared folder, so each row is labelled
+  once even though later steps (split, counts, training) read it several times.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import types as T
 from ..functions import features as X
 from ..functions import labels as L
 from ..functions.fixed import UNKNOWN_CLASS
+from ..operators.dims import materialize
 from ..operators.sampling import sample_exact
 
 BOT_SIGNALS = ["is_known_bot", "is_malicious_user_agent", "potential_dos", "potential_scanner"]
@@ -77,21 +81,33 @@ def _apply_user_fn(fn: Callable[[pd.DataFrame], pd.DataFrame]):
 
 def label(enriched: DataFrame, max_samples: int = 1000, seed: int = 42,
           labeller: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
-          key_cols: list[str] | None = None) -> DataFrame:
-    """M2: sample (S5) then label each sampled row; 3 label columns appended."""
+          key_cols: list[str] | None = None, batch_size: int = 10,
+          partitions: int | None = None) -> DataFrame:
+    """M2: sample (S5) then label each sampled row; 3 label columns appended.
+
+    With a user ``labeller``: the sample is spread over ``partitions`` tasks
+    (default: one per ``batch_size`` rows, at most the default parallelism)
+    and the labelled rows are checkpointed (one job), so the labeller runs
+    once per row.
+    """
     s = sample_exact(enriched, max_samples, seed, key_cols=key_cols)
     if labeller is None:
         out = rule_labeller(s)
     else:
         base = [f for f in s.schema.fields if f.name not in ("classification", "confidence", "reasoning")]
         s = s.select(*[f.name for f in base])
+        if partitions is None:
+            par = s.sparkSession.sparkContext.defaultParallelism
+            partitions = max(1, min(par, -(-max_samples // batch_size))) if max_samples > 0 else par
+        s = s.repartition(partitions)
         schema = T.StructType(base + list(L.LABEL_SCHEMA.fields))
         out = s.mapInPandas(_apply_user_fn(labeller), schema)
-    return out.withColumns({
+    out = out.withColumns({
         "classification": F.coalesce("classification", F.lit(UNKNOWN_CLASS)),
         "confidence": F.coalesce("confidence", F.lit(0.0)),
         "reasoning": F.coalesce("reasoning", F.lit("")),
     })
+    return materialize(out) if labeller is not None else out
 
 
 def training_examples(labeled: DataFrame) -> DataFrame:
