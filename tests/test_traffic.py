@@ -158,3 +158,24 @@ def test_enrichment_scope_equals_per_scope_runs(spark):
         assert norm(fn(parsed, bl, tiebreak=C.TIE, scope=["day"], max_broadcast_rows=0), cols) == want
         # Whole-input statistics differ from per-day ones on this input.
         assert norm(fn(parsed, bl, tiebreak=C.TIE), cols) != want
+
+
+def test_referer_flags_per_key_table(spark):
+    """Referer flags come from the per-referer table (broadcast) or inline (no broadcast): same flags."""
+    from trafficlens.operators.parse import parse_access_log
+    from trafficlens.plans import enrich as EN
+    from trafficlens.sources.access_log import lines_from_text
+    from trafficlens.sources.reputation_lists import blocklist_from_lines
+
+    def line(i, ref):
+        return f'10.0.0.{i} - - [15/Jan/2024:12:00:0{i} +0000] "GET /p HTTP/1.1" 200 10 "{ref}" "Mozilla/5.0"'
+
+    refs = ["-", "http://semalt.com/x", "http://ok.example/<script>alert(1)</script>", "http://ok.example/"]
+    parsed = parse_access_log(lines_from_text(spark, "\n".join(line(i, r) for i, r in enumerate(refs))))
+    bl = blocklist_from_lines(spark.createDataFrame([], "value string, line_no bigint"))
+    for mb in (2_000_000, 0):
+        t = {r.referer: r for r in EN.enrich_train(parsed, bl, max_broadcast_rows=mb).collect()}
+        assert [t[r].referrer_matches for r in refs] == [False, True, False, False]
+        s = {r.referer: r for r in EN.enrich_serve(parsed, bl, max_broadcast_rows=mb).collect()}
+        assert [s[r].referrer_matches for r in refs] == [False, False, True, False]
+        assert [s[r].xss_matches for r in refs] == [False, False, True, False]

@@ -5,14 +5,15 @@ Plan shape (both profiles)::
     rows ──┬─ groupBy(ip)          -> per-IP table  + blocklist (J1) + ASN flags
            ├─ groupBy(path)        -> per-path table: error counts + path regex flags
            ├─ groupBy(user_agent)  -> per-UA table:   UA flags + UA regex flags
+           ├─ distinct(referer)    -> per-referer table: referer regex flags
            ├─ groupBy(minute)      -> spike minutes (T)
-           └─ W1 lag within (ip, minute) ── join per-IP / per-path / per-UA / minute tables
+           └─ W1 lag within (ip, minute) ── join per-IP / path / UA / referer / minute tables
 
 Each per-key table is built with map-side partial aggregation (hot keys are
-cheap) and evaluated once per distinct key (regexes run once per distinct path
-and user agent, not per request).  The independent tables (per-IP, blocklist,
-per-path, per-UA, spike minutes) are persisted and counted together in one
-job; each is broadcast only when its count is within the bound
+cheap) and evaluated once per distinct key (regexes run once per distinct path,
+user agent and referer, not per request).  The independent tables (per-IP,
+blocklist, per-path, per-UA, per-referer, spike minutes) are persisted and
+counted together in one job; each is broadcast only when its count is within the bound
 (:mod:`trafficlens.operators.dims`).  Tables derived from the per-IP table
 (coordinated ASNs, the final per-IP features) are bounded by its count.
 """
@@ -134,6 +135,7 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
         "blocklist": reputation_table(blocklist, "train"),
         "path": _dim_by(rows, "path", path_aggs, scope),  # A8 counts
         "user_agent": _dim_by(rows, "user_agent", []),
+        "referer": _dim_by(rows, "referer", []),
         "spike_minutes": TR.spike_minutes_train(rows, scope=scope),  # A6
     })
 
@@ -161,13 +163,13 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
     d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags, scope)
     d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
+    d = _key_features(d, t["referer"], n["referer"], "referer", X.referer_pattern_flags_T(lib), mb)
     d = d.withColumn("minute", TR.minute_of())
     d = flag_join(d, t["spike_minutes"], [*scope, "minute"], "during_traffic_spike", max_broadcast_rows=mb,
                   rows_bound=n["spike_minutes"])
     d = d.withColumns({
         "is_error": X.is_error(),
         "is_server_error": X.is_server_error(),
-        **X.referer_pattern_flags_T(lib),
     })
     bool_cols = [c for c in T_FEATURES if c not in (
         "prev_timestamp", "time_diff", "request_count_per_ip", "requests_per_minute", "path_length",
@@ -204,6 +206,7 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
         "blocklist": reputation_table(blocklist, "serve"),
         "path": _dim_by(rows, "path", path_aggs, scope),  # A14 counts
         "user_agent": _dim_by(rows, "user_agent", []),
+        "referer": _dim_by(rows, "referer", []),
     })
 
     # Per-IP: reputation (J1), A11 coordinated ASN, A10 threshold.  The per-IP
@@ -233,9 +236,8 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
     d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags, scope)
     d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
-
     ref_hits = X.family_hits_S(F.coalesce(F.col("referer"), F.lit("")))
-    d = d.withColumns({f"_r_{k}": v for k, v in ref_hits.items()})
+    d = _key_features(d, t["referer"], n["referer"], "referer", {f"_r_{k}": v for k, v in ref_hits.items()}, mb)
     fams = list(fixed.S_FAMILIES)
     d = _false_if_null(d, [f"_{p}_{k}" for p in "bqur" for k in fams]
                        + ["has_suspicious_patterns", "to_high_error_path", "has_user_agent", "is_old_browser",
