@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import BLOCKLIST_LINE_REGEX, FALLBACK_MALICIOUS_USER_AGENTS
@@ -21,6 +21,26 @@ def _with_line_no(df: DataFrame) -> DataFrame:
     return df.withColumn("line_no", F.monotonically_increasing_id())
 
 
+def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of one or more text files with a ``line_no`` in file order (path, then offset).
+
+    Spark packs file splits into tasks by size, so a plain
+    ``monotonically_increasing_id`` follows file order only within a split.
+    The splits (one row each) are ranked by (file, start) and each line's
+    number is its split's rank, then its position within the split.
+    """
+    raw = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_pos"))
+    splits = raw.groupBy("_file", "_start").agg(F.min("_pos").alias("_p0"))
+    splits = splits.withColumn("_rank", F.row_number().over(Window.orderBy("_file", "_start")) - 1)
+    # Not persisted: a cached split table would be reused for a later read of the
+    # same path under another split layout (or after the file changed).  The join
+    # strategy is Spark's (AQE broadcasts the measured, one-row-per-split side).
+    d = raw.join(splits, ["_file", "_start"], "left")
+    return d.select("value", (F.col("_rank") * F.lit(1 << 33) + F.col("_pos") - F.col("_p0")).alias("line_no"))
+
+
 def blocklist_from_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse blocklist lines ``ip # CC ASN organisation`` -> (ip, country, asn, organization, line_no).
 
@@ -48,7 +68,7 @@ def read_blocklist(spark: SparkSession, path: str | None) -> DataFrame:
     if path is None or not _hadoop_status(spark, path)[0]:
         log.warning("blocklist %s not available; using an empty list", path)
         return blocklist_from_lines(spark.createDataFrame([], "value string, line_no bigint"))
-    return blocklist_from_lines(spark.read.text(path))
+    return blocklist_from_lines(read_ordered_lines(spark, path))
 
 
 def blocklist_by_ip(bl: DataFrame) -> DataFrame:
@@ -72,7 +92,7 @@ def ua_list_from_lines(lines: DataFrame, value_col: str = "value", header: bool
 def read_ua_list(spark: SparkSession, path: str | None = None) -> DataFrame:
     if path is None:
         return fallback_ua_list(spark)
-    return ua_list_from_lines(spark.read.text(path))
+    return ua_list_from_lines(read_ordered_lines(spark, path))
 
 
 def fallback_ua_list(spark: SparkSession) -> DataFrame:
