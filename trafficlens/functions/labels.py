@@ -126,16 +126,18 @@ LABEL_PROMPT_FIELDS = [
 ]
 
 
+LABEL_PROMPT_HEADER = ("Label this web server request as one of legitimate_human, legitimate_bot, "
+                       "illegitimate_human, illegitimate_bot. Answer with JSON "
+                       '{"classification": ..., "confidence": 0.0-1.0, "reasoning": ...}.')
+
+
 def labelling_prompt(fields: list[str] | None = None) -> Column:
     """M1: a labelling prompt per row (own wording), listing every enriched field.
 
     ``time_diff`` prints 'N/A' when null; the rate prints with two decimals.
     """
     fields = fields or LABEL_PROMPT_FIELDS
-    parts = [F.lit("Label this web server request as one of legitimate_human, legitimate_bot, "
-                   "illegitimate_human, illegitimate_bot. Answer with JSON "
-                   '{"classification": ..., "confidence": 0.0-1.0, "reasoning": ...}.'),
-             F.lit("Facts:")]
+    parts = [F.lit(LABEL_PROMPT_HEADER), F.lit("Facts:")]
     for f in fields:
         parts.append(F.concat(F.lit(f"- {f}: "), F.coalesce(F.col(f).cast("string"), F.lit("null"))))
     parts.append(F.concat(F.lit("- requests_per_minute: "), F.format_string("%.2f", F.col("requests_per_minute"))))

@@ -467,6 +467,48 @@ def build() -> dict[str, str]:
              + T["ua_category"])
     label_txt = ("'Classification: ' || classification || chr(10) || 'Confidence: ' || "
                  f"{fmt2('confidence')} || chr(10) || 'Reasoning: '")
+    # M1: labelling prompts over the whole enriched-T row (features composed from the pieces above).
+    from ..functions.labels import LABEL_PROMPT_FIELDS, LABEL_PROMPT_HEADER
+    rpm_t = "CASE WHEN nrows > 1 THEN CASE WHEN span > 0 THEN nrows / span ELSE CAST(nrows AS DOUBLE) END ELSE 1.0 END"
+    feat = {
+        "ip": "wd.ip", "timestamp": "ts", "method": "method", "path": "wd.path", "protocol": "protocol",
+        "status_code": "status_code", "user_agent": "user_agent", "country": "rep.country", "asn": "rep.asn",
+        "organization": "rep.organization", "ip_reputation_score": "rep.ip_score",
+        "asn_reputation_score": "rep.asn_score_t",
+        "combined_reputation_score": "CAST(rep.ip_score AS DOUBLE) * 0.7 + CAST(rep.asn_score_t AS DOUBLE) * 0.3",
+        "ip_is_known_bad": "rep.known_bad",
+        "is_high_risk_country": f"rep.country IN ({', '.join(repr(c) for c in fixed.T_HIGH_RISK_COUNTRIES)})",
+        "is_high_risk_asn": "rep.asn_score_t > 50",
+        "potential_dos": "dos.d_ip IS NOT NULL", "potential_scanner": "scan.s_ip IS NOT NULL",
+        "during_traffic_spike": "spk.s_min IS NOT NULL", "from_coordinated_asn": "coord.c_asn IS NOT NULL",
+        "to_high_error_path": "hep.h_path IS NOT NULL",
+    }
+    feat.update({f: T[f] for f in LABEL_PROMPT_FIELDS if f not in feat})
+    # Java's %.2f rounds the shortest decimal form half-up; DECIMAL round does the same.
+    rpm2 = (f"CASE WHEN abs({rpm_t}) < 0.001 THEN printf('%.2f', {rpm_t})"
+            f" ELSE printf('%.2f', round(CAST(CAST({rpm_t} AS VARCHAR) AS DECIMAL(38, 12)), 2)) END")
+    parts = [f"'{LABEL_PROMPT_HEADER}'", "'Facts:'"]
+    parts += [f"'- {f}: ' || coalesce(CAST({feat[f]} AS VARCHAR), 'null')" for f in LABEL_PROMPT_FIELDS]
+    parts += [f"'- requests_per_minute: ' || {rpm2}",
+              "'- time_diff: ' || coalesce(CAST(td AS VARCHAR), 'N/A')"]
+    q["m1_prompts"] = (
+        f"{PRE}{W1}{IPT}{REP},"
+        f" dos AS (SELECT ip AS d_ip FROM wd GROUP BY ip HAVING (CASE WHEN {dur} > 0 THEN count(ts) / {dur}"
+        " ELSE count(ts) END) > 30 AND avg(td) < 1.0 AND count(ts) > 50),"
+        " scan AS (SELECT ip AS s_ip FROM req GROUP BY ip HAVING count(DISTINCT path) > 20 AND count(ts) > 30),"
+        " pm AS (SELECT date_trunc('minute', ts) AS minute, count(*) AS c FROM req WHERE ts IS NOT NULL GROUP BY 1),"
+        " st AS (SELECT avg(c) AS mu, stddev_samp(c) AS sd FROM pm),"
+        " spk AS (SELECT minute AS s_min FROM pm, st WHERE sd > 0 AND (c - mu) / sd > 3),"
+        " ipc AS (SELECT r.ip, coalesce(b.asn, 'Unknown') AS asn, count(*) AS c FROM req r LEFT JOIN bl b"
+        " ON r.ip = b.ip GROUP BY 1, 2),"
+        " coord AS (SELECT asn AS c_asn FROM ipc GROUP BY asn HAVING sum(c) > 100 AND count(*) > 5"
+        " AND stddev_samp(c) / avg(c) < 0.5),"
+        " hep AS (SELECT path AS h_path FROM req WHERE status_code >= 500 GROUP BY path HAVING count(*) > 5)"
+        f" SELECT n, concat_ws(chr(10), {', '.join(parts)}) AS prompt"
+        " FROM wd JOIN ipt2 ON wd.ip = ipt2.ip JOIN rep ON wd.ip = rep.ip"
+        " LEFT JOIN dos ON wd.ip = dos.d_ip LEFT JOIN scan ON wd.ip = scan.s_ip"
+        " LEFT JOIN spk ON date_trunc('minute', wd.ts) = spk.s_min LEFT JOIN coord ON rep.asn = coord.c_asn"
+        " LEFT JOIN hep ON wd.path = hep.h_path")
     q["m6_training_text"] = (f"{PRE}{W1}{IPT}{REP} SELECT {facts} AS input, {label_txt} AS output"
                              " FROM wd JOIN ipt2 ON wd.ip = ipt2.ip JOIN rep ON wd.ip = rep.ip")
 
