@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -51,7 +52,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
         d = tempfile.mkdtemp(prefix="trafficlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -60,3 +60,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for materialised stage tables."""
     return os.path.join(checkpoint_dir(spark), "stages", name)
+
+
+def ship_package() -> None:
+    """Send this package's functions to Python workers by value, so that the
+    workers need not have it on their path."""
+    import trafficlens
+    cloudpickle.register_pickle_by_value(trafficlens)
