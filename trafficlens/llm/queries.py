@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe_replay as BP
 from . import language_mixture as LM
+from . import quality_bytes_cnn as QC
 from . import quality_divergence as QD
-from .common import crc_remainder, read
+from . import source_mixing as SM
+from . import warc as WA
+from .common import crc_remainder, read, write_table
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +28,44 @@ def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QD.judge(docs, QD.references(docs))
 
 
+def op3_quality_bytes_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = crc_remainder("doc_id", 5) == 0
+    net = QC.train(docs.where(~held_out), labels.where(~held_out))
+    return QC.score(docs, net).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rows = write_table(SM.sized(docs).select("doc_id", "source", "size", "draw", "bin"), "mix-sizes")
+    return SM.mix(rows, SM.cyclic_weights(rows), max_epochs=3).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WA.round_trip(read(spark, sf_dir, "pages"), least_bytes=0)
+
+
+def tokenizer() -> tuple[dict[bytes, int], str]:
+    import public_tokenizers
+    return BP.load_ranks(public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN
+
+
+def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = tokenizer()
+    return BP.digests(read(spark, sf_dir, "documents"), ranks, pattern)
+
+
 QUERIES = {
     "op1_language_mixture": op1_language_mixture,
     "op2_quality_divergence": op2_quality_divergence,
+    "op3_quality_bytes_cnn": op3_quality_bytes_cnn,
+    "op6_source_mixing": op6_source_mixing,
+    "op8_warc": op8_warc,
+    "op10_bpe_replay": op10_bpe_replay,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_source_mixing": SM.ORACLE_SQL,
+    "op8_warc": WA.ORACLE_SQL,
+}
