@@ -10,6 +10,7 @@ from . import language_mixture as LM
 from . import quality_bytes_cnn as QC
 from . import quality_divergence as QD
 from . import source_mixing as SM
+from . import topk_inner as TK
 from . import warc as WA
 from .common import crc_remainder, read, write_table
 
@@ -36,6 +37,11 @@ def op3_quality_bytes_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_topk_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = TK.quantised(read(spark, sf_dir, "embeddings"), scale=64.0)
+    return TK.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     rows = write_table(SM.sized(docs).select("doc_id", "source", "size", "draw", "bin"), "mix-sizes")
@@ -60,12 +66,14 @@ QUERIES = {
     "op1_language_mixture": op1_language_mixture,
     "op2_quality_divergence": op2_quality_divergence,
     "op3_quality_bytes_cnn": op3_quality_bytes_cnn,
+    "op5_topk_inner": op5_topk_inner,
     "op6_source_mixing": op6_source_mixing,
     "op8_warc": op8_warc,
     "op10_bpe_replay": op10_bpe_replay,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_topk_inner": TK.ORACLE_SQL,
     "op6_source_mixing": SM.ORACLE_SQL,
     "op8_warc": WA.ORACLE_SQL,
 }
