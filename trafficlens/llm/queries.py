@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe_replay as BP
 from . import language_mixture as LM
+from . import partenum_join as PJ
 from . import quality_bytes_cnn as QC
 from . import quality_divergence as QD
 from . import source_mixing as SM
@@ -37,6 +38,10 @@ def op3_quality_bytes_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PJ.classes(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_topk_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = TK.quantised(read(spark, sf_dir, "embeddings"), scale=64.0)
     return TK.search(vectors, F.col("vec_id") % 20 == 0, k=20)
@@ -66,6 +71,7 @@ QUERIES = {
     "op1_language_mixture": op1_language_mixture,
     "op2_quality_divergence": op2_quality_divergence,
     "op3_quality_bytes_cnn": op3_quality_bytes_cnn,
+    "op4_partenum_join": op4_partenum_join,
     "op5_topk_inner": op5_topk_inner,
     "op6_source_mixing": op6_source_mixing,
     "op8_warc": op8_warc,
