@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections import defaultdict
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import regex
@@ -33,7 +33,8 @@ from .common import add_columns
 SHIFT = 20  # bits of a token id in a pair's key
 NONE = np.int64(1 << 40)  # rank of a pair that does not merge
 LONG = 1 << 22  # characters from which a text is matched piece by piece
-MOST_WORDS = 400_000  # distinct words held by a task before it starts anew
+MOST_WORDS = 300_000  # distinct words held by a task before it starts anew
+PIECE = 150_000  # words replayed together
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -169,31 +170,46 @@ def _merge_all(tok, nxt, prv, rank, m: Merges) -> set[int]:
     return odd
 
 
+def encoder(ranks: dict[bytes, int], pattern: str):
+    """A function from texts to packed ids, which keeps the words it has seen."""
+    m = Merges(ranks)
+    match = regex.compile(pattern)
+    names: defaultdict[str, int] = defaultdict(count().__next__)
+    codes: list[bytes] = []
+
+    def words(t):
+        if len(t) < LONG:
+            return np.array(list(map(names.__getitem__, match.findall(t))), np.int32)
+        return np.fromiter((names[x.group()] for x in match.finditer(t)), np.int32)
+
+    def f(texts):
+        nonlocal names, codes
+        if len(names) > MOST_WORDS:
+            names, codes = defaultdict(count().__next__), []
+        found = [words(t) if t else None for t in texts]
+        new = list(islice(names, len(codes), None))
+        for i in range(0, len(new), PIECE):
+            codes += replay([w.encode("utf-8", "surrogatepass") for w in new[i:i + PIECE]], m)
+        return [b"" if x is None else b"".join([codes[i] for i in x.tolist()]) for x in found]
+
+    return f
+
+
+def decoder(ranks: dict[bytes, int]):
+    """A function from packed ids to the bytes they stand for."""
+    token = [b""] * (max(ranks.values()) + 1)
+    for t, r in ranks.items():
+        token[r] = t
+    return lambda packed: [b"".join([token[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in packed]
+
+
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", out: str = "ids",
            drop: list[str] = ()) -> DataFrame:
     """``df`` with the binary column ``out``: token ids as little-endian unsigned 32-bit integers."""
 
     def start():
-        m = Merges(ranks)
-        match = regex.compile(pattern)
-        names: defaultdict[str, int] = defaultdict(count().__next__)
-        codes: list[bytes] = []
-
-        def words(t):
-            if len(t) < LONG:
-                return np.array(list(map(names.__getitem__, match.findall(t))), np.int32)
-            return np.fromiter((names[x.group()] for x in match.finditer(t)), np.int32)
-
-        def f(texts):
-            nonlocal names, codes
-            if len(names) > MOST_WORDS:
-                names, codes = defaultdict(count().__next__), []
-            found = [words(t) if t else None for t in texts]
-            new = list(names)[len(codes):]
-            codes += replay([w.encode("utf-8", "surrogatepass") for w in new], m)
-            return [[b"" if x is None else b"".join([codes[i] for i in x.tolist()]) for x in found]]
-
-        return f
+        f = encoder(ranks, pattern)
+        return lambda texts: [f(texts)]
 
     return add_columns(df, [text], f"`{out}` binary", start, drop)
 
@@ -201,21 +217,32 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded",
            drop: list[str] = ()) -> DataFrame:
     """``df`` with the bytes that the token ids of column ``ids`` stand for."""
-    token = [b""] * (max(ranks.values()) + 1)
-    for t, r in ranks.items():
-        token[r] = t
 
     def start():
-        def f(packed):
-            return [[b"".join([token[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in packed]]
-        return f
+        f = decoder(ranks)
+        return lambda packed: [f(packed)]
 
     return add_columns(df, [ids], f"`{out}` binary", start, drop)
 
 
+def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
+               drop: list[str] = ()) -> DataFrame:
+    """``df`` with ``ids`` and ``decoded``, both made in one pass."""
+
+    def start():
+        there, back = encoder(ranks, pattern), decoder(ranks)
+
+        def f(texts):
+            ids = there(texts)
+            return ids, back(ids)
+
+        return f
+
+    return add_columns(df, [text], "ids binary, decoded binary", start, drop)
+
+
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text."""
-    ids = encode(docs.select("doc_id", F.col("text").alias("__text")), ranks, pattern, "__text", "ids", ["__text"])
-    both = decode(ids, ranks)
+    both = round_trip(docs.select("doc_id", F.col("text").alias("__text")), ranks, pattern, "__text", ["__text"])
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

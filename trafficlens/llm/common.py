@@ -20,6 +20,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: width stays below this many bytes; larger sides go through a shuffle join.
 BROADCAST_BYTES = 32 << 20
 
+#: Rows of an Arrow batch that a Python function gets at once.
+SLICE = 4096
+
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder."""
@@ -73,9 +76,11 @@ def add_columns(df: DataFrame, inputs: list[str], added: str, start, drop: list[
 
     def run(batches):
         f = start()
-        for b in batches:
-            made = f(*[b.column(c).to_pylist() for c in inputs])
-            arrays = [b.column(c) for c in names] + [pa.array(x, t) for x, t in zip(made, types)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[x.name for x in schema])
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE):
+                b = batch.slice(i, SLICE)
+                made = f(*[b.column(c).to_pylist() for c in inputs])
+                arrays = [b.column(c) for c in names] + [pa.array(x, t) for x, t in zip(made, types)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[x.name for x in schema])
 
     return df.mapInArrow(run, schema)
