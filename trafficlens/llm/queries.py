@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe_replay as BP
 from . import language_mixture as LM
+from . import line_runs as LR
 from . import partenum_join as PJ
 from . import quality_bytes_cnn as QC
 from . import quality_divergence as QD
@@ -57,6 +58,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.round_trip(read(spark, sf_dir, "pages"), least_bytes=0)
 
 
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return LR.dedup(docs).select("doc_id", "text", "n_lines", "n_deleted")
+
+
 def tokenizer() -> tuple[dict[bytes, int], str]:
     import public_tokenizers
     return BP.load_ranks(public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN
@@ -75,6 +81,7 @@ QUERIES = {
     "op5_topk_inner": op5_topk_inner,
     "op6_source_mixing": op6_source_mixing,
     "op8_warc": op8_warc,
+    "op9_line_runs": op9_line_runs,
     "op10_bpe_replay": op10_bpe_replay,
 }
 
@@ -82,4 +89,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_topk_inner": TK.ORACLE_SQL,
     "op6_source_mixing": SM.ORACLE_SQL,
     "op8_warc": WA.ORACLE_SQL,
+    "op9_line_runs": LR.ORACLE_SQL,
 }
