@@ -39,22 +39,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_side, write_table
+from .common import mix, small_side, write_table
 from .components import connected
 
 WORDS, SIMILAR = 5, 80
 RATIO = 1.6  # of the largest to the smallest size in a band
 SMALL_K = 5  # up to here one first-level part and all subsets
 SKETCH = 4  # 64-bit words of the parity sketch
-_C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
-    """A 64-bit finalizer (wrapping)."""
-    x = (x + np.uint64(salt)) * _C1
-    x = (x ^ (x >> np.uint64(30))) * _C2
-    x = (x ^ (x >> np.uint64(27))) * _C3
-    return x ^ (x >> np.uint64(31))
 
 
 def shingles(text: str | None) -> np.ndarray:

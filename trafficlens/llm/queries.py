@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_replay as BP
+from . import katz_lm as KZ
 from . import language_mixture as LM
 from . import line_runs as LR
 from . import partenum_join as PJ
@@ -54,6 +55,11 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SM.mix(rows, SM.cyclic_weights(rows), max_epochs=3).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return KZ.score(docs, held_out_of=10).withColumn("held_out", crc_remainder("doc_id", 10) == 0)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.round_trip(read(spark, sf_dir, "pages"), least_bytes=0)
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op4_partenum_join": op4_partenum_join,
     "op5_topk_inner": op5_topk_inner,
     "op6_source_mixing": op6_source_mixing,
+    "op7_katz_lm": op7_katz_lm,
     "op8_warc": op8_warc,
     "op9_line_runs": op9_line_runs,
     "op10_bpe_replay": op10_bpe_replay,
