@@ -69,10 +69,10 @@ def add_columns(df: DataFrame, inputs: list[str], added: str, start, drop: list[
     ``start()`` runs once per task and returns ``f``; ``f`` gets the columns
     ``inputs`` of a batch as Python lists and returns one list per new column.
     Every other column passes through untouched (nulls and wide ids included),
-    except those in ``drop``.
+    except those in ``drop`` and those that a new column replaces.
     """
-    passed = [f for f in df.schema.fields if f.name not in drop]
     new = T.StructType.fromDDL(added)
+    passed = [f for f in df.schema.fields if f.name not in drop and f.name not in new.names]
     schema = T.StructType(passed + new.fields)
     types = [f.type for f in to_arrow_schema(new)]
     names = [f.name for f in passed]

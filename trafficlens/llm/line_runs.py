@@ -23,7 +23,7 @@ span the repeated lines of one document.
 Defined cases: a null text stays null, an empty text stays empty, lines without
 a word are never deleted and do not part a run; repeated rows are copies of the
 first; null ids come first; an empty table stays empty; extra columns pass
-through.
+through, and those with the names of result columns are replaced.
 """
 
 from __future__ import annotations
@@ -113,6 +113,7 @@ def later_copies(at: DataFrame, lengths: list[int], runs: DataFrame) -> DataFram
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` freed of later copies, ``n_lines`` (with a word) and ``n_deleted``."""
+    docs = docs.drop(ROW, "gone", "n_lines", "n_deleted")
     frozen = write_table(docs.withColumn(ROW, F.monotonically_increasing_id()), "lines-docs")
     lines = write_table(worded_lines(frozen), "lines")
     at, lengths = doubled_ranks(lines, min_words)

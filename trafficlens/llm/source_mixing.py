@@ -13,7 +13,8 @@ which the words run out are ordered row by row, so no task ever holds a source.
 
 Defined cases: a null text has size 0; a null source is a source of its own;
 null ids hash as ''; rows alike in hash, id and size are interchangeable, and
-an empty table gives an empty result; extra columns pass through.
+an empty table gives an empty result; extra columns pass through, and those
+with the names of result columns are replaced.
 """
 
 from __future__ import annotations
@@ -91,6 +92,7 @@ def mix(rows: DataFrame, weights: DataFrame, max_epochs: int = 3) -> DataFrame:
     ``whole`` repetitions take a document entirely, ``extra`` counts the words
     of the fractional one, ``taken = whole * size + extra``.
     """
+    rows = rows.drop("source_size", "weight", "target", "whole", "part", "end_bin", "before", "extra", "taken", "__s")
     sources, n = plan(rows, weights, max_epochs)
     sources = small_side(sources.withColumnRenamed("source", "__s"), n, 128)
     joined = rows.join(sources, F.col("source").eqNullSafe(F.col("__s")))
