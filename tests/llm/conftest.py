@@ -1,0 +1,12 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+
+@pytest.fixture(autouse=True)
+def by_value():
+    from trafficlens.session import ship_package
+    ship_package()
