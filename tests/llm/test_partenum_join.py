@@ -68,14 +68,23 @@ def test_linked_sets_share_a_signature():
             assert sig[0] & sig[1], (len(a), len(b))
 
 
-def test_sketch_is_a_lower_bound():
+def test_sketches_bound_the_difference(spark):
     import numpy as np
     gen = np.random.default_rng(3)
-    base = gen.integers(0, 2 ** 63, 400, dtype=np.uint64)
-    for n in (0, 1, 10, 100, 399):
-        a, b = np.unique(base), np.unique(base[n:])
-        x = np.bitwise_count((PJ.sketch(a) ^ PJ.sketch(b)).view(np.uint64)).sum()
-        assert x <= n
+    rows = []
+    for size in (1, 3, 30, 70, 130, 400, 3000):
+        base = gen.integers(0, 2 ** 63, size + size // 4, dtype=np.uint64)
+        for n in (0, size // 20, size // 10, size // 5):
+            a, b = np.unique(base[:size]), np.unique(base[n:size + n // 9])
+            if len(b):
+                linked = 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+                rows.append((len(a), len(b), PJ.sketch(a).tolist(), PJ.sketch(b).tolist(), linked))
+        other = np.unique(gen.integers(0, 2 ** 63, size, dtype=np.uint64))
+        rows.append((size, len(other), PJ.sketch(np.unique(base[:size])).tolist(), PJ.sketch(other).tolist(), False))
+    df = spark.createDataFrame(rows, "n bigint, m bigint, x array<bigint>, y array<bigint>, linked boolean")
+    got = df.withColumn("may", PJ.may_link("n", "m", "x", "y")).collect()
+    assert all(r.may for r in got if r.linked)
+    assert not got[-1].may and not got[-6].may
 
 
 def test_against_all_pairs(spark):

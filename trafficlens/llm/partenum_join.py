@@ -12,12 +12,12 @@ A signature without elements says little and would be shared widely; ``n1`` is
 raised by an allowance for such parts, and only sets with more of them than
 the allowance emit them, which keeps the guarantee.
 
-Sets that share a signature are chained in a sorted order, not paired off.  The
-strongest chain links of each set are verified first, on the exact sets.  What
-shares a signature but is still in different components is then paired, after
-an exact lower bound on the difference (parity sketches) and sizes, and verified
-as well.  So every link is found or implied by others, and a large group of near
-copies costs in proportion to its size.
+Sets that share a signature are chained in a sorted order, not paired off.
+Chained pairs that pass an exact lower bound on their difference (sizes and
+parity sketches) are verified on the exact sets.  What shares a signature of
+three sets or more and is still in different components is then paired under
+the same bound, and verified as well.  So every link is found or implied by
+others, and a large group of near copies costs in proportion to its size.
 
 Equal sets are one node: copies never meet each other.  (Nodes are 64-bit
 fingerprints of sets.)
@@ -45,7 +45,7 @@ from .components import connected
 WORDS, SIMILAR = 5, 80
 RATIO = 1.6  # of the largest to the smallest size in a band
 SMALL_K = 5  # up to here one first-level part and all subsets
-SKETCH = 4  # 64-bit words of the parity sketch
+SKETCH_PER_WORD = 32  # elements for each 64-bit word of the parity sketch, at most
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -124,8 +124,13 @@ def fingerprint(h: np.ndarray) -> np.uint64:
 
 
 def sketch(h: np.ndarray) -> np.ndarray:
-    """Parities of the elements in 64 * SKETCH cells: they differ in no more cells than the sets in elements."""
-    odd = np.bincount((mix(h, 23) >> np.uint64(40)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    """Parities of the elements in cells: two sketches differ in no more cells than the sets in elements.
+
+    The number of cells is a power of two of 2 to 4 times the size, so a longer
+    sketch folds onto a shorter one.
+    """
+    words = 1 << max(0, int(np.ceil(np.log2(max(1, len(h)) / SKETCH_PER_WORD))))
+    odd = np.bincount((mix(h, 23) >> np.uint64(32)).astype(np.int64) & (64 * words - 1), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -200,10 +205,17 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str) -> Data
     return write_table(linked.select("a", "b"), "join-links")
 
 
-def differing(n: str, m: str):
-    """Largest symmetric difference of linked sets of these sizes."""
+def may_link(n: str, m: str, x: str, y: str):
+    """Whether sizes and sketches allow a link: linked sets differ in a bounded number of elements."""
     total = F.col(n) + F.col(m)
-    return total - 2 * F.ceil(total * SIMILAR / (100 + SIMILAR))
+    most = total - 2 * F.ceil(total * SIMILAR / (100 + SIMILAR))
+    short = F.least(F.size(x), F.size(y))
+    xor = lambda a, b: a.bitwiseXOR(b)
+    fold = lambda c: F.when(F.size(c) == short, F.col(c)).otherwise(
+        F.zip_with(F.slice(c, F.lit(1), short), F.slice(c, short + 1, short), xor))
+    apart = F.aggregate(F.zip_with(fold(x), fold(y), xor), F.lit(0), lambda acc, v: acc + F.bit_count(v))
+    near = 100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)
+    return F.when(near, apart <= most).otherwise(F.lit(False))
 
 
 def classes(docs: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -216,38 +228,44 @@ def classes(docs: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = ()) ->
     """
     columns = tuple(dict.fromkeys([key, "doc_id", *keep]))
     info = write_table(sets(docs, columns), "join-sets-of-rows")
-    reps = write_table(info.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min(key).alias(key), F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"),
+    nodes = write_table(info.where(F.col("node").isNotNull()).groupBy("node").agg(
+        F.min(key).alias("__key"), F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"),
         F.first("sketch").alias("sketch")), "join-nodes")
+    n, held_words = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("sketch")), F.lit(0))).first()
+    sketches = small_side(nodes.select("node", "n", "sketch"), n, 64 + 8 * (held_words // max(1, n)))
+    reps = nodes.select("node", F.col("__key").alias(key))
+    side = lambda k, c: sketches.select(F.col("node").alias(c), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"sketch{k}"))
+
     order = Window.partitionBy("sig").orderBy("node")
-    chain = (signatures(docs).withColumn("a", F.lag("node").over(order)).withColumnRenamed("node", "b")
-             .where("a <> b"))
+    chain = (signatures(docs).withColumn("a", F.lag("node").over(order)).withColumnRenamed("node", "b").where("a <> b"))
     chain = write_table(chain.select("sig", "a", "b"), "join-chain")
-    pairs = write_table(chain.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), "join-pairs")
-    ends = pairs.select(F.col("a").alias("node"), "*").unionByName(pairs.select(F.col("b").alias("node"), "*"))
-    best = Window.partitionBy("node").orderBy(F.col("shared").desc(), F.xxhash64("a", "b"))
-    first = write_table(ends.withColumn("place", F.row_number().over(best)).where("place <= 2")
-                        .select("a", "b").distinct(), "join-first")
-    links = verify(first, docs, reps, key)
+    near = (chain.select("a", "b").distinct().join(side(1, "a"), "a").join(side(2, "b"), "b")
+            .where(may_link("n1", "n2", "sketch1", "sketch2")).select("a", "b"))
+    links = verify(write_table(near, "join-near"), docs, reps, key)
     parts = write_table(connected(links), "join-parts")
-    # what shares a signature across components of the verified links
-    held = (chain.select("sig", F.col("a").alias("node")).unionByName(chain.select("sig", F.col("b").alias("node"))).distinct()
-            .join(parts, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    split = held.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("sig")
-    open_ = write_table(held.join(split, "sig").join(reps.select("node", "n", "sketch"), "node"), "join-open")
+
+    # signatures of three sets or more whose members are not all in one component, one for each set of members
+    many = chain.groupBy("sig").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("sig")
+    held = chain.join(many, "sig", "left_semi")
+    held = held.select("sig", F.col("a").alias("node")).unionByName(held.select("sig", F.col("b").alias("node"))).distinct()
+    n_parts = parts.count()
+    held = held.join(small_side(parts, n_parts, 48), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    held = write_table(held, "join-held")
+    members = (held.groupBy("sig").agg(
+        F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("m1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("m2")).where("r0 <> r1"))
+    once = members.groupBy("size", "m1", "m2").agg(F.min("sig").alias("sig")).select("sig")
+    open_ = write_table(held.join(once, "sig", "left_semi").join(sketches, "node"), "join-open")
     x = open_.select("sig", *[F.col(c).alias(f"{c}1") for c in ("node", "root", "n", "sketch")])
-    y = open_.select("sig", *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "sketch")])
-    apart = sum(F.bit_count(F.element_at("sketch1", k + 1).bitwiseXOR(F.element_at("sketch2", k + 1))) for k in range(SKETCH))
-    rest = (x.join(y, (x["sig"] == y["sig"]) & (F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2"))
-                   & (100 * F.least("n1", "n2") >= SIMILAR * F.greatest("n1", "n2")) & (apart <= differing("n1", "n2")))
-            .select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
-            .join(first, ["a", "b"], "left_anti"))
+    y = open_.select(F.col("sig").alias("sig2"), *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "sketch")])
+    rest = (x.join(y, (F.col("sig") == F.col("sig2")) & (F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2"))
+                   & may_link("n1", "n2", "sketch1", "sketch2"))
+            .select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct().join(near, ["a", "b"], "left_anti"))
     more = verify(write_table(rest, "join-rest"), docs, reps, key)
-    parts = connected(links.unionByName(more))
-    lowest = (parts.join(reps.select("node", "first_id"), "node").withColumn("low", F.col("first_id"))
-              .groupBy("root").agg(F.min("low").alias("low")))
+    parts = write_table(connected(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "join-parts")
+    lowest = (parts.join(nodes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("low")))
     node_class = write_table(
-        reps.join(parts, "node", "left").join(lowest, "root", "left")
+        nodes.select("node", "first_id").join(parts, "node", "left").join(lowest, "root", "left")
         .select("node", F.coalesce("root", "node").alias("class_node"), F.coalesce("low", "first_id").alias("component_id")), "join-classes")
     out = info.join(node_class, "node", "left")
     return out.select(*columns, "n_shingles", "class_node",
