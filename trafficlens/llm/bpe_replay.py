@@ -33,8 +33,8 @@ from .common import add_columns
 SHIFT = 20  # bits of a token id in a pair's key
 NONE = np.int64(1 << 40)  # rank of a pair that does not merge
 LONG = 1 << 22  # characters from which a text is matched piece by piece
-MOST_WORDS = 300_000  # distinct words held by a task before it starts anew
-PIECE = 150_000  # words replayed together
+MOST_WORDS = 200_000  # distinct words held by a task before it starts anew
+PIECE = 100_000  # words replayed together
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -159,6 +159,10 @@ def _merge_all(tok, nxt, prv, rank, m: Merges) -> set[int]:
             p = p[(place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0]
         q = nxt[p]
         after = nxt[q]
+        # where merges touch, the left one alone might have made a pair of a lower rank
+        close = np.flatnonzero(after[:-1] == p[1:])
+        if len(close):
+            odd.update(p[close[m.lookup(np.full(len(close), r), tok[after[close]]) < r]].tolist())
         tok[p], tok[q], rank[q], nxt[p] = r, -1, NONE, after
         prv[after] = p  # of position n too, which is never read
         before = prv[p]
