@@ -1,5 +1,9 @@
 """Small frames for the tests of this folder."""
 
+from trafficlens.session import ship_package
+
+ship_package()
+
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 CLASHING = ("score", "size", "draw", "bin", "target", "taken", "ids", "node", "row", "rank", "n_lines", "gone", "kept", "__row")
 

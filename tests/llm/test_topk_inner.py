@@ -1,6 +1,7 @@
 import math
 import random
 
+import frames  # noqa: F401  (ships the package to the workers)
 from pyspark.sql import functions as F
 
 from trafficlens.llm import topk_inner as TK

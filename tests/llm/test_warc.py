@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 
+import frames  # noqa: F401  (ships the package to the workers)
 from trafficlens.llm import warc as WA
 
 SCHEMA = "page_id bigint, url string, html string, payload string, record_type string, first string"
