@@ -136,3 +136,22 @@ def test_equal_timestamps_keep_file_order(spark, tmp_path):
     parsed = PO.parse_access_log(read_access_logs(spark, [str(tmp_path / "t.log")]))
     got = {r.path: r.time_diff for r in add_time_diff(parsed).collect()}
     assert got == {"/start": None, "/z": 10.0, "/m": 0.0, "/a": 0.0}
+
+
+def test_every_matching_line_is_kept_and_counted(spark):
+    odd = [
+        '1.2.3.4 - - [15/Jan/2024:12:00:00 +0000] "GET /a\x00b HTTP/1.1" 200 5 "-" "x\x00y"',
+        '1.2.3.4 - - [15/Jan/2024:12:00:00 +0000] "GET /a HTTP/1.1" 99999999999 5 "-" "ua"',
+        '1.2.3.4 - - [a "quoted" time] "GET /a HTTP/1.1" 200 "5" "r" "u" and more "text"',
+        '1.2.3.4 - - [15/Jan/2024:12:00:00 +0000] "GET /a HTTP/1.1" 302 5 "-" "ua"',
+        'a 1 2 b]c"d"e', "", None, '1.2.3.4 200 5 time]GET / HTTP/1.1"-"ua',
+    ]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(odd)], "n int, value string")
+    got = {r.n: r for r in PO.parse_access_log(df).collect()}
+    assert sorted(got) == [0, 1, 2]
+    assert (got[0].path, got[0].user_agent, got[1].status_code) == ("/a\x00b", "x\x00y", None)
+    assert (got[2].timestamp, got[2].response_size, got[2].referer, got[2].user_agent) == (None, 0, "r", "u")
+    assert sorted(r.n for r in PO.parse_rejects(df).collect()) == [4, 5, 6, 7]
+    c = PO.parse_counters(df).first()
+    assert (c.total_lines, c.parsed, c.skipped_redirects, c.unparsed) == (8, 3, 1, 4)
+    assert PO.drop_redirects(spark.createDataFrame([(None,), (302,), (200,)], "status_code int")).count() == 2

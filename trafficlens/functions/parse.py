@@ -13,31 +13,33 @@ def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def group(line: Column, i: int) -> Column:
-    return F.regexp_extract(line, ACCESS_LOG_REGEX, i)
-
-
 # One regex pass per line: a matching line (leading whitespace allowed, any
-# trailing text) is rewritten to its 7 groups joined by NUL, then split.  A
-# non-matching line is returned unchanged and splits into fewer parts.
-FIELD_SEP = "\u0000"
+# trailing text) is rewritten to its 7 groups in an order in which each is ended
+# by a character that it cannot hold (ip, status, size: a space; time: ']';
+# request, referer: a quote), then cut.  A line that does not match is returned
+# unchanged, and no match is (its second word would be '-').
 _BODY = ACCESS_LOG_REGEX[1:]  # drop the leading '^'
 _RECORD_REGEX = "(?s)^\\s*" + _BODY + ".*$"
-_RECORD_REPLACEMENT = FIELD_SEP.join(f"${i}" for i in range(1, 8))
+_RECORD = '$1 $4 $5 $2]$3"$6"$7'
 
 
-def log_fields(value: Column) -> Column:
-    """Array of the 7 log fields, or an array of another size when the line does not match."""
-    rec = F.regexp_replace(value, F.lit(_RECORD_REGEX), F.lit(_RECORD_REPLACEMENT))
-    return F.split(rec, FIELD_SEP)
+def log_record(value: Column) -> Column:
+    """The rewritten line, or the line itself when it does not match."""
+    return F.regexp_replace(value, F.lit(_RECORD_REGEX), F.lit(_RECORD))
 
 
-def fields_ok(value: Column, fields: Column) -> Column:
-    return (F.size(fields) == 7) & ~F.coalesce(value.contains("\u0000"), F.lit(True))
+def record_ok(value: Column, record: Column) -> Column:
+    return F.coalesce(record != value, F.lit(False))
 
 
-def is_access_log_line(line: Column) -> Column:
-    return F.coalesce(line.rlike(ACCESS_LOG_REGEX), F.lit(False))
+def log_fields(record: Column) -> dict[str, Column]:
+    """The 7 log fields of a rewritten line (null on a line that did not match)."""
+    head = F.split(record, " ", 4)
+    tail = F.split(F.try_element_at(head, F.lit(4)), "]", 2)
+    text = F.split(F.try_element_at(tail, F.lit(2)), '"', 3)
+    get = lambda a, k: F.try_element_at(a, F.lit(k))
+    return {"ip": get(head, 1), "status": get(head, 2), "size": get(head, 3), "time": get(tail, 1),
+            "request": get(text, 1), "referer": get(text, 2), "user_agent": get(text, 3)}
 
 
 def request_part(request: Column, i: int) -> Column:

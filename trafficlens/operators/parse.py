@@ -8,45 +8,47 @@ from pyspark.sql import functions as F
 from ..functions import parse as pf
 from ..functions.fixed import REDIRECT_STATUS_CODES
 from ..functions.once import with_once
-from ..schemas import PARSED_COLUMNS
 
 
 def _split(lines: DataFrame, value_col: str) -> DataFrame:
     v = F.col(value_col)
-    d = with_once(lines, _f=pf.log_fields(v))
-    return d.withColumn("_ok", pf.fields_ok(v, F.col("_f")))
+    d = with_once(lines, _f=pf.log_record(v))
+    return d.withColumn("_ok", pf.record_ok(v, F.col("_f")))
 
 
-def _field(i: int):
-    # null (not an error) on the short array of a non-matching line
-    return F.try_element_at(F.col("_f"), F.lit(i))
+def _is_redirect(status):
+    # a status beyond the integer range is null and no redirect
+    return F.coalesce(status.isin(REDIRECT_STATUS_CODES), F.lit(False))
 
 
 def parse_access_log(lines: DataFrame, value_col: str = "value", drop_redirects: bool = True) -> DataFrame:
     """Lines -> parsed table (10 typed columns + pass-through columns of ``lines``).
 
-    Unmatched lines are dropped (see :func:`parse_rejects`).  ``drop_redirects``
+    Unmatched lines are dropped (see :func:`parse_rejects`); every matching line is
+    kept, whatever characters it holds (a status beyond the integer range is
+    null).  ``drop_redirects``
     removes 301-308 as the file route of the reference does; log content given
     as a string keeps them (``drop_redirects=False``).
     """
     d = _split(lines, value_col).where("_ok")
-    request = _field(3)
+    f = pf.log_fields(F.col("_f"))
+    request = f["request"]
     parsed = {
-        "ip": _field(1),
-        "timestamp": pf.log_timestamp(_field(2)),
+        "ip": f["ip"],
+        "timestamp": pf.log_timestamp(f["time"]),
         "method": pf.request_part(request, 1),
         "path": pf.request_part(request, 2),
         "protocol": pf.request_part(request, 3),
-        "status_code": _field(4).try_cast("int"),
-        "response_size": pf.response_size(_field(5)),
-        "referer": _field(6),
-        "user_agent": _field(7),
+        "status_code": f["status"].try_cast("int"),
+        "response_size": pf.response_size(f["size"]),
+        "referer": f["referer"],
+        "user_agent": f["user_agent"],
         "raw_log": pf.strip_ws(F.col(value_col)),
     }
     passthrough = [c for c in lines.columns if c != value_col and c not in parsed]
     out = d.select(*[v.alias(k) for k, v in parsed.items()], *passthrough)
     if drop_redirects:
-        out = out.where(~F.col("status_code").isin(REDIRECT_STATUS_CODES))
+        out = out.where(~_is_redirect(F.col("status_code")))
     return out
 
 
@@ -59,8 +61,7 @@ def parse_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def parse_counters(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """One row: total lines, parsed rows kept, redirects skipped, unparseable."""
     d = _split(lines, value_col)
-    status = _field(4).try_cast("int")
-    redirect = F.col("_ok") & status.isin(REDIRECT_STATUS_CODES)
+    redirect = F.col("_ok") & _is_redirect(pf.log_fields(F.col("_f"))["status"].try_cast("int"))
     return d.agg(
         F.count(F.lit(1)).alias("total_lines"),
         F.count_if(F.col("_ok") & ~redirect).alias("parsed"),
@@ -71,7 +72,7 @@ def parse_counters(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 def drop_redirects(df: DataFrame) -> DataFrame:
     """P8 as a stand-alone filter."""
-    return df.where(~F.col("status_code").isin(REDIRECT_STATUS_CODES))
+    return df.where(~_is_redirect(F.col("status_code")))
 
 
 def filter_status(df: DataFrame, whitelist: str | None = None, blacklist: str | None = None) -> DataFrame:
@@ -83,7 +84,3 @@ def filter_status(df: DataFrame, whitelist: str | None = None, blacklist: str |
     if blacklist:
         return df.where(~F.coalesce(s.rlike(f"^(?:{blacklist})"), F.lit(False)))
     return df
-
-
-def select_parsed(df: DataFrame) -> DataFrame:
-    return df.select(*PARSED_COLUMNS)
