@@ -55,3 +55,23 @@ def test_class_flags(spark):
     assert m["LEGITIMATE_HUMAN"] == (True, True, True)
     assert m["unknown"] == (False, False, False)
     assert m[None] == (False, False, False)
+
+
+def test_label_answer_blocks(spark):
+    texts = [
+        '{"confidence": 0.4, "reasoning": "r"}',                                       # lacks only the class
+        '```json\n{"classification": oops}\n```\n{"classification": "legitimate_bot", "confidence": 1.0}',
+        '{"classification": "legitimate_bot", "confidence": 0.8, "reasoning": "a {b}", "x": {"y": 1}}',
+        '{"classification": "legitimate_bot"} or {"classification": "illegitimate_bot"}',
+        '{"classification": "legitimate_bot"}',
+    ]
+    got = [tuple(r) for r in _parse(spark, L.parse_label_answer, texts)]
+    assert got == [("unknown", 0.4, "r"), ("unknown", 0.0, ""), ("legitimate_bot", 0.8, "a {b}"), ("unknown", 0.0, ""),
+                   ("legitimate_bot", 0.0, "")]
+
+
+def test_prompts_print_defaults(spark):
+    df = spark.createDataFrame([("1.2.3.4", None, None, "GET", None)], "ip string, country string, asn string, method string, path string")
+    text = df.select(L.serving_prompt(df.columns).alias("p")).first().p
+    assert "client: 1.2.3.4 (Unknown, Unknown)" in text and "request: GET Unknown Unknown" in text
+    assert "rate: 0.00 per minute" in text and "- is_known_bot: false" in text and "- ip_reputation_score: 0" in text

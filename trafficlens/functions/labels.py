@@ -31,14 +31,18 @@ LABEL_SCHEMA = T.StructType([
 def parse_label_answer(text: Column) -> Column:
     """M3: free-text answer of a labeller -> struct(classification, confidence, reasoning).
 
-    Order: a fenced ```json {...}``` block (up to the first ``}``), else the
-    span from the first ``{`` to the last ``}``, else the three quoted fields
-    (classification and confidence required), else unknown / 0.0 / ''.
+    Order: a fenced ```json {...}``` block (up to the first ``}`` before the
+    fence's end), else the span from the first ``{`` to the last ``}``, else the
+    three quoted fields (classification and confidence required), else unknown /
+    0.0 / ''.  Once a block is found nothing else is tried: one that is not a
+    JSON object is unknown, and a field that it lacks takes its default.
     """
     fenced = F.regexp_extract(text, r"(?s)```json\s*(\{.*?\})\s*```", 1)
     braces = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
-    js_f = F.when(fenced != "", F.from_json(fenced, LABEL_SCHEMA))
-    js_b = F.when(braces != "", F.from_json(braces, LABEL_SCHEMA))
+    block = F.when(fenced != "", fenced).when(braces != "", braces)
+    # inside an array, what follows a first object is an error, too
+    found = F.from_json(F.concat(F.lit("["), block, F.lit("]")), T.ArrayType(LABEL_SCHEMA))
+    js = F.when(F.size(found) == 1, F.get(found, F.lit(0)))
     cls = F.regexp_extract(text, r'"classification":\s*"([^"]+)"', 1)
     conf = F.regexp_extract(text, r'"confidence":\s*([\d.]+)', 1).try_cast("double")
     rsn = F.regexp_extract(text, r'"reasoning":\s*"([^"]+)"', 1)
@@ -46,15 +50,10 @@ def parse_label_answer(text: Column) -> Column:
         cls.alias("classification"), conf.alias("confidence"),
         F.when(rsn != "", rsn).otherwise(F.lit("No reasoning provided")).alias("reasoning")))
 
-    def usable(s):
-        return s.isNotNull() & s["classification"].isNotNull()
+    def field(name, default):
+        return F.coalesce(F.when(block.isNotNull(), js[name]).otherwise(loose[name]), F.lit(default)).alias(name)
 
-    chosen = (F.when(usable(js_f), js_f).when(usable(js_b), js_b).when(loose.isNotNull(), loose))
-    return F.struct(
-        F.coalesce(chosen["classification"], F.lit(UNKNOWN_CLASS)).alias("classification"),
-        F.coalesce(chosen["confidence"], F.lit(0.0)).alias("confidence"),
-        F.coalesce(chosen["reasoning"], F.lit("")).alias("reasoning"),
-    )
+    return F.struct(field("classification", UNKNOWN_CLASS), field("confidence", 0.0), field("reasoning", ""))
 
 
 def parse_generated_answer(text: Column) -> Column:
@@ -80,29 +79,64 @@ def parse_generated_answer(text: Column) -> Column:
     )
 
 
-def _fmt_bool(c: str) -> Column:
-    return F.when(F.col(c), "yes").otherwise("no")
-
-
 def _num_or_na(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
 
 
+def _text(c: str, default: str = "Unknown") -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit(default))
+
+
 def request_facts(ua_cat: Column) -> Column:
-    """M6/M7 short form: the request facts a classifier sees, one per line."""
+    """M6/M7 short form: the request facts a classifier sees, one per line (absent values print a default)."""
     return F.concat_ws(
         "\n",
         F.lit("Classify this web request."),
-        F.concat(F.lit("client: "), F.col("ip"), F.lit(" ("), F.col("country"), F.lit(", "), F.col("asn"), F.lit(")")),
-        F.concat(F.lit("request: "), F.col("method"), F.lit(" "), F.col("path"), F.lit(" "), F.col("protocol")),
-        F.concat(F.lit("user agent: "), F.col("user_agent")),
-        F.concat(F.lit("status: "), F.col("status_code").cast("string")),
-        F.concat(F.lit("rate: "), F.format_string("%.2f", F.col("requests_per_minute")), F.lit(" per minute")),
+        F.concat(F.lit("client: "), _text("ip"), F.lit(" ("), _text("country"), F.lit(", "), _text("asn"), F.lit(")")),
+        F.concat(F.lit("request: "), _text("method"), F.lit(" "), _text("path"), F.lit(" "), _text("protocol")),
+        F.concat(F.lit("user agent: "), _text("user_agent")),
+        F.concat(F.lit("status: "), _text("status_code")),
+        F.concat(F.lit("rate: "), F.format_string("%.2f", F.coalesce("requests_per_minute", F.lit(0.0))), F.lit(" per minute")),
         F.concat(F.lit("seconds since previous request: "), _num_or_na("time_diff")),
-        F.concat(F.lit("user agent kind: "), ua_cat),
+        F.concat(F.lit("user agent kind: "), F.coalesce(ua_cat, F.lit("No user agent"))),
     )
 
 
+SERVING_PROMPT_SECTIONS = {
+    "reputation": ["ip_reputation_score", "asn_reputation_score", "ip_is_known_bad", "is_high_risk_country", "is_high_risk_asn"],
+    "user agent": ["has_user_agent", "is_known_bot", "is_old_browser", "is_suspicious_user_agent", "is_malicious_user_agent"],
+    "attack signs": ["has_malicious_pattern", "sql_injection_matches", "xss_matches", "cmd_injection_matches",
+                     "file_inclusion_matches", "wordpress_matches", "shell_upload_matches"],
+    "traffic": ["potential_dos", "potential_scanner", "during_traffic_spike", "from_coordinated_asn"],
+}
+
+
+def serving_prompt(columns: list[str]) -> Column:
+    """M7 full form over a table with ``columns``: the request, then every indicator by section.
+
+    Absent columns and null values print a default: ``Unknown`` for texts, 0 for
+    scores and the rate, ``N/A`` for the gap, ``false`` for flags.
+    """
+    have = set(columns)
+    text = lambda c: _text(c) if c in have else F.lit("Unknown")
+    rate = F.coalesce(F.col("requests_per_minute"), F.lit(0.0)) if "requests_per_minute" in have else F.lit(0.0)
+    parts = [
+        F.lit("Classify this web request."),
+        F.concat(F.lit("client: "), text("ip"), F.lit(" ("), text("country"), F.lit(", "), text("asn"), F.lit(")")),
+        F.concat(F.lit("request: "), text("method"), F.lit(" "), text("path"), F.lit(" "), text("protocol")),
+        F.concat(F.lit("user agent: "), text("user_agent")),
+        F.concat(F.lit("status: "), text("status_code")),
+        F.concat(F.lit("rate: "), F.format_string("%.2f", rate), F.lit(" per minute")),
+        F.concat(F.lit("seconds since previous request: "), _num_or_na("time_diff") if "time_diff" in have else F.lit("N/A")),
+    ]
+    for section, fields in SERVING_PROMPT_SECTIONS.items():
+        parts.append(F.lit(f"{section}:"))
+        for f in fields:
+            default = "0" if f.endswith("_score") else "false"
+            parts.append(F.concat(F.lit(f"- {f}: "), _text(f, default) if f in have else F.lit(default)))
+    return F.concat_ws("\n", *parts)
+
+
 def label_text(cls: str = "classification", conf: str = "confidence", rsn: str = "reasoning") -> Column:
     """M6 output side: class, confidence with two decimals, reasoning."""
     return F.concat_ws(

@@ -6,8 +6,10 @@ The reference calls a remote model per row; here the labeller is pluggable:
   flags, as column expressions (own design, no network);
 * any user function ``fn(pandas.DataFrame) -> pandas.DataFrame`` with columns
   ``classification, confidence, reasoning``, run with ``mapInPandas`` over
-  Arrow batches.  A failing batch is retried row by row; a failing row gets
-  ``unknown`` / 0.0 / the error text, so output rows = input rows.  The sample
+  Arrow batches.  The answer must have the rows and the index of the batch; a
+  batch that fails (or answers for other rows) is retried row by row, each row up
+  to ``max_retries`` times; a row that still fails gets ``unknown`` / 0.0 / the
+  error text, so output rows = input rows.  The sample
   is spread over tasks first (the top-n arrives in one partition), and the
   labelled rows are checkpointed to the shared folder, so each row is labelled
   once even though later steps (split, counts, training) read it several times.
@@ -52,37 +54,43 @@ def rule_labeller(df: DataFrame) -> DataFrame:
     })
 
 
-def _apply_user_fn(fn: Callable[[pd.DataFrame], pd.DataFrame]):
+LABEL_NAMES = ["classification", "confidence", "reasoning"]
+
+
+def _answers(fn, pdf: pd.DataFrame) -> pd.DataFrame:
+    """The three label columns for the rows of ``pdf``, in order.  An answer of another
+    length, with another index or without a column is an error."""
+    res = fn(pdf)
+    if len(res) != len(pdf) or not res.index.equals(pdf.index):
+        raise ValueError(f"the labeller returned {len(res)} rows for {len(pdf)}, or changed their index")
+    return pd.DataFrame({c: res[c].astype(float if c == "confidence" else object).values for c in LABEL_NAMES})
+
+
+def _apply_user_fn(fn: Callable[[pd.DataFrame], pd.DataFrame], max_retries: int = 3):
+    def one(row: pd.DataFrame) -> pd.DataFrame:
+        for attempt in range(max(1, max_retries)):
+            try:
+                return _answers(fn, row)
+            except Exception as e:
+                error = e
+        return pd.DataFrame([(UNKNOWN_CLASS, 0.0, f"Error: {error}")], columns=LABEL_NAMES)
+
     def run(batches):
         for pdf in batches:
+            pdf = pdf.reset_index(drop=True)
             try:
-                res = fn(pdf)
-                out = pd.DataFrame({
-                    "classification": res["classification"].astype(object).values,
-                    "confidence": res["confidence"].astype(float).values,
-                    "reasoning": res["reasoning"].astype(object).values,
-                })
+                out = _answers(fn, pdf)
             except Exception:
-                cls, conf, rsn = [], [], []
-                for i in range(len(pdf)):
-                    try:
-                        r = fn(pdf.iloc[i:i + 1])
-                        cls.append(r["classification"].iloc[0])
-                        conf.append(float(r["confidence"].iloc[0]))
-                        rsn.append(r["reasoning"].iloc[0])
-                    except Exception as e:  # per-row failure -> unknown
-                        cls.append(UNKNOWN_CLASS)
-                        conf.append(0.0)
-                        rsn.append(f"Error: {e}")
-                out = pd.DataFrame({"classification": cls, "confidence": conf, "reasoning": rsn})
-            yield pd.concat([pdf.reset_index(drop=True), out], axis=1)
+                rows = [one(pdf.iloc[i:i + 1].reset_index(drop=True)) for i in range(len(pdf))]
+                out = pd.concat(rows, ignore_index=True) if rows else pd.DataFrame(columns=LABEL_NAMES)
+            yield pd.concat([pdf, out], axis=1)
     return run
 
 
 def label(enriched: DataFrame, max_samples: int = 1000, seed: int = 42,
           labeller: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
           key_cols: list[str] | None = None, batch_size: int = 10,
-          partitions: int | None = None) -> DataFrame:
+          partitions: int | None = None, max_retries: int = 3) -> DataFrame:
     """M2: sample (S5) then label each sampled row; 3 label columns appended.
 
     With a user ``labeller``: the sample is spread over ``partitions`` tasks
@@ -101,7 +109,7 @@ def label(enriched: DataFrame, max_samples: int = 1000, seed: int = 42,
             partitions = max(1, min(par, -(-max_samples // batch_size))) if max_samples > 0 else par
         s = s.repartition(partitions)
         schema = T.StructType(base + list(L.LABEL_SCHEMA.fields))
-        out = s.mapInPandas(_apply_user_fn(labeller), schema)
+        out = s.mapInPandas(_apply_user_fn(labeller, max_retries), schema)
     out = out.withColumns({
         "classification": F.coalesce("classification", F.lit(UNKNOWN_CLASS)),
         "confidence": F.coalesce("confidence", F.lit(0.0)),
