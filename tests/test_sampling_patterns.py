@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from trafficlens.operators.sampling import sample_exact, train_validation_split
+from trafficlens.operators.sampling import draw, sample_exact, train_validation_split
 from trafficlens.sources.threat_patterns import library, patterns_from_lines
 
+from conftest import SF_MID
+
 
 def test_sample_exact(spark):
     df = spark.range(100).withColumn("raw_log", F.concat(F.lit("line "), F.col("id").cast("string")))
@@ -24,7 +26,7 @@ def test_sample_exact_matches_brute_force(spark):
     df = spark.range(20_000).withColumn("raw_log", F.concat(F.lit("req "), F.col("id").cast("string")))
     df = df.repartition(9)
     for n, seed, sig in [(1, 1, 8.0), (50, 42, 8.0), (400, 7, 8.0), (400, 7, -20.0), (5000, 3, 8.0)]:
-        h = F.xxhash64(F.col("raw_log"), F.lit(seed))
+        h = draw(["raw_log"], seed)
         want = [r.id for r in df.withColumn("_h", h).orderBy("_h", "raw_log").limit(n).collect()]
         got = sample_exact(df, n, seed=seed, oversample_sigmas=sig).collect()
         assert len(got) == n
@@ -92,3 +94,29 @@ def test_read_pattern_file(spark, tmp_path):
     assert lib["command_injection"] == [r"\(a", "a|", r"\["]
     assert pats.count() == 8   # 2+1+1+1+3 pattern lines; orphan line (no header yet) and lines after END are dropped
     assert {r.status for r in pats.collect()} == {"ok", "escaped"}
+
+
+def test_patterns_that_only_java_rejects_are_literals(spark, tmp_path):
+    """A bare '{text}' compiles in Python only; a library with one must still run through enrichment."""
+    from trafficlens.plans import catalog as C
+    from trafficlens.plans import enrich as EN
+    from trafficlens.sources.reputation_lists import read_ua_list
+    from trafficlens.sources.threat_patterns import library_status, read_patterns
+    many = "\n".join(f"needle{i}" for i in range(1200))
+    (tmp_path / "a.txt").write_text("# QUERY STRING PATTERNS\nid={text}\nor\\+1=1\n(a\n" + many + "\n")
+    (tmp_path / "b.txt").write_text("# REQUEST URI PATTERNS\n/etc/passwd\n")
+    (tmp_path / "ua.csv").write_text("pattern,source\npython-requests*,x\n")
+    pats = read_patterns(spark, str(tmp_path) + "/*.txt")
+    status = {p: s for _, p, s in library_status(pats)}
+    assert status["id=\\{text\\}"] == "escaped_java" and status["\\(a"] == "escaped" and status["or\\+1=1"] == "ok"
+    e = EN.enrich_train(C.parsed_stage(spark, SF_MID), C.blocklist(spark), read_ua_list(spark, str(tmp_path / "ua.csv")), pats, tiebreak=C.TIE)
+    got = e.agg(F.count_if("query_matches").alias("q"), F.count_if("path_matches").alias("p"), F.count_if("is_malicious_user_agent").alias("u"),
+                F.count_if(F.col("path").contains("or+1=1")).alias("wq"), F.count_if(F.col("path").contains("/etc/passwd")).alias("wp"),
+                F.count_if(F.col("user_agent").startswith("python-requests")).alias("wu")).first()
+    assert (got.q, got.p, got.u) == (got.wq, got.wp, got.wu) and got.q and got.p and got.u
+
+
+def test_draw_splits_evenly(spark):
+    from trafficlens.operators.sampling import train_validation_split
+    tr, va = train_validation_split(spark.range(20_000).withColumn("raw_log", F.col("id").cast("string")), ["raw_log"], 0.1)
+    assert tr.count() + va.count() == 20_000 and 1800 < va.count() < 2200

@@ -14,6 +14,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,19 +26,34 @@ def alternation(patterns: Iterable[str]) -> str:
     return "|".join(f"(?:{p})" for p in patterns)
 
 
+#: Patterns in one alternation; longer lists become several.
+SHARD = 500
+
+
+def java_flags(ignore_case: bool) -> str:
+    return "(?idU)" if ignore_case else "(?dU)"
+
+
 def java_regex(patterns: Iterable[str], ignore_case: bool) -> list[str]:
     """Return as few Java regexes as possible that together match like ``any(re.search)``."""
     pats = list(patterns)
-    flags = "(?idU)" if ignore_case else "(?dU)"
+    flags = java_flags(ignore_case)
     simple = [p for p in pats if not _BACKREF.search(p)]
     special = [p for p in pats if _BACKREF.search(p)]
-    out = []
-    if simple:
-        out.append(flags + alternation(simple))
+    out = [flags + alternation(simple[i:i + SHARD]) for i in range(0, len(simple), SHARD)]
     out.extend(flags + p for p in special)
     return out
 
 
+def compiles_in_java(spark, pattern: str, ignore_case: bool = True) -> bool:
+    """Whether the JVM accepts the pattern, inside a group and under the flags it will run with."""
+    try:
+        spark._jvm.java.util.regex.Pattern.compile(java_flags(ignore_case) + alternation([pattern]))
+        return True
+    except (Py4JJavaError, IllegalArgumentException):  # PatternSyntaxException arrives as the latter
+        return False
+
+
 def matches_any(col: Column | str, patterns: Iterable[str], ignore_case: bool = True) -> Column:
     """True when any pattern is found in ``col``; false for null or an empty list."""
     c = F.col(col) if isinstance(col, str) else col

@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from .dims import reuse
 
 
-def _hash_below(fraction: float) -> int:
-    """The signed 64-bit value below which a uniform ``xxhash64`` falls with probability ``fraction``."""
-    return min(-(1 << 63) + int(fraction * float(1 << 64)), (1 << 63) - 1)
+def draw(key_cols: list[str], seed: int):
+    """The seeded hash of a row's key: 32 hex digits, uniform, the same in any engine with MD5."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]
+    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))).cast("binary"))
+
+
+def _draw_below(fraction: float) -> str:
+    """The hex text below which :func:`draw` falls with probability ``fraction`` (below 1)."""
+    return f"{int(fraction * (1 << 60)):015x}"
 
 
 def sample_exact(df: DataFrame, n: int, seed: int = 42, key_cols: list[str] | None = None,
@@ -20,7 +26,7 @@ def sample_exact(df: DataFrame, n: int, seed: int = 42, key_cols: list[str] | No
     """``n`` rows chosen uniformly by a seeded hash, without replacement.
 
     All rows when ``n`` is 0 or at least the row count.  The sample is the
-    ``n`` rows with the smallest ``(xxhash64(key_cols, seed), key_cols)``, so it
+    ``n`` rows with the smallest ``(draw(key_cols, seed), key_cols)``, so it
     is exact-n and reproducible (independent of partitioning), unlike
     ``DataFrame.sample``.  The result is returned in ``order_cols`` order when
     given (file order).
@@ -36,8 +42,7 @@ def sample_exact(df: DataFrame, n: int, seed: int = 42, key_cols: list[str] | No
     if n <= 0:
         return df
     key_cols = key_cols or ["raw_log"]
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    d = df.withColumn("_h", h)
+    d = df.withColumn("_h", draw(key_cols, seed))
     total = df.count()
     if total <= n:
         out = df
@@ -47,7 +52,7 @@ def sample_exact(df: DataFrame, n: int, seed: int = 42, key_cols: list[str] | No
             if fraction >= 1.0:
                 cand = d
                 break
-            cand = reuse(d.where(F.col("_h") < F.lit(_hash_below(fraction))))
+            cand = reuse(d.where(F.col("_h") < F.lit(_draw_below(fraction))))
             if cand.count() >= n:
                 break
             fraction *= 2
@@ -59,8 +64,9 @@ def sample_exact(df: DataFrame, n: int, seed: int = 42, key_cols: list[str] | No
 
 def split_flag(key_cols: list[str], fraction: float = 0.1, seed: int = 7):
     """Boolean column, true for the validation share ``fraction`` of rows."""
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)), F.lit(10_000))
-    return h < int(round(fraction * 10_000))
+    if fraction >= 1:
+        return F.lit(True)
+    return draw(key_cols, seed) < F.lit(_draw_below(max(0.0, fraction)))
 
 
 def train_validation_split(df: DataFrame, key_cols: list[str], fraction: float = 0.1,

@@ -10,13 +10,17 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.fixed import BLOCKLIST_LINE_REGEX, FALLBACK_MALICIOUS_USER_AGENTS
 
 log = logging.getLogger(__name__)
 
+#: Bytes of a reference list that is compiled into a plan's regex literals.
+MAX_LIST_BYTES = 8 << 20
 
-def _with_line_no(df: DataFrame) -> DataFrame:
+
+def with_line_no(df: DataFrame) -> DataFrame:
     # Deterministic for a given file split layout; orders lines within the list.
     return df.withColumn("line_no", F.monotonically_increasing_id())
 
@@ -48,7 +52,7 @@ def blocklist_from_lines(lines: DataFrame, value_col: str = "value") -> DataFram
     are kept here (ASN counts count lines); :func:`blocklist_by_ip` de-duplicates.
     """
     if "line_no" not in lines.columns:
-        lines = _with_line_no(lines)
+        lines = with_line_no(lines)
     v = F.col(value_col)
     ok = ~v.startswith("#") & (F.trim(v) != "") & v.rlike(BLOCKLIST_LINE_REGEX)
     return lines.where(ok).select(
@@ -80,7 +84,7 @@ def blocklist_by_ip(bl: DataFrame) -> DataFrame:
 def ua_list_from_lines(lines: DataFrame, value_col: str = "value", header: bool = True) -> DataFrame:
     """Malicious-UA list CSV: skip the header, first field trimmed -> ``pattern``."""
     if "line_no" not in lines.columns:
-        lines = _with_line_no(lines)
+        lines = with_line_no(lines)
     d = lines
     if header:
         first = d.agg(F.min("line_no")).scalar()
@@ -99,13 +103,19 @@ def fallback_ua_list(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(p,) for p in FALLBACK_MALICIOUS_USER_AGENTS], "pattern string")
 
 
-def ua_patterns(ua_list: DataFrame, max_entries: int = 50_000) -> list[str]:
-    """The list as Python strings, to be compiled into one ``rlike`` literal.
+def collect_list(table: DataFrame, max_bytes: int = MAX_LIST_BYTES) -> list:
+    """The rows of a reference list, after its bytes were measured.
 
-    A reference list is small (thousands of entries); refuse anything that is
-    not, instead of shipping it through the driver.
+    The list becomes regex literals in a query plan, so its size is bounded; a
+    larger one is no reference list and raises, with nothing collected.
     """
-    rows = ua_list.limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
-        raise ValueError(f"user-agent list larger than {max_entries} entries")
-    return [r[0] for r in rows]
+    texts = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) for f in table.schema if isinstance(f.dataType, T.StringType)]
+    size = table.agg(F.sum(sum(texts, F.lit(16)))).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"a reference list of {size} bytes; the bound is {max_bytes}")
+    return table.collect()
+
+
+def ua_patterns(ua_list: DataFrame) -> list[str]:
+    """The list as Python strings, to be compiled into ``rlike`` literals."""
+    return [r["pattern"] for r in collect_list(ua_list.select("pattern"))]

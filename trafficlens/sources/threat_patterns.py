@@ -4,8 +4,8 @@ The file is input data passed by path.  Lines get ordinals, each pattern line
 takes the category of the last header above it (header positions are few and
 become one ``CASE WHEN`` over the line number), outer parentheses are stripped, and each pattern is checked with
 Python ``re`` in a pandas UDF; a pattern that does not compile is kept as a
-literal (``re.escape``).  The library is a reference list (about 1.5k lines),
-so it is collected into one alternation per category for ``rlike``.
+literal (``re.escape``).  The library is a reference list, so it is collected
+(within a byte bound), checked in the JVM, and becomes alternations for ``rlike``.
 
 Routing of section headers:
 
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
+from ..functions.regex import compiles_in_java
+from .reputation_lists import collect_list, read_ordered_lines, with_line_no
 
 # Header names that do not normalise to a category name (fixed values of the file layout).
 HEADER_ALIASES = {
@@ -131,23 +133,21 @@ def _strip_outer(p: pd.Series, compat: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def patterns_from_lines(lines: DataFrame, compat: bool = False, value_col: str = "value",
-                        max_headers: int = 1_000) -> DataFrame:
+def patterns_from_lines(lines: DataFrame, compat: bool = False, value_col: str = "value") -> DataFrame:
     """Lines (with ``line_no`` if present) -> (line_no, category, pattern, status).
 
-    Section headers are few: their positions are collected (behind a hard
-    limit) and each line takes the category of the last header above it
-    through one flat ``CASE WHEN line_no >= start`` expression, so the lines
-    stay distributed (no ordered window, no join).
+    Section headers are few: their positions are collected (within the byte
+    bound of a reference list) and each line takes the category of the last
+    header above it through one flat ``CASE WHEN line_no >= start`` expression,
+    so the lines stay distributed (no ordered window, no join).
     """
     if "line_no" not in lines.columns:
-        lines = lines.withColumn("line_no", F.monotonically_increasing_id())
+        lines = with_line_no(lines)
     d = lines.select("line_no", F.trim(F.col(value_col)).alias("line"))
     hdr = F.when(F.col("line").startswith("#"), _header_category(F.col("line"), F.lit(compat)))
     heads = (d.where(F.col("line").startswith("#")).select("line_no", hdr.alias("_hdr"))
-              .where(F.col("_hdr").isNotNull()).orderBy(F.desc("line_no")).limit(max_headers + 1).collect())
-    if len(heads) > max_headers:
-        raise ValueError(f"pattern file with more than {max_headers} section headers")
+              .where(F.col("_hdr").isNotNull()))
+    heads = sorted(collect_list(heads), key=lambda h: -h["line_no"])
     category = F.lit(None).cast("string")
     if heads:
         category = None
@@ -163,17 +163,30 @@ def patterns_from_lines(lines: DataFrame, compat: bool = False, value_col: str =
 
 
 def read_patterns(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    # Line numbers increase with the file position across the splits of the file.
-    lines = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
-    return patterns_from_lines(lines, compat)
+    """A pattern file or a directory of them, lines numbered in file order."""
+    return patterns_from_lines(read_ordered_lines(spark, path), compat)
 
 
-def library(patterns: DataFrame, max_rows: int = 100_000) -> dict[str, list[str]]:
-    """Collect the (bounded) pattern table into ``category -> [pattern, ...]`` in file order."""
-    rows = patterns.orderBy("line_no").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"pattern library larger than {max_rows} lines")
+def library(patterns: DataFrame) -> dict[str, list[str]]:
+    """The pattern table as ``category -> [pattern, ...]`` in file order, ready to run.
+
+    Patterns are written for Python and run in Java: one that Java does not
+    compile under the flags it will run with is taken literally, as one that
+    Python does not compile (see :func:`library_status`).
+    """
     lib: dict[str, list[str]] = {c: [] for c in fixed.THREAT_CATEGORIES}
-    for r in rows:
-        lib.setdefault(r["category"], []).append(r["pattern"])
+    for category, pattern, _ in library_status(patterns):
+        lib.setdefault(category, []).append(pattern)
     return lib
+
+
+def library_status(patterns: DataFrame) -> list[tuple[str, str, str]]:
+    """(category, pattern as run, status) in file order; status ``ok``, ``escaped``
+    (Python does not compile it) or ``escaped_java`` (only Java does not)."""
+    out = []
+    for r in sorted(collect_list(patterns), key=lambda r: r["line_no"]):
+        pattern, status = r["pattern"], r["status"]
+        if not compiles_in_java(patterns.sparkSession, pattern):
+            pattern, status = re.escape(pattern), "escaped_java"
+        out.append((r["category"], pattern, status))
+    return out
