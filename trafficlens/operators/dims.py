@@ -5,49 +5,74 @@ computed from the rows by ``groupBy`` (map-side partial aggregation, so a hot
 key costs one partial row per task, not a hot task).  It is joined back with
 :func:`join_dim`:
 
-* the dimension is persisted (memory and disk) and counted in one job; a lost
-  executor's blocks are recomputed from the dimension's short lineage (scan ->
-  partial aggregate -> shuffle).  ``reliable=True`` writes it to the shared
-  checkpoint folder instead (``spark.checkpoint.dir``), cutting the lineage;
-* it is broadcast only when that count is at most ``max_broadcast_rows``
-  (a proven bound), otherwise it is a shuffle join, where AQE's skew-join
-  handling splits the hot keys of the row side.
-
-:func:`sizes` persists and counts several independent tables in *one* Spark
-job (their stages run side by side); a table derived from a counted one by
-filters or left joins on distinct keys reuses that count as its bound
-(``rows_bound``) instead of running another job.
+* the independent dimensions of a plan are persisted and measured (rows and
+  bytes) in one job by :func:`sizes`; a lost executor's blocks are recomputed
+  from the dimension's short lineage (scan -> partial aggregate -> shuffle);
+* a dimension is broadcast only when its rows and bytes are within bounds, the
+  bytes summed over all dimensions of the plan (they sit on each executor at
+  once); otherwise it is a shuffle join, where AQE's skew-join handling splits
+  the hot keys of the row side, and it is not kept in the cache;
+* a table derived from a measured one by filters or left joins on distinct keys
+  reuses that measure (``small``) instead of running another job.
+
+:func:`scope` bounds the life of the persisted tables.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import stage_path
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+#: Bytes of all broadcast dimensions of one plan together.
+MAX_BROADCAST_BYTES = 256 << 20
+
+#: Columns that a dimension may gain after it was measured (flags, scores).
+EXTRA_COLUMNS = 30
+
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back (eager)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back (eager).
+
+    Readers see a pruned, pushed-down scan, and the files outlive lost executors.
+    """
+    spark = df.sparkSession
+    path = stage_path(spark, uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _PERSISTED: list[DataFrame] = []
 
 
 def release_all() -> None:
-    """Unpersist the per-key tables cached by :func:`bounded` (after the job's actions)."""
+    """Unpersist the per-key tables cached so far; plans that still use them recompute them."""
     while _PERSISTED:
         _PERSISTED.pop().unpersist()
 
 
+@contextmanager
+def scope():
+    """Release, at the end, the per-key tables that were cached inside the block (and no others)."""
+    before = list(_PERSISTED)
+    try:
+        yield
+    finally:
+        for df in [d for d in _PERSISTED if not any(d is b for b in before)]:
+            df.unpersist()
+        _PERSISTED[:] = before
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Persist (memory and disk) a per-key table read by several consumers, so the
     row scan and aggregate behind it run once; lost blocks are recomputed."""
@@ -56,50 +81,56 @@ def reuse(df: DataFrame) -> DataFrame:
     return df
 
 
-def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-            reliable: bool = False) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` once and return ``(df, small)``: ``small`` is True when it
-    has at most ``max_rows`` rows (the proven bound for a broadcast)."""
-    if reliable:
-        df = materialize(df)
-    else:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _PERSISTED.append(df)
-    n = df.count()
-    return df, n <= max_rows
+def row_bytes(df: DataFrame):
+    """Bytes of a row in a broadcast table, with the columns it may gain."""
+    texts = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return sum(texts, F.lit(8 * (len(df.columns) + EXTRA_COLUMNS)))
+
+
+def measured(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``df`` persisted, and whether it is within the bounds of a broadcast."""
+    kept, small = sizes({"df": df}, max_rows)
+    return kept["df"], small["df"]
 
 
-def sizes(tables: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """Persist each table and count all of them in one job.
+def sizes(tables: Mapping[str, DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+          max_bytes: int | None = None, keep: tuple[str, ...] = ()) -> tuple[dict[str, DataFrame], dict[str, bool]]:
+    """Persist each table and measure all of them in one job.
 
-    Returns the persisted tables and their exact row counts.  Only one small
-    row per table reaches the driver; the tables stay on the executors.
+    Returns the tables and whether each may be broadcast: the smallest ones, as
+    many as fit into ``max_bytes`` together and hold at most ``max_rows`` rows.
+    Tables that may not are released again, except those named in ``keep``.
+    Only one small row per table reaches the driver.
     """
-    kept = {name: reuse(df) for name, df in tables.items()}
+    kept = {name: df.persist(StorageLevel.MEMORY_AND_DISK) for name, df in tables.items()}
     if not kept:
         return {}, {}
-    tagged = [df.select(F.lit(name).alias("_table")) for name, df in kept.items()]
-    counted = reduce(DataFrame.unionByName, tagged).groupBy("_table").agg(F.count(F.lit(1)).alias("_n"))
-    n = {r["_table"]: r["_n"] for r in counted.collect()}
-    return kept, {name: int(n.get(name, 0)) for name in kept}
+    left = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    tagged = [df.select(F.lit(name).alias("_table"), row_bytes(df).cast("bigint").alias("_bytes")) for name, df in kept.items()]
+    found = reduce(DataFrame.unionByName, tagged).groupBy("_table").agg(F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("b"))
+    size = {name: (0, 0) for name in kept} | {r["_table"]: (r["b"], r["n"]) for r in found.collect()}
+    small = {}
+    for name in sorted(kept, key=lambda k: size[k]):
+        b, n = size[name]
+        small[name] = n <= max_rows and b <= left and max_rows > 0
+        left -= b if small[name] else 0
+        if small[name] or name in keep:
+            _PERSISTED.append(kept[name])
+        else:
+            kept[name].unpersist()
+    return kept, small
 
 
 def join_dim(rows: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, check: bool = True,
-             rows_bound: int | None = None) -> DataFrame:
+             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """Left-join a per-key table onto the rows, broadcasting it only behind a size check.
 
-    ``rows_bound`` is an already proven upper bound of the table's row count
-    (e.g. the count of the table it was derived from); no new job is run then.
+    ``small`` is the measure of the table it was derived from; without it the
+    table is measured (one job).
     """
-    if rows_bound is not None:
-        if rows_bound <= max_broadcast_rows:
-            dim = F.broadcast(dim)
-    elif check:
-        dim, small = bounded(dim, max_broadcast_rows)
-        if small:
-            dim = F.broadcast(dim)
-    return rows.join(dim, on=on, how=how)
+    if small is None:
+        dim, small = measured(dim, max_broadcast_rows)
+    return rows.join(F.broadcast(dim) if small else dim, on=on, how=how)
 
 
 def flag_join(rows: DataFrame, keys: DataFrame, on: str | list[str], flag: str, **kw) -> DataFrame:
@@ -110,6 +141,14 @@ def flag_join(rows: DataFrame, keys: DataFrame, on: str | list[str], flag: str,
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def null_safe_join(rows: DataFrame, dim: DataFrame, on: list[str], small: bool) -> DataFrame:
+    """Left join on ``on``, where null equals null."""
+    keys = {c: f"_dim_{c}" for c in on}
+    dim = dim.withColumnsRenamed(keys)
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
+    return rows.join(F.broadcast(dim) if small else dim, cond, "left").drop(*keys.values())
+
+
 def scalar(one_row_agg: DataFrame):
     """A one-row, one-column aggregate as a scalar subquery Column.
 

@@ -7,7 +7,7 @@ user can write, plot or query: R1 ``(section, rank, key, count, pct)``, R2/R3
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import features as X
@@ -65,6 +65,12 @@ def _scalar_sections(classified: DataFrame) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+def report_columns(classified: DataFrame) -> DataFrame:
+    """The columns that :func:`summary_report` reads, to be materialised before it."""
+    return classified.select("timestamp", "ip", "asn", "country", "path", "raw_log", "classification", *[
+        c for c in classified.columns if c.endswith("_matches") or c in ("has_malicious_pattern", "n")])
+
+
 def summary_report(classified: DataFrame, top_ips: int = 10, top_asns: int = 5, top_countries: int = 5,
                    top_paths: int = 10) -> DataFrame:
     """Overview, class breakdown, attack totals, four top-k lists and examples.
@@ -111,9 +117,10 @@ def ua_series_true(enriched: DataFrame, ts: str = "timestamp") -> DataFrame:
     """R3, measured: per hour, the share of each user-agent kind (X23) in percent."""
     d = enriched.where(F.col(ts).isNotNull()).withColumn("series", X.ua_category())
     g = d.groupBy(F.date_trunc("hour", F.col(ts)).alias("hour"), "series").count()
-    tot = d.groupBy(F.date_trunc("hour", F.col(ts)).alias("hour")).agg(F.count(F.lit(1)).alias("_n"))
-    return g.join(tot, "hour").select(F.lit("ua_composition_measured").alias("chart"), "hour", "series",
-                                     (F.col("count") * 100.0 / F.col("_n")).alias("value"))
+    # the hours' totals come from the few counts of an hour, not from the rows again
+    total = F.sum("count").over(Window.partitionBy("hour"))
+    return g.select(F.lit("ua_composition_measured").alias("chart"), "hour", "series",
+                    (F.col("count") * 100.0 / total).alias("value"))
 
 
 def summary_statistics(hourly: DataFrame) -> DataFrame:

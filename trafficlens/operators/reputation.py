@@ -39,17 +39,17 @@ def reputation_table(bl: DataFrame, profile: str) -> DataFrame:
 
 def add_reputation(ip_dim: DataFrame, bl: DataFrame, profile: str,
                    max_broadcast_rows: int = 2_000_000, table: DataFrame | None = None,
-                   table_rows: int | None = None) -> DataFrame:
+                   small: bool | None = None) -> DataFrame:
     """J1 on a per-IP table.
 
     ``train``: a listed IP gets ip score 100 and ASN score 100.
     ``serve``: a listed IP gets ip score 100 and its ASN's A15 score.
     Unlisted: country/asn/organization 'Unknown', scores 0, ``ip_is_known_bad`` false.
-    ``table``/``table_rows``: the :func:`reputation_table` of ``bl`` and its
-    counted size, when the caller has already materialised it.
+    ``table``/``small``: the :func:`reputation_table` of ``bl`` and its measure,
+    when the caller already has them.
     """
     by_ip = table if table is not None else reputation_table(bl, profile)
-    d = join_dim(ip_dim, by_ip, "ip", "left", max_broadcast_rows=max_broadcast_rows, rows_bound=table_rows)
+    d = join_dim(ip_dim, by_ip, "ip", "left", max_broadcast_rows=max_broadcast_rows, small=small)
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     return (d.withColumn("ip_reputation_score", F.when(hit, 100.0).otherwise(0.0))
              .withColumn("ip_is_known_bad", hit)

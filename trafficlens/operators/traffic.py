@@ -28,6 +28,10 @@ from .dims import join_dim, scalar
 FAR_FUTURE = "9999-12-31 00:00:00"
 
 
+#: Window partitions over which the rows without a time of one key are spread.
+NULL_TIME_PARTS = 64
+
+
 def _seconds_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1_000_000.0)
 
@@ -53,20 +57,25 @@ def add_time_diff(df: DataFrame, key: str | list[str] = "ip", ts: str = "timesta
     tiebreak = tiebreak or default_order(df)
     b = F.coalesce(F.date_trunc(bucket, F.col(ts)), F.to_timestamp(F.lit(FAR_FUTURE)))
     d = df.withColumn("_tb", b)
-    w = Window.partitionBy(*keys, "_tb").orderBy(F.col(ts).asc_nulls_last(), *[F.col(c) for c in tiebreak])
+    # Rows without a time have no order among them but for the first (by tie-break),
+    # which is found by the aggregate below; the window spreads them by hash.
+    none, place = F.col(ts).isNull(), F.struct(*[F.col(c) for c in tiebreak]) if tiebreak else F.struct(F.lit(0))
+    d = d.withColumn("_part", F.when(none, F.pmod(F.xxhash64(place), F.lit(NULL_TIME_PARTS))).otherwise(F.lit(0)))
+    w = Window.partitionBy(*keys, "_tb", "_part").orderBy(F.col(ts).asc_nulls_last(), *[F.col(c) for c in tiebreak])
     d = d.withColumn("_lag", F.lag(ts).over(w)).withColumn("_rn", F.row_number().over(w))
     # Per-(key, bucket) maxima, partially aggregated from the scan (small: one row
     # per key and active bucket).
-    bmax = d.groupBy(*keys, "_tb").agg(F.max(ts).alias("_bmax"))
+    bmax = d.groupBy(*keys, "_tb").agg(F.max(ts).alias("_bmax"), F.min(F.when(none, place)).alias("_first"))
     wb = Window.partitionBy(*keys).orderBy("_tb")
     # Previous non-empty bucket's last timestamp.  The far-future bucket holds the
     # null-ts rows and has a null max, so it never feeds a later bucket.
-    prev = bmax.withColumn("_pmax", F.lag("_bmax").over(wb)).select(*keys, "_tb", "_pmax")
+    prev = bmax.withColumn("_pmax", F.lag("_bmax").over(wb)).select(*keys, "_tb", "_pmax", "_first")
     d = d.join(prev, [*keys, "_tb"], "left")
-    prev_ts = F.when(F.col("_rn") == 1, F.col("_pmax")).otherwise(F.col("_lag"))
+    prev_ts = (F.when(none, F.when(place == F.col("_first"), F.col("_pmax")))
+               .when(F.col("_rn") == 1, F.col("_pmax")).otherwise(F.col("_lag")))
     d = d.withColumn("prev_timestamp", prev_ts)
     d = d.withColumn("time_diff", _seconds_between(F.col(ts), F.col("prev_timestamp")))
-    d = d.drop("_tb", "_lag", "_rn", "_pmax")
+    d = d.drop("_tb", "_part", "_lag", "_rn", "_pmax", "_first")
     if not with_prev:
         d = d.drop("prev_timestamp")
     return d

@@ -13,9 +13,10 @@ Each per-key table is built with map-side partial aggregation (hot keys are
 cheap) and evaluated once per distinct key (regexes run once per distinct path,
 user agent and referer, not per request).  The independent tables (per-IP,
 blocklist, per-path, per-UA, per-referer, spike minutes) are persisted and
-counted together in one job; each is broadcast only when its count is within the bound
-(:mod:`trafficlens.operators.dims`).  Tables derived from the per-IP table
-(coordinated ASNs, the final per-IP features) are bounded by its count.
+measured together in one job; those that fit the byte and row bounds together are
+broadcast (:mod:`trafficlens.operators.dims`).  The final per-IP features are as
+many as the per-IP table's rows; a coordinated-ASN set is measured on its own
+when that table is large.
 """
 
 from __future__ import annotations
@@ -28,12 +29,11 @@ from pyspark.sql import functions as F
 from ..functions import features as X
 from ..functions import fixed
 from ..operators import traffic as TR
-from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, flag_join, join_dim, sizes
+from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, flag_join, join_dim, measured, null_safe_join, sizes
 from ..operators.reputation import add_reputation, reputation_table
 from ..schemas import PARSED_COLUMNS
-from ..sources.threat_patterns import DEFAULT_LIBRARY
-
-NULL_KEY = "\u0000null"
+from ..sources.reputation_lists import ua_patterns
+from ..sources.threat_patterns import DEFAULT_LIBRARY, library
 
 T_FEATURES = [
     "prev_timestamp", "time_diff", "request_count_per_ip", "requests_per_minute", "is_error",
@@ -61,43 +61,37 @@ S_FEATURES = [
 ]
 
 
-def _key(col: str) -> F.Column:
-    return F.coalesce(F.col(col), F.lit(NULL_KEY))
-
-
 def _dim_by(rows: DataFrame, col: str, aggs: list[F.Column], scope: list[str] | None = None) -> DataFrame:
-    """groupBy a nullable column (within the scope), keeping a non-null join key ``_k_<col>``."""
+    """groupBy a nullable column (within the scope)."""
     scope = scope or []
-    g = rows.groupBy(*scope, col).agg(*aggs) if aggs else rows.select(*scope, col).distinct()
-    return g.withColumn(f"_k_{col}", _key(col))
+    return rows.groupBy(*scope, col).agg(*aggs) if aggs else rows.select(*scope, col).distinct()
 
 
-def _key_features(rows: DataFrame, keys: DataFrame, n_keys: int, col: str, exprs: Mapping[str, F.Column],
+def _key_features(rows: DataFrame, keys: DataFrame, small: bool, col: str, exprs: Mapping[str, F.Column],
                   max_rows: int, agg_flags: Mapping[str, F.Column] | None = None,
                   scope: list[str] | None = None) -> DataFrame:
     """Attach to ``rows`` features that depend only on the key column ``col``.
 
-    ``keys`` is the persisted per-key table (``_dim_by``: the distinct keys and
-    their aggregates) and ``n_keys`` its exact row count.  ``exprs`` are
-    expressions over ``col`` alone (regex flags etc.); ``agg_flags`` are
-    boolean expressions over the per-key aggregates.
+    ``keys`` is the per-key table (``_dim_by``: the distinct keys and their
+    aggregates) and ``small`` its measure.  ``exprs`` are expressions over
+    ``col`` alone (regex flags etc.); ``agg_flags`` are boolean expressions over
+    the per-key aggregates.  A null key joins a null key and nothing else.
 
-    * at most ``max_rows`` keys: the expressions run once per distinct key and
-      the per-key table is broadcast onto the rows;
-    * more: the expressions run inline on the rows (no shuffle of the rows),
+    * small: the expressions run once per distinct key and the per-key table is
+      broadcast onto the rows;
+    * else: the expressions run inline on the rows (no shuffle of the rows),
       and each aggregate flag joins only the set of keys that carry it.
     """
     agg_flags = agg_flags or {}
-    scope = scope or []
-    k = f"_k_{col}"
-    on = [*scope, k]
-    if n_keys <= max_rows:
+    on = [*(scope or []), col]
+    if small:
         dim = keys.select(*on, *[e.alias(n) for n, e in exprs.items()], *[e.alias(n) for n, e in agg_flags.items()])
-        return rows.withColumn(k, _key(col)).join(F.broadcast(dim), on, "left").drop(k)
-    d = rows.withColumns(dict(exprs)).withColumn(k, _key(col))
+        return null_safe_join(rows, dim, on, True)
+    d = rows.withColumns(dict(exprs))
     for n, e in agg_flags.items():
-        d = flag_join(d, keys.where(e).select(*on), on, n, max_broadcast_rows=max_rows)
-    return d.drop(k)
+        flagged, few = measured(keys.where(e).select(*on, F.lit(True).alias(n)), max_rows)
+        d = null_safe_join(d, flagged, on, few).withColumn(n, F.coalesce(F.col(n), F.lit(False)))
+    return d
 
 
 def _passthrough(df: DataFrame, features: list[str]) -> list[str]:
@@ -108,11 +102,17 @@ def _false_if_null(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in cols})
 
 
-def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | None = None,
-                 patterns: Mapping[str, list[str]] | None = None, tiebreak: list[str] | None = None,
+def _ua_entries(given: list[str] | DataFrame | None) -> list[str]:
+    if given is None:
+        return fixed.FALLBACK_MALICIOUS_USER_AGENTS
+    return ua_patterns(given) if isinstance(given, DataFrame) else given
+
+
+def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | DataFrame | None = None,
+                 patterns: Mapping[str, list[str]] | DataFrame | None = None, tiebreak: list[str] | None = None,
                  compat_ua: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  scope: list[str] | None = None, old_browser: str = "reference",
-                 lag_bucket: str = "minute") -> DataFrame:
+                 lag_bucket: str = "minute", only: DataFrame | None = None) -> DataFrame:
     """Profile T: parsed rows -> parsed + 44 feature columns (+ pass-through columns).
 
     ``scope``: optional non-null columns of ``parsed`` (e.g. a day) that bound
@@ -121,33 +121,36 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     ``lag_bucket``: time bucket of the W1 window partitions (ip, bucket); the
     result does not depend on it.  A finer bucket ("second") bounds the largest
     window partition when single clients send bursts within one minute.
+    ``only``: keys (any columns of ``parsed``) of the rows to return; statistics
+    still cover all rows (a sample is drawn first, then enriched).
+    ``malicious_user_agents``: entries, or a table from ``read_ua_list`` (IO8).
+    ``patterns``: a library, or a table from ``read_patterns`` (IO9).
     """
     scope = list(scope or [])
-    ua_list = malicious_user_agents if malicious_user_agents is not None else fixed.FALLBACK_MALICIOUS_USER_AGENTS
-    lib = patterns if patterns is not None else DEFAULT_LIBRARY
+    ua_list = _ua_entries(malicious_user_agents)
+    lib = DEFAULT_LIBRARY if patterns is None else library(patterns) if isinstance(patterns, DataFrame) else patterns
     mb = max_broadcast_rows
     rows = parsed
 
     path_aggs = [F.count_if(F.col("status_code") >= 500).alias("_srv")]
     # One job persists and counts the independent per-key tables.
-    t, n = sizes({
+    t, small = sizes({
         "ip": TR.ip_stats_train(rows, scope=scope),      # A1, A2, A4, A5
         "blocklist": reputation_table(blocklist, "train"),
         "path": _dim_by(rows, "path", path_aggs, scope),  # A8 counts
         "user_agent": _dim_by(rows, "user_agent", []),
         "referer": _dim_by(rows, "referer", []),
         "spike_minutes": TR.spike_minutes_train(rows, scope=scope),  # A6
-    })
+    }, mb, keep=("ip",))
 
     # Per-IP: reputation (J1), coordinated ASN (A7).  The per-IP aggregate feeds
     # the reputation join, A7 and the final join: computed once (persisted).
-    # The ASN set and the joined per-IP table have at most n["ip"] rows.
-    ip = add_reputation(t["ip"], blocklist, "train", mb, table=t["blocklist"], table_rows=n["blocklist"])
+    ip = add_reputation(t["ip"], blocklist, "train", mb, table=t["blocklist"], small=small["blocklist"])
     ip = ip.select(*scope, "ip", "request_count_per_ip", "requests_per_minute", "potential_dos",
                    "potential_scanner", "ip_reputation_score", "ip_is_known_bad", "country", "asn", "organization",
                    "asn_reputation_score")
     ip = flag_join(ip, TR.coordinated_asns_train(ip, scope), [*scope, "asn"], "from_coordinated_asn",
-                   max_broadcast_rows=mb, rows_bound=n["ip"])
+                   max_broadcast_rows=mb, small=small["ip"] or None)
 
     # Per-path: X2-X4, X11-X12 on the path, A8.  Per-user-agent: X5-X10 and ua_matches.
     path_exprs = {
@@ -160,13 +163,15 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     ua_exprs = {**X.ua_flags_T(ua_list, compat_ua, old_browser), **X.ua_pattern_flags_T(lib)}
 
     d = TR.add_time_diff(rows, key=[*scope, "ip"], tiebreak=tiebreak, bucket=lag_bucket)
-    d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
-    d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags, scope)
-    d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
-    d = _key_features(d, t["referer"], n["referer"], "referer", X.referer_pattern_flags_T(lib), mb)
+    if only is not None:
+        d = d.join(only, only.columns, "left_semi")
+    d = join_dim(d, ip, [*scope, "ip"], "left", small=small["ip"])
+    d = _key_features(d, t["path"], small["path"], "path", path_exprs, mb, path_agg_flags, scope)
+    d = _key_features(d, t["user_agent"], small["user_agent"], "user_agent", ua_exprs, mb)
+    d = _key_features(d, t["referer"], small["referer"], "referer", X.referer_pattern_flags_T(lib), mb)
     d = d.withColumn("minute", TR.minute_of())
-    d = flag_join(d, t["spike_minutes"], [*scope, "minute"], "during_traffic_spike", max_broadcast_rows=mb,
-                  rows_bound=n["spike_minutes"])
+    d = flag_join(d, t["spike_minutes"], [*scope, "minute"], "during_traffic_spike",
+                  small=small["spike_minutes"])
     d = d.withColumns({
         "is_error": X.is_error(),
         "is_server_error": X.is_server_error(),
@@ -185,36 +190,36 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     return d.select(*PARSED_COLUMNS, *T_FEATURES, *_passthrough(d, T_FEATURES))
 
 
-def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | None = None,
+def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents: list[str] | DataFrame | None = None,
                  tiebreak: list[str] | None = None,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  scope: list[str] | None = None, old_browser: str = "reference",
                  lag_bucket: str = "minute") -> DataFrame:
     """Profile S: parsed rows -> parsed + serving features (+ pass-through columns).
 
-    ``scope``, ``old_browser``, ``lag_bucket``: as for :func:`enrich_train`.
+    ``scope``, ``old_browser``, ``lag_bucket``, ``malicious_user_agents``: as for :func:`enrich_train`.
     """
     scope = list(scope or [])
-    ua_list = malicious_user_agents if malicious_user_agents is not None else fixed.FALLBACK_MALICIOUS_USER_AGENTS
+    ua_list = _ua_entries(malicious_user_agents)
     mb = max_broadcast_rows
     rows = parsed
 
     path_aggs = [F.count_if(F.col("status_code") >= 400).alias("_err")]
     # One job persists and counts the independent per-key tables.
-    t, n = sizes({
+    t, small = sizes({
         "ip": TR.ip_rate_serve(rows, scope=scope),       # A9
         "blocklist": reputation_table(blocklist, "serve"),
         "path": _dim_by(rows, "path", path_aggs, scope),  # A14 counts
         "user_agent": _dim_by(rows, "user_agent", []),
         "referer": _dim_by(rows, "referer", []),
-    })
+    }, mb, keep=("ip",))
 
     # Per-IP: reputation (J1), A11 coordinated ASN, A10 threshold.  The per-IP
     # aggregate feeds the reputation join, A11, the A10 threshold and the final
-    # join (persisted); tables derived from it have at most n["ip"] rows.
-    ip = add_reputation(t["ip"], blocklist, "serve", mb, table=t["blocklist"], table_rows=n["blocklist"])
+    # join (persisted).
+    ip = add_reputation(t["ip"], blocklist, "serve", mb, table=t["blocklist"], small=small["blocklist"])
     ip = flag_join(ip, TR.coordinated_asns_serve(ip, scope), [*scope, "asn"], "from_coordinated_asn",
-                   max_broadcast_rows=mb, rows_bound=n["ip"])
+                   max_broadcast_rows=mb, small=small["ip"] or None)
     ip = TR.with_spike_flag_serve(ip, scope=scope)
     ip = ip.drop("ip_rows")
 
@@ -233,11 +238,11 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     d = rows.withColumns(X.calendar_columns())
     d = TR.add_time_diff(d, key=[*scope, "ip"], tiebreak=tiebreak, with_prev=False, bucket=lag_bucket)
     d = d.withColumn("minute_bucket", TR.minute_of())
-    d = join_dim(d, ip, [*scope, "ip"], "left", max_broadcast_rows=mb, rows_bound=n["ip"])
-    d = _key_features(d, t["path"], n["path"], "path", path_exprs, mb, path_agg_flags, scope)
-    d = _key_features(d, t["user_agent"], n["user_agent"], "user_agent", ua_exprs, mb)
+    d = join_dim(d, ip, [*scope, "ip"], "left", small=small["ip"])
+    d = _key_features(d, t["path"], small["path"], "path", path_exprs, mb, path_agg_flags, scope)
+    d = _key_features(d, t["user_agent"], small["user_agent"], "user_agent", ua_exprs, mb)
     ref_hits = X.family_hits_S(F.coalesce(F.col("referer"), F.lit("")))
-    d = _key_features(d, t["referer"], n["referer"], "referer", {f"_r_{k}": v for k, v in ref_hits.items()}, mb)
+    d = _key_features(d, t["referer"], small["referer"], "referer", {f"_r_{k}": v for k, v in ref_hits.items()}, mb)
     fams = list(fixed.S_FAMILIES)
     d = _false_if_null(d, [f"_{p}_{k}" for p in "bqur" for k in fams]
                        + ["has_suspicious_patterns", "to_high_error_path", "has_user_agent", "is_old_browser",
