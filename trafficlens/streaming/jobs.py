@@ -2,16 +2,16 @@
 
 * ST1 ``parse_stream``: new log lines -> parsed rows + row-local flags and a
   stream-static join with the (bounded, broadcast) per-IP blocklist.
-* ST2 ``hourly_stream``: hourly class roll-up with a watermark for late rows.
-* ST3 ``rate_alert_stream``: per (ip, minute) request counts above a threshold.
+* ST2 ``hourly_partial`` / ``hourly_total``: hourly class roll-up.
+* ST3 ``rate_partial`` / ``rate_alerts``: per (ip, minute) request counts above a threshold.
 
 Statistics over the whole input (A6, A10, A11) are not streamable as defined;
 run the batch plans per closed period in ``foreachBatch`` instead.
 
-:func:`run_to_table` runs a stream to completion with an ``availableNow``
-trigger into a Parquet table in the shared checkpoint folder (file sink for
-row streams, update-mode changelog for aggregations, so their state stays
-bounded by the watermark); results never pass through the driver.
+:func:`run_to_table` runs a row stream, :func:`run_merged` an aggregation, to
+completion with an ``availableNow`` trigger into a Parquet table in the shared
+checkpoint folder; results never pass through the driver.  Aggregations merge the
+partial counts of all batches when read, so late rows are counted.
 """
 
 from __future__ import annotations
@@ -65,63 +65,76 @@ def parse_stream(lines: DataFrame, blocklist: DataFrame | None = None) -> DataFr
     return p
 
 
-def hourly_stream(lines: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """ST2: A16 counts per hour window with a watermark on the request time."""
+def hourly_partial(lines: DataFrame) -> DataFrame:
+    """ST2, one micro-batch: A16 counts per hour, with the sums that later batches add to."""
     p = parse_access_log(lines).where(F.col("timestamp").isNotNull())
     p = p.withColumns({"is_legitimate": L.is_legitimate(), "is_human": L.is_human()})
     legit = F.col("is_legitimate")
     human = F.col("is_human")
-    g = p.withWatermark("timestamp", watermark).groupBy(F.window("timestamp", "1 hour")).agg(
+    return p.groupBy(F.date_trunc("hour", "timestamp").alias("hour")).agg(
         F.count("ip").alias("total_requests"),
         F.count_if(legit).alias("legitimate_requests"),
         F.count_if(~legit).alias("illegitimate_requests"),
         F.count_if(human).alias("human_requests"),
         F.count_if(~human).alias("bot_requests"),
         *[F.count_if(F.col("classification") == c).alias(f"{c}_requests") for c in CLASSES],
-        F.avg("confidence").alias("avg_confidence"),
+        F.sum("confidence").alias("_confidence"), F.count("confidence").alias("_confidences"),
     )
-    return g.select(F.col("window.start").alias("hour"), *[c for c in g.columns if c != "window"])
 
 
-def rate_alert_stream(lines: DataFrame, threshold: int = 30, watermark: str = "10 minutes") -> DataFrame:
-    """ST3: (ip, minute) windows with more than ``threshold`` requests."""
+def hourly_total(partials: DataFrame) -> DataFrame:
+    """ST2: the hourly table from the partial counts of all batches."""
+    sums = [c for c in partials.columns if c not in ("hour", "_batch")]
+    g = partials.groupBy("hour").agg(*[F.sum(c).alias(c) for c in sums])
+    return g.withColumn("avg_confidence", F.col("_confidence") / F.col("_confidences")).drop("_confidence", "_confidences")
+
+
+def rate_partial(lines: DataFrame) -> DataFrame:
+    """ST3, one micro-batch: requests per (ip, minute)."""
     p = parse_access_log(lines).where(F.col("timestamp").isNotNull())
-    g = p.withWatermark("timestamp", watermark).groupBy("ip", F.window("timestamp", "1 minute")).count()
-    return g.where(F.col("count") > threshold).select(
-        "ip", F.col("window.start").alias("minute"), F.col("count").alias("requests"))
+    return p.groupBy("ip", F.date_trunc("minute", "timestamp").alias("minute")).agg(F.count(F.lit(1)).alias("requests"))
+
+
+def rate_alerts(partials: DataFrame, threshold: int = 30) -> DataFrame:
+    """ST3: (ip, minute) with more than ``threshold`` requests over all batches."""
+    g = partials.groupBy("ip", "minute").agg(F.sum("requests").alias("requests"))
+    return g.where(F.col("requests") > threshold)
+
+
+def run_merged(spark: SparkSession, source: DataFrame, partial: Callable[[DataFrame], DataFrame],
+               total: Callable[[DataFrame], DataFrame], name: str | None = None) -> DataFrame:
+    """Aggregate a stream without a watermark: no row is too late.
+
+    Every micro-batch is aggregated on its own and its partial rows are written
+    to a folder of that batch (a retried batch writes the same folder anew);
+    ``total`` adds them up when the table is read.  Nothing is kept between
+    batches, and a row counts in its own window whenever it arrives.
+    """
+    base = os.path.join(checkpoint_dir(spark), "streams", name or f"run-{uuid.uuid4().hex[:12]}")
+    out = os.path.join(base, "partials")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(os.path.join(out, f"_batch={batch_id}"))
+
+    empty = partial(spark.createDataFrame([], source.schema))
+    empty.write.mode("overwrite").parquet(os.path.join(out, "_batch=-1"))
+    q = (source.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(base, "checkpoint"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return total(spark.read.schema(empty.schema).option("basePath", out).parquet(os.path.join(out, "_batch=*")))
 
 
 def run_to_table(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame], DataFrame],
-                 mode: str = "append", name: str | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Run ``build(source)`` as a stream until the available input is processed.
-
-    Output goes to a Parquet table under the shared checkpoint folder, which is
-    read back:
-
-    * ``append``: the file sink (exactly-once; its commit log ignores the files
-      of a retried batch);
-    * ``update`` (aggregations): state is evicted once the watermark passes a
-      window, and each micro-batch appends its updated rows tagged with the
-      batch id.  The result is the latest row per ``keys``; a retried batch
-      rewrites identical rows, so the result is unchanged.
+                 name: str | None = None) -> DataFrame:
+    """Run the row stream ``build(source)`` until the available input is processed.
+
+    Output goes through the file sink (exactly-once; its commit log ignores the
+    files of a retried batch) to a Parquet table under the shared checkpoint
+    folder, which is read back.
     """
     base = os.path.join(checkpoint_dir(spark), "streams", name or f"run-{uuid.uuid4().hex[:12]}")
     out, ckpt = os.path.join(base, "table"), os.path.join(base, "checkpoint")
-    w = build(source).writeStream.outputMode(mode).option("checkpointLocation", ckpt)
-    if mode == "append":
-        w = w.format("parquet").option("path", out)
-    elif mode == "update":
-        if not keys:
-            raise ValueError("update mode needs the key columns of the aggregation")
-        w = w.foreachBatch(lambda batch, epoch_id: batch.withColumn("_epoch", F.lit(epoch_id))
-                           .write.mode("append").parquet(out))
-    else:
-        raise ValueError(f"unsupported output mode {mode!r}")
-    q = w.trigger(availableNow=True).start()
+    q = (build(source).writeStream.outputMode("append").option("checkpointLocation", ckpt)
+         .format("parquet").option("path", out).trigger(availableNow=True).start())
     q.awaitTermination()
-    table = spark.read.parquet(out)
-    if mode == "update":
-        vals = [c for c in table.columns if c not in keys and c != "_epoch"]
-        latest = F.max_by(F.struct(*vals), "_epoch").alias("_v")
-        table = table.groupBy(*keys).agg(latest).select(*keys, "_v.*")
-    return table
+    return spark.read.parquet(out)
