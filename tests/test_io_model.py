@@ -99,3 +99,43 @@ def test_train_save_load_analyze(spark, tmp_path):
     assert {r[0] for r in classified.select("classification").distinct().collect()} <= set(CLASSES) | {ERROR_CLASS}
     assert hourly.agg(F.sum("total_requests")).first()[0] == n
     assert report.count() > 0
+
+
+def test_labels_stay_on_their_rows(spark):
+    """Answers of another length or order are retried row by row."""
+    rows = spark.createDataFrame([(i,) for i in range(40)], "id int").repartition(3)
+
+    def frame(pdf):
+        return pd.DataFrame({"classification": pdf["id"].astype(str).values, "confidence": 0.5, "reasoning": "r"}, index=pdf.index)
+
+    def short(pdf):
+        return frame(pdf[pdf["id"] % 2 == 0])
+
+    def shuffled(pdf):
+        return frame(pdf).iloc[::-1]
+
+    def raising(pdf):
+        if (pdf["id"] == 7).any():
+            raise RuntimeError("no")
+        return frame(pdf)
+
+    for fn, lost in ((frame, set()), (short, set(range(1, 40, 2))), (shuffled, set()), (raising, {7})):
+        got = {r.id: r.classification for r in LB.label(rows, 0, labeller=fn).collect()}
+        assert got == {i: UNKNOWN_CLASS if i in lost else str(i) for i in range(40)}
+
+
+def test_package_applies_its_filter_and_training_skips_invalid_rows(spark, tmp_path):
+    bl = C.blocklist(spark)
+    parsed = C.parsed_stage(spark, SF_SMALL)
+    rows = EN.enrich_train(parsed, bl, tiebreak=C.TIE).where(F.col("classification").isin(CLASSES))
+    rows = rows.withColumn("requests_per_minute", F.when(F.col("n") % 50 == 0, F.lit(None)).otherwise(F.col("requests_per_minute")))
+    model, metrics = MD.train(rows, 0.2, reg_params=(0.01,), key_cols=["n"], num_path_features=64)
+    m = metrics.first()
+    assert m.skipped_rows == rows.where("n % 50 = 0").count() and m.train_rows + m.validation_rows + m.skipped_rows == rows.count()
+    MD.save(model, str(tmp_path / "p"), {"profile": "serve", "blacklist": "4", "lag_bucket": "second"})
+    classified, _, _ = AN.analyze_packaged(spark, str(tmp_path / "p"), parsed.drop("classification", "confidence"), bl, tiebreak=C.TIE)
+    assert classified.count() == parsed.where(~F.col("status_code").cast("string").startswith("4")).count()
+    MD.save(model, str(tmp_path / "q"), {"profile": "train"})
+    import pytest
+    with pytest.raises(ValueError):
+        AN.analyze_packaged(spark, str(tmp_path / "q"), parsed, bl)

@@ -10,7 +10,6 @@ oracle (``plans.oracle``) can compare values.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +24,7 @@ from ..operators import traffic as TR
 from ..operators.dims import join_dim, materialize
 from ..operators.reputation import add_reputation, asn_reputation
 from ..operators.sampling import sample_exact, train_validation_split
-from ..session import checkpoint_dir
+from ..schemas import PARSED_COLUMNS
 from ..sources import fixtures as fx
 from ..sources.reputation_lists import blocklist_from_lines
 from . import enrich as EN
@@ -88,9 +87,14 @@ def with_reputation(spark: SparkSession, df: DataFrame, profile: str) -> DataFra
     return join_dim(df, ips, "ip")
 
 
-def ipv6_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The fixture lines with an IPv6-mapped client address: not parseable (IPv4 only)."""
-    return lines(spark, sf).withColumn("value", F.concat(F.lit("::ffff:"), F.col("value")))
+def odd_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The fixture lines, of which each five hold one with an IPv6-mapped client (not
+    parseable: IPv4 only), one with a status beyond the integer range and one with a NUL character."""
+    v, k = F.col("value"), F.pmod(F.col("n"), F.lit(5))
+    return lines(spark, sf).withColumn("value", F.when(k == 0, F.concat(F.lit("::ffff:"), v))
+                                       .when(k == 1, F.regexp_replace(v, r'" [0-9]+ ', '" 99999999999 '))
+                                       .when(k == 2, F.concat(F.substr(v, F.lit(1), F.length(v) - 1), F.char(F.lit(0)), F.lit('x"')))
+                                       .otherwise(v))
 
 
 # ---------------------------------------------------------------------------
@@ -98,11 +102,17 @@ def ipv6_lines(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def p1_parse(spark, sf):
-    return parsed(spark, sf).select("n", *[c for c in PO.PARSED_COLUMNS])
+    return parsed(spark, sf).select("n", *PARSED_COLUMNS)
+
+
+def p1_odd_lines(spark, sf):
+    """Lines that match but hold odd values: a status beyond the integer range, a NUL character."""
+    p = PO.parse_access_log(odd_lines(spark, sf))
+    return p.select("n", "status_code", F.length("user_agent").cast("bigint").alias("ua_chars"))
 
 
 def p7_rejects(spark, sf):
-    return PO.parse_rejects(ipv6_lines(spark, sf)).select("n", "stripped_line")
+    return PO.parse_rejects(odd_lines(spark, sf)).select("n", "stripped_line")
 
 
 def p8_redirect_filter(spark, sf):
@@ -111,7 +121,7 @@ def p8_redirect_filter(spark, sf):
 
 
 def p9_counters(spark, sf):
-    return PO.parse_counters(lines(spark, sf).unionByName(ipv6_lines(spark, sf)))
+    return PO.parse_counters(odd_lines(spark, sf))
 
 
 def p10_whitelist(spark, sf):
@@ -406,7 +416,7 @@ def s4_examples(spark, sf):
 
 
 def r1_summary(spark, sf):
-    return RP.summary_report(classified_serve(spark, sf)).withColumn("pct", r6("pct"))
+    return RP.summary_report(materialize(RP.report_columns(classified_serve(spark, sf)))).withColumn("pct", r6("pct"))
 
 
 def r2_chart_series(spark, sf):
@@ -433,7 +443,7 @@ def m6_training_text(spark, sf):
 # ---------------------------------------------------------------------------
 
 def s5_sample(spark, sf):
-    return sample_exact(parsed(spark, sf), 1000, seed=42, key_cols=["raw_log", "n"], order_cols=["n"]) \
+    return sample_exact(parsed_stage(spark, sf), 1000, seed=42, key_cols=["raw_log", "n"], order_cols=["n"]) \
         .select("n", "ip", "timestamp", "path", "status_code")
 
 
@@ -448,27 +458,43 @@ def m1_prompts(spark, sf):
 
 
 def m2_label(spark, sf):
-    out = LB.label(enriched_train(spark, sf), max_samples=1000, key_cols=["raw_log", "n"])
+    stage = parsed_stage(spark, sf)
+    keys = sample_exact(stage, 1000, key_cols=["raw_log", "n"]).select("n")
+    out = LB.label(EN.enrich_train(stage, blocklist(spark), tiebreak=TIE, only=keys), max_samples=0)
     return out.select("n", "classification", "confidence", "reasoning")
 
 
 def m3_answer_parse(spark, sf):
     """Label answers in the shapes a remote labeller returns, built from the rows'
-    fixture labels, parsed back (fenced JSON, bare JSON, loose fields, prose)."""
+    fixture labels, parsed back: fenced JSON, bare JSON, loose fields, prose, JSON
+    without a class, a broken fence before a whole object, nested braces, two objects."""
     p = parsed(spark, sf)
-    js = F.to_json(F.struct(F.col("classification"), F.col("confidence"), F.concat(
-        F.lit("path "), F.col("path")).alias("reasoning")))
-    shape = F.pmod(F.col("n"), F.lit(4))
+    reason = F.concat(F.lit("path "), F.col("path"))
+    js = F.to_json(F.struct("classification", "confidence", reason.alias("reasoning")))
+    bare = F.to_json(F.struct("confidence", reason.alias("reasoning")))
+    deep = F.to_json(F.struct("classification", "confidence", F.lit("a {b} c").alias("reasoning"),
+                              F.struct(F.lit(1).alias("k")).alias("extra")))
+    shape = F.pmod(F.col("n"), F.lit(8))
     text = (F.when(shape == 0, F.concat(F.lit("Here you go:\n```json\n"), js, F.lit("\n```")))
              .when(shape == 1, F.concat(F.lit("Result: "), js))
              .when(shape == 2, F.concat(F.lit('"classification": "'), F.col("classification"),
                                         F.lit('", "confidence": '), F.col("confidence").cast("string")))
+             .when(shape == 4, F.concat(F.lit("Result: "), bare))
+             .when(shape == 5, F.concat(F.lit('```json\n{"classification": oops}\n```\n'), js))
+             .when(shape == 6, F.concat(F.lit("Result: "), deep))
+             .when(shape == 7, F.concat(js, F.lit(" or "), js))
              .otherwise(F.lit("I cannot decide.")))
     r = L.parse_label_answer(text)
     return p.select("n", r["classification"].alias("classification"), r["confidence"].alias("confidence"),
                     r["reasoning"].alias("reasoning"))
 
 
+def m7_prompt(spark, sf):
+    """The full serving prompt over rows that have the gap (W1) but no other feature: defaults for the rest."""
+    d = TR.add_time_diff(parsed(spark, sf), tiebreak=TIE)
+    return d.select("n", L.serving_prompt(d.columns).alias("prompt"))
+
+
 def m4_answer_parse(spark, sf):
     p = parsed(spark, sf)
     text = F.concat(F.lit("Classification: "), F.col("classification"), F.lit("\nConfidence: "),
@@ -481,7 +507,7 @@ def m4_answer_parse(spark, sf):
 
 
 def _train(spark, sf):
-    e = enriched_train(spark, sf)
+    e = materialize(enriched_train(spark, sf))
     labeled = e.where(F.col("classification").isin(fixed.CLASSES))
     return MD.train(labeled, 0.1, key_cols=["raw_log", "n"]), e
 
@@ -501,30 +527,25 @@ def m9_classify(spark, sf):
 # streaming (ST1-ST3): the same transforms over a file stream, run to completion
 # ---------------------------------------------------------------------------
 
-def _stream_run(spark, sf, build, mode: str, keys: list[str] | None = None) -> DataFrame:
-    from ..streaming import jobs as ST
-    return ST.run_to_table(spark, ST.event_log_stream(spark, sf), build, mode, keys=keys)
-
-
 def st1_stream_parse(spark, sf):
     from ..streaming import jobs as ST
-    return _stream_run(spark, sf, ST.parse_stream, "append").select(
-        "n", "ip", "timestamp", "path", "status_code", "has_query_params", "is_error")
+    out = ST.run_to_table(spark, ST.event_log_stream(spark, sf), ST.parse_stream)
+    return out.select("n", "ip", "timestamp", "path", "status_code", "has_query_params", "is_error")
 
 
 def st2_stream_hourly(spark, sf):
     from ..streaming import jobs as ST
-    out = _stream_run(spark, sf, ST.hourly_stream, "update", keys=["hour"])
+    out = ST.run_merged(spark, ST.event_log_stream(spark, sf), ST.hourly_partial, ST.hourly_total)
     return out.withColumn("avg_confidence", r6("avg_confidence"))
 
 
 def st3_stream_rate_alert(spark, sf):
     from ..streaming import jobs as ST
-    return _stream_run(spark, sf, ST.rate_alert_stream, "update", keys=["ip", "minute"])
+    return ST.run_merged(spark, ST.event_log_stream(spark, sf), ST.rate_partial, ST.rate_alerts)
 
 
 NAMES = [
-    "p1_parse", "p7_rejects", "p8_redirect_filter", "p9_counters", "p10_whitelist", "p10_blacklist", "u1_union",
+    "p1_parse", "p1_odd_lines", "p7_rejects", "p8_redirect_filter", "p9_counters", "p10_whitelist", "p10_blacklist", "u1_union",
     "w1_time_diff", "a1_ip_counts", "a2_rate_train", "a3_ip_stats", "a4_dos_train", "a5_scanner_train",
     "a6_spike_train", "a7_asn_train", "a8_error_path_train", "a9_rate_serve", "a10_spike_serve",
     "a11_asn_serve", "q1_scope_time_diff", "q1_scope_spike_train", "q1_scope_spike_serve", "a12_dos_serve", "a13_scanner_serve", "a14_error_path_serve", "a15_asn_reputation",
@@ -535,7 +556,7 @@ NAMES = [
     "a19_class_breakdown", "a20_time_range", "a21_attacks", "a22_report_totals", "a23_distinct_ips",
     "s3_top_ips", "s3_top_asns", "s3_top_countries", "s3_top_paths", "s4_examples", "r1_summary",
     "r2_chart_series", "r3_ua_series", "r3_ua_series_measured", "m6_training_text",
-    "s5_sample", "s7_split", "m1_prompts", "m2_label", "m3_answer_parse", "m4_answer_parse",
+    "s5_sample", "s7_split", "m1_prompts", "m2_label", "m3_answer_parse", "m7_prompt", "m4_answer_parse",
     "m8_train_eval", "m9_classify", "st1_stream_parse", "st2_stream_hourly", "st3_stream_rate_alert",
 ]
 

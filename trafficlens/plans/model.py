@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.fixed import CLASSES, ERROR_CLASS
-from ..operators.sampling import train_validation_split
+from ..operators.dims import materialize
+from ..operators.sampling import split_flag
 
 NUMERIC_FEATURES = ["status_code", "requests_per_minute", "time_diff", "ip_reputation_score",
                     "asn_reputation_score", "combined_reputation_score"]
@@ -51,6 +53,12 @@ def feature_frame(enriched: DataFrame) -> DataFrame:
     return enriched.withColumns(cols)
 
 
+def valid_features() -> F.Column:
+    """Whether every numeric feature of a :func:`feature_frame` row is present (no null, no NaN)."""
+    return reduce(lambda a, b: a & b, [F.col(f"f_{c}").isNotNull() & ~F.isnan(f"f_{c}")
+                                       for c in NUMERIC_FEATURES + BOOL_FEATURES])
+
+
 def label_index() -> F.Column:
     e = None
     for i, c in enumerate(CLASSES):
@@ -70,22 +78,27 @@ def build_pipeline(reg_param: float = 0.01, num_path_features: int = 1 << 10) ->
 
 
 def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params=(0.001, 0.01),
-          key_cols: list[str] | None = None) -> tuple[PipelineModel, DataFrame]:
+          key_cols: list[str] | None = None, num_path_features: int = 1 << 10) -> tuple[PipelineModel, DataFrame]:
     """M8: fit on the training share, keep the best ``regParam`` by validation log-loss.
 
-    Returns the model and a one-row metrics table.
+    Rows with a missing feature are left out, as :func:`classify` leaves them
+    unclassified.  ``num_path_features`` is the number of hash buckets of the path
+    tokens.  Returns the model and a one-row metrics table (``skipped_rows``
+    counts the rows left out).
     """
     d = feature_frame(labeled_enriched).withColumn("label", label_index()).where(F.col("label").isNotNull())
-    tr, va = train_validation_split(d, key_cols or ["raw_log"], validation_split)
-    # Cache only what the pipeline reads (not the whole enriched rows).
+    # One table of only what the pipeline reads feeds both splits and every fit.
     cols = [f"f_{c}" for c in NUMERIC_FEATURES + BOOL_FEATURES] + ["_path_text", "label"]
-    tr = tr.select(*cols).cache()
-    va = va.select(*cols).cache()
+    d = d.withColumn("_val", split_flag(key_cols or ["raw_log"], validation_split)).withColumn("_valid", valid_features())
+    d = materialize(d.select(*cols, "_val", "_valid"))
+    skipped = d.where(~F.col("_valid")).count()
+    tr = d.where(F.col("_valid") & ~F.col("_val")).select(*cols).cache()
+    va = d.where(F.col("_valid") & F.col("_val")).select(*cols).cache()
     ll = MulticlassClassificationEvaluator(metricName="logLoss")
     acc = MulticlassClassificationEvaluator(metricName="accuracy")
     best = None
     for rp in reg_params:
-        m = build_pipeline(rp).fit(tr)
+        m = build_pipeline(rp, num_path_features).fit(tr)
         p = m.transform(va)
         loss = ll.evaluate(p) if va.take(1) else float("nan")
         if best is None or loss < best[1] or best[1] != best[1]:
@@ -93,8 +106,8 @@ def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params
     m, loss, rp, a = best
     spark = labeled_enriched.sparkSession
     metrics = spark.createDataFrame(
-        [(tr.count(), va.count(), float(loss), float(a), float(rp))],
-        "train_rows bigint, validation_rows bigint, eval_loss double, accuracy double, reg_param double")
+        [(tr.count(), va.count(), skipped, float(loss), float(a), float(rp))],
+        "train_rows bigint, validation_rows bigint, skipped_rows bigint, eval_loss double, accuracy double, reg_param double")
     tr.unpersist()
     va.unpersist()
     return m, metrics
@@ -103,11 +116,7 @@ def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params
 def classify(model: PipelineModel, enriched: DataFrame) -> DataFrame:
     """M9: classification, confidence (+ M5 flags) for every row; unbuildable rows -> 'error'."""
     d = feature_frame(enriched)
-    valid = None
-    for c in NUMERIC_FEATURES + BOOL_FEATURES:
-        e = F.col(f"f_{c}").isNotNull()
-        valid = e if valid is None else (valid & e)
-    d = d.withColumn("_valid", valid)
+    d = d.withColumn("_valid", valid_features())
     p = model.transform(d)
     probs = vector_to_array("probability")
     cls_arr = F.array(*[F.lit(c) for c in CLASSES])
@@ -123,7 +132,8 @@ def classify(model: PipelineModel, enriched: DataFrame) -> DataFrame:
 
 
 def save(model: PipelineModel, path: str, config: dict) -> None:
-    """IO12: the fitted pipeline plus its parameters (profile, status filters)."""
+    """IO12: the fitted pipeline plus its parameters: ``whitelist`` / ``blacklist`` and the
+    options of ``enrich_serve``; ``analyze.analyze_packaged`` applies them."""
     model.write().overwrite().save(os.path.join(path, "model"))
     spark = SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(config),)], "config string").coalesce(1) \

@@ -10,6 +10,7 @@ for them).
 from __future__ import annotations
 
 from ..functions import fixed
+from ..functions import labels as L
 from ..functions.features import MATCH_FLAGS, T_FAMILY_FLAGS
 from ..functions.regex import duck_matches_any, duck_regex
 from ..schemas import HOURLY_PCT_COLUMNS
@@ -147,12 +148,15 @@ def build() -> dict[str, str]:
     parsed_cols = ("n, ip, ts AS \"timestamp\", method, path, protocol, status_code, response_size, referer, "
                    f"user_agent, {RAW} AS raw_log")
     q["p1_parse"] = f"{PRE} SELECT {parsed_cols} FROM req"
-    q["p7_rejects"] = f"{PRE} SELECT n, '::ffff:' || {RAW} AS stripped_line FROM req_all"
+    q["p1_odd_lines"] = (f"{PRE} SELECT n, CASE WHEN n % 5 = 1 THEN NULL ELSE status_code END AS status_code,"
+                         " CAST(length(user_agent) + CASE WHEN n % 5 = 2 THEN 2 ELSE 0 END AS BIGINT) AS ua_chars"
+                         f" FROM req_all WHERE n % 5 <> 0 AND (n % 5 = 1 OR status_code NOT IN ({REDIRECTS}))")
+    q["p7_rejects"] = f"{PRE} SELECT n, '::ffff:' || {RAW} AS stripped_line FROM req_all WHERE n % 5 = 0"
     q["p8_redirect_filter"] = f"{PRE} SELECT status_code, count(*) AS count FROM req GROUP BY status_code"
-    q["p9_counters"] = (f"{PRE} SELECT 2 * count(*) AS total_lines,"
-                        f" count(*) FILTER (WHERE status_code NOT IN ({REDIRECTS})) AS parsed,"
-                        f" count(*) FILTER (WHERE status_code IN ({REDIRECTS})) AS skipped_redirects,"
-                        " count(*) AS unparsed FROM req_all")
+    q["p9_counters"] = (f"{PRE} SELECT count(*) AS total_lines,"
+                        f" count(*) FILTER (WHERE n % 5 <> 0 AND (n % 5 = 1 OR status_code NOT IN ({REDIRECTS}))) AS parsed,"
+                        f" count(*) FILTER (WHERE n % 5 > 1 AND status_code IN ({REDIRECTS})) AS skipped_redirects,"
+                        " count(*) FILTER (WHERE n % 5 = 0) AS unparsed FROM req_all")
     q["p10_whitelist"] = (f"{PRE} SELECT n, status_code FROM req"
                           " WHERE regexp_matches(CAST(status_code AS VARCHAR), '^(?:50[0-9])')")
     q["p10_blacklist"] = (f"{PRE} SELECT n, status_code FROM req"
@@ -271,33 +275,24 @@ def build() -> dict[str, str]:
         + " FROM req")
     # M3: the four answer shapes of the catalog query, parsed back.
     nl = "chr(10)"
-    js = "to_json({'classification': classification, 'confidence': confidence, 'reasoning': 'path ' || path})"
+    # shapes 3 (prose), 5 (a broken fence) and 7 (two objects) are unknown; 4 lacks only the class
     q["m3_answer_parse"] = (
-        f"{PRE}, t AS (SELECT n, CASE n % 4"
-        f" WHEN 0 THEN 'Here you go:' || {nl} || '```json' || {nl} || {js} || {nl} || '```'"
-        f" WHEN 1 THEN 'Result: ' || {js}"
-        " WHEN 2 THEN '\"classification\": \"' || classification || '\", \"confidence\": ' || CAST(confidence AS VARCHAR)"
-        " ELSE 'I cannot decide.' END AS text FROM req),"
-        " x AS (SELECT n, text, regexp_extract(text, '(?s)```json\\s*(\\{.*?\\})\\s*```', 1) AS fenced,"
-        " regexp_extract(text, '(?s)(\\{.*\\})', 1) AS braces FROM t),"
-        " j AS (SELECT n,"
-        " CASE WHEN fenced <> '' THEN json_extract_string(fenced, '$.classification') END AS fc,"
-        " CASE WHEN fenced <> '' THEN TRY_CAST(json_extract(fenced, '$.confidence') AS DOUBLE) END AS ff,"
-        " CASE WHEN fenced <> '' THEN json_extract_string(fenced, '$.reasoning') END AS fr,"
-        " CASE WHEN braces <> '' THEN json_extract_string(braces, '$.classification') END AS bc,"
-        " CASE WHEN braces <> '' THEN TRY_CAST(json_extract(braces, '$.confidence') AS DOUBLE) END AS bf,"
-        " CASE WHEN braces <> '' THEN json_extract_string(braces, '$.reasoning') END AS br,"
-        " nullif(regexp_extract(text, '\"classification\":\\s*\"([^\"]+)\"', 1), '') AS lc,"
-        " TRY_CAST(nullif(regexp_extract(text, '\"confidence\":\\s*([0-9.]+)', 1), '') AS DOUBLE) AS lf,"
-        " nullif(regexp_extract(text, '\"reasoning\":\\s*\"([^\"]+)\"', 1), '') AS lr FROM x)"
-        " SELECT n,"
-        " CASE WHEN fc IS NOT NULL THEN fc WHEN bc IS NOT NULL THEN bc WHEN lc IS NOT NULL AND lf IS NOT NULL THEN lc"
-        " ELSE 'unknown' END AS classification,"
-        " coalesce(CASE WHEN fc IS NOT NULL THEN ff WHEN bc IS NOT NULL THEN bf"
-        " WHEN lc IS NOT NULL AND lf IS NOT NULL THEN lf END, 0.0) AS confidence,"
-        " coalesce(CASE WHEN fc IS NOT NULL THEN fr WHEN bc IS NOT NULL THEN br"
-        " WHEN lc IS NOT NULL AND lf IS NOT NULL THEN coalesce(lr, 'No reasoning provided') END, '') AS reasoning"
-        " FROM j")
+        f"{PRE} SELECT n, CASE WHEN n % 8 IN (3, 4, 5, 7) THEN 'unknown' ELSE classification END AS classification,"
+        " CASE WHEN n % 8 IN (3, 5, 7) THEN 0.0 ELSE confidence END AS confidence,"
+        " CASE WHEN n % 8 IN (3, 5, 7) THEN '' WHEN n % 8 = 2 THEN 'No reasoning provided'"
+        " WHEN n % 8 = 6 THEN 'a {b} c' ELSE 'path ' || path END AS reasoning FROM req")
+    flags = "".join(f", '{name}:'" + "".join(f", '- {f}: {'0' if f.endswith('_score') else 'false'}'" for f in fields)
+                    for name, fields in L.SERVING_PROMPT_SECTIONS.items())
+    q["m7_prompt"] = (
+        f"{PRE}{W1} SELECT n, concat_ws(chr(10), 'Classify this web request.', 'client: ' || ip || ' (Unknown, Unknown)',"
+        " 'request: ' || method || ' ' || path || ' ' || protocol, 'user agent: ' || user_agent,"
+        " 'status: ' || CAST(status_code AS VARCHAR), 'rate: 0.00 per minute',"
+        f" 'seconds since previous request: ' || coalesce(CAST(td AS VARCHAR), 'N/A'){flags}) AS prompt FROM wd")
+    key = f"{RAW} || '|' || CAST(n AS VARCHAR) || '|'"
+    q["s5_sample"] = (f"{PRE} SELECT n, ip, ts AS \"timestamp\", path, status_code FROM req"
+                      f" ORDER BY md5({key} || '42'), {RAW}, n LIMIT 1000")
+    q["s7_split"] = (f"{PRE} SELECT n, CASE WHEN md5({key} || '7') < '{int(0.1 * (1 << 60)):015x}'"
+                     " THEN 'validation' ELSE 'train' END AS split FROM req")
     # M4: generated answers, parsed back.
     q["m4_answer_parse"] = (
         f"{PRE}, t AS (SELECT n, 'Classification: ' || classification || {nl} || 'Confidence: '"
