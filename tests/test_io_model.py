@@ -139,3 +139,12 @@ def test_package_applies_its_filter_and_training_skips_invalid_rows(spark, tmp_p
     import pytest
     with pytest.raises(ValueError):
         AN.analyze_packaged(spark, str(tmp_path / "q"), parsed, bl)
+
+
+def test_sorted_stage_and_first_rows(spark, tmp_path):
+    from trafficlens.sources.stage_io import first_rows, write_stage
+    df = spark.range(1000).withColumn("raw_log", F.reverse(F.col("id").cast("string"))).repartition(7)
+    write_stage(df, str(tmp_path / "s"), order_by=["raw_log"])
+    got = [r.raw_log for r in spark.read.parquet(str(tmp_path / "s")).orderBy(F.input_file_name(), F.monotonically_increasing_id()).collect()]
+    assert got == sorted(got) and len(got) == 1000
+    assert [r.raw_log for r in first_rows(df, 10).collect()] == sorted(got)[:10]

@@ -517,6 +517,23 @@ def m8_train_eval(spark, sf):
     return metrics
 
 
+def m8_invariants(spark, sf):
+    """What holds for the metrics of any trained model."""
+    return m8_train_eval(spark, sf).select(
+        (F.col("train_rows") + F.col("validation_rows") + F.col("skipped_rows")).alias("rows_used"),
+        (F.col("eval_loss") >= 0).alias("finite_loss"), F.col("accuracy").between(0.0, 1.0).alias("accuracy_in_range"))
+
+
+def m9_invariants(spark, sf):
+    """What holds for the classified rows of any trained model."""
+    known = F.col("classification").isin(fixed.CLASSES)
+    flags = (F.col("is_legitimate") == F.col("classification").startswith("legitimate")) & (
+        F.col("is_human") == F.col("classification").contains("human"))
+    return m9_classify(spark, sf).agg(
+        F.count(F.lit(1)).alias("rows"), F.every(known).alias("known_classes"),
+        F.every(F.col("confidence").between(0.0, 1.0)).alias("confidence_in_range"), F.every(flags).alias("flags_follow"))
+
+
 def m9_classify(spark, sf):
     (model, _), e = _train(spark, sf)
     return MD.classify(model, e.drop("classification", "confidence")).select(
@@ -557,7 +574,7 @@ NAMES = [
     "s3_top_ips", "s3_top_asns", "s3_top_countries", "s3_top_paths", "s4_examples", "r1_summary",
     "r2_chart_series", "r3_ua_series", "r3_ua_series_measured", "m6_training_text",
     "s5_sample", "s7_split", "m1_prompts", "m2_label", "m3_answer_parse", "m7_prompt", "m4_answer_parse",
-    "m8_train_eval", "m9_classify", "st1_stream_parse", "st2_stream_hourly", "st3_stream_rate_alert",
+    "m8_train_eval", "m9_classify", "m8_invariants", "m9_invariants", "st1_stream_parse", "st2_stream_hourly", "st3_stream_rate_alert",
 ]
 
 QUERIES = {name: globals()[name] for name in NAMES}

@@ -486,7 +486,7 @@ def build() -> dict[str, str]:
     parts += [f"'- {f}: ' || coalesce(CAST({feat[f]} AS VARCHAR), 'null')" for f in LABEL_PROMPT_FIELDS]
     parts += [f"'- requests_per_minute: ' || {rpm2}",
               "'- time_diff: ' || coalesce(CAST(td AS VARCHAR), 'N/A')"]
-    q["m1_prompts"] = (
+    enriched_ctes = (
         f"{PRE}{W1}{IPT}{REP},"
         f" dos AS (SELECT ip AS d_ip FROM wd GROUP BY ip HAVING (CASE WHEN {dur} > 0 THEN count(ts) / {dur}"
         " ELSE count(ts) END) > 30 AND avg(td) < 1.0 AND count(ts) > 50),"
@@ -498,12 +498,32 @@ def build() -> dict[str, str]:
         " ON r.ip = b.ip GROUP BY 1, 2),"
         " coord AS (SELECT asn AS c_asn FROM ipc GROUP BY asn HAVING sum(c) > 100 AND count(*) > 5"
         " AND stddev_samp(c) / avg(c) < 0.5),"
-        " hep AS (SELECT path AS h_path FROM req WHERE status_code >= 500 GROUP BY path HAVING count(*) > 5)"
-        f" SELECT n, concat_ws(chr(10), {', '.join(parts)}) AS prompt"
+        " hep AS (SELECT path AS h_path FROM req WHERE status_code >= 500 GROUP BY path HAVING count(*) > 5)")
+    enriched_from = (
         " FROM wd JOIN ipt2 ON wd.ip = ipt2.ip JOIN rep ON wd.ip = rep.ip"
         " LEFT JOIN dos ON wd.ip = dos.d_ip LEFT JOIN scan ON wd.ip = scan.s_ip"
         " LEFT JOIN spk ON date_trunc('minute', wd.ts) = spk.s_min LEFT JOIN coord ON rep.asn = coord.c_asn"
         " LEFT JOIN hep ON wd.path = hep.h_path")
+    q["m1_prompts"] = f"{enriched_ctes} SELECT n, concat_ws(chr(10), {', '.join(parts)}) AS prompt{enriched_from}"
+    # M2: the sampled rows with the labels of the default rules.
+    from .label import BAD_SIGNALS, BOT_SIGNALS
+    f = {k: f"coalesce({v}, FALSE)" for k, v in feat.items()}
+    no_ua = f"(NOT {f['has_user_agent']})"
+    signals = list(dict.fromkeys(BOT_SIGNALS + BAD_SIGNALS))
+    bot = "(" + " OR ".join([f[k] for k in BOT_SIGNALS] + [no_ua]) + ")"
+    bad = "(" + " OR ".join([f[k] for k in BAD_SIGNALS] + [f"({no_ua} AND coalesce(status_code >= 400, FALSE))"]) + ")"
+    fired = [f"CASE WHEN {f[k]} THEN '{k}' END" for k in signals] + [f"CASE WHEN {no_ua} THEN 'no_user_agent' END"]
+    n_fired = " + ".join([f"CAST({f[k]} AS INT)" for k in signals] + [f"CAST({no_ua} AS INT)"])
+    q["m2_label"] = (
+        f"{enriched_ctes} SELECT n, CASE WHEN {bad} AND {bot} THEN 'illegitimate_bot' WHEN {bad} THEN 'illegitimate_human'"
+        f" WHEN {bot} THEN 'legitimate_bot' ELSE 'legitimate_human' END AS classification,"
+        f" least(CAST(0.95 AS DOUBLE), CAST(0.6 AS DOUBLE) + CAST(0.1 AS DOUBLE) * ({n_fired})) AS confidence,"
+        f" coalesce(nullif(concat_ws('; ', {', '.join(fired)}), ''), 'no risk indicator') AS reasoning"
+        f" FROM (SELECT * FROM wd ORDER BY md5({key} || '42'), {RAW}, n LIMIT 1000) wd {enriched_from.replace('FROM wd', '', 1).lstrip()}")
+    # M8/M9: what holds for any trained model.
+    labelled = f"classification IN ({', '.join(repr(c) for c in fixed.CLASSES)})"
+    q["m8_invariants"] = f"{PRE} SELECT count(*) FILTER (WHERE {labelled}) AS rows_used, TRUE AS finite_loss, TRUE AS accuracy_in_range FROM req"
+    q["m9_invariants"] = f"{PRE} SELECT count(*) AS rows, TRUE AS known_classes, TRUE AS confidence_in_range, TRUE AS flags_follow FROM req"
     q["m6_training_text"] = (f"{PRE}{W1}{IPT}{REP} SELECT {facts} AS input, {label_txt} AS output"
                              " FROM wd JOIN ipt2 ON wd.ip = ipt2.ip JOIN rep ON wd.ip = rep.ip")
 

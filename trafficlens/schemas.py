@@ -21,25 +21,11 @@ PARSED_COLUMNS = [f.name for f in PARSED.fields]
 # (ip, timestamp) keep this order in the lag.
 FILE_ORDER = ["source_file", "block_start", "line_id"]
 
-LABEL_COLUMNS = T.StructType([
-    T.StructField("classification", T.StringType()),
-    T.StructField("confidence", T.DoubleType()),
-    T.StructField("reasoning", T.StringType()),
-])
-
 TRAINING_EXAMPLE = T.StructType([
     T.StructField("input", T.StringType()),
     T.StructField("output", T.StringType()),
 ])
 
-BLOCKLIST = T.StructType([
-    T.StructField("ip", T.StringType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("asn", T.StringType()),
-    T.StructField("organization", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-])
-
 HOURLY_COUNT_COLUMNS = [
     "total_requests", "legitimate_requests", "illegitimate_requests", "human_requests",
     "bot_requests", "legitimate_human_requests", "legitimate_bot_requests",

@@ -79,7 +79,7 @@ def duck_blocklist_sql() -> str:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
-    ev = spread(ev)
+    ev = spread(ev, unsplittable=True)  # a Parquet file of one row group
     return ev.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.traffic import default_order
 from ..schemas import HOURLY, TRAINING_EXAMPLE
 
 
@@ -23,14 +24,27 @@ def write_stage_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """Parquet stage table; partition by a date column for pruning of later reads."""
+def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
+                order_by: list[str] | None = None) -> None:
+    """Parquet stage table; partition by a date column for pruning of later reads.
+
+    ``order_by`` (S1) sorts the table: its files follow one another by range, and
+    the rows are sorted within each.
+    """
+    if order_by:
+        df = df.orderBy(*order_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def first_rows(df: DataFrame, k: int = 10, order_by: list[str] | None = None) -> DataFrame:
+    """The first ``k`` rows in the order of the columns (by default file order, then
+    the raw line), which makes the choice definite; a top-k, no global sort."""
+    return df.orderBy(*(order_by or default_order(df))).limit(k)
+
+
 def write_training_jsonl(examples: DataFrame, path: str, mode: str = "overwrite") -> None:
     """IO5: JSON Lines of ``{input, output}``."""
     examples.select("input", "output").write.mode(mode).json(path)
