@@ -233,5 +233,6 @@ def reputation_flags(countries: list[str], flagged_asn: str | None) -> dict[str,
         out["is_hostroyale_asn"] = F.coalesce(c("asn").contains(flagged_asn), F.lit(False))
     out["is_high_risk_country"] = F.coalesce(c("country").isin(countries), F.lit(False))
     out["is_high_risk_asn"] = F.coalesce(c("asn_reputation_score") > 50, F.lit(False))
-    out["combined_reputation_score"] = (c("ip_reputation_score") * 0.7) + (c("asn_reputation_score") * 0.3)
+    out["combined_reputation_score"] = (
+        (c("ip_reputation_score") * fixed.IP_REPUTATION_WEIGHT) + (c("asn_reputation_score") * fixed.ASN_REPUTATION_WEIGHT))
     return out

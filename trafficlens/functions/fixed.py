@@ -220,3 +220,25 @@ S_FAMILIES = {
     "shell_upload_matches": S_SHELL_PATTERNS,
     "malicious_ext_matches": S_MALICIOUS_EXT_PATTERNS,
 }
+
+# A labeller's answer: a fenced JSON block, else the outermost braces, else three quoted fields.
+LABEL_FENCE_REGEX = r"(?s)```json\s*(\{.*?\})\s*```"
+LABEL_BRACES_REGEX = r"(?s)(\{.*\})"
+LABEL_CLASSIFICATION_REGEX = r'"classification":\s*"([^"]+)"'
+LABEL_CONFIDENCE_REGEX = r'"confidence":\s*([\d.]+)'
+LABEL_REASONING_REGEX = r'"reasoning":\s*"([^"]+)"'
+
+# A generated answer, and the texts that stand for what it lacks.
+ANSWER_CLASSIFICATION_REGEX = r"Classification:\s*(\w+)"
+ANSWER_CONFIDENCE_REGEX = r"Confidence:\s*([\d.]+)"
+ANSWER_REASONING_REGEX = r"(?s)Reasoning:\s*(.+?)(?=$|\n\n)"
+NO_REASONING = "No reasoning provided"
+ANSWER_ERROR = "Error parsing model output"
+
+# Shares of the approximate user-agent series: old browsers of illegitimate humans, no user agent of illegitimate bots.
+OLD_BROWSER_SHARE = 0.7
+NO_USER_AGENT_SHARE = 0.3
+
+# Weights of the address and of its network in the combined reputation score.
+IP_REPUTATION_WEIGHT = 0.7
+ASN_REPUTATION_WEIGHT = 0.3

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import fixed
 from .fixed import UNKNOWN_CLASS
 
 
@@ -37,18 +38,18 @@ def parse_label_answer(text: Column) -> Column:
     0.0 / ''.  Once a block is found nothing else is tried: one that is not a
     JSON object is unknown, and a field that it lacks takes its default.
     """
-    fenced = F.regexp_extract(text, r"(?s)```json\s*(\{.*?\})\s*```", 1)
-    braces = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
+    fenced = F.regexp_extract(text, fixed.LABEL_FENCE_REGEX, 1)
+    braces = F.regexp_extract(text, fixed.LABEL_BRACES_REGEX, 1)
     block = F.when(fenced != "", fenced).when(braces != "", braces)
     # inside an array, what follows a first object is an error, too
     found = F.from_json(F.concat(F.lit("["), block, F.lit("]")), T.ArrayType(LABEL_SCHEMA))
     js = F.when(F.size(found) == 1, F.get(found, F.lit(0)))
-    cls = F.regexp_extract(text, r'"classification":\s*"([^"]+)"', 1)
-    conf = F.regexp_extract(text, r'"confidence":\s*([\d.]+)', 1).try_cast("double")
-    rsn = F.regexp_extract(text, r'"reasoning":\s*"([^"]+)"', 1)
+    cls = F.regexp_extract(text, fixed.LABEL_CLASSIFICATION_REGEX, 1)
+    conf = F.regexp_extract(text, fixed.LABEL_CONFIDENCE_REGEX, 1).try_cast("double")
+    rsn = F.regexp_extract(text, fixed.LABEL_REASONING_REGEX, 1)
     loose = F.when((cls != "") & conf.isNotNull(), F.struct(
         cls.alias("classification"), conf.alias("confidence"),
-        F.when(rsn != "", rsn).otherwise(F.lit("No reasoning provided")).alias("reasoning")))
+        F.when(rsn != "", rsn).otherwise(F.lit(fixed.NO_REASONING)).alias("reasoning")))
 
     def field(name, default):
         return F.coalesce(F.when(block.isNotNull(), js[name]).otherwise(loose[name]), F.lit(default)).alias(name)
@@ -62,15 +63,15 @@ def parse_generated_answer(text: Column) -> Column:
     Missing fields default to unknown / 0.0 / 'No reasoning provided'; a
     confidence that is not a number gives the error defaults.
     """
-    cls_raw = F.regexp_extract(text, r"Classification:\s*(\w+)", 1)
-    conf_txt = F.regexp_extract(text, r"Confidence:\s*([\d.]+)", 1)
+    cls_raw = F.regexp_extract(text, fixed.ANSWER_CLASSIFICATION_REGEX, 1)
+    conf_txt = F.regexp_extract(text, fixed.ANSWER_CONFIDENCE_REGEX, 1)
     conf = conf_txt.try_cast("double")
-    rsn = F.regexp_extract(text, r"(?s)Reasoning:\s*(.+?)(?=$|\n\n)", 1)
+    rsn = F.regexp_extract(text, fixed.ANSWER_REASONING_REGEX, 1)
     bad = (conf_txt != "") & conf.isNull()
     cls = F.when(bad, F.lit(UNKNOWN_CLASS)).when(cls_raw != "", cls_raw).otherwise(F.lit(UNKNOWN_CLASS))
     confidence = F.when(bad, F.lit(0.0)).otherwise(F.coalesce(conf, F.lit(0.0)))
-    reasoning = (F.when(bad, F.lit("Error parsing model output"))
-                  .when(rsn != "", F.trim(rsn)).otherwise(F.lit("No reasoning provided")))
+    reasoning = (F.when(bad, F.lit(fixed.ANSWER_ERROR))
+                  .when(rsn != "", F.trim(rsn)).otherwise(F.lit(fixed.NO_REASONING)))
     lc = F.lower(cls)
     return F.struct(
         cls.alias("classification"), confidence.alias("confidence"), reasoning.alias("reasoning"),

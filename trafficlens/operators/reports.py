@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import features as X
-from ..functions.fixed import CLASSES, ILLEGITIMATE_CLASSES, UNKNOWN_CLASS
+from ..functions.fixed import (CLASSES, ILLEGITIMATE_CLASSES, NO_USER_AGENT_SHARE, OLD_BROWSER_SHARE,
+                               UNKNOWN_CLASS)
 from . import summary as SM
 
 R1_COLUMNS = ["section", "rank", "key", "count", "pct"]
@@ -107,7 +108,8 @@ def ua_series_approx(hourly: DataFrame) -> DataFrame:
     """R3 as the reference draws it: class percentages standing in for user-agent
     kinds (old browser = 0.7 x illegitimate human, none = 0.3 x illegitimate bot)."""
     stack = ("stack(4, 'modern_browser', legitimate_human_pct, 'known_bot', legitimate_bot_pct, "
-             "'old_browser', illegitimate_human_pct * 0.7, 'no_user_agent', illegitimate_bot_pct * 0.3) "
+             f"'old_browser', illegitimate_human_pct * {OLD_BROWSER_SHARE}D, "
+             f"'no_user_agent', illegitimate_bot_pct * {NO_USER_AGENT_SHARE}D) "
              "as (series, value)")
     return hourly.selectExpr("hour", stack).select(F.lit("ua_composition").alias("chart"), "hour", "series",
                                                    F.col("value").cast("double").alias("value"))
