@@ -62,6 +62,16 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "stages", name)
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held by the JVM and the worker at once.
+ARROW_ROWS = "1000"
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """What jobs with Python workers rely on: the package by value, and batches of few rows."""
+    ship_package()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def ship_package() -> None:
     """Send this package's functions to Python workers by value, so that the
     workers need not have it on their path."""
