@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +23,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: width stays below this many bytes; larger sides go through a shuffle join.
 BROADCAST_BYTES = 32 << 20
 
-#: Rows of an Arrow batch that a Python function gets at once.
-SLICE = 4096
+#: Rows of an Arrow batch that a Python function gets at once, and rows that it returns at once.
+SLICE, PART = 2048, 512
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -41,13 +43,40 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of written tables that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stage)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def with_file_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column ``name`` that tells its rows apart and is the same at every reading.
+
+    For a table as read from Parquet files: the hash of the file's path and the
+    row's place in the file.  Any other DataFrame (but not one that repeats the
+    rows of a file by a join or an explode) is written once with a row number.
+    """
+    try:
+        file = F.xxhash64("_metadata.file_path").alias("file")
+        out = df.select("*", F.struct(file, F.col("_metadata.row_index").alias("index")).alias(name))
+        out.schema  # resolves the columns
+        return out
+    except AnalysisException:
+        return write_table(df.withColumn(name, F.struct(F.lit(0).cast("bigint").alias("file"),
+                                                        F.monotonically_increasing_id().alias("index"))), "rows")
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """``df`` with a broadcast hint when ``rows * row_bytes`` is in bounds."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
@@ -63,6 +92,26 @@ def crc_remainder(column: str, n: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def trim() -> None:
+    """Give freed memory back to the system; Python workers outlive their tasks."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def trimmed(run):
+    """``run``, a function over Arrow batches, with :func:`trim` at the end of the task."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
+
+
 def add_columns(df: DataFrame, inputs: list[str], added: str, start, drop: list[str] = ()) -> DataFrame:
     """``df`` with the columns of the DDL ``added``, computed in Arrow batches.
 
@@ -83,10 +132,13 @@ def add_columns(df: DataFrame, inputs: list[str], added: str, start, drop: list[
             for i in range(0, batch.num_rows, SLICE):
                 b = batch.slice(i, SLICE)
                 made = f(*[b.column(c).to_pylist() for c in inputs])
-                arrays = [b.column(c) for c in names] + [pa.array(x, t) for x, t in zip(made, types)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[x.name for x in schema])
+                for k in range(0, b.num_rows, PART):
+                    part = b.slice(k, PART)
+                    arrays = [part.column(c) for c in names] + [pa.array(x[k:k + PART], t) for x, t in zip(made, types)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[x.name for x in schema])
+                trim()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:

@@ -36,12 +36,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, mix, small_side, write_table
+from .common import discard, id_remainder, mix, trim, trimmed, write_table
 
 K = 5  # counts up to here are discounted
-CHUNK = 1 << 22  # tokens in a chunk
+CHUNK = 1 << 20  # tokens in a chunk
 PIECE = 1 << 20  # tokens of one text handled together
-PER_BUCKET = 1 << 22  # training and scored tokens for each partition of the tables
+PER_BUCKET = 1 << 21  # training and scored tokens for each partition of the tables
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))  # no word holds a space
 PARTS = ("kind int, g bigint, row bigint, n bigint, x double, n1 bigint, n2 bigint, n3 bigint, n4 bigint, n5 bigint, "
          "m bigint, s double, packed binary")
@@ -58,10 +58,12 @@ def pack(a: np.ndarray) -> bytes:
 
 
 def unpack(data: bytes) -> np.ndarray:
+    """The packed integers, as 32-bit ones where they fit."""
     width, raw = data[0], np.frombuffer(zstandard.decompress(data[1:]), np.uint8)
-    out = np.zeros((len(raw) // width, 8), np.uint8)
+    size = 4 if width < 4 else 8
+    out = np.zeros((len(raw) // width, size), np.uint8)
     out[:, :width] = raw.reshape(width, -1).T
-    return out.view("<i8").ravel()
+    return out.view(f"<i{size}").ravel()
 
 
 def pack_all(arrays: list[np.ndarray]) -> bytes:
@@ -157,7 +159,7 @@ def tokenised(docs: DataFrame, held_out_of: int) -> DataFrame:
             yield flush()
 
     return write_table(docs.select("doc_id", "text").mapInArrow(
-        run, "chunk bigint, base bigint, words binary, counts binary, doc_ids array<bigint>, tokens binary, n bigint, n_train bigint"),
+        trimmed(run), "chunk bigint, base bigint, words binary, counts binary, doc_ids array<bigint>, tokens binary, n bigint, n_train bigint"),
         "katz-chunks")
 
 
@@ -191,7 +193,7 @@ def unigrams(chunks: DataFrame, buckets: int) -> DataFrame:
                          "place": pa.array([pack(p) for p in parts] + [words.tobytes()], pa.binary()),
                          "stats": pa.array([None] * len(h) + [stats], pa.list_(pa.int64()))})
 
-    asked = chunks.select("chunk", "words", "counts").mapInArrow(ask, "bucket int, chunk bigint, words binary, counts binary")
+    asked = chunks.select("chunk", "words", "counts").mapInArrow(trimmed(ask), "bucket int, chunk bigint, words binary, counts binary")
     return write_table(asked.groupBy("bucket").applyInArrow(
         answer, "bucket int, chunk bigint, counts binary, place binary, stats array<bigint>"), "katz-unigrams")
 
@@ -217,14 +219,17 @@ def bigrams(chunks: DataFrame, answers: DataFrame, sizes: list[tuple[int, int]],
 
     def send(batches):
         for b in batches:
-            for r in b.to_pylist():
+            for i in range(b.num_rows):
+                trim()  # after the chunk before
+                r = b.slice(i, 1).to_pylist()[0]
                 c_h, g_h = [], []
                 for a in sorted(r["answers"], key=lambda a: a["bucket"]):
                     c_h.append(unpack(a["counts"]))
-                    g_h.append(unpack(a["place"]) + offset[a["bucket"]])
+                    g_h.append(unpack(a["place"]).astype(np.int64) + offset[a["bucket"]])
                 rank, ids, length, train, before, row = unpack_all(r["tokens"])
                 count, gid = np.empty(len(rank) + 1, np.int64), np.empty(len(rank) + 1, np.int64)
                 count[rank], gid[rank] = np.concatenate(c_h), np.concatenate(g_h)
+                del r["answers"], r["tokens"], c_h, g_h
                 count[-1], gid[-1] = n_train, offset[-1]  # the beginning of a text
                 first = np.cumsum(np.r_[0, length[:-1]])
                 seen = count[ids]
@@ -234,10 +239,11 @@ def bigrams(chunks: DataFrame, answers: DataFrame, sizes: list[tuple[int, int]],
                 last = np.empty_like(ids)
                 last[1:] = ids[:-1]
                 last[first] = before
-                pair, which = np.unique(last * (len(rank) + 1) + ids, return_inverse=True)
-                piece = np.repeat(np.arange(len(length)), length)[np.argsort(which, kind="stable")]
+                pair, which = np.unique(last.astype(np.int64) * (len(rank) + 1) + ids, return_inverse=True)
+                piece = np.repeat(np.arange(len(length), dtype=np.int32), length)[np.argsort(which, kind="stable")]
                 times = np.bincount(which)
                 learnt = np.bincount(which, np.repeat(train, length)).astype(np.int64)
+                del which, last, ids, seen
                 h, w = pair // (len(rank) + 1), pair % (len(rank) + 1)
                 salts = -(-count[h] // most) + (count[h] == 0)
                 salt = (mix(gid[w].astype(np.uint64)) % salts.astype(np.uint64)).astype(np.int64)
@@ -262,22 +268,28 @@ def bigrams(chunks: DataFrame, answers: DataFrame, sizes: list[tuple[int, int]],
              pa.array([ids], pa.list_(pa.int64()))], names=["bucket", "base", "packed", "raw", "doc_ids"])
 
     def look_up(t: pa.Table) -> pa.Table:
+        trim()  # after the group before
         out = []
         if t["bucket"][0].as_py() >= buckets:  # what a chunk knows about its texts
             for r in t.to_pylist():
                 row, n, n_known = unpack_all(r["packed"])
-                out.append(rows_of(DOC, len(row), g=pa.array(r["doc_ids"], pa.int64()), row=row + r["base"], n=n, n1=n_known, s=np.frombuffer(r["raw"])))
+                out.append(rows_of(DOC, len(row), g=pa.array(r["doc_ids"], pa.int64()), row=row.astype(np.int64) + r["base"], n=n, n1=n_known, s=np.frombuffer(r["raw"])))
             return pa.concat_tables(out)
         parts = [unpack_all(x) for x in t["packed"].to_pylist()]
-        g = np.concatenate([np.repeat(np.cumsum(p[0]), p[2]) for p in parts])
-        c1 = np.concatenate([np.repeat(p[1], p[2]) for p in parts])
-        w, learnt, c2 = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5))
-        hist, h = np.unique(g, return_inverse=True)
+        hist = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.int64) for p in parts]))
+        w = np.concatenate([p[3] for p in parts])
         wide = int(w.max()) + 1
-        key, first, which = np.unique(h * wide + w, return_index=True, return_inverse=True)
-        c = np.bincount(which, learnt, len(key)).astype(np.int64)
-        h, c1, c2, w = h[first], c1[first], c2[first], w[first]
-        lp = log_p1(c2)
+        of = np.concatenate([np.repeat(np.searchsorted(hist, np.cumsum(p[0], dtype=np.int64)), p[2]) for p in parts])
+        key, first, which = np.unique(of * wide + w, return_index=True, return_inverse=True)
+        h, w = of[first], w[first]
+        del of
+        which = which.astype(np.int32)
+        c = np.bincount(which, np.concatenate([p[4] for p in parts]), len(key)).astype(np.int64)
+        c1 = np.concatenate([np.repeat(p[1], p[2]) for p in parts])[first].astype(np.int64)
+        lp = log_p1(np.concatenate([p[5] for p in parts])[first])
+        size = [len(p[3]) for p in parts]
+        for p in parts:  # only what tells the texts is needed from here on
+            p[:6] = [None] * 6
         some = c > 0
         n_r = [np.bincount(h[c == r], minlength=len(hist)) for r in range(1, K + 1)]
         rest = np.bincount(h[c > K], c[c > K], len(hist)).astype(np.int64)
@@ -297,10 +309,10 @@ def bigrams(chunks: DataFrame, answers: DataFrame, sizes: list[tuple[int, int]],
         at = np.flatnonzero((needed | salted) & (whole > 0))
         out.append(rows_of(HISTORY, len(at), g=hist[at], n=whole[at], m=rest[at], s=held[at], **{f"n{r + 1}": n_r[r][at] for r in range(K)}))
         done = 0
-        for p, base in zip(parts, t["base"].to_pylist()):
-            k = np.repeat(which[done:done + len(p[3])], p[6])
-            done += len(p[3])
-            piece, row = p[7], p[8] + base
+        for p, base, m in zip(parts, t["base"].to_pylist(), size):
+            k = np.repeat(which[done:done + m], p[6])
+            done += m
+            piece, row = p[7], p[8].astype(np.int64) + base
             direct = some[k] | (c1[k] == 0)
             n = len(row)
             there = np.flatnonzero(np.bincount(piece[direct], minlength=n))
@@ -315,7 +327,7 @@ def bigrams(chunks: DataFrame, answers: DataFrame, sizes: list[tuple[int, int]],
     told = (answers.where("chunk IS NOT NULL").groupBy("chunk")
             .agg(F.collect_list(F.struct("bucket", "counts", "place")).alias("answers")))
     sent = chunks.select("chunk", "base", "doc_ids", "tokens").join(told, "chunk").mapInArrow(
-        send, "bucket int, base bigint, packed binary, raw binary, doc_ids array<bigint>")
+        trimmed(send), "bucket int, base bigint, packed binary, raw binary, doc_ids array<bigint>")
     return write_table(sent.groupBy("bucket").applyInArrow(look_up, PARTS), "katz-parts")
 
 
@@ -331,6 +343,7 @@ def score(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     stats = answers.where("stats IS NOT NULL").select("bucket", "stats").collect()  # one row per partition
     _, known, total, *types = np.sum([r["stats"] for r in stats], 0).tolist() if stats else [0] * (K + 4)
     parts = bigrams(chunks, answers, [(r["bucket"], r["stats"][0]) for r in stats], buckets, total, known, types, n_train, n_all)
+    discard(chunks)
     counts = parts.where(F.col("kind") == TYPES).agg(*[F.sum(f"n{r}") for r in range(1, K + 1)], F.sum("m")).first()
     d = discounts([int(v or 0) for v in counts])
     kept = sum(F.col(f"n{r}") * (r * d[r - 1]) for r in range(1, K + 1)) + F.col("m")
