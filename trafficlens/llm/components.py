@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import discard, write_table
 
 
 def connected(links: DataFrame, name: str = "components") -> DataFrame:
@@ -27,7 +27,8 @@ def connected(links: DataFrame, name: str = "components") -> DataFrame:
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = (large.join(least, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
                  .unionByName(least.select("v", F.col("m").alias("u"))).distinct())
-        edges = write_table(small, name)
+        old, edges = edges, write_table(small, name)
+        discard(old)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(

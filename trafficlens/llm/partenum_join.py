@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, small_side, write_table
+from .common import discard, mix, small_side, trimmed, write_table
 from .components import connected
 
 WORDS, SIMILAR = 5, 80
@@ -151,7 +151,7 @@ def sets(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
                 names=[*keep, "n_shingles", "node", "sketch"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{ddl}, n_shingles bigint, node bigint, sketch array<bigint>")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(trimmed(run), f"{ddl}, n_shingles bigint, node bigint, sketch array<bigint>")
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.uint64), counts).view(np.int64))],
                     names=["sig", "node"])
 
-    return docs.select("text").mapInArrow(run, "sig bigint, node bigint")
+    return docs.select("text").mapInArrow(trimmed(run), "sig bigint, node bigint")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str) -> DataFrame:
@@ -196,13 +196,15 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str) -> Data
 
     rows = docs.select(key, "text").join(small_side(wanted, n, 24), key)
     # a key that repeats could bring another text of the same key: only the node's own set counts
-    items = write_table(rows.select("node", "text").mapInArrow(run, "node bigint, items array<bigint>"), "join-sets")
+    items = write_table(rows.select("node", "text").mapInArrow(trimmed(run), "node bigint, items array<bigint>"), "join-sets")
     left = items.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = items.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     linked = pairs.select("a", "b").join(left, "a").join(right, "b").where(
         100 * both >= SIMILAR * (F.size("x") + F.size("y") - both))
-    return write_table(linked.select("a", "b"), "join-links")
+    linked = write_table(linked.select("a", "b"), "join-links")
+    discard(wanted, items)
+    return linked
 
 
 def may_link(n: str, m: str, x: str, y: str):
@@ -241,32 +243,58 @@ def classes(docs: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = ()) ->
     chain = write_table(chain.select("sig", "a", "b"), "join-chain")
     near = (chain.select("a", "b").distinct().join(side(1, "a"), "a").join(side(2, "b"), "b")
             .where(may_link("n1", "n2", "sketch1", "sketch2")).select("a", "b"))
-    links = verify(write_table(near, "join-near"), docs, reps, key)
+    near = write_table(near, "join-near")
+    links = verify(near, docs, reps, key)
     parts = write_table(connected(links), "join-parts")
 
-    # signatures of three sets or more whose members are not all in one component, one for each set of members
+    # Signatures of three sets or more whose members are not all in one component.  Sets that are alike
+    # share many of them, so signatures with the same smallest member become one group: a pair is formed
+    # in a few groups, not in every signature that it shares.
     many = chain.groupBy("sig").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("sig")
     held = chain.join(many, "sig", "left_semi")
     held = held.select("sig", F.col("a").alias("node")).unionByName(held.select("sig", F.col("b").alias("node"))).distinct()
     n_parts = parts.count()
     held = held.join(small_side(parts, n_parts, 48), "node", "left").withColumn("root", F.coalesce("root", "node"))
     held = write_table(held, "join-held")
-    members = (held.groupBy("sig").agg(
-        F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"),
-        F.bit_xor(F.xxhash64("node")).alias("m1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("m2")).where("r0 <> r1"))
-    once = members.groupBy("size", "m1", "m2").agg(F.min("sig").alias("sig")).select("sig")
-    open_ = write_table(held.join(once, "sig", "left_semi").join(sketches, "node"), "join-open")
-    x = open_.select("sig", *[F.col(c).alias(f"{c}1") for c in ("node", "root", "n", "sketch")])
-    y = open_.select(F.col("sig").alias("sig2"), *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "sketch")])
-    rest = (x.join(y, (F.col("sig") == F.col("sig2")) & (F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2"))
+    split = (held.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("node").alias("group"))
+             .where("r0 <> r1").select("sig", "group"))
+    open_ = held.join(split, "sig").select("group", "node", "root").distinct()
+    open_ = write_table(open_.join(sketches, "node"), "join-open")
+    x = open_.select("group", *[F.col(c).alias(f"{c}1") for c in ("node", "root", "n", "sketch")])
+    y = open_.select(F.col("group").alias("group2"), *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "sketch")])
+    rest = (x.join(y, (F.col("group") == F.col("group2")) & (F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2"))
                    & may_link("n1", "n2", "sketch1", "sketch2"))
             .select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct().join(near, ["a", "b"], "left_anti"))
-    more = verify(write_table(rest, "join-rest"), docs, reps, key)
-    parts = write_table(connected(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "join-parts")
+    rest = write_table(rest, "join-rest")
+    more = verify(rest, docs, reps, key)
+    old, parts = parts, write_table(
+        connected(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "join-parts")
+    discard(chain, near, links, held, open_, rest, more, old)
     lowest = (parts.join(nodes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("low")))
     node_class = write_table(
         nodes.select("node", "first_id").join(parts, "node", "left").join(lowest, "root", "left")
         .select("node", F.coalesce("root", "node").alias("class_node"), F.coalesce("low", "first_id").alias("component_id")), "join-classes")
+    discard(nodes, parts)
     out = info.join(node_class, "node", "left")
     return out.select(*columns, "n_shingles", "class_node",
                       F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+# all pairs with a common shingle, for tables of moderate size
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS a
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(a[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, a, unnest(range(1, greatest(len(a) - 4, 1) + 1)) AS i FROM w WHERE len(a) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""

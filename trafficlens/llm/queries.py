@@ -93,6 +93,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_partenum_join": PJ.ORACLE_SQL,
     "op5_topk_inner": TK.ORACLE_SQL,
     "op6_source_mixing": SM.ORACLE_SQL,
     "op8_warc": WA.ORACLE_SQL,
