@@ -22,9 +22,9 @@ from trafficlens.llm import language_mixture as LM
 from trafficlens.llm import line_runs as LR
 from trafficlens.llm import partenum_join as PJ
 from trafficlens.llm import source_mixing as SM
-from trafficlens.llm.common import WORD, read, small_side, write_table
+from trafficlens.llm.common import WORD, discard, read, small_side, with_file_rows, write_table
 from trafficlens.llm.queries import tokenizer
-from trafficlens.session import ship_package
+from trafficlens.session import prepare_workers
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_SHARE = 0.5  # of the leading language for a document to stay
@@ -33,7 +33,7 @@ MAX_EPOCHS = 3
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1, trained on all labelled rows."""
-    ship_package()
+    prepare_workers(spark)
     langs, model = LM.train(docs, F.lit(True))
     found = LM.identify(docs, langs, model, keep=tuple(COLUMNS))
     return found.where((F.col("lang_pred") != LM.UNDETERMINED) & (F.col("score") >= MIN_SHARE)).select(*COLUMNS)
@@ -49,15 +49,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4; one document of each component stays."""
-    ship_package()
-    frozen = write_table(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "near-docs")
+    prepare_workers(spark)
+    frozen = with_file_rows(docs.select(*COLUMNS), "row")
     classes = write_table(PJ.classes(frozen, key="row").where(F.col("class_node").isNotNull()), "near-classes")
     place = F.struct("doc_id", "row")
     first = classes.groupBy("class_node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = write_table(first.select("class_node", "first"), "near-first")
-    extra = write_table(classes.join(small_side(first, first.count(), 48), "class_node")
+    extra = write_table(classes.join(small_side(first, first.count(), 64), "class_node")
                         .where(place > F.col("first")).select("row"), "near-extra")
-    return frozen.join(small_side(extra, extra.count(), 16), "row", "left_anti").select(*COLUMNS)
+    discard(classes, first)
+    return frozen.join(small_side(extra, extra.count(), 24), "row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +70,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: token counts and digests of every row of the mix."""
-    ship_package()
+    prepare_workers(spark)
     ranks, pattern = tokenizer()
     return BP.digests(docs, ranks, pattern)
 

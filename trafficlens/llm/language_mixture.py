@@ -18,11 +18,11 @@ repeated results; extra columns are not read.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns
+from .common import add_columns, trimmed
 
 BUCKETS = 1 << 16
 BLOCK = 1 << 20  # characters handled at once; the whole text is covered
@@ -60,17 +60,26 @@ def train(docs: DataFrame, is_training) -> tuple[list[str], np.ndarray]:
     def count(batches):
         letters = letter_table()
         total: dict[str, np.ndarray] = {}
-        for pdf in batches:
-            for lang, group in pdf.groupby("lang", sort=False)["text"]:
-                hashes = [trigram_hashes(t, letters) for t in group]
-                total.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                total[lang] += np.bincount(np.concatenate(hashes), minlength=BUCKETS)
+        held: dict[str, list[np.ndarray]] = {}
+
+        def add(lang):
+            total.setdefault(lang, np.zeros(BUCKETS, np.int64))
+            total[lang] += np.bincount(np.concatenate(held.pop(lang)), minlength=BUCKETS)
+
+        for b in batches:
+            for lang, text in zip(b.column("lang"), b.column("text")):
+                parts = held.setdefault(lang.as_py(), [])
+                parts.append(trigram_hashes(text.as_py(), letters))
+                if len(parts) >= 64 or len(parts[-1]) >= BLOCK:
+                    add(lang.as_py())
+        for lang in list(held):
+            add(lang)
         for lang, n in total.items():
             at = np.flatnonzero(n)
-            yield pd.DataFrame({"lang": lang, "bucket": at.astype(np.int32), "n": n[at]})
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "bucket": at.astype(np.int32), "n": n[at]})
 
     rows = docs.where(is_training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = (rows.select("lang", "text").mapInPandas(count, "lang string, bucket int, n bigint")
+    counts = (rows.select("lang", "text").mapInArrow(trimmed(count), "lang string, bucket int, n bigint")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
               .groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
               .collect())

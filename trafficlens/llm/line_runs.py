@@ -4,13 +4,14 @@ A document is the sequence of its lines that hold a word; runs never cross
 documents.  A run of consecutive lines with at least ``min_words`` words in all
 that also occurs earlier (in the order of doc_id, then row, then line) is a
 later copy: each line inside such a run is deleted, first occurrences stay.
+(Rows of one id stand in the order of their row keys.)
 
 The suffix array is built by prefix doubling: rank 1 is the place of the line id
 among the ids that repeat, rank 2h of a position the place of the pair (rank h
 here, rank h at h lines on).  Positions of one rank share h lines: an interval
 of the array whose longest common prefix is h or more.  Runs that occur once
 lose their rank at once, so each round only carries repeated runs, and doubling
-ends when none repeats or h reaches ``min_words`` lines.  The interval of all
+ends when none repeats or a run of ``min_words`` lines is covered by two of h lines.  The interval of all
 suffixes that share a run of any length between h and 2h is the one with equal
 ranks h at its first and at its last h lines.  The shortest runs with enough
 words that start at each line, and those that end at each line, cover every
@@ -31,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, WORD, small_side, write_table
+from .common import BROADCAST_BYTES, WORD, discard, small_side, with_file_rows, write_table
 
 MIN_WORDS = 50
 ROW = "__row"
@@ -60,10 +61,10 @@ def doubled_ranks(lines: DataFrame, min_words: int) -> tuple[DataFrame, list[int
     in_row = Window.partitionBy(ROW).orderBy("pos")
     at = at.withColumn("seg", F.col("pos") - F.row_number().over(in_row))
     upto = F.sum("w").over(Window.partitionBy(ROW, "seg").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    at = write_table(at.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("w")), "lines-at")
+    written = at = write_table(at.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("w")), "lines-at")
     in_seg = Window.partitionBy(ROW, "seg").orderBy("pos")
     lengths = [1]
-    while lengths[-1] < min_words:
+    while 2 * lengths[-1] <= min_words:
         h = lengths[-1]
         at = at.withColumns({"a": F.col(f"r{h}"), "b": F.lead(f"r{h}", h).over(in_seg)})
         ids = ranked(at.where("a IS NOT NULL AND b IS NOT NULL"), ["a", "b"], f"lines-r{2 * h}")
@@ -72,7 +73,9 @@ def doubled_ranks(lines: DataFrame, min_words: int) -> tuple[DataFrame, list[int
             at = at.drop("a", "b")
             break
         at = at.join(small_side(ids.withColumnRenamed("rank", f"r{2 * h}"), n, 40), ["a", "b"], "left").drop("a", "b")
-        at = write_table(at, "lines-at")
+        old, at = written, write_table(at, "lines-at")
+        discard(old)
+        written = at
         lengths.append(2 * h)
     return at, lengths
 
@@ -114,7 +117,7 @@ def later_copies(at: DataFrame, lengths: list[int], runs: DataFrame) -> DataFram
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` freed of later copies, ``n_lines`` (with a word) and ``n_deleted``."""
     docs = docs.drop(ROW, "gone", "n_lines", "n_deleted")
-    frozen = write_table(docs.withColumn(ROW, F.monotonically_increasing_id()), "lines-docs")
+    frozen = with_file_rows(docs, ROW)
     lines = write_table(worded_lines(frozen), "lines")
     at, lengths = doubled_ranks(lines, min_words)
     late = later_copies(at, lengths, shortest_runs(at, min_words))
@@ -123,6 +126,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = (at.select(ROW, "seg", "pos", "lineno").join(late.withColumnRenamed("start", "pos"), [ROW, "pos"], "left")
             .withColumn("reach", reach).where("reach > pos"))
     gone = write_table(gone.groupBy(ROW).agg(F.collect_list("lineno").alias("gone")), "lines-gone")
+    discard(lines)
     n, held = gone.agg(F.count(F.lit(1)), F.sum(F.size("gone"))).first()
     side = gone if 64 * n + 8 * (held or 0) > BROADCAST_BYTES else F.broadcast(gone)
     split = F.split("text", "\n", -1)

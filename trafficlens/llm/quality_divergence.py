@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns
+from .common import add_columns, trimmed
 
 BUCKETS = 1 << 16
 CLASSES = ("lower", "upper", "digit", "space", "newline", "sentence", "symbol", "mark", "other")
@@ -144,7 +144,7 @@ def references(docs: DataFrame, n_common: int = 60) -> dict:
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "at": at.astype(np.int32), "n": t[at]})
 
     rows = (docs.select(F.col("lang").cast("string").alias("lang"), "text")
-            .mapInArrow(count, "lang string, at int, n bigint")
+            .mapInArrow(trimmed(count), "lang string, at int, n bigint")
             .groupBy("lang", "at").agg(F.sum("n").alias("n"))
             .groupBy("lang").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n")).collect())
     chars, words, buckets = [], [], []

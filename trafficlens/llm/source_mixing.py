@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, small_side, write_table
+from .common import WORD, discard, small_side, write_table
 
 BINS = 1 << 16
 
@@ -70,7 +70,8 @@ def plan(rows: DataFrame, weights: DataFrame, max_epochs: int) -> tuple[DataFram
     bins = write_table(rows.groupBy("source", "bin").agg(F.sum("size").alias("words")), "mix-bins")
     totals = bins.groupBy("source").agg(F.sum("words").alias("source_size"))
     weighted = totals.join(weights.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
-    sources = water_fill(write_table(weighted, "mix-sources"), max_epochs)
+    weighted = write_table(weighted, "mix-sources")
+    sources = water_fill(weighted, max_epochs)
     sources = sources.withColumn(
         "whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint"))
     sources = sources.withColumn("part", F.greatest(
@@ -83,6 +84,7 @@ def plan(rows: DataFrame, weights: DataFrame, max_epochs: int) -> tuple[DataFram
     done = write_table(
         sources.join(ends, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
         .withColumn("end_bin", F.coalesce("end_bin", F.lit(BINS))), "mix-plan")
+    discard(bins, weighted)
     return done, done.count()
 
 
