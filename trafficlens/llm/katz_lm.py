@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import discard, id_remainder, mix, trim, trimmed, write_table
 
 K = 5  # counts up to here are discounted
-CHUNK = 1 << 20  # tokens in a chunk
+CHUNK = 1 << 21  # tokens in a chunk
 PIECE = 1 << 20  # tokens of one text handled together
 PER_BUCKET = 1 << 21  # training and scored tokens for each partition of the tables
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))  # no word holds a space
@@ -54,7 +54,7 @@ def pack(a: np.ndarray) -> bytes:
     a = np.ascontiguousarray(a, np.uint64)
     width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1
     planes = a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
-    return bytes([width]) + zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    return bytes([width]) + zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -343,7 +343,8 @@ def score(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     stats = answers.where("stats IS NOT NULL").select("bucket", "stats").collect()  # one row per partition
     _, known, total, *types = np.sum([r["stats"] for r in stats], 0).tolist() if stats else [0] * (K + 4)
     parts = bigrams(chunks, answers, [(r["bucket"], r["stats"][0]) for r in stats], buckets, total, known, types, n_train, n_all)
-    discard(chunks)
+    write_table(answers.where("chunk IS NULL").select("bucket", F.col("place").alias("words"), "counts"), "katz-unigram-table")
+    discard(chunks, answers)
     counts = parts.where(F.col("kind") == TYPES).agg(*[F.sum(f"n{r}") for r in range(1, K + 1)], F.sum("m")).first()
     d = discounts([int(v or 0) for v in counts])
     kept = sum(F.col(f"n{r}") * (r * d[r - 1]) for r in range(1, K + 1)) + F.col("m")
