@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_replay as BP
+from . import history_dedup as HD
 from . import katz_lm as KZ
 from . import language_mixture as LM
 from . import line_runs as LR
@@ -79,6 +80,12 @@ def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BP.digests(read(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op12_history_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = crc_remainder("doc_id", 2) == 0  # stands for the earlier deliveries
+    return HD.dedup(read(spark, sf_dir, "documents"), seen).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_language_mixture": op1_language_mixture,
     "op2_quality_divergence": op2_quality_divergence,
@@ -90,6 +97,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_line_runs": op9_line_runs,
     "op10_bpe_replay": op10_bpe_replay,
+    "op12_history_dedup": op12_history_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -98,4 +106,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_source_mixing": SM.ORACLE_SQL,
     "op8_warc": WA.ORACLE_SQL,
     "op9_line_runs": LR.ORACLE_SQL,
+    "op12_history_dedup": HD.ORACLE_SQL,
 }
