@@ -125,6 +125,7 @@ class History:
             trim()
             return pa.Table.from_arrays(row, names=["shard", "sizes", "bits", "slots"])
 
+        distinct = distinct.withColumn("best", F.col("best").cast(kind))  # its fields nullable, as in the schema
         made = distinct.withColumn("shard", shard_of("digest", shards)).groupBy("shard").applyInArrow(build, schema)
         path = path or stage_path(spark, "history")
         made.withColumn("shards", F.lit(shards)).write.parquet(path)
@@ -163,7 +164,7 @@ class History:
                                          probe.column("best").combine_chunks(), slot], names=["digest", "n_rows", "best", "slot"])
 
         part = F.when(F.lit(parts) > 1, F.conv(F.hex(F.substring("digest", 9, 7)), 16, 10).cast("bigint") % parts).otherwise(F.lit(0))
-        probe = distinct.withColumn("shard", shard_of("digest", self.shards)).withColumn("part", part.cast("bigint"))
+        probe = distinct.withColumn("best", F.col("best").cast(kind)).withColumn("shard", shard_of("digest", self.shards)).withColumn("part", part.cast("bigint"))
         held = (self.table.select("shard", "sizes", "bits", "slots")
                 .withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))))
         schema = f"digest binary, n_rows bigint, best {kind}, slot bigint"
