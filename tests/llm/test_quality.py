@@ -101,6 +101,45 @@ def test_pieces_change_nothing():
         QC.PIECE = piece
 
 
+def forward(data, net):
+    """Score of one text, filter by filter, in exact integers up to the last layer"""
+    n = max(1, -(-(len(data) - 512) // 384) + 1)
+    tops = []
+    for c in range(n):
+        piece = data[c * 384:c * 384 + 512].ljust(512, b"\0")
+        z = [[sum(int(net["embed"][piece[p + i]][d]) * int(net["filters"][i * QC.DIM + d][f]) for i in range(QC.WIDTH) for d in range(QC.DIM))
+              for p in range(0, 505, 4)] for f in range(QC.FILTERS)]
+        tops.append([max(0, max(row) + int(net["bias"][f])) for f, row in enumerate(z)])
+    by = list(zip(*tops))
+    feats = [max(t) for t in by] + [sum(t) / n for t in by] + [min(t) for t in by]
+    return 1 / (1 + np.exp(-(sum(f * w for f, w in zip(feats, net["out"])) + net["shift"][0])))
+
+
+def test_score_against_plain_forward_pass_in_any_batch():
+    rng = np.random.default_rng(9)
+    net = QC.rounded({"embed": rng.normal(0, 0.5, (256, QC.DIM)), "filters": rng.normal(0, 0.2, (QC.WIDTH * QC.DIM, QC.FILTERS)),
+                      "bias": rng.normal(0, 0.3, QC.FILTERS), "out": rng.normal(0, 0.1, 3 * QC.FILTERS), "shift": np.array([0.1])})
+    assert QC.WIDTH * QC.DIM * QC.LEVELS ** 2 < 2 ** 24
+    datas = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (0, 5, 512, 513, 900)]
+    for d in datas:
+        assert abs(QC.probability([d], net)[0] - forward(d, net)) < 1e-9
+    datas += [bytes(rng.integers(0, 256, int(n), dtype=np.uint8)) for n in rng.integers(0, 9000, 130)]
+    alone = [QC.probability([d], net)[0] for d in datas]
+    for size in (2, 3, 17, 64, 135):
+        assert [x for i in range(0, len(datas), size) for x in QC.probability(datas[i:i + size], net)] == alone
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    d, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
+    rows = docs(spark, [(r.doc_id % 7, r.text) for r in d.limit(60).collect()] + [(1, None), (1, "x" * 150_000)], clashing=True)
+    net = QC.train(d, labels.withColumn("score", labels.quality))
+    got = [sorted((r.doc_id, r.score) for r in QC.score(rows.repartition(n), net).collect()) for n in (1, 3, 8)]
+    assert got[0] == got[1] == got[2]
+    # repeated ids with several texts: the same network at every run
+    again = [QC.train(rows.repartition(n), spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id bigint, quality int")) for n in (1, 5)]
+    assert all((again[0][k] == again[1][k]).all() for k in again[0])
+
+
 def test_classifier(spark):
     d, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
     held = crc_remainder("doc_id", 5) == 0

@@ -6,15 +6,20 @@ max-pooled over the chunk; the chunks of a text are combined by the maximum,
 mean and minimum of each filter, and a logistic unit turns these into one
 probability.
 
-Training takes a bounded sample of labelled rows: at most
-``sample_per_class`` documents per label, chosen by hash of the id, with at
-most ``chunks_per_doc`` chunks each, spread over the whole text.  Scoring
-reads every chunk of every text.
+Training takes a bounded sample of labelled rows: at most ``sample_per_class``
+documents per label, chosen by hash of the id among those of at most
+``sample_bytes`` bytes, each with all its chunks.  Scoring reads every chunk of
+every text, however long.
+
+The trained weights are rounded to ``LEVELS`` steps, so that every product and
+sum of a filter is an integer below 2 ** 24, which float32 holds exactly in any
+order: a text has one score, whatever batch or partition it is scored in.
 
 Defined cases: a null or empty text is one chunk of zero bytes and gets that
 chunk's score; when the labels hold fewer than two classes the score is the
 constant 0.5, or the only class seen (0.0 or 1.0); conflicting labels of one id
-count as the smaller one; ids repeated in the documents are scored per row;
+count as the smaller one, and of several texts of one id the least as text is
+learned from; ids repeated in the documents are scored per row;
 extra columns are not read.
 """
 
@@ -32,6 +37,7 @@ DIM, FILTERS = 8, 24
 POSITIONS = (CHUNK - WIDTH) // STRIDE + 1
 PIECE = 4096  # chunks held at once
 CONV = 64  # chunks per matrix product
+LEVELS = 500  # steps of a rounded weight: WIDTH * DIM * LEVELS ** 2 < 2 ** 24
 
 
 def chunk_count(n_bytes: int) -> int:
@@ -56,7 +62,7 @@ def windows(x: np.ndarray, embed: np.ndarray) -> np.ndarray:
 
 def activations(x: np.ndarray, net: dict) -> np.ndarray:
     """Max-pooled filters of each chunk, a block of chunks at a time."""
-    out = np.empty((len(x), FILTERS), np.float32)
+    out = np.empty((len(x), FILTERS))
     for i in range(0, len(x), CONV):
         w = windows(x[i:i + CONV], net["embed"])
         z = w.reshape(-1, WIDTH * DIM) @ net["filters"]
@@ -64,6 +70,19 @@ def activations(x: np.ndarray, net: dict) -> np.ndarray:
     return np.maximum(out + net["bias"], 0)
 
 
+def rounded(net: dict) -> dict:
+    """The network with whole-number byte vectors, filters and biases; their unit goes into the last layer."""
+    steps = {k: max(float(np.abs(net[k]).max()), 1e-9) / LEVELS for k in ("embed", "filters")}
+    unit = steps["embed"] * steps["filters"]
+    return {k: np.rint(net[k] / steps[k]).astype(np.float32) for k in steps} | {
+        "bias": np.rint(net["bias"].astype(float) / unit), "out": net["out"].astype(float) * unit, "shift": net["shift"].astype(float)}
+
+
+def probability(datas: list[bytes], net: dict) -> np.ndarray:
+    """Score of each text by a rounded network; row by row, no product over several texts."""
+    return sigmoid((features(datas, net) * net["out"]).sum(1) + net["shift"])
+
+
 def pooled(a: np.ndarray, starts: np.ndarray) -> tuple:
     return (np.maximum.reduceat(a, starts), np.add.reduceat(a, starts, dtype=np.float64),
             np.minimum.reduceat(a, starts))
@@ -151,37 +170,25 @@ def gradients(samples: list[np.ndarray], y: np.ndarray, weight: np.ndarray, net:
             "out": (feats * err[:, None]).sum(0).astype(np.float32), "shift": err.sum(keepdims=True).astype(np.float32)}
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_per_class: int = 1500, chunks_per_doc: int = 24) -> dict | float:
-    """A network, or a constant score when the labels do not hold both classes.
+def train(docs: DataFrame, labels: DataFrame, sample_per_class: int = 1500, sample_bytes: int = 200_000) -> dict | float:
+    """A rounded network, or a constant score when the labels do not hold both classes.
 
     ``docs`` (doc_id, text) and ``labels`` (doc_id, quality) are the training rows.
     """
     one = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
            .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    pick = [one.where(F.col("quality") == k).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    sample = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= sample_bytes).select("doc_id", "text")
+    pick = [one.where(F.col("quality") == k).join(sample.select("doc_id").distinct(), "doc_id", "left_semi")
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_class) for k in (0, 1)]
-    chosen = pick[0].unionByName(pick[1])
-
-    def start():
-        def f(texts):
-            out = []
-            for t in texts:
-                data = (t or "").encode("utf-8", "surrogatepass")
-                n = chunk_count(len(data))
-                take = np.unique(np.linspace(0, n - 1, min(n, chunks_per_doc)).astype(int))
-                out.append(b"".join(chunks(data, k, k + 1).tobytes() for k in take))
-            return [out]
-        return f
-
-    # at most 2 * sample_per_class ids of 12 bytes: a bounded broadcast
-    rows = docs.select("doc_id", F.col("text").alias("__text")).join(F.broadcast(chosen), "doc_id")
-    rows = (add_columns(rows, ["__text"], "chunks binary", start, drop=["__text"])
-            .dropDuplicates(["doc_id"]).collect())
+    # at most 2 * sample_per_class ids of 12 bytes: a bounded broadcast, and as many texts of sample_bytes for the driver
+    rows = (sample.join(F.broadcast(pick[0].unionByName(pick[1])), "doc_id")
+            .groupBy("doc_id", "quality").agg(F.coalesce(F.min("text"), F.lit("")).alias("text")).collect())
     rows.sort(key=lambda r: r["doc_id"])
     y = np.array([r["quality"] for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
         return float(y[0]) if len(y) else 0.5
-    return fit([np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK) for r in rows], y)
+    datas = [r["text"].encode("utf-8", "surrogatepass") for r in rows]
+    return rounded(fit([chunks(d, 0, chunk_count(len(d))) for d in datas], y))
 
 
 def score(docs: DataFrame, net: dict | float, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -192,7 +199,7 @@ def score(docs: DataFrame, net: dict | float, keep: tuple[str, ...] = ("doc_id",
             if isinstance(net, float):
                 return [[net] * len(texts)]
             datas = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-            return [sigmoid(features(datas, net) @ net["out"] + net["shift"]).astype(float).tolist()]
+            return [probability(datas, net).tolist()]
         return f
 
     src = docs.select(*[F.col(c) for c in keep], F.col("text").alias("__text"))

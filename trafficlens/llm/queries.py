@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_replay as BP
+from . import collocations as CO
 from . import history_dedup as HD
 from . import katz_lm as KZ
 from . import language_mixture as LM
@@ -15,6 +16,7 @@ from . import quality_bytes_cnn as QC
 from . import quality_divergence as QD
 from . import source_mixing as SM
 from . import topk_inner as TK
+from . import turn_repair as TR
 from . import warc as WA
 from .common import crc_remainder, read, write_table
 
@@ -80,12 +82,21 @@ def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BP.digests(read(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CO.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_history_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = crc_remainder("doc_id", 2) == 0  # stands for the earlier deliveries
     return HD.dedup(read(spark, sf_dir, "documents"), seen).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    return TR.repair(TR.damage(conversations), ids=conversations)
+
+
 QUERIES = {
     "op1_language_mixture": op1_language_mixture,
     "op2_quality_divergence": op2_quality_divergence,
@@ -97,7 +108,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_line_runs": op9_line_runs,
     "op10_bpe_replay": op10_bpe_replay,
+    "op11_collocations": op11_collocations,
     "op12_history_dedup": op12_history_dedup,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -106,5 +119,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_source_mixing": SM.ORACLE_SQL,
     "op8_warc": WA.ORACLE_SQL,
     "op9_line_runs": LR.ORACLE_SQL,
+    "op11_collocations": CO.ORACLE_SQL,
     "op12_history_dedup": HD.ORACLE_SQL,
 }
