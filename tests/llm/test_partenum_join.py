@@ -61,11 +61,23 @@ def test_linked_sets_share_a_signature():
             b = np.unique(base[cut:cut + size + int(gen.integers(-(size // 8), size // 8 + 1))])
             if not len(b) or 100 * len(np.intersect1d(a, b)) < 80 * len(np.union1d(a, b)):
                 continue
-            sig = []
-            for x in (a, b):
-                upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(PJ.mix(x, 11), dtype=np.uint64)])
-                sig.append({int(v) for k in bands.of(len(x)) for v in k.signatures(x, upto)})
-            assert sig[0] & sig[1], (len(a), len(b))
+            for first in (0, 2 * PJ.SEEDS):
+                sig = [{int(v) for found in bands.signatures(x, first) for v in found} for x in (a, b)]
+                assert sig[0] & sig[1], (len(a), len(b), first)
+
+
+def test_signatures_hold_elements():
+    """Every band below LARGE has four elements in a signature on average, and no set of it sends empty ones."""
+    import numpy as np
+    gen = np.random.default_rng(4)
+    bands = PJ.Bands()
+    for size in range(6, PJ.LARGE, 7):
+        for band in bands.of(size):
+            if band.low >= 6:
+                assert band.low / band.n1 * (band.n2 - band.k2) / band.n2 >= PJ.FILL
+                assert band.n1 * (band.k2 + 1) > band.k
+        few = [sum(map(len, bands.signatures(np.unique(gen.integers(0, 2 ** 63, size, dtype=np.uint64))))) for _ in range(20)]
+        assert max(few) < 4 * size + 60
 
 
 def test_sketches_bound_the_difference(spark):
@@ -101,6 +113,31 @@ def test_against_all_pairs(spark):
     check(spark, rows, clashing=True)
 
 
+def test_null_and_repeated_ids(spark):
+    """A row without an id, and ids with several texts, are linked by their texts alone."""
+    base = [f"w{i}" for i in range(60)]
+    near, far = base[:55], base[:30] + [f"v{i}" for i in range(30)]
+    rows = [(None, text_of(base)), (5, text_of(near)), (7, text_of(far)), (7, text_of(base + ["x"])), (9, text_of(far[:58])), (None, text_of(far)),
+            (8, text_of(["lone"] * 9)), (8, "other words than that are here"), (None, "quite alone in here it is")]
+    for g in range(12):  # id 100 + g: one text that is linked with 200 + g, and one just below
+        own = [f"g{g}_{i}" for i in range(44)]
+        rows += [(100 + g, text_of(own[:38])), (100 + g, text_of(own[:30] + [f"h{g}_{i}" for i in range(12)])), (200 + g, text_of(own))]
+    check(spark, rows * 2, clashing=True)
+
+
+def test_common_passage_is_split(spark, monkeypatch):
+    """Short texts that share a passage: hot signatures are split again, and no link is lost."""
+    monkeypatch.setattr(PJ, "HOT", 4)
+    passage = [f"p{i}" for i in range(14)]
+    rows = []
+    for i in range(300):
+        own = [f"o{i}_{j}" for j in range(24)]
+        rows.append((2 * i, text_of(own[:12] + passage + own[12:])))
+        if i % 5 == 0:
+            rows.append((2 * i + 1, text_of(own[:12] + passage + own[12:] + ["end"])))
+    check(spark, rows)
+
+
 def test_hot_groups(spark):
     base = [f"w{i}" for i in range(80)]
     rows = [(i, text_of(base)) for i in range(150)] + [(200 + i, text_of(edited(base, 1))) for i in range(150)]

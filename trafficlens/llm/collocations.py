@@ -312,10 +312,11 @@ m AS (SELECT lang, array_to_string(a[i:i + k - 1], ' ') AS phrase, k FROM g, (VA
 f AS (SELECT lang, phrase, k, count(*) AS f FROM m GROUP BY ALL),
 n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
 c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
-t AS (SELECT c.*, x.f AS l, y.f AS r, s.cut, (2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS score
-      FROM c, (VALUES (1), (2), (3)) AS s(cut), f x, f y
-      WHERE s.cut < c.k AND x.lang = c.lang AND y.lang = c.lang
-        AND x.phrase = array_to_string(w[1:s.cut], ' ') AND y.phrase = array_to_string(w[s.cut + 1:], ' ')),
+v AS (SELECT lang, phrase, f FROM f WHERE f >= 30),
+h AS (SELECT c.*, s.cut, array_to_string(w[1:s.cut], ' ') AS head, array_to_string(w[s.cut + 1:], ' ') AS tail
+      FROM c JOIN (VALUES (1), (2), (3)) AS s(cut) ON s.cut < c.k),
+t AS (SELECT h.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS score
+      FROM h JOIN v x ON x.lang = h.lang AND x.phrase = h.head JOIN v y ON y.lang = h.lang AND y.phrase = h.tail),
 b AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 i AS (SELECT lang, array_to_string(w[s.x:s.y], ' ') AS phrase, max(a) AS longer
       FROM c, (SELECT x, y FROM range(1, 4) AS u(x), range(2, 5) AS v(y) WHERE y > x) AS s

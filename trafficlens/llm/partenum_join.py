@@ -7,31 +7,45 @@ elements in which two linked sets can differ.  The feature domain is divided
 into ``n1 * n2`` partitions; for each first-level part every subset of
 ``n2 - k2`` of its ``n2`` second-level parts gives one signature, the hash of
 the elements that fall into the subset.  Two linked sets differ in at most
-``k2`` second-level parts of some first-level part, so they share a signature.
-A signature without elements says little and would be shared widely; ``n1`` is
-raised by an allowance for such parts, and only sets with more of them than
-the allowance emit them, which keeps the guarantee.
+``k2`` second-level parts of some first-level parts, so they share a signature.
+(n1, n2, k2) are chosen per band as the fewest signatures of at least ``FILL``
+elements on average; from ``LARGE`` elements on, plain first-level parts
+(k2 = 0) do.
+
+A signature without elements says little and would be shared widely.  With ``e``
+first-level parts more than needed, a set may withhold its empty signatures if
+they lie in at most ``e`` parts: some part without differences is left that has
+none.  A set with more of them does not emit them either, but gives the
+signatures of the next of ``SEEDS`` independent hashings as well; only after the
+last does it emit the empty ones.  Of two linked sets, the one that stops first
+has such a part, and the other has signatures of that hashing too, so the
+guarantee holds exactly.
 
 Sets that share a signature are chained in a sorted order, not paired off.
 Chained pairs that pass an exact lower bound on their difference (sizes and
 parity sketches) are verified on the exact sets.  What shares a signature of
 three sets or more and is still in different components is then paired under
-the same bound, and verified as well.  So every link is found or implied by
-others, and a large group of near copies costs in proportion to its size.
+the same bound, and verified as well.  A signature of more than ``HOT`` sets (a
+passage that many short texts have in common) is split before that by the
+signatures of another hashing, of which linked sets share one too, and so on
+``LEVELS`` times.  So every link is found or implied by others, and a large group
+of near copies costs in proportion to its size.
 
 Equal sets are one node: copies never meet each other.  (Nodes are 64-bit
 fingerprints of sets.)
 
 Defined cases: a null or empty text, or one without words, has the empty set
-and is linked with nothing; fewer than 5 words are one shingle; rows with a null
-id are compared like others, and a component of null ids only has a null
+and is linked with nothing; fewer than 5 words are one shingle; rows are told
+apart by their place in the files, so rows with a null id are compared like
+others, as are several texts of one id; a component of null ids only has a null
 id; repeated rows fall into one class; extra columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import cache, reduce
 from itertools import combinations
-from math import ceil, exp, sqrt
+from math import ceil, comb, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +53,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mix, small_side, trimmed, write_table
+from .common import discard, mix, small_side, trimmed, with_file_rows, write_table
 from .components import connected
 
 WORDS, SIMILAR = 5, 80
-RATIO = 1.6  # of the largest to the smallest size in a band
-SMALL_K = 5  # up to here one first-level part and all subsets
+LARGE = 150  # elements from which on first-level parts alone are used
+RATIO, SMALL_RATIO = 1.6, 1.3  # of the largest to the smallest size in a band, from LARGE on and below
+FILL = 4  # elements of a signature on average, below LARGE
+SEEDS = 6  # hashings that a set of many empty signatures tries
+HOT, LEVELS = 48, 4  # sets of a signature that is split again; how often
 SKETCH_PER_WORD = 32  # elements for each 64-bit word of the parity sketch, at most
 
 
@@ -67,43 +84,74 @@ def most_different(total: int) -> int:
     return max((s - 2 * -(-SIMILAR * s // (100 + SIMILAR)) for s in range(max(2, total - 20), total + 1)), default=0)
 
 
+@cache
+def parts_of(low: int, k: int) -> tuple[int, int, int, int]:
+    """(n1, n2, k2, e) for sets of ``low`` elements or more that differ in up to ``k``."""
+    if k == 0:
+        return 1, 1, 0, 0
+    if low >= LARGE:
+        n = k + 1
+        for _ in range(8):  # spare parts for those that stay empty
+            empty = n * exp(-low / n)
+            n = k + 1 + ceil(empty + 4 * sqrt(empty) + 1)
+        return n, 1, 0, n - (k + 1)
+
+    def at_most(m: int, n: int, q: float) -> float:
+        return sum(comb(n, i) * q ** i * (1 - q) ** (n - i) for i in range(min(m, n) + 1))
+
+    for fill in (FILL, 3, 2, 1, 0):
+        found = []
+        for k2 in range(min(k, 5) + 1):
+            for n2 in range(k2 + 1, 11):
+                for e in range(13):
+                    n1 = k // (k2 + 1) + 1 + e
+                    if low * (n2 - k2) < fill * n1 * n2:
+                        break
+                    bad = at_most(k2, n2, 1 - exp(-low / (n1 * n2)))  # a part with an empty signature
+                    again = 1 - at_most(e, n1, bad)
+                    if again <= 0.5:
+                        found.append((n1 * comb(n2, k2) / (1 - again), n1, n2, k2, e))
+        if found:
+            return min(found)[1:]
+    return k + 1, 1, 0, 0
+
+
 class Band:
     """Signature scheme for pairs whose smaller set has ``low`` to ``high`` elements."""
 
     def __init__(self, low: int, high: int):
         self.low, self.high, self.reach = low, high, 100 * high // SIMILAR
-        self.k = k = max(0, most_different(high + self.reach))
-        self.spare = None  # empty signatures are always emitted
-        if k <= SMALL_K:
-            self.n1, self.n2, self.k2 = 1, max(8, k + 3) if k else 1, k
-        else:
-            n = k + 1
-            for _ in range(8):  # spare parts for those that stay empty
-                empty = n * exp(-low / n)
-                n = k + 1 + ceil(empty + 4 * sqrt(empty) + 1)
-            self.n1, self.n2, self.k2 = -(-n // 2), 2, 1
-            self.spare = 2 * self.n1 - (k + 1)
+        self.k = max(0, most_different(high + self.reach))
+        self.n1, self.n2, self.k2, self.spare = parts_of(low, self.k)
         cells = self.n1 * self.n2
         self.edges = np.array([-(-(j << 64) // cells) for j in range(1, cells)], np.uint64)
         self.subsets = list(combinations(range(self.n2), self.n2 - self.k2))
         count = self.n1 * len(self.subsets)
         self.salt = mix(np.arange(count, dtype=np.uint64) * np.uint64(2) + np.uint64(1), low)
 
-    def signatures(self, h: np.ndarray, upto: np.ndarray) -> np.ndarray:
-        """``h`` sorted, ``upto`` the running sums of its mixed elements (from 0)."""
+    def of_hashing(self, h: np.ndarray, upto: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Signatures, which of them are empty, and whether more than the spare parts have an empty one."""
         cut = np.concatenate([[0], np.searchsorted(h, self.edges), [len(h)]])
-        n = np.diff(cut).reshape(self.n1, self.n2)
-        part = np.diff(upto[cut]).reshape(self.n1, self.n2)
-        if len(self.subsets) == self.n2 == 2:
-            held, size = part, n
-        else:
-            held = np.stack([part[:, s].sum(1, dtype=np.uint64) for s in self.subsets], 1)
-            size = np.stack([n[:, s].sum(1) for s in self.subsets], 1)
-        found = mix(held.ravel() ^ self.salt, self.low)
-        empty = size.ravel() == 0
-        if self.spare is not None and empty.sum() <= self.spare:
-            return found[~empty]
-        return found
+        size = np.diff(cut).reshape(self.n1, self.n2)
+        held = np.diff(upto[cut]).reshape(self.n1, self.n2)
+        if len(self.subsets) > 1:
+            held = np.stack([held[:, s].sum(1, dtype=np.uint64) for s in self.subsets], 1)
+            size = np.stack([size[:, s].sum(1) for s in self.subsets], 1)
+        empty = size == 0
+        return mix(held.ravel() ^ self.salt, 64 * self.low + seed), empty.ravel(), int(empty.any(1).sum()) > self.spare
+
+
+class Hashings:
+    """A set under independent hashings: sorted elements and the running sums of their mixed values."""
+
+    def __init__(self, h: np.ndarray):
+        self.h, self.made = h, {}
+
+    def __getitem__(self, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        if seed not in self.made:
+            h = np.sort(mix(self.h, 100 + seed)) if seed else self.h
+            self.made[seed] = h, np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h, 11), dtype=np.uint64)])
+        return self.made[seed]
 
 
 class Bands:
@@ -115,9 +163,22 @@ class Bands:
     def of(self, size: int) -> list[Band]:
         while self.made[-1].high < size:
             low = self.made[-1].high + 1
-            self.made.append(Band(low, max(low, int(low * RATIO))))
+            self.made.append(Band(low, max(low, int(low * (RATIO if low >= LARGE else SMALL_RATIO)))))
         return [b for b in self.made if b.low <= size <= b.reach]
 
+    def signatures(self, h: np.ndarray, first: int = 0) -> list[np.ndarray]:
+        """Of a set of sorted elements, by the hashings ``first`` and following."""
+        out, hashings = [], Hashings(h)
+        for band in self.of(len(h)):
+            for seed in range(first, first + SEEDS):
+                found, empty, more = band.of_hashing(*hashings[seed], seed)
+                if not more or seed < first + SEEDS - 1:
+                    found = found[~empty]
+                out.append(found)
+                if not more:
+                    break
+        return out
+
 
 def fingerprint(h: np.ndarray) -> np.uint64:
     return mix(np.array([mix(h, 11).sum(dtype=np.uint64)]), len(h))[0]
@@ -154,8 +215,8 @@ def sets(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(trimmed(run), f"{ddl}, n_shingles bigint, node bigint, sketch array<bigint>")
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """``sig, node`` of every distinct set."""
+def signatures(docs: DataFrame, first: int = 0) -> DataFrame:
+    """``sig, node`` of every distinct set, by the hashings ``first`` and following."""
 
     def run(batches):
         bands, seen = Bands(), set()
@@ -167,8 +228,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 if node is None or node in seen:  # copies in the same task send one set
                     continue
                 seen.add(node)
-                upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h, 11), dtype=np.uint64)])
-                found = [x.signatures(h, upto) for x in bands.of(len(h))]
+                found = bands.signatures(h, first)
                 sigs += found
                 nodes.append(node)
                 counts.append(sum(map(len, found)))
@@ -191,11 +251,15 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str) -> Data
 
     def run(batches):
         for b in batches:
-            found = [shingles(t).view(np.int64) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "items"])
-
-    rows = docs.select(key, "text").join(small_side(wanted, n, 24), key)
-    # a key that repeats could bring another text of the same key: only the node's own set counts
+            nodes, found = [], []
+            for node, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist()):
+                h = shingles(text)
+                if len(h) and int(fingerprint(h).view(np.int64)) == node:  # a key that repeats brings other texts too
+                    nodes.append(node)
+                    found.append(h.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "items"])
+
+    rows = docs.select(key, "text").join(small_side(wanted, n, 40), key)
     items = write_table(rows.select("node", "text").mapInArrow(trimmed(run), "node bigint, items array<bigint>"), "join-sets")
     left = items.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = items.select(F.col("node").alias("b"), F.col("items").alias("y"))
@@ -220,14 +284,44 @@ def may_link(n: str, m: str, x: str, y: str):
     return F.when(near, apart <= most).otherwise(F.lit(False))
 
 
-def classes(docs: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+def smaller_groups(open_: DataFrame, docs: DataFrame, reps: DataFrame, key: str) -> tuple[DataFrame, list[DataFrame]]:
+    """``group, node, root`` of the groups to be paired, made from those of ``open_``, and the written tables it reads.
+
+    Groups of more than ``HOT`` nodes are split by the signatures that their
+    members have under further hashings.
+    """
+    ready, tables = [], [open_]
+    for level in range(1, LEVELS + 1):
+        hot = write_table(open_.groupBy("group").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > HOT).select("group"), "join-hot")
+        n_hot = hot.count()
+        if not n_hot:
+            discard(hot)
+            break
+        side = small_side(hot, n_hot, 24)
+        ready.append(open_.join(side, "group", "left_anti"))
+        deep = write_table(open_.join(side, "group", "left_semi"), "join-deep")
+        members = write_table(reps.join(deep.select("node").distinct(), "node", "left_semi").select(key), "join-members")
+        texts = docs.select(key, "text").join(small_side(members, members.count(), 40), key, "left_semi")
+        sigs = write_table(signatures(texts, level * SEEDS).distinct(), "join-signatures")
+        split = deep.join(sigs, "node").select(F.xxhash64("group", "sig").alias("group"), "node", "root").distinct()
+        split = write_table(split, "join-split")
+        differ = split.groupBy("group").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("group")
+        open_ = write_table(split.join(differ, "group", "left_semi"), "join-open")
+        tables += [hot, open_]
+        discard(deep, members, sigs, split)
+    return reduce(DataFrame.unionByName, ready, open_), tables
+
+
+def classes(docs: DataFrame, key: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """``key``, ``keep``, ``n_shingles``, ``class_node`` and ``component_id`` per row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` of the component and
     ``class_node`` a key of it (null for the empty set).  ``key`` names a column
-    that tells rows apart; where it repeats, its rows must have equal texts to
-    be compared alike.
+    that tells rows apart and is never null; without it, that is each row's place
+    in the files (column ``__row`` of the result).
     """
+    if key is None:
+        docs, key = with_file_rows(docs.select(*dict.fromkeys(["doc_id", "text", *keep])), "__row"), "__row"
     columns = tuple(dict.fromkeys([key, "doc_id", *keep]))
     info = write_table(sets(docs, columns), "join-sets-of-rows")
     nodes = write_table(info.where(F.col("node").isNotNull()).groupBy("node").agg(
@@ -259,7 +353,9 @@ def classes(docs: DataFrame, key: str = "doc_id", keep: tuple[str, ...] = ()) ->
     split = (held.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("node").alias("group"))
              .where("r0 <> r1").select("sig", "group"))
     open_ = held.join(split, "sig").select("group", "node", "root").distinct()
-    open_ = write_table(open_.join(sketches, "node"), "join-open")
+    groups, tables = smaller_groups(write_table(open_, "join-open"), docs, reps, key)
+    open_ = write_table(groups.join(sketches, "node"), "join-pairing")
+    discard(*tables)
     x = open_.select("group", *[F.col(c).alias(f"{c}1") for c in ("node", "root", "n", "sketch")])
     y = open_.select(F.col("group").alias("group2"), *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "sketch")])
     rest = (x.join(y, (F.col("group") == F.col("group2")) & (F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2"))
