@@ -12,24 +12,29 @@ the elements that fall into the subset.  Two linked sets differ in at most
 elements on average; from ``LARGE`` elements on, plain first-level parts
 (k2 = 0) do.
 
-A signature without elements says little and would be shared widely.  With ``e``
-first-level parts more than needed, a set may withhold its empty signatures if
-they lie in at most ``e`` parts: some part without differences is left that has
-none.  A set with more of them does not emit them either, but gives the
-signatures of the next of ``SEEDS`` independent hashings as well; only after the
-last does it emit the empty ones.  Of two linked sets, the one that stops first
-has such a part, and the other has signatures of that hashing too, so the
-guarantee holds exactly.
+A signature without elements says little and would be shared widely, as is one
+whose elements all come from a passage that many texts have in common.  So there
+are ``e`` first-level parts more than needed, and two linked sets have 1 + e parts
+or more in which they share a signature.
+
+* Empty signatures: a set that has them in at most ``e`` parts withholds them.  A
+  set with more gives the signatures of the next of ``SEEDS`` independent
+  hashings as well, and the empty ones only after the last.  Of two linked
+  sets, the one that stops first has a shared signature with elements, and
+  the other has signatures of that hashing too.
+* Signatures of more than ``HOT`` sets, known once all are counted: a set with at
+  most ``e`` parts of a hashing that are empty or hot withholds its hot
+  signatures of that hashing, as it shares a further one with any set linked to it.
+
+Both keep the guarantee exactly.
 
 Sets that share a signature are chained in a sorted order, not paired off.
 Chained pairs that pass an exact lower bound on their difference (sizes and
-parity sketches) are verified on the exact sets.  What shares a signature of
-three sets or more and is still in different components is then paired under
-the same bound, and verified as well.  A signature of more than ``HOT`` sets (a
-passage that many short texts have in common) is split before that by the
-signatures of another hashing, of which linked sets share one too, and so on
-``LEVELS`` times.  So every link is found or implied by others, and a large group
-of near copies costs in proportion to its size.
+parity sketches) are verified on the exact sets.  What shares a signature that
+is not withheld and is still in different components is then paired under the
+same bound, and verified as well.  So every link is found or implied by others,
+and a large group of near copies, or of texts around a common passage, costs in
+proportion to its size.
 
 Equal sets are one node: copies never meet each other.  (Nodes are 64-bit
 fingerprints of sets.)
@@ -43,7 +48,7 @@ id; repeated rows fall into one class; extra columns are not read.
 
 from __future__ import annotations
 
-from functools import cache, reduce
+from functools import cache
 from itertools import combinations
 from math import ceil, comb, exp, sqrt
 
@@ -58,10 +63,11 @@ from .components import connected
 
 WORDS, SIMILAR = 5, 80
 LARGE = 150  # elements from which on first-level parts alone are used
-RATIO, SMALL_RATIO = 1.6, 1.3  # of the largest to the smallest size in a band, from LARGE on and below
-FILL = 4  # elements of a signature on average, below LARGE
+RATIO, SMALL_RATIO = 1.6, 1.25  # of the largest to the smallest size in a band, from LARGE on and below
+FILL = 2.5  # elements of a signature on average
+COMMON = 0.25  # share of a small set that e makes allowance for as common to many
 SEEDS = 6  # hashings that a set of many empty signatures tries
-HOT, LEVELS = 48, 4  # sets of a signature that is split again; how often
+HOT = 48  # sets of a signature that is withheld where possible
 SKETCH_PER_WORD = 32  # elements for each 64-bit word of the parity sketch, at most
 
 
@@ -99,21 +105,21 @@ def parts_of(low: int, k: int) -> tuple[int, int, int, int]:
     def at_most(m: int, n: int, q: float) -> float:
         return sum(comb(n, i) * q ** i * (1 - q) ** (n - i) for i in range(min(m, n) + 1))
 
-    for fill in (FILL, 3, 2, 1, 0):
+    for fill in (FILL, 2, 1, 0):
         found = []
         for k2 in range(min(k, 5) + 1):
-            for n2 in range(k2 + 1, 11):
-                for e in range(13):
+            for n2 in range(k2 + 1, 11 if k2 else 2):
+                for e in range(20):
                     n1 = k // (k2 + 1) + 1 + e
                     if low * (n2 - k2) < fill * n1 * n2:
                         break
-                    bad = at_most(k2, n2, 1 - exp(-low / (n1 * n2)))  # a part with an empty signature
+                    bad = at_most(k2, n2, 1 - exp(-low * (1 - COMMON) / (n1 * n2)))  # a part with an empty or common signature
                     again = 1 - at_most(e, n1, bad)
-                    if again <= 0.5:
+                    if again <= 0.3:
                         found.append((n1 * comb(n2, k2) / (1 - again), n1, n2, k2, e))
         if found:
             return min(found)[1:]
-    return k + 1, 1, 0, 0
+    return k + 1, 1, 0, 0  # too few elements for any allowance
 
 
 class Band:
@@ -122,23 +128,22 @@ class Band:
     def __init__(self, low: int, high: int):
         self.low, self.high, self.reach = low, high, 100 * high // SIMILAR
         self.k = max(0, most_different(high + self.reach))
-        self.n1, self.n2, self.k2, self.spare = parts_of(low, self.k)
+        self.n1, self.n2, self.k2, self.spare = parts_of(low, self.k)  # spare: e
         cells = self.n1 * self.n2
         self.edges = np.array([-(-(j << 64) // cells) for j in range(1, cells)], np.uint64)
         self.subsets = list(combinations(range(self.n2), self.n2 - self.k2))
         count = self.n1 * len(self.subsets)
         self.salt = mix(np.arange(count, dtype=np.uint64) * np.uint64(2) + np.uint64(1), low)
 
-    def of_hashing(self, h: np.ndarray, upto: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, bool]:
-        """Signatures, which of them are empty, and whether more than the spare parts have an empty one."""
+    def of_hashing(self, h: np.ndarray, upto: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures, one row per first-level part, and which of them are empty."""
         cut = np.concatenate([[0], np.searchsorted(h, self.edges), [len(h)]])
         size = np.diff(cut).reshape(self.n1, self.n2)
         held = np.diff(upto[cut]).reshape(self.n1, self.n2)
         if len(self.subsets) > 1:
             held = np.stack([held[:, s].sum(1, dtype=np.uint64) for s in self.subsets], 1)
             size = np.stack([size[:, s].sum(1) for s in self.subsets], 1)
-        empty = size == 0
-        return mix(held.ravel() ^ self.salt, 64 * self.low + seed), empty.ravel(), int(empty.any(1).sum()) > self.spare
+        return mix(held ^ self.salt.reshape(held.shape), 64 * self.low + seed), size == 0
 
 
 class Hashings:
@@ -166,18 +171,29 @@ class Bands:
             self.made.append(Band(low, max(low, int(low * (RATIO if low >= LARGE else SMALL_RATIO)))))
         return [b for b in self.made if b.low <= size <= b.reach]
 
-    def signatures(self, h: np.ndarray, first: int = 0) -> list[np.ndarray]:
-        """Of a set of sorted elements, by the hashings ``first`` and following."""
-        out, hashings = [], Hashings(h)
+    def hashings(self, h: np.ndarray):
+        """(spare parts, signatures, empty ones, whether these are emitted) of each band and hashing of a set."""
+        made = Hashings(h)
         for band in self.of(len(h)):
-            for seed in range(first, first + SEEDS):
-                found, empty, more = band.of_hashing(*hashings[seed], seed)
-                if not more or seed < first + SEEDS - 1:
-                    found = found[~empty]
-                out.append(found)
+            for seed in range(SEEDS):
+                found, empty = band.of_hashing(*made[seed], seed)
+                more = int(empty.any(1).sum()) > band.spare
+                yield band.spare, found, empty, more and seed == SEEDS - 1
                 if not more:
                     break
-        return out
+
+    def signatures(self, h: np.ndarray) -> list[np.ndarray]:
+        """All signatures of a set of sorted elements."""
+        return [found.ravel() if last else found[~empty] for _, found, empty, last in self.hashings(h)]
+
+    def not_withheld(self, h: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """The signatures among ``hot`` that the set must keep."""
+        out = []
+        for spare, found, empty, _ in self.hashings(h):
+            shared = np.isin(found, hot)
+            if int((shared | empty).any(1).sum()) > spare:
+                out.append(found[shared])
+        return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def fingerprint(h: np.ndarray) -> np.uint64:
@@ -215,8 +231,8 @@ def sets(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(trimmed(run), f"{ddl}, n_shingles bigint, node bigint, sketch array<bigint>")
 
 
-def signatures(docs: DataFrame, first: int = 0) -> DataFrame:
-    """``sig, node`` of every distinct set, by the hashings ``first`` and following."""
+def signatures(docs: DataFrame) -> DataFrame:
+    """``sig, node`` of every distinct set."""
 
     def run(batches):
         bands, seen = Bands(), set()
@@ -228,7 +244,7 @@ def signatures(docs: DataFrame, first: int = 0) -> DataFrame:
                 if node is None or node in seen:  # copies in the same task send one set
                     continue
                 seen.add(node)
-                found = bands.signatures(h, first)
+                found = bands.signatures(h)
                 sigs += found
                 nodes.append(node)
                 counts.append(sum(map(len, found)))
@@ -284,32 +300,27 @@ def may_link(n: str, m: str, x: str, y: str):
     return F.when(near, apart <= most).otherwise(F.lit(False))
 
 
-def smaller_groups(open_: DataFrame, docs: DataFrame, reps: DataFrame, key: str) -> tuple[DataFrame, list[DataFrame]]:
-    """``group, node, root`` of the groups to be paired, made from those of ``open_``, and the written tables it reads.
+def not_withheld(shared: DataFrame, docs: DataFrame, reps: DataFrame, key: str) -> DataFrame:
+    """The rows of ``shared`` (``sig, node, root``: hot signatures) that their sets must keep."""
+    # a set has a bounded number of signatures
+    lists = write_table(shared.groupBy("node").agg(F.collect_list("sig").alias("hot")).join(reps, "node"), "join-hot")
+    rows = docs.select(key, "text").join(lists, key)
 
-    Groups of more than ``HOT`` nodes are split by the signatures that their
-    members have under further hashings.
-    """
-    ready, tables = [], [open_]
-    for level in range(1, LEVELS + 1):
-        hot = write_table(open_.groupBy("group").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > HOT).select("group"), "join-hot")
-        n_hot = hot.count()
-        if not n_hot:
-            discard(hot)
-            break
-        side = small_side(hot, n_hot, 24)
-        ready.append(open_.join(side, "group", "left_anti"))
-        deep = write_table(open_.join(side, "group", "left_semi"), "join-deep")
-        members = write_table(reps.join(deep.select("node").distinct(), "node", "left_semi").select(key), "join-members")
-        texts = docs.select(key, "text").join(small_side(members, members.count(), 40), key, "left_semi")
-        sigs = write_table(signatures(texts, level * SEEDS).distinct(), "join-signatures")
-        split = deep.join(sigs, "node").select(F.xxhash64("group", "sig").alias("group"), "node", "root").distinct()
-        split = write_table(split, "join-split")
-        differ = split.groupBy("group").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("group")
-        open_ = write_table(split.join(differ, "group", "left_semi"), "join-open")
-        tables += [hot, open_]
-        discard(deep, members, sigs, split)
-    return reduce(DataFrame.unionByName, ready, open_), tables
+    def run(batches):
+        bands = Bands()
+        for b in batches:
+            sigs, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for node, text, hot in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), b.column("hot")):
+                h = shingles(text)
+                if len(h) and int(fingerprint(h).view(np.int64)) == node:
+                    sigs.append(bands.not_withheld(h, hot.values.to_numpy().view(np.uint64)))
+                    nodes.append(np.full(len(sigs[-1]), node))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
+
+    kept = rows.select("node", "text", "hot").mapInArrow(trimmed(run), "sig bigint, node bigint").distinct()
+    out = write_table(shared.join(kept, ["sig", "node"], "left_semi"), "join-kept")
+    discard(lists)
+    return out
 
 
 def classes(docs: DataFrame, key: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -350,12 +361,16 @@ def classes(docs: DataFrame, key: str | None = None, keep: tuple[str, ...] = ())
     n_parts = parts.count()
     held = held.join(small_side(parts, n_parts, 48), "node", "left").withColumn("root", F.coalesce("root", "node"))
     held = write_table(held, "join-held")
-    split = (held.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("node").alias("group"))
+    apart = held.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("sets")).where("r0 <> r1")
+    apart = write_table(apart.select("sig", "sets"), "join-apart")
+    shared = write_table(held.join(apart.where(F.col("sets") > HOT).select("sig"), "sig", "left_semi"), "join-shared")
+    kept = not_withheld(shared, docs, reps, key)
+    still = (held.join(apart.where(F.col("sets") <= HOT).select("sig"), "sig", "left_semi")).unionByName(kept)
+    split = (still.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("node").alias("group"))
              .where("r0 <> r1").select("sig", "group"))
-    open_ = held.join(split, "sig").select("group", "node", "root").distinct()
-    groups, tables = smaller_groups(write_table(open_, "join-open"), docs, reps, key)
-    open_ = write_table(groups.join(sketches, "node"), "join-pairing")
-    discard(*tables)
+    open_ = still.join(split, "sig").select("group", "node", "root").distinct()
+    open_ = write_table(open_.join(sketches, "node"), "join-open")
+    discard(apart, shared, kept)
     x = open_.select("group", *[F.col(c).alias(f"{c}1") for c in ("node", "root", "n", "sketch")])
     y = open_.select(F.col("group").alias("group2"), *[F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "sketch")])
     rest = (x.join(y, (F.col("group") == F.col("group2")) & (F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2"))
