@@ -48,6 +48,7 @@ WORDS = ["w1", "w2", "w3", "w4"]
 CHUNK = 2_000_000  # words whose windows a task combines before sending them
 PART = 2_000_000  # windows of a counting task, about
 SPREAD = 64
+HEAVY = 1000  # a word with this share of all occurrences, or a quarter of a task's, leads many windows
 ID_BITS = 21  # three word numbers in one signed 64-bit integer
 COUNT_BITS = 40  # the fourth above the count of a chunk
 DICTIONARY_BYTES = 24 << 20
@@ -247,7 +248,7 @@ def counts(docs: DataFrame, least: int, dictionary_bytes: int = DICTIONARY_BYTES
         for i, lang, word in zip(*[c.to_pylist() for c in b.columns]):
             ids.setdefault(lang, {})[word.encode("utf-8", "surrogatepass")] = i
     parts = max(1, ceil((total or 0) / PART))
-    heavy = named.where(F.col("f") * 4 * parts >= F.lit(total or 0)).count()
+    heavy = named.where(F.col("f") * max(4 * parts, HEAVY) >= F.lit(total or 0)).count()
     windows = cut_windows(numbered_windows(docs, ids), least, parts, heavy)
     found = write_table(marginals(windows, []).where(F.col("f") >= least), "phrase-numbers")
     side = small_side(named.select("id", "word", "lang"), n, 64)
