@@ -1,4 +1,8 @@
+import math
+import zlib
+
 import numpy as np
+import pytest
 
 from frames import docs
 from trafficlens.llm import quality_bytes_cnn as QC
@@ -41,6 +45,81 @@ def test_divergence_verdicts(spark):
     assert [r.n_words for r in QD.judge(edge, ref).collect()] == [0, 0, 400_000, 2, 1]
 
 
+def plain_distance(p, q):
+    def kl(a, m):
+        return sum(x * math.log2(x / y) for x, y in zip(a, m) if x)
+    m = [(x + y) / 2 for x, y in zip(p, q)]
+    return math.sqrt(max(0.0, (kl(p, m) + kl(q, m)) / 2))
+
+
+def share(counts):
+    total = sum(counts)
+    return [c / total for c in counts]
+
+
+def test_distances_against_plain_python(spark):
+    """References and distances with dictionaries and loops, for words that share buckets too."""
+    rng = np.random.default_rng(6)
+    vocabulary = {g: [f"{g}{chr(97 + i % 26)}{i}," if i % 7 else f"{g.upper()}É{i}" for i in range(90)] for g in ("en", "de")}
+    rows = []
+    for i in range(24):
+        g = ("en", "de")[i % 2]
+        words = [vocabulary[g][min(89, int(x))] for x in rng.exponential(20, int(rng.integers(30, 160)))]
+        rows.append((i, " ".join(words) + ("\n## 12 | <x>" if i % 5 == 0 else ""), None if i == 8 else g))
+    rows += [rows[3], (50, "", "en"), (51, None, None), (52, "short text", "de")]
+    d = docs(spark, rows)
+    ref, n_common = QD.references(d, n_common=10), 10
+
+    def classes(text):
+        out = [0] * 9
+        for ch in text:
+            out[4 if ch == "\n" else 3 if ch in " \t\r\x0b\x0c" else 5 if ch in QD.SENTENCE else 6 if ch in QD.SYMBOLS
+                else (1 if ch.isupper() else 0) if ch.isalpha() else 2 if ch.isdigit() else 7 if ord(ch) < 128 else 8] += 1
+        return out
+
+    def buckets(text):
+        out = {}
+        for w in (text or "").split():
+            b = zlib.crc32(w.encode().lower().strip(QD.SENTENCE.encode())) % (1 << 16)
+            out[b] = out.get(b, 0) + 1
+        return out
+
+    chars, words = {}, {}
+    for _, text, lang in rows:
+        n, _, _, _, repeats = brute(text)
+        if n >= 50 and 100 * repeats <= 50 * n:
+            lang = lang or "und"
+            chars[lang] = [x + y for x, y in zip(chars.get(lang, [0] * 9), classes(text))]
+            for b, c in buckets(text).items():
+                words.setdefault(lang, {})[b] = words.get(lang, {}).get(b, 0) + c
+    common = {g: sorted(w, key=lambda b, w=w: (-w[b], b))[:n_common] for g, w in words.items()}
+    got = {(r.doc_id, r.n_words): r for r in QD.judge(d, ref, max_char=0.2, max_word=0.5).collect()}
+    judged = 0
+    for doc_id, text, _ in rows:
+        n, _, _, _, repeats = brute(text)
+        r = got[doc_id, n]
+        far_char = min(plain_distance(share(classes(text)), share(c)) for c in chars.values()) if text and len(text) >= 200 else None
+        far_word = None
+        if n >= 50:
+            own = buckets(text)
+            far_word = min(plain_distance(share([own.get(b, 0) for b in top] + [n - sum(own.get(b, 0) for b in top)]),
+                                          share([words[g][b] for b in top] + [sum(words[g].values()) - sum(words[g][b] for b in top)]))
+                           for g, top in common.items())
+        for a, b in ((r.char_distance, far_char), (r.word_distance, far_word)):
+            assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9)
+            judged += a is not None
+        failed = n < 50 or 100 * repeats > 50 * n
+        assert r.base_failed == failed and r.kept == (not failed and not (far_char or 0) > 0.2 and not (far_word or 0) > 0.5)
+    assert judged > 20
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(QD, "MAX_LANGUAGES", 2)
+    text = " ".join(f"w{i}" for i in range(60))
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        QD.references(docs(spark, [(i, text, f"l{i}") for i in range(3)]))
+
+
 def test_divergence_of_an_empty_table(spark):
     ref = QD.references(docs(spark, []))
     text = " ".join(f"w{i}" for i in range(60))

@@ -1,6 +1,9 @@
 import base64
 import gzip
 import hashlib
+import re
+
+import pytest
 
 import frames  # noqa: F401  (ships the package to the workers)
 from trafficlens.llm import warc as WA
@@ -65,6 +68,42 @@ def test_round_trip(spark):
     assert {r.record_type for r in WA.round_trip(df, least_bytes=10).collect()} == {"response"}
 
 
+def test_revisits_are_checked(spark, tmp_path):
+    sound = record(1, b"text")
+    revisit = record(2, b"text", "revisit").replace(b"WARC-Record-ID", b"WARC-Refers-To: <urn:page:1>\r\nWARC-Record-ID")
+    digest = re.search(rb"sha1:(\w+)", revisit)[1]
+    garbage = revisit.replace(digest, b"GARBAGE")
+    assert ids(sound + revisit)[0] == ["urn:page:1", "urn:page:2"]
+    got, gaps = ids(sound + garbage + sound)
+    assert got == ["urn:page:1"] * 2 and gaps == [(len(sound), len(sound + garbage), "revisit names no payload")]
+    assert ids(sound + record(2, b"text", "revisit"))[0] == ["urn:page:1"]  # refers to nothing
+    other = revisit.replace(digest, digest[::-1])
+    (tmp_path / "a.warc").write_bytes(sound + revisit + other)
+    assert [r.payload_digest for r in WA.unresolved(WA.read(spark, str(tmp_path))).collect()] == [digest[::-1].decode()]
+
+
+def test_files_are_cut_by_bytes_and_lost_records_are_an_error(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, "u", f"{i}" + "z" * 200_000, "a", "b", "c") for i in range(30)], SCHEMA).coalesce(1)
+    monkeypatch.setattr(WA, "FILE_BYTES", 1 << 20)
+    WA.write(WA.prepare(df), str(tmp_path / "w"))
+    sizes = [f.stat().st_size for f in (tmp_path / "w").glob("part-*")]
+    assert len(sizes) >= 5 and max(sizes) < 1.2 * (1 << 20)
+    write = WA.write
+
+    def damaged(rows, path):
+        write(rows, path)
+        from pathlib import Path
+        f = next(Path(path.removeprefix("file://").removeprefix("file:")).glob("part-*"))
+        data = bytearray(f.read_bytes())
+        data[len(data) // 2] ^= 1
+        f.write_bytes(bytes(data))
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+
+    monkeypatch.setattr(WA, "write", damaged)
+    with pytest.raises(Exception, match="gap in a written archive"):
+        WA.round_trip(df).collect()
+
+
 def test_read_logs_gaps(spark, tmp_path):
     r = [record(i, b"text %d" % i) for i in range(3)]
     (tmp_path / "a.warc").write_bytes(r[0] + b"????" + r[1])

@@ -7,7 +7,8 @@ set is the one with the best penalised likelihood.
 Model: trigrams of lower-cased text (letters, with every other run of
 characters as one boundary) hashed to ``BUCKETS`` features, counted per
 language over *all* training rows.  The table has languages x 65,536 numbers,
-however large the corpus is.
+however large the corpus is; more than ``MAX_LANGUAGES`` values of ``lang`` are
+no languages and raise an error.
 
 Defined cases: a null text, an empty text or one without letters is ``und``
 with score 0.0; with no training rows at all every text is ``und``; ties go to
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import add_columns, trimmed
 
 BUCKETS = 1 << 16
+MAX_LANGUAGES = 128  # half a megabyte each in every task
 BLOCK = 1 << 20  # characters handled at once; the whole text is covered
 UNDETERMINED = "und"
 ADDED = "lang_pred string, score double, langs array<string>, shares array<double>"
@@ -82,7 +84,9 @@ def train(docs: DataFrame, is_training) -> tuple[list[str], np.ndarray]:
     counts = (rows.select("lang", "text").mapInArrow(trimmed(count), "lang string, bucket int, n bigint")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
               .groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
-              .collect())
+              .limit(MAX_LANGUAGES + 1).collect())
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in the training rows")
     counts.sort(key=lambda r: r["lang"])
     model = np.full((len(counts), BUCKETS), 0.5)
     for k, r in enumerate(counts):

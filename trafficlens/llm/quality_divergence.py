@@ -8,7 +8,8 @@ the minimum length are too noisy to judge, so a guard skips the comparison.
 
 References are counted over all rows, in two bounded tables per language: the
 character classes, and words hashed to ``BUCKETS`` buckets, of which the
-``n_common`` heaviest are the common words and all others one class.
+``n_common`` heaviest are the common words and all others one class.  More than
+``MAX_LANGUAGES`` values of ``lang`` are no languages and raise an error.
 
 Defined cases: a null or empty text has no words and fails the base rule;
 rows with a null language count towards the reference named ``und``; an empty
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from .common import add_columns, trimmed
 
 BUCKETS = 1 << 16
+MAX_LANGUAGES = 128  # half a megabyte each in the driver, as much in every task
 CLASSES = ("lower", "upper", "digit", "space", "newline", "sentence", "symbol", "mark", "other")
 SYMBOLS = "#*$%&|<>"
 SENTENCE = ".,;:'\"-?()"
@@ -146,7 +148,9 @@ def references(docs: DataFrame, n_common: int = 60) -> dict:
     rows = (docs.select(F.col("lang").cast("string").alias("lang"), "text")
             .mapInArrow(trimmed(count), "lang string, at int, n bigint")
             .groupBy("lang", "at").agg(F.sum("n").alias("n"))
-            .groupBy("lang").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n")).collect())
+            .groupBy("lang").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n")).limit(MAX_LANGUAGES + 1).collect())
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in the documents")
     chars, words, buckets = [], [], []
     for r in sorted(rows, key=lambda r: r["lang"]):
         full = np.zeros(BUCKETS + len(CLASSES))

@@ -6,7 +6,8 @@ usual commit protocol.  Payloads equal in length and SHA-1 are stored once, as
 the response with the smallest id; later ones are revisit records.
 
 Reading: an archive is read record by record and each record is checked (version
-line, headers, length, ending, digest).  Where a check fails, the reader looks
+line, headers, length, ending, digest; of a revisit also that it names a
+payload).  Where a check fails, the reader looks
 for the next place that can start a record - a gzip member or a version line -
 goes on from the first that passes the checks, and logs the bytes between as a
 quarantined gap.  Plain and per-record gzip archives are read alike.
@@ -32,6 +33,8 @@ from .common import small_side, stage_path
 VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
 GZIP = b"\x1f\x8b\x08"
 END = b"\r\n\r\n"
+BASE32_SHA1 = re.compile(r"sha1:[A-Z2-7]{32}", re.I)
+FILE_BYTES, HEADER_BYTES = 64 << 20, 500  # of an archive, about; of a record's headers
 DATE = "2024-01-01T00:00:00Z"
 PAGE = "urn:page:"
 
@@ -86,8 +89,15 @@ def record_text(rows: DataFrame) -> DataFrame:
         F.lit("\r\n"), block).alias("value"))
 
 
-def write(rows: DataFrame, path: str, records_per_file: int = 20_000) -> None:
-    """Write prepared rows as plain WARC archives below ``path``."""
+def write(rows: DataFrame, path: str, records_per_file: int | None = None) -> None:
+    """Write prepared rows as plain WARC archives below ``path``.
+
+    By default a file takes as many records as make ``FILE_BYTES`` at the mean
+    size of all records, so it can be read whole by one task.
+    """
+    if records_per_file is None:
+        mean = rows.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
+        records_per_file = max(1, int(FILE_BYTES // (mean + HEADER_BYTES)))
     (record_text(rows).write.option("lineSep", END.decode()).option("maxRecordsPerFile", records_per_file).text(path))
 
 
@@ -127,6 +137,8 @@ def parse_record(data, at: int, ending: bool = True):
         told = ""
     digest = hashlib.sha1(payload).digest()
     claimed = head.get("warc-payload-digest", "")
+    if head["warc-type"] == "revisit" and not (BASE32_SHA1.fullmatch(claimed) and head.get("warc-refers-to", "").strip("<>")):
+        return "revisit names no payload"
     if head["warc-type"] != "revisit" and claimed.startswith("sha1:") \
             and claimed[5:].upper() != base64.b32encode(digest).decode():
         return "payload digest differs"
@@ -219,12 +231,22 @@ def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, RECORDS)
 
 
+def unresolved(records: DataFrame) -> DataFrame:
+    """The revisit records of :func:`read` whose response is not there with the digest they claim."""
+    known = records.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), "payload_digest").distinct()
+    return records.where("record_type = 'revisit'").join(known, ["refers_to", "payload_digest"], "left_anti")
+
+
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` as archives in the shared folder and read them back: one row per record."""
+    """Write ``pages`` as archives in the shared folder and read them back: one row per record.
+
+    A gap in what was just written is an error, as a record would be lost.
+    """
     path = stage_path(pages.sparkSession, "warc")
     write(prepare(pages, least_bytes=least_bytes), path)
     page = lambda c: F.when(F.col(c).startswith(PAGE), F.substring(c, len(PAGE) + 1, 20)).cast("bigint")
-    got = read(pages.sparkSession, path, payload=False).where(F.col("record_type").isNotNull())
+    lost = F.raise_error(F.concat_ws(" ", F.lit("gap in a written archive:"), "archive", "gap_start", "gap_end", "reason"))
+    got = read(pages.sparkSession, path, payload=False).where(F.when(F.col("reason").isNull(), F.lit(True)).otherwise(lost.cast("boolean")))
     return got.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                       page("refers_to").alias("refers_to"))
 
