@@ -58,3 +58,29 @@ def test_few_rows_and_none(spark):
     check(spark, [(20, [1.0])])
     check(spark, [(1, [1.0]), (2, [2.0])])
     check(spark, [])
+
+
+def test_later_ranges_meet_few_queries(spark, monkeypatch):
+    """Lengths fall off: ranges of short rows are sent only queries that they can still reach."""
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) * 30 * 0.9965 ** i for _ in range(8)]) for i in range(1600)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(TK, "FIRST", 200)
+    monkeypatch.setattr(TK, "GROWTH", 2)
+    monkeypatch.setattr(TK, "ROWS", 150)
+    monkeypatch.setattr(TK, "QUERIES", 16)
+    check(spark, rows, k=5)
+    report = []
+    df = spark.createDataFrame([(i, v, 0, "x", "y", "z") for i, v in rows], SCHEMA)
+    n_found = TK.search(TK.quantised(df), F.col("vec_id") % 20 == 0, 5, report).count()
+    n, n_q = len(rows), 80
+    assert n_found == 5 * n_q and sum(m for m, _, _ in report) == n and len(report) >= 3
+    assert report[0][1] == n_q and report[-1][1] < n_q // 2  # pairs of range and query are skipped
+    assert sum(m for m, sent, _ in report if sent) + sum(sent for _, sent, _ in report) < n + n_q * len(report)
+
+
+def test_equal_lengths_and_negative_products(spark, monkeypatch):
+    monkeypatch.setattr(TK, "FIRST", 20)
+    monkeypatch.setattr(TK, "GROWTH", 2)
+    check(spark, [(i, [1.0, 0.0] if i % 2 else [0.0, 1.0]) for i in range(120)], k=7)
+    check(spark, [(i, [-1.0 - i, 2.0] if i % 20 else [5.0 + i, -1.0]) for i in range(150)], k=4)
