@@ -187,6 +187,14 @@ def path_pattern_flags_T(lib: Mapping[str, list[str]]) -> dict[str, Column]:
     return out
 
 
+def path_pattern_texts_T(lib: Mapping[str, list[str]]) -> dict[str, tuple[Column, list[str]]]:
+    """The same flags as (text, patterns), for an index over a large library."""
+    path = c("path")
+    return {"path_matches": (path, lib.get("request_uri", [])),
+            "query_matches": (F.when(has_query_params(), query_string()), lib.get("query_string", [])),
+            **{flag: (path, lib.get(cat, [])) for flag, cat in T_FAMILY_FLAGS.items()}}
+
+
 def ua_pattern_flags_T(lib: Mapping[str, list[str]]) -> dict[str, Column]:
     return {"ua_matches": matches_any(c("user_agent"), lib.get("user_agent", []))}
 

@@ -10,8 +10,9 @@ key costs one partial row per task, not a hot task).  It is joined back with
   from the dimension's short lineage (scan -> partial aggregate -> shuffle);
 * a dimension is broadcast only when its rows and bytes are within bounds, the
   bytes summed over all dimensions of the plan (they sit on each executor at
-  once); otherwise it is a shuffle join, where AQE's skew-join handling splits
-  the hot keys of the row side, and it is not kept in the cache;
+  once); otherwise it is a shuffle join, in which the rows of heavy keys are
+  dealt out (:func:`weighted_join`, given their counts) or left to AQE's skew-join
+  handling, and it is not kept in the cache;
 * a table derived from a measured one by filters or left joins on distinct keys
   reuses that measure (``small``) instead of running another job.
 
@@ -122,14 +123,18 @@ def sizes(tables: Mapping[str, DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST
 
 
 def join_dim(rows: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
+             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, small: bool | None = None,
+             weight: str | None = None) -> DataFrame:
     """Left-join a per-key table onto the rows, broadcasting it only behind a size check.
 
     ``small`` is the measure of the table it was derived from; without it the
-    table is measured (one job).
+    table is measured (one job).  With ``weight`` (the column that counts a key's
+    rows) a table beyond the bound is joined by :func:`weighted_join`.
     """
     if small is None:
         dim, small = measured(dim, max_broadcast_rows)
+    if weight and not small:
+        return weighted_join(rows, dim, [on] if isinstance(on, str) else list(on), weight)
     return rows.join(F.broadcast(dim) if small else dim, on=on, how=how)
 
 
@@ -156,3 +161,24 @@ def scalar(one_row_agg: DataFrame):
     the aggregate once and inlines the value; no join and no driver collect.
     """
     return one_row_agg.scalar()
+
+
+def weighted_join(rows: DataFrame, dim: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """Left join of a per-key table too large for a broadcast, its heavy keys dealt out.
+
+    ``weight``: the column of ``dim`` that counts the rows of a key.  A key with more
+    than half of a task's share of all rows is heavy (there are fewer of them than
+    two per shuffle partition, so their list is broadcast); its rows are spread
+    by hash over as many parts as it has such halves, and its one ``dim`` row is
+    repeated for each part.  All other keys go to one task each, as usual.  The
+    spreading is a hash of the row, so a task that runs again deals alike.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = dim.agg(F.sum(weight)).first()[0] or 0
+    share = max(1, total // (2 * parts))
+    heavy = dim.where(F.col(weight) > share).select(*on, F.ceil(F.col(weight) / F.lit(share)).cast("int").alias("_copies"))
+    heavy = F.broadcast(heavy)
+    r = rows.join(heavy, on, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_copies")), F.lit(0)).cast("int"))
+    d = dim.join(heavy, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)))
+    return r.drop("_copies").join(d.drop("_copies"), [*on, "_part"], "left").drop("_part")

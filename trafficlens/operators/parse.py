@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import parse as pf
@@ -21,16 +21,32 @@ def _is_redirect(status):
     return F.coalesce(status.isin(REDIRECT_STATUS_CODES), F.lit(False))
 
 
-def parse_access_log(lines: DataFrame, value_col: str = "value", drop_redirects: bool = True) -> DataFrame:
+def _counters() -> list:
+    """The aggregates of P9 over split lines."""
+    redirect = F.col("_ok") & _is_redirect(pf.log_fields(F.col("_f"))["status"].try_cast("int"))
+    return [
+        F.count(F.lit(1)).alias("total_lines"),
+        F.count_if(F.col("_ok") & ~redirect).alias("parsed"),
+        F.count_if(redirect).alias("skipped_redirects"),
+        F.count_if(~F.col("_ok")).alias("unparsed"),
+    ]
+
+
+def parse_access_log(lines: DataFrame, value_col: str = "value", drop_redirects: bool = True,
+                     observation: Observation | None = None) -> DataFrame:
     """Lines -> parsed table (10 typed columns + pass-through columns of ``lines``).
 
     Unmatched lines are dropped (see :func:`parse_rejects`); every matching line is
     kept, whatever characters it holds (a status beyond the integer range is
     null).  ``drop_redirects``
     removes 301-308 as the file route of the reference does; log content given
-    as a string keeps them (``drop_redirects=False``).
+    as a string keeps them (``drop_redirects=False``).  ``observation`` receives the
+    P9 counters of the action that first runs the result.
     """
-    d = _split(lines, value_col).where("_ok")
+    d = _split(lines, value_col)
+    if observation is not None:
+        d = d.observe(observation, *_counters())
+    d = d.where("_ok")
     f = pf.log_fields(F.col("_f"))
     request = f["request"]
     parsed = {
@@ -60,14 +76,7 @@ def parse_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 def parse_counters(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """One row: total lines, parsed rows kept, redirects skipped, unparseable."""
-    d = _split(lines, value_col)
-    redirect = F.col("_ok") & _is_redirect(pf.log_fields(F.col("_f"))["status"].try_cast("int"))
-    return d.agg(
-        F.count(F.lit(1)).alias("total_lines"),
-        F.count_if(F.col("_ok") & ~redirect).alias("parsed"),
-        F.count_if(redirect).alias("skipped_redirects"),
-        F.count_if(~F.col("_ok")).alias("unparsed"),
-    )
+    return _split(lines, value_col).agg(*_counters())
 
 
 def drop_redirects(df: DataFrame) -> DataFrame:

@@ -34,6 +34,28 @@ def hourly_counts(classified: DataFrame, ts: str = "timestamp") -> DataFrame:
     )
 
 
+def hourly_partials(classified: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """A16 counts per hour of a part of the rows, with the sums that other parts add to."""
+    d = classified.where(F.col(ts).isNotNull())
+    legit, human = F.col("is_legitimate"), F.col("is_human")
+    return d.groupBy(F.date_trunc("hour", F.col(ts)).alias("hour")).agg(
+        F.count("ip").alias("total_requests"),
+        F.count_if(legit).alias("legitimate_requests"),
+        F.count_if(~legit).alias("illegitimate_requests"),
+        F.count_if(human).alias("human_requests"),
+        F.count_if(~human).alias("bot_requests"),
+        *[F.count_if(_cls(c)).alias(f"{c}_requests") for c in CLASSES],
+        F.sum("confidence").alias("_confidence"), F.count("confidence").alias("_confidences"),
+    )
+
+
+def hourly_totals(partials: DataFrame) -> DataFrame:
+    """A16 from the partial counts of all parts."""
+    sums = [c for c in partials.columns if c not in ("hour", "_batch", "day")]
+    g = partials.groupBy("hour").agg(*[F.sum(c).alias(c) for c in sums])
+    return g.withColumn("avg_confidence", F.col("_confidence") / F.col("_confidences")).drop("_confidence", "_confidences")
+
+
 def pct(num: str, den: str = "total_requests") -> Column:
     return F.col(num) * 100.0 / F.col(den)
 

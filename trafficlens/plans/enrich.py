@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import features as X
 from ..functions import fixed
+from ..functions.pattern_index import INDEX_FROM, pattern_hits
 from ..operators import traffic as TR
 from ..operators.dims import DEFAULT_MAX_BROADCAST_ROWS, flag_join, join_dim, measured, null_safe_join, sizes
 from ..operators.reputation import add_reputation, reputation_table
@@ -112,7 +113,7 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
                  patterns: Mapping[str, list[str]] | DataFrame | None = None, tiebreak: list[str] | None = None,
                  compat_ua: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                  scope: list[str] | None = None, old_browser: str = "reference",
-                 lag_bucket: str = "minute", only: DataFrame | None = None) -> DataFrame:
+                 lag_bucket: str = "minute", only: DataFrame | None = None, indexed: bool | None = None) -> DataFrame:
     """Profile T: parsed rows -> parsed + 44 feature columns (+ pass-through columns).
 
     ``scope``: optional non-null columns of ``parsed`` (e.g. a day) that bound
@@ -125,12 +126,15 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     still cover all rows (a sample is drawn first, then enriched).
     ``malicious_user_agents``: entries, or a table from ``read_ua_list`` (IO8).
     ``patterns``: a library, or a table from ``read_patterns`` (IO9).
+    ``indexed``: apply it through a literal index; by default from ``INDEX_FROM`` patterns on.
     """
     scope = list(scope or [])
     ua_list = _ua_entries(malicious_user_agents)
     lib = DEFAULT_LIBRARY if patterns is None else library(patterns) if isinstance(patterns, DataFrame) else patterns
     mb = max_broadcast_rows
     rows = parsed
+    if indexed is None:
+        indexed = sum(map(len, lib.values())) >= INDEX_FROM
 
     path_aggs = [F.count_if(F.col("status_code") >= 500).alias("_srv")]
     # One job persists and counts the independent per-key tables.
@@ -157,18 +161,25 @@ def enrich_train(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
         "path_length": X.path_length(),
         "has_query_params": X.has_query_params(),
         "has_suspicious_patterns": X.suspicious_path_T(),
-        **X.path_pattern_flags_T(lib),
+        **({} if indexed else X.path_pattern_flags_T(lib)),
     }
     path_agg_flags = {"to_high_error_path": F.col("_srv") > 5}
-    ua_exprs = {**X.ua_flags_T(ua_list, compat_ua, old_browser), **X.ua_pattern_flags_T(lib)}
+    ua_exprs = {**X.ua_flags_T(ua_list, compat_ua, old_browser), **({} if indexed else X.ua_pattern_flags_T(lib))}
 
     d = TR.add_time_diff(rows, key=[*scope, "ip"], tiebreak=tiebreak, bucket=lag_bucket)
     if only is not None:
         d = d.join(only, only.columns, "left_semi")
-    d = join_dim(d, ip, [*scope, "ip"], "left", small=small["ip"])
+    d = join_dim(d, ip, [*scope, "ip"], "left", small=small["ip"], weight="request_count_per_ip")
     d = _key_features(d, t["path"], small["path"], "path", path_exprs, mb, path_agg_flags, scope)
     d = _key_features(d, t["user_agent"], small["user_agent"], "user_agent", ua_exprs, mb)
-    d = _key_features(d, t["referer"], small["referer"], "referer", X.referer_pattern_flags_T(lib), mb)
+    if indexed:
+        referer = F.when(F.col("referer") != "-", F.col("referer"))
+        for key, texts in (("path", X.path_pattern_texts_T(lib)), ("user_agent", {"ua_matches": (F.col("user_agent"), lib.get("user_agent", []))}),
+                           ("referer", {"referrer_matches": (referer, lib.get("referrer", []))})):
+            keys = t[key].select(key).where(F.col(key).isNotNull()).distinct()
+            d = join_dim(d, pattern_hits(keys, key, texts), key, max_broadcast_rows=mb)
+    else:
+        d = _key_features(d, t["referer"], small["referer"], "referer", X.referer_pattern_flags_T(lib), mb)
     d = d.withColumn("minute", TR.minute_of())
     d = flag_join(d, t["spike_minutes"], [*scope, "minute"], "during_traffic_spike",
                   small=small["spike_minutes"])
@@ -221,7 +232,6 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     ip = flag_join(ip, TR.coordinated_asns_serve(ip, scope), [*scope, "asn"], "from_coordinated_asn",
                    max_broadcast_rows=mb, small=small["ip"] or None)
     ip = TR.with_spike_flag_serve(ip, scope=scope)
-    ip = ip.drop("ip_rows")
 
     # Per-path: X4 (S), families on base path and query, A14.  Per-user-agent: X5-X10 (S), families.
     base_hits = X.family_hits_S(X.base_path())
@@ -238,7 +248,7 @@ def enrich_serve(parsed: DataFrame, blocklist: DataFrame, malicious_user_agents:
     d = rows.withColumns(X.calendar_columns())
     d = TR.add_time_diff(d, key=[*scope, "ip"], tiebreak=tiebreak, with_prev=False, bucket=lag_bucket)
     d = d.withColumn("minute_bucket", TR.minute_of())
-    d = join_dim(d, ip, [*scope, "ip"], "left", small=small["ip"])
+    d = join_dim(d, ip, [*scope, "ip"], "left", small=small["ip"], weight="ip_rows").drop("ip_rows")
     d = _key_features(d, t["path"], small["path"], "path", path_exprs, mb, path_agg_flags, scope)
     d = _key_features(d, t["user_agent"], small["user_agent"], "user_agent", ua_exprs, mb)
     ref_hits = X.family_hits_S(F.coalesce(F.col("referer"), F.lit("")))

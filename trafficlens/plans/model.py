@@ -96,17 +96,18 @@ def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params
     va = d.where(F.col("_valid") & F.col("_val")).select(*cols).cache()
     ll = MulticlassClassificationEvaluator(metricName="logLoss")
     acc = MulticlassClassificationEvaluator(metricName="accuracy")
-    best = None
+    best, n_va = None, va.count()
     for rp in reg_params:
         m = build_pipeline(rp, num_path_features).fit(tr)
-        p = m.transform(va)
-        loss = ll.evaluate(p) if va.take(1) else float("nan")
+        p = m.transform(va).select("label", "rawPrediction", "probability", "prediction").cache()  # for both evaluators
+        loss, hits = (ll.evaluate(p), acc.evaluate(p)) if n_va else (float("nan"), float("nan"))
+        p.unpersist()
         if best is None or loss < best[1] or best[1] != best[1]:
-            best = (m, loss, rp, acc.evaluate(p) if va.take(1) else float("nan"))
+            best = (m, loss, rp, hits)
     m, loss, rp, a = best
     spark = labeled_enriched.sparkSession
     metrics = spark.createDataFrame(
-        [(tr.count(), va.count(), skipped, float(loss), float(a), float(rp))],
+        [(tr.count(), n_va, skipped, float(loss), float(a), float(rp))],
         "train_rows bigint, validation_rows bigint, skipped_rows bigint, eval_loss double, accuracy double, reg_param double")
     tr.unpersist()
     va.unpersist()

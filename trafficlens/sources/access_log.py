@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.parse import strip_ws
 from .spread import spread
 
 log = logging.getLogger(__name__)
@@ -59,11 +60,20 @@ def read_access_logs(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return spread(df)
 
 
-def lines_from_text(spark: SparkSession, content: str) -> DataFrame:
-    """IO2: log content given as one string -> one row per line.
+def lines_from_documents(documents: DataFrame, content: str = "content") -> DataFrame:
+    """IO2: log content held in a column -> one row per line.
 
-    The string is already in the driver; it is split there and the lines are
-    distributed over the default parallelism (not exploded in one task).
+    Surrounding white space of a content is stripped.  The other columns pass
+    through; ``line_id`` counts the lines of a content from 0, so both together
+    sort lines as they were.  The split runs in the tasks that hold the contents;
+    a null content has no lines.
     """
-    lines = content.strip().split("\n")
-    return spark.createDataFrame([(line, i) for i, line in enumerate(lines)], "value string, line_id bigint")
+    others = [c for c in documents.columns if c != content]
+    lines = F.posexplode(F.split(strip_ws(F.col(content)), "\n")).alias("line_id", "value")
+    return documents.select(*others, lines).select("value", *others, F.col("line_id").cast("bigint").alias("line_id"))
+
+
+def lines_from_text(spark: SparkSession, content: str) -> DataFrame:
+    """IO2: log content given as one string -> one row per line, split in a task and then dealt out."""
+    lines = lines_from_documents(spark.createDataFrame([(content,)], "content string"))
+    return lines.repartition(spark.sparkContext.defaultParallelism)

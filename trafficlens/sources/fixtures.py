@@ -109,6 +109,23 @@ def lines_from_requests(r: DataFrame) -> DataFrame:
     return r.select("n", line.alias("value"), "classification", "confidence")
 
 
+#: Files of :func:`write_log_files`, and the requests whose lines arrive two files late.
+LOG_FILES, LATE_EVERY = 12, 11
+
+#: File of a request: by its time, with every LATE_EVERY-th request two files later (Spark and DuckDB).
+FILE_OF_SQL = f"least({LOG_FILES - 1}, CAST(floor((extract(DAY FROM ts) - 1) * {LOG_FILES} / 31) AS INT) + CASE WHEN n % {LATE_EVERY} = 0 THEN 2 ELSE 0 END)"
+FILE_IN_ORDER_SQL = f"CAST(floor((extract(DAY FROM ts) - 1) * {LOG_FILES} / 31) AS INT)"
+
+
+def write_log_files(spark: SparkSession, sf_dir: str, folder: str, file_of: str = FILE_OF_SQL) -> DataFrame:
+    """The fixture's lines as ``LOG_FILES`` files, written one after the other; returns an empty frame of their schema."""
+    requests = req_all(spark, sf_dir).withColumn("file", F.expr(file_of)).persist()
+    for k in range(LOG_FILES):
+        lines_from_requests(requests.where(F.col("file") == k)).coalesce(1).write.mode("append").parquet(folder)
+    requests.unpersist()
+    return spark.read.parquet(folder).limit(0)
+
+
 def blocklist_lines(spark: SparkSession, duplicate: bool = False) -> DataFrame:
     """Blocklist in its text form (IO7 input): rows plus a comment, a blank and a
     malformed line; ``duplicate`` appends a second line for an existing IP."""

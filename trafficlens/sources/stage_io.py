@@ -6,9 +6,10 @@ sources/sinks with explicit schemas (no inference).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.parse import parse_access_log
 from ..operators.traffic import default_order
 from ..schemas import HOURLY, TRAINING_EXAMPLE
 
@@ -39,6 +40,18 @@ def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
+def write_parsed(lines: DataFrame, path: str, mode: str = "overwrite", value_col: str = "value",
+                 drop_redirects: bool = True) -> dict[str, int]:
+    """Parse lines into a Parquet table and return the P9 counters of what was written.
+
+    The counters are observed by the writing tasks: the lines are read once, and
+    an attempt that fails does not count (only a finished write task reports).
+    """
+    seen = Observation("parse")
+    parse_access_log(lines, value_col, drop_redirects, seen).write.mode(mode).parquet(path)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
 def first_rows(df: DataFrame, k: int = 10, order_by: list[str] | None = None) -> DataFrame:
     """The first ``k`` rows in the order of the columns (by default file order, then
     the raw line), which makes the choice definite; a top-k, no global sort."""

@@ -14,7 +14,8 @@ Routing of section headers:
   section feeds its own flag;
 * ``compat=True``: only a header containing ``PATTERNS`` whose normalised name
   is a known category switches the category, as the reference does; other
-  sections fall into the previous category.
+  sections fall into the previous category.  A pattern that does not compile is
+  first tried with its brackets balanced (status ``repaired``).
 """
 
 from __future__ import annotations
@@ -82,18 +83,42 @@ def _one_outer_pair(s: str) -> bool:
     return depth == 0
 
 
+#: A plus sign that is meant as written: escaped, alone in a class, or repeating a word character.
+_SOUND_PLUS = re.compile(r"\\\+|\[\+\]|\w\+")
+
+
+def balanced(pattern: str) -> str:
+    """A pattern that does not compile, with its brackets evened out and its loose ends closed (compat mode)."""
+    surplus = pattern.count("(") - pattern.count(")")
+    if surplus >= 0:
+        pattern += ")" * surplus
+    else:
+        pattern = pattern[-surplus:] if pattern.startswith(")") else "(" * -surplus + pattern
+    pattern += "]" * (pattern.count("[") - pattern.count("]"))
+    if not _SOUND_PLUS.search(pattern):
+        pattern = pattern.replace("+", r"\+")
+    return pattern + "." if pattern.endswith(("\\", "|")) else pattern
+
+
+def _compiles(pattern: str) -> bool:
+    try:
+        re.compile(pattern)
+        return True
+    except re.error:
+        return False
+
+
 @F.pandas_udf(T.StructType([T.StructField("pattern", T.StringType()), T.StructField("status", T.StringType())]))
-def _compile_check(p: pd.Series) -> pd.DataFrame:
-    pats, status = [], []
-    for s in p:
-        try:
-            re.compile(s)
-            pats.append(s)
-            status.append("ok")
-        except re.error:
-            pats.append(re.escape(s))
-            status.append("escaped")
-    return pd.DataFrame({"pattern": pats, "status": status})
+def _compile_check(p: pd.Series, compat: pd.Series) -> pd.DataFrame:
+    rows = []
+    for s, cm in zip(p, compat):
+        if _compiles(s):
+            rows.append((s, "ok"))
+        elif cm and _compiles(balanced(s)):
+            rows.append((balanced(s), "repaired"))
+        else:
+            rows.append((re.escape(s), "escaped"))
+    return pd.DataFrame(rows, columns=["pattern", "status"])
 
 
 @F.pandas_udf(T.StringType())
@@ -158,7 +183,7 @@ def patterns_from_lines(lines: DataFrame, compat: bool = False, value_col: str =
     d = d.where((F.col("line") != "") & ~F.col("line").startswith("#") & F.col("category").isNotNull()
                 & (F.col("category") != "__end__"))
     d = d.withColumn("_p", _strip_outer(F.col("line"), F.lit(compat)))
-    d = d.withColumn("_c", _compile_check(F.col("_p")))
+    d = d.withColumn("_c", _compile_check(F.col("_p"), F.lit(compat)))
     return d.select("line_no", "category", F.col("_c.pattern").alias("pattern"), F.col("_c.status").alias("status"))
 
 

@@ -5,8 +5,8 @@
 * ST2 ``hourly_partial`` / ``hourly_total``: hourly class roll-up.
 * ST3 ``rate_partial`` / ``rate_alerts``: per (ip, minute) request counts above a threshold.
 
-Statistics over the whole input (A6, A10, A11) are not streamable as defined;
-run the batch plans per closed period in ``foreachBatch`` instead.
+The jobs with event-time state (late rows, alerts while the stream runs, gaps
+across batches, statistics of closed days) are in :mod:`.event_time`.
 
 :func:`run_to_table` runs a row stream, :func:`run_merged` an aggregation, to
 completion with an ``availableNow`` trigger into a Parquet table in the shared
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from ..functions import features as X
 from ..functions import labels as L
-from ..functions.fixed import CLASSES, FALLBACK_MALICIOUS_USER_AGENTS
-from ..operators.dims import join_dim
+from ..functions.fixed import FALLBACK_MALICIOUS_USER_AGENTS
+from ..operators.dims import join_dim, materialize
 from ..operators.parse import parse_access_log
+from ..operators.summary import hourly_partials, hourly_totals
 from ..session import checkpoint_dir
 from ..sources import fixtures as fx
 
@@ -56,8 +57,8 @@ def parse_stream(lines: DataFrame, blocklist: DataFrame | None = None) -> DataFr
     })
     if blocklist is not None:
         from ..sources.reputation_lists import blocklist_by_ip
-        # The static side is counted once; broadcast only within the bound.
-        bl = blocklist_by_ip(blocklist).select("ip", "country", "asn")
+        # The static side is written once, as a stream's plan allows no line numbering, and counted; broadcast only within the bound.
+        bl = materialize(blocklist_by_ip(blocklist).select("ip", "country", "asn"))
         p = join_dim(p, bl, "ip", "left").withColumns({
             "ip_is_known_bad": F.col("asn").isNotNull(),
             "country": F.coalesce("country", F.lit("Unknown")),
@@ -68,25 +69,12 @@ def parse_stream(lines: DataFrame, blocklist: DataFrame | None = None) -> DataFr
 def hourly_partial(lines: DataFrame) -> DataFrame:
     """ST2, one micro-batch: A16 counts per hour, with the sums that later batches add to."""
     p = parse_access_log(lines).where(F.col("timestamp").isNotNull())
-    p = p.withColumns({"is_legitimate": L.is_legitimate(), "is_human": L.is_human()})
-    legit = F.col("is_legitimate")
-    human = F.col("is_human")
-    return p.groupBy(F.date_trunc("hour", "timestamp").alias("hour")).agg(
-        F.count("ip").alias("total_requests"),
-        F.count_if(legit).alias("legitimate_requests"),
-        F.count_if(~legit).alias("illegitimate_requests"),
-        F.count_if(human).alias("human_requests"),
-        F.count_if(~human).alias("bot_requests"),
-        *[F.count_if(F.col("classification") == c).alias(f"{c}_requests") for c in CLASSES],
-        F.sum("confidence").alias("_confidence"), F.count("confidence").alias("_confidences"),
-    )
+    return hourly_partials(p.withColumns({"is_legitimate": L.is_legitimate(), "is_human": L.is_human()}))
 
 
 def hourly_total(partials: DataFrame) -> DataFrame:
     """ST2: the hourly table from the partial counts of all batches."""
-    sums = [c for c in partials.columns if c not in ("hour", "_batch")]
-    g = partials.groupBy("hour").agg(*[F.sum(c).alias(c) for c in sums])
-    return g.withColumn("avg_confidence", F.col("_confidence") / F.col("_confidences")).drop("_confidence", "_confidences")
+    return hourly_totals(partials)
 
 
 def rate_partial(lines: DataFrame) -> DataFrame:
