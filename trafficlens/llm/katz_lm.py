@@ -16,9 +16,8 @@ up together.  Histories too frequent for one partition are dealt over several by
 their next word, and their statistics added up afterwards.  Only sums and
 counts of counts come to the driver.
 
-The model is kept as three tables in the shared folder: unigram partitions
-(word hash, count), bigram partitions (packed ids and counts) and history
-statistics, from which the backoff weights follow.
+This form scores the corpus that it counts, in one pass, and keeps no model;
+:mod:`.katz_tables` stores the same model, of any order, for other texts.
 
 Defined cases: a null or empty text is the single token ``end``; with no training
 text every token is unknown with probability 1 (score 0); a null id counts as
@@ -343,7 +342,6 @@ def score(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     stats = answers.where("stats IS NOT NULL").select("bucket", "stats").collect()  # one row per partition
     _, known, total, *types = np.sum([r["stats"] for r in stats], 0).tolist() if stats else [0] * (K + 4)
     parts = bigrams(chunks, answers, [(r["bucket"], r["stats"][0]) for r in stats], buckets, total, known, types, n_train, n_all)
-    write_table(answers.where("chunk IS NULL").select("bucket", F.col("place").alias("words"), "counts"), "katz-unigram-table")
     discard(chunks, answers)
     counts = parts.where(F.col("kind") == TYPES).agg(*[F.sum(f"n{r}") for r in range(1, K + 1)], F.sum("m")).first()
     d = discounts([int(v or 0) for v in counts])
