@@ -58,7 +58,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mix, small_side, trimmed, with_file_rows, write_table
+from .common import BROADCAST_BYTES, discard, mix, small_side, trimmed, with_file_rows, write_table
 from .components import connected
 
 WORDS, SIMILAR = 5, 80
@@ -304,7 +304,12 @@ def not_withheld(shared: DataFrame, docs: DataFrame, reps: DataFrame, key: str)
     """The rows of ``shared`` (``sig, node, root``: hot signatures) that their sets must keep."""
     # a set has a bounded number of signatures
     lists = write_table(shared.groupBy("node").agg(F.collect_list("sig").alias("hot")).join(reps, "node"), "join-hot")
-    rows = docs.select(key, "text").join(lists, key)
+    n, held = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("hot")), F.lit(0))).first()
+    # texts stay where they are while the lists, or at least their keys, can be broadcast
+    rows = docs.select(key, "text")
+    if n * 80 + 8 * held > BROADCAST_BYTES:
+        rows = rows.join(small_side(lists.select(key), n, 40), key, "left_semi")
+    rows = rows.join(small_side(lists, n, 80 + 8 * held // max(1, n)), key)
 
     def run(batches):
         bands = Bands()
