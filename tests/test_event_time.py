@@ -66,7 +66,7 @@ def test_hourly_on_time_and_late_rows_are_all_rows(spark, tmp_path, monkeypatch)
     assert late > 0 and on_time + late == batch.agg(F.sum("total_requests")).first()[0]
     closed = job.tables.rows("hours")
     assert closed.count() == closed.select("hour").distinct().count() > 0  # each hour is emitted once
-    assert job.tables.part_count("hours") <= 6  # of 12 batches
+    assert job.tables.part_count("hours") <= 5  # of 8 batches
 
 
 def test_hourly_after_a_failed_batch(spark, tmp_path, monkeypatch):

@@ -85,7 +85,7 @@ def st1_time_diff(spark, sf):
 
 
 def _days(spark, sf, table):
-    job = ET.run_days(spark, _file_stream(spark, sf), C.blocklist(spark), delay=DAY_SECONDS)
+    job = ET.run_days(spark, _file_stream(spark, sf), C.blocklist(spark), delay=DAY_SECONDS, only=(table,))
     return ET.day_results(spark, job, table)
 
 

@@ -110,7 +110,7 @@ def lines_from_requests(r: DataFrame) -> DataFrame:
 
 
 #: Files of :func:`write_log_files`, and the requests whose lines arrive two files late.
-LOG_FILES, LATE_EVERY = 12, 11
+LOG_FILES, LATE_EVERY = 8, 11
 
 #: File of a request: by its time, with every LATE_EVERY-th request two files later (Spark and DuckDB).
 FILE_OF_SQL = f"least({LOG_FILES - 1}, CAST(floor((extract(DAY FROM ts) - 1) * {LOG_FILES} / 31) AS INT) + CASE WHEN n % {LATE_EVERY} = 0 THEN 2 ELSE 0 END)"

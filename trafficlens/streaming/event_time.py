@@ -78,7 +78,7 @@ class Clock:
     def advance(self, batch: int, rows: DataFrame) -> int | None:
         seen = rows.agg(F.max(F.unix_micros("timestamp"))).first()[0]
         newest = _later(self.newest(batch), seen)
-        self.tables.write_snapshot("clock", batch, rows.sparkSession.createDataFrame([(newest,)], "newest bigint"))
+        self.tables.write_snapshot("clock", batch, rows.sparkSession.createDataFrame([(newest,)], "newest bigint").coalesce(1))
         return newest
 
 
@@ -202,13 +202,17 @@ def run_lag(spark: SparkSession, lines: DataFrame, expiry: int | None = None, ti
 
 # -- closed days -------------------------------------------------------------
 
-def run_days(spark: SparkSession, lines: DataFrame, blocklist: DataFrame, delay: int = 3600, finish: bool = True, name: str | None = None) -> Job:
+DAY_RESULTS = ("spike_minutes", "spikes", "asns")
+
+
+def run_days(spark: SparkSession, lines: DataFrame, blocklist: DataFrame, delay: int = 3600, finish: bool = True,
+             only: tuple[str, ...] = DAY_RESULTS, name: str | None = None) -> Job:
     """A6, A10 and A11 per closed day.
 
     Kept: counts per (day, ip, minute).  When a day closes, or gets late rows after
     that, its partitions of the tables ``spike_minutes``, ``spikes`` and ``asns``
-    (below ``results``) are computed from the counts and replaced.  ``finish``
-    closes the days that are still open at the end.
+    (below ``results``; ``only`` some of them) are computed from the counts and
+    replaced.  ``finish`` closes the days that are still open at the end.
     """
     base = _base(spark, name)
     tables = BatchTables(spark, os.path.join(base, "tables"))
@@ -216,36 +220,34 @@ def run_days(spark: SparkSession, lines: DataFrame, blocklist: DataFrame, delay:
     results = os.path.join(base, "results")
 
     def publish(days: DataFrame, upto: int | None) -> None:
+        dates = [r["day"] for r in days.distinct().collect()]  # a few dates; as literals they prune the files
         counts = tables.rows("minutes", upto)
-        if counts is None:
+        if not dates or counts is None:
             return
-        counts = counts.join(F.broadcast(days), "day", "left_semi").groupBy("day", "ip", "minute").agg(F.sum("n").alias("count")).persist()
-        for table, df in (("spike_minutes", _spike_minutes(counts)), ("spikes", _spikes(counts)), ("asns", _asns(counts, blocklist))):
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day")
+        counts = counts.where(F.col("day").isin(dates)).groupBy("day", "ip", "minute").agg(F.sum("n").alias("count")).persist()
+        made = {"spike_minutes": lambda: _spike_minutes(counts), "spikes": lambda: _spikes(counts), "asns": lambda: _asns(counts, blocklist)}
+        for table in only:
+            (made[table]().write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day")
              .parquet(os.path.join(results, table)))
         counts.unpersist()
 
     def process(batch: DataFrame, batch_id: int) -> None:
         p = parse_access_log(batch).where(F.col("timestamp").isNotNull()).withColumn("day", F.to_date("timestamp")).persist()
         end = F.date_add("day", 1).cast("timestamp")
-        before = clock.horizon(clock.newest(batch_id))
         now = clock.horizon(clock.advance(batch_id, p))
         tables.append("minutes", batch_id, p.groupBy("day", "ip", TR.minute_of().alias("minute")).agg(F.count(F.lit(1)).alias("n")))
-        known = tables.rows("minutes", batch_id + 1).select("day").distinct()
-        newly = known.where(_closed(end, now) & ~_closed(end, before))
-        late = p.where(_closed(end, before)).select("day").distinct()
-        days = newly.union(late).distinct().persist()  # a few dates
-        if not days.isEmpty():
-            publish(days, batch_id + 1)
-        days.unpersist()
+        here, carried = p.select("day").distinct(), tables.snapshot("open_days", batch_id)
+        seen = here if carried is None else here.unionByName(carried).distinct()
+        # closed by now: days that were open, and closed ones with late rows
+        publish(seen.where(_closed(end, now)), batch_id + 1)
+        tables.write_snapshot("open_days", batch_id, seen.where(~_closed(end, now)).coalesce(1))
         p.unpersist()
 
     _run(spark, lines, base, process)
     if finish:
-        rows = tables.rows("minutes")
-        if rows is not None:
-            now = clock.horizon(clock.newest())
-            publish(rows.select("day").distinct().where(~_closed(F.date_add("day", 1).cast("timestamp"), now)), None)
+        left = tables.snapshot("open_days")
+        if left is not None:
+            publish(left, None)
     return Job(base, tables)
 
 
