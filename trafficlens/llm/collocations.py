@@ -53,7 +53,7 @@ ID_BITS = 21  # three word numbers in one signed 64-bit integer
 COUNT_BITS = 40  # the fourth above the count of a chunk
 DICTIONARY_BYTES = 24 << 20
 WORD_BYTES = 90  # of a numbered word in a worker's dictionary, besides its text
-HELD = 4_000_000  # rows of one pair of words that a counting task holds back
+STEP, HELD = 500_000, 4_000_000  # rows that a counting task looks at together; of one pair of words that it holds back
 ENDS = rb".,;:!?" + bytes(range(0x0A, 0x0E))
 #: Piece ends become a byte that UTF-8 never has, tabs spaces.
 END = b"\xff"
@@ -196,7 +196,7 @@ def cut_windows(sent: DataFrame, least: int, parts: int, heavy: int) -> DataFram
         for b in batches:
             waiting.append((b.column("k").to_numpy(), b.column("m").to_numpy()))
             size += b.num_rows
-            if size >= 500_000:
+            if size >= STEP:
                 yield from step(False)
         yield from step(True)
 
