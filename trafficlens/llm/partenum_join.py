@@ -343,14 +343,14 @@ def classes(docs: DataFrame, key: str | None = None, keep: tuple[str, ...] = ())
     nodes = write_table(info.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(key).alias("__key"), F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"),
         F.first("sketch").alias("sketch")), "join-nodes")
-    n, held_words = nodes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("sketch")), F.lit(0))).first()
-    sketches = small_side(nodes.select("node", "n", "sketch"), n, 64 + 8 * (held_words // max(1, n)))
+    sketches = nodes.select("node", "n", "sketch")  # grows with the words of the texts: joined by a shuffle at any size
     reps = nodes.select("node", F.col("__key").alias(key))
     side = lambda k, c: sketches.select(F.col("node").alias(c), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"sketch{k}"))
 
     order = Window.partitionBy("sig").orderBy("node")
-    chain = (signatures(docs).withColumn("a", F.lag("node").over(order)).withColumnRenamed("node", "b").where("a <> b"))
-    chain = write_table(chain.select("sig", "a", "b"), "join-chain")
+    chain = (signatures(docs).withColumns({"a": F.lag("node").over(order), "low": F.first("node").over(order)})
+             .withColumnRenamed("node", "b").where("a <> b"))
+    chain = write_table(chain.select("sig", "a", "b", (F.col("a") == F.col("low")).alias("first")), "join-chain")
     near = (chain.select("a", "b").distinct().join(side(1, "a"), "a").join(side(2, "b"), "b")
             .where(may_link("n1", "n2", "sketch1", "sketch2")).select("a", "b"))
     near = write_table(near, "join-near")
@@ -362,7 +362,7 @@ def classes(docs: DataFrame, key: str | None = None, keep: tuple[str, ...] = ())
     # in a few groups, not in every signature that it shares.
     many = chain.groupBy("sig").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("sig")
     held = chain.join(many, "sig", "left_semi")
-    held = held.select("sig", F.col("a").alias("node")).unionByName(held.select("sig", F.col("b").alias("node"))).distinct()
+    held = held.select("sig", F.explode(F.when(F.col("first"), F.array("a", "b")).otherwise(F.array("b"))).alias("node"))
     n_parts = parts.count()
     held = held.join(small_side(parts, n_parts, 48), "node", "left").withColumn("root", F.coalesce("root", "node"))
     held = write_table(held, "join-held")
