@@ -159,3 +159,24 @@ def test_closed_days_equal_the_scoped_batch_and_late_days_reopen(spark, tmp_path
     minutes = ET.day_results(spark, job, "spike_minutes").where("is_spike")
     scoped = C.q1_scope_spike_train(spark, SF_SMALL).where(F.col("day").isin(closed))
     assert rows(minutes, "day", "minute") == rows(scoped, "day", "minute")
+
+
+def test_a_log_file_in_parts_is_one_batch(spark, tmp_path, monkeypatch):
+    """Files of more rows than a part holds are dealt out, and each micro-batch still is one file, also an almost empty one."""
+    monkeypatch.setattr(fx, "ROWS_PER_PART", 50)
+    days = [2] * 300 + [10, 20] + [29] * 40  # most requests in the first file, none in some
+    events = spark.createDataFrame([(10 * n + 3, f"2024-01-{d:02d} 10:00:00", n, "view", 1.0) for n, d in enumerate(days)],
+                                   "event_id bigint, ts string, user_id bigint, event_type string, value double")
+    events.coalesce(2).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    path = str(tmp_path / "in")
+    schema = fx.write_log_files(spark, str(tmp_path / "sf"), path, fx.FILE_IN_ORDER_SQL).schema
+    assert fx.parts_per_file(spark, path) == 6
+    written = spark.read.parquet(path).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert written <= 60
+    batches = []
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", fx.parts_per_file(spark, path)).parquet(path)
+    ET._run(spark, source, str(tmp_path / "run"), lambda batch, _: batches.append(sorted(r["n"] for r in batch.select("n").collect())))
+    want = {}
+    for n, d in enumerate(days):
+        want.setdefault((d - 1) * fx.LOG_FILES // 31, []).append(10 * n + 3)
+    assert batches == [want.get(k, []) for k in range(fx.LOG_FILES)]

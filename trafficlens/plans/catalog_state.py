@@ -46,10 +46,10 @@ def folder(spark: SparkSession, name: str) -> str:
 # ---------------------------------------------------------------------------
 
 def _file_stream(spark: SparkSession, sf: str, file_of: str = fx.FILE_OF_SQL) -> DataFrame:
-    """The fixture's lines as a stream of many files, one per micro-batch."""
+    """The fixture's lines as a stream of many files, one (in all its parts) per micro-batch."""
     path = folder(spark, "log-files")
     schema = fx.write_log_files(spark, sf, path, file_of).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", fx.parts_per_file(spark, path)).parquet(path)
 
 
 def st1_stream_reputation(spark, sf):

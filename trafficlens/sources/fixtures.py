@@ -117,15 +117,51 @@ FILE_OF_SQL = f"least({LOG_FILES - 1}, CAST(floor((extract(DAY FROM ts) - 1) * {
 FILE_IN_ORDER_SQL = f"CAST(floor((extract(DAY FROM ts) - 1) * {LOG_FILES} / 31) AS INT)"
 
 
+#: Rows of one Parquet file of :func:`write_log_files`; a larger file of the log is written as several.
+ROWS_PER_PART = 50_000
+
+
 def write_log_files(spark: SparkSession, sf_dir: str, folder: str, file_of: str = FILE_OF_SQL) -> DataFrame:
-    """The fixture's lines as ``LOG_FILES`` files, written one after the other; returns an empty frame of their schema."""
+    """The fixture's lines as ``LOG_FILES`` files, written one after the other; returns an empty frame of their schema.
+
+    A file of the log is a number of Parquet files, the same for each (:func:`parts_per_file`), so that
+    no task writes or reads a whole one.
+    """
     requests = req_all(spark, sf_dir).withColumn("file", F.expr(file_of)).persist()
+    largest = requests.groupBy("file").count().agg(F.max("count")).first()[0] or 0
+    parts = -(-largest // ROWS_PER_PART) or 1
     for k in range(LOG_FILES):
-        lines_from_requests(requests.where(F.col("file") == k)).coalesce(1).write.mode("append").parquet(folder)
+        lines_from_requests(requests.where(F.col("file") == k).repartition(parts)).write.mode("append").parquet(folder)
+        _fill_up(spark, folder, (k + 1) * parts)
     requests.unpersist()
     return spark.read.parquet(folder).limit(0)
 
 
+def parts_per_file(spark: SparkSession, folder: str) -> int:
+    """Parquet files of each of the ``LOG_FILES`` files in ``folder``; a stream that takes so many at once reads file by file."""
+    return len(_part_names(spark, folder)) // LOG_FILES
+
+
+def _part_names(spark: SparkSession, folder: str) -> list[str]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [n for n in (s.getPath().getName() for s in fs.listStatus(p)) if n.startswith("part-")]
+
+
+def _fill_up(spark: SparkSession, folder: str, files: int) -> None:
+    """Add files without rows until ``folder`` holds ``files``: an empty task writes none."""
+    missing = files - len(_part_names(spark, folder))
+    if missing <= 0:
+        return
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = path(folder).getFileSystem(conf)
+    spark.read.parquet(folder).limit(0).coalesce(1).write.mode("append").parquet(folder)
+    empty = max((s for s in fs.listStatus(path(folder)) if s.getPath().getName().startswith("part-")),
+                key=lambda s: s.getModificationTime()).getPath()
+    for i in range(missing - 1):
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, empty, fs, path(folder, f"part-empty-{files}-{i}.parquet"), False, conf)
+
+
 def blocklist_lines(spark: SparkSession, duplicate: bool = False) -> DataFrame:
     """Blocklist in its text form (IO7 input): rows plus a comment, a blank and a
     malformed line; ``duplicate`` appends a second line for an existing IP."""
