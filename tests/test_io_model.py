@@ -148,3 +148,36 @@ def test_sorted_stage_and_first_rows(spark, tmp_path):
     got = [r.raw_log for r in spark.read.parquet(str(tmp_path / "s")).orderBy(F.input_file_name(), F.monotonically_increasing_id()).collect()]
     assert got == sorted(got) and len(got) == 1000
     assert [r.raw_log for r in first_rows(df, 10).collect()] == sorted(got)[:10]
+
+
+def test_path_tokens_are_made_once_for_all_fits(spark, monkeypatch):
+    """Both fits and both evaluations read the finished vectors; the model still starts from the columns."""
+    made, transform = [], MD.RegexTokenizer._transform
+    monkeypatch.setattr(MD.RegexTokenizer, "_transform", lambda self, d: made.append(1) or transform(self, d))
+    numbers = {c: (F.col("id") % (k + 2)).cast("double") for k, c in enumerate(MD.NUMERIC_FEATURES)}
+    flags = {c: F.col("id") % (k + 2) == 0 for k, c in enumerate(MD.BOOL_FEATURES)}
+    rows_ = spark.range(120).withColumns({**numbers, **flags, "path": F.concat(F.lit("/p/"), (F.col("id") % 7).cast("string")),
+                                          "raw_log": F.col("id").cast("string"),
+                                          "classification": F.element_at(F.array(*map(F.lit, CLASSES)), (F.col("id") % 4 + 1).cast("int"))})
+    rows_ = rows_.withColumn("requests_per_minute", F.when(F.col("id") != 5, F.col("requests_per_minute")))
+    model, metrics = MD.train(rows_, 0.2, num_path_features=16)
+    assert len(made) == 1
+    m = metrics.first()
+    assert m["skipped_rows"] == 1 and m["train_rows"] + m["validation_rows"] == 119 and m["validation_rows"] > 0
+    out = MD.classify(model, rows_.drop("classification"))
+    assert out.count() == 120 and rows(out.where("id = 5"), "classification", "confidence") == [(ERROR_CLASS, 0.0)]
+    assert out.where(F.col("classification").isin(CLASSES)).count() == 119
+
+
+def test_wide_log_queries_run_in_compiled_methods(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    key, seen = "spark.sql.codegen.hugeMethodLimit", {}
+    look = lambda name: lambda s, _: seen.update({name: s.conf.get(key)})
+    monkeypatch.setattr(entry.catalog, "QUERIES", {"m9_classify": look("log")})
+    monkeypatch.setattr(entry.catalog_state, "QUERIES", {})
+    monkeypatch.setattr(entry.llm_queries, "QUERIES", {"op1_x": look("text")})
+    for run in entry.queries().values():
+        run(spark, "")
+    spark.conf.unset(key)
+    assert seen["log"] == "8000" and seen["text"] == spark.conf.get(key) != "8000"

@@ -506,14 +506,19 @@ def m4_answer_parse(spark, sf):
     return p.select("n", *[r.getField(f).alias(f) for f in fields])
 
 
+def _fit(enriched: DataFrame):
+    """Model and metrics; ``train`` reads its rows once, so they need not be a stage table."""
+    labeled = enriched.where(F.col("classification").isin(fixed.CLASSES))
+    return MD.train(labeled, 0.1, key_cols=["raw_log", "n"])
+
+
 def _train(spark, sf):
     e = materialize(enriched_train(spark, sf))
-    labeled = e.where(F.col("classification").isin(fixed.CLASSES))
-    return MD.train(labeled, 0.1, key_cols=["raw_log", "n"]), e
+    return _fit(e), e
 
 
 def m8_train_eval(spark, sf):
-    (model, metrics), _ = _train(spark, sf)
+    model, metrics = _fit(enriched_train(spark, sf))
     return metrics
 
 

@@ -288,10 +288,6 @@ def p9_observed(spark, sf):
     return written.select(*[F.lit(counters[c]).cast("bigint").alias(c) for c in ("total_lines", "skipped_redirects", "unparsed")], "parsed")
 
 
-def _model(spark, sf):
-    return C._train(spark, sf)[0][0]
-
-
 def io12_package(spark, sf):
     """IO12: a saved package classifies as the model in memory does."""
     (model, _), e = C._train(spark, sf)
@@ -307,9 +303,10 @@ def io12_package(spark, sf):
 
 def m10_analyze(spark, sf):
     """The hourly totals of the analysis of a saved package, with its own status filter."""
-    path = folder(spark, "package")
-    MD.save(_model(spark, sf), path, {"profile": "serve", "blacklist": "4"})
-    _, hourly, _ = AN.analyze_packaged(spark, path, C.parsed_stage(spark, sf).drop("classification", "confidence"), C.blocklist(spark), tiebreak=C.TIE)
+    path, parsed = folder(spark, "package"), C.parsed_stage(spark, sf)
+    model, _ = C._fit(EN.enrich_train(parsed, C.blocklist(spark), tiebreak=C.TIE))
+    MD.save(model, path, {"profile": "serve", "blacklist": "4"})
+    _, hourly, _ = AN.analyze_packaged(spark, path, parsed.drop("classification", "confidence"), C.blocklist(spark), tiebreak=C.TIE)
     return hourly.select("hour", "total_requests", (F.col("legitimate_requests") + F.col("illegitimate_requests")).alias("both_kinds"))
 
 

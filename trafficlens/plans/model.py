@@ -67,14 +67,22 @@ def label_index() -> F.Column:
     return e
 
 
-def build_pipeline(reg_param: float = 0.01, num_path_features: int = 1 << 10) -> Pipeline:
+def feature_stages(num_path_features: int = 1 << 10) -> list:
+    """From a :func:`feature_frame` to the vector ``features``: nothing to fit."""
     tok = RegexTokenizer(inputCol="_path_text", outputCol="_path_tokens", pattern=r"[/?&=.\-_]+")
     tf = HashingTF(inputCol="_path_tokens", outputCol="_path_tf", numFeatures=num_path_features)
     feats = [f"f_{c}" for c in NUMERIC_FEATURES + BOOL_FEATURES] + ["_path_tf"]
     va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-    lr = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial",
-                            regParam=reg_param, maxIter=30)
-    return Pipeline(stages=[tok, tf, va, lr])
+    return [tok, tf, va]
+
+
+def classifier(reg_param: float = 0.01) -> LogisticRegression:
+    return LogisticRegression(featuresCol="features", labelCol="label", family="multinomial",
+                              regParam=reg_param, maxIter=30)
+
+
+def build_pipeline(reg_param: float = 0.01, num_path_features: int = 1 << 10) -> Pipeline:
+    return Pipeline(stages=[*feature_stages(num_path_features), classifier(reg_param)])
 
 
 def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params=(0.001, 0.01),
@@ -87,18 +95,18 @@ def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params
     counts the rows left out).
     """
     d = feature_frame(labeled_enriched).withColumn("label", label_index()).where(F.col("label").isNotNull())
-    # One table of only what the pipeline reads feeds both splits and every fit.
-    cols = [f"f_{c}" for c in NUMERIC_FEATURES + BOOL_FEATURES] + ["_path_text", "label"]
+    # One table of the finished vectors feeds both splits and every fit.
+    stages = feature_stages(num_path_features)
     d = d.withColumn("_val", split_flag(key_cols or ["raw_log"], validation_split)).withColumn("_valid", valid_features())
-    d = materialize(d.select(*cols, "_val", "_valid"))
+    d = materialize(PipelineModel(stages).transform(d).select("features", "label", "_val", "_valid"))
     skipped = d.where(~F.col("_valid")).count()
-    tr = d.where(F.col("_valid") & ~F.col("_val")).select(*cols).cache()
-    va = d.where(F.col("_valid") & F.col("_val")).select(*cols).cache()
+    tr = d.where(F.col("_valid") & ~F.col("_val")).select("features", "label")
+    va = d.where(F.col("_valid") & F.col("_val")).select("features", "label")
     ll = MulticlassClassificationEvaluator(metricName="logLoss")
     acc = MulticlassClassificationEvaluator(metricName="accuracy")
     best, n_va = None, va.count()
     for rp in reg_params:
-        m = build_pipeline(rp, num_path_features).fit(tr)
+        m = classifier(rp).fit(tr)
         p = m.transform(va).select("label", "rawPrediction", "probability", "prediction").cache()  # for both evaluators
         loss, hits = (ll.evaluate(p), acc.evaluate(p)) if n_va else (float("nan"), float("nan"))
         p.unpersist()
@@ -109,9 +117,7 @@ def train(labeled_enriched: DataFrame, validation_split: float = 0.1, reg_params
     metrics = spark.createDataFrame(
         [(tr.count(), n_va, skipped, float(loss), float(a), float(rp))],
         "train_rows bigint, validation_rows bigint, skipped_rows bigint, eval_loss double, accuracy double, reg_param double")
-    tr.unpersist()
-    va.unpersist()
-    return m, metrics
+    return PipelineModel([*stages, m]), metrics
 
 
 def classify(model: PipelineModel, enriched: DataFrame) -> DataFrame:

@@ -72,6 +72,16 @@ def prepare_workers(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
+#: Bytecode of a generated method beyond which HotSpot leaves it uncompiled.
+METHOD_BYTES = "8000"
+
+
+def prepare_wide_plans(spark: SparkSession) -> None:
+    """For plans of many columns: their whole-stage methods pass HotSpot's limit and would run
+    interpreted, so such stages run operator by operator, in methods that are compiled."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", METHOD_BYTES)
+
+
 def ship_package() -> None:
     """Send this package's functions to Python workers by value, so that the
     workers need not have it on their path."""
