@@ -92,3 +92,36 @@ def test_marginals_of_every_length(spark):
 def test_empty_table(spark):
     assert CO.collocations(docs(spark, [])).count() == 0
     assert CO.collocations(docs(spark, [(1, None), (2, "one word. each")])).count() == 0
+
+
+def test_many_frequent_words_leave_cut_windows(spark, monkeypatch):
+    """More words than the dictionary holds: windows are cut at rare words before they are sent, in chunks with their own words."""
+    rng = random.Random(4)
+    rows = drawn(rng, 300) + [(i, " ".join(f"r{rng.randrange(10 ** 9)}" for _ in range(40)), "en") for i in range(200)] + EDGES
+    monkeypatch.setattr(CO, "CHUNK", 700)
+    monkeypatch.setattr(CO, "PIECE", 90)
+    monkeypatch.setattr(CO, "OWN", 500)
+    monkeypatch.setattr(CO, "TEXTS", 1500)
+    monkeypatch.setattr(CO, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(CO, "COMMON", 5)
+    sent = []
+    cut = CO.cut_windows
+    monkeypatch.setattr(CO, "cut_windows", lambda df, *a: sent.append(df) or cut(df, *a))
+    monkeypatch.setattr(CO, "discard", lambda *tables: None)
+    d = docs(spark, rows, clashing=True).repartition(3)
+    got = CO.collocations(d, least=3, top=60, dictionary_bytes=0)
+    assert rows_of(got) == brute(rows, 3, 60)
+    numbered = {n for r in sent[0].collect() for n in (r.p >> 31, r.p & (2 ** 31 - 1), r.q >> 31, r.q & (2 ** 31 - 1))}
+    frequent = CO.vocabulary(d.selectExpr("coalesce(lang, 'und') as lang", "text")).where("f >= 3").count()
+    assert numbered == set(range(frequent + 1))
+
+
+def test_numbers_by_frequency(spark):
+    words = [("en", f"w{i}", 1 + i % 7) for i in range(500)] + [("de", "w1", 50)]
+    got = CO.numbered(spark.createDataFrame(words, "lang string, word string, f bigint").repartition(9)).orderBy("id").collect()
+    assert [(r.id, r.lang, r.word, r.f) for r in got] == [(i, *w) for i, w in enumerate(sorted(words, key=lambda w: (-w[2], w[0], w[1])), 1)]
+
+
+def test_packed_codes():
+    codes = CO.np.array([0, 1, 255, 256, 70_000, 2 ** 32 - 1], CO.np.uint32)
+    assert CO.unpacked(CO.packed(codes)).tolist() == codes.tolist()

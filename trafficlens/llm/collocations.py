@@ -11,8 +11,8 @@ No phrase with a rarer word, or beginning with a rarer phrase, than ``least``
 can be a candidate or a part of one.  So
 
 * a window may be cut at its first rare word.  The frequent words of every
-  language are numbered, most frequent first, and a window is a packed pair of
-  integers.  Tasks combine the windows of ``CHUNK`` words before they send them.
+  language are numbered, most frequent first, and a window is two integers of two
+  words each.  Tasks combine the windows of ``CHUNK`` words before they send them.
 * windows that begin with the same two words meet in one task (words that lead
   many windows are dealt over ``SPREAD`` tasks by their second word), sorted, as
   a stream; there a window is cut after a prefix that is rarer than ``least``,
@@ -20,8 +20,9 @@ can be a candidate or a part of one.  So
 
 Cutting a window moves its count to a shorter prefix and so changes no count of
 a frequent phrase.  The numbered words are broadcast to the tasks only while
-they stay below ``DICTIONARY_BYTES``; with more of them, the same windows are
-made of the words themselves by DataFrame functions alone (``plain_windows``).
+they stay below ``DICTIONARY_BYTES``.  With more of them, the texts of a chunk are
+written as numbers of the chunk's own words; these words meet the numbered ones in
+a join, and each chunk gets the numbers of its own words only (``joined_windows``).
 
 A candidate's score is that of its worst cut into two parts, in exact decimals.
 
@@ -32,16 +33,18 @@ empty result; extra columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
-from itertools import repeat
+import zlib
+from collections import Counter, defaultdict
+from itertools import accumulate, count, repeat
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, small_side, trim, trimmed, write_table
+from .common import BROADCAST_BYTES, discard, release, trim, trimmed, write_table
 
 LONGEST = 4
 WORDS = ["w1", "w2", "w3", "w4"]
@@ -49,10 +52,13 @@ CHUNK = 2_000_000  # words whose windows a task combines before sending them
 PART = 2_000_000  # windows of a counting task, about
 SPREAD = 64
 HEAVY = 1000  # a word with this share of all occurrences, or a quarter of a task's, leads many windows
-ID_BITS = 21  # three word numbers in one signed 64-bit integer
-COUNT_BITS = 40  # the fourth above the count of a chunk
+ID_BITS = 31  # two word numbers in one signed 64-bit integer
 DICTIONARY_BYTES = 24 << 20
 WORD_BYTES = 90  # of a numbered word in a worker's dictionary, besides its text
+SIDE_BYTES = 64  # of a numbered word in a broadcast side
+COMMON = 1 << 16  # words that are broadcast when not all are: no other has a larger share of the windows
+PIECE = 250_000  # words of a chunk's texts in one row, about
+OWN, TEXTS = 400_000, 16_000_000  # of a chunk with its own words: so many of them, and words of its texts, about
 STEP, HELD = 500_000, 4_000_000  # rows that a counting task looks at together; of one pair of words that it holds back
 ENDS = rb".,;:!?" + bytes(range(0x0A, 0x0E))
 #: Piece ends become a byte that UTF-8 never has, tabs spaces.
@@ -97,24 +103,33 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(trimmed(run), "lang string, word string, f bigint").groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
+def starts_of(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    if not len(keys[0]):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in keys])]))
+
+
+def combined(found: list[np.ndarray]):
+    """Batches of ``p`` (first two words), ``q`` (last two) and ``n``: the windows of numbered words; 0 ends a window."""
+    w = [np.concatenate([*found, np.zeros(LONGEST, np.int64)])]
+    for _ in range(LONGEST - 1):  # the lead columns; 0 is the padding
+        w.append(np.where(w[-1] > 0, np.append(w[0][len(w):], np.zeros(len(w), np.int64)), 0))
+    p, q = (w[0] << ID_BITS) | w[1], (w[2] << ID_BITS) | w[3]
+    p, q = p[w[0] > 0], q[w[0] > 0]
+    order = np.lexsort((q, p))
+    p, q = p[order], q[order]
+    first = starts_of(p, q)
+    n = np.diff(np.append(first, len(p)))
+    p, q = p[first], q[first]
+    for i in range(0, len(p), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000]) for x in (p, q, n)], names=["p", "q", "n"])
+
+
 def numbered_windows(docs: DataFrame, ids: dict[str, dict[bytes, int]]) -> DataFrame:
-    """``k`` (first three words) and ``m`` (fourth word, count) of the windows of each chunk, cut at rare words."""
+    """``p, q, n``: the windows of each chunk, cut at rare words."""
     shared = docs.sparkSession.sparkContext.broadcast(ids)
 
-    def combined(found: list[np.ndarray]):
-        w = [np.concatenate([*found, np.zeros(LONGEST, np.int64)])]
-        for _ in range(LONGEST - 1):  # the lead columns; 0 is the padding
-            w.append(np.where(w[-1] > 0, np.append(w[0][len(w):], np.zeros(len(w), np.int64)), 0))
-        k, last = (w[0] << 2 * ID_BITS) | (w[1] << ID_BITS) | w[2], w[3]
-        k, last = k[w[0] > 0], last[w[0] > 0]
-        order = np.lexsort((last, k))
-        k, last = k[order], last[order]
-        first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (last[1:] != last[:-1])])) if len(k) else np.empty(0, np.int64)
-        n = np.diff(np.append(first, len(k)))
-        k, m = k[first], (last[first] << COUNT_BITS) | n
-        for i in range(0, len(k), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(k[i:i + 100_000]), pa.array(m[i:i + 100_000])], names=["k", "m"])
-
     def run(batches):
         numbers, found, n = shared.value, [], 0
         for b in batches:
@@ -130,7 +145,114 @@ def numbered_windows(docs: DataFrame, ids: dict[str, dict[bytes, int]]) -> DataF
         if found:
             yield from combined(found)
 
-    return docs.mapInArrow(trimmed(run), "k bigint, m bigint")
+    return docs.mapInArrow(trimmed(run), "p bigint, q bigint, n bigint")
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """Small integers, their bytes of equal weight side by side, zipped."""
+    return zlib.compress(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """Rows of each chunk: its words (``chunk, code, lang, word``) and, in pieces, its texts as their codes
+    (``chunk, code, codes``; ``code`` is the place of the piece, code 0 ends a piece of text)."""
+    schema = pa.schema([("chunk", pa.int64()), ("code", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("codes", pa.binary())])
+
+    def run(batches):
+        task, made = TaskContext.get().partitionId() << 32, 0
+        found, size, pieces, n, held, free = [], 0, [], 0, {}, count(1)
+
+        def pack():
+            nonlocal found, size
+            pieces.append(packed(np.concatenate(found)))
+            found, size = [], 0
+
+        def flush():
+            nonlocal pieces, n, held, free, made
+            if found:
+                pack()
+            chunk = task + made
+            for lang, words in held.items():
+                del words[END]
+                names, codes = [w.decode("utf-8", "surrogatepass") for w in words], list(words.values())
+                for i in range(0, len(names), 50_000):
+                    x, c = names[i:i + 50_000], codes[i:i + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(x)), pa.array(c), pa.array([lang] * len(x), pa.string()),
+                                                      pa.array(x, pa.string()), pa.nulls(len(x), pa.binary())], schema=schema)
+            for i, x in enumerate(pieces):
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([i]), pa.nulls(1, pa.string()), pa.nulls(1, pa.string()),
+                                                  pa.array([x], pa.binary())], schema=schema)
+            pieces, n, held, free, made = [], 0, {}, count(1), made + 1
+            trim()
+
+        for b in batches:
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+                words = tokens(text)
+                words.append(END)
+                if lang not in held:
+                    held[lang] = defaultdict(free.__next__, {END: 0})
+                found.append(np.fromiter(map(held[lang].__getitem__, words), np.uint32, len(words)))
+                size += len(words)
+                n += len(words)
+                if size >= PIECE:
+                    pack()
+                if n >= TEXTS or sum(map(len, held.values())) >= OWN:
+                    yield from flush()
+        if n:
+            yield from flush()
+
+    return docs.mapInArrow(trimmed(run), "chunk bigint, code bigint, lang string, word string, codes binary")
+
+
+def own_numbers(table: DataFrame, named: DataFrame) -> DataFrame:
+    """``chunk, code``: the code of a frequent word in a chunk, and in the lowest ``ID_BITS`` its number."""
+    return (table.where(F.col("word").isNotNull()).join(named.select("lang", "word", "id"), ["lang", "word"])
+            .select("chunk", F.shiftleft("code", ID_BITS).bitwiseOR(F.col("id")).alias("code")))
+
+
+def joined_windows(table: DataFrame, own: DataFrame, parts: int) -> DataFrame:
+    """``p, q, n`` as of ``numbered_windows``, from ``chunks`` and their ``own_numbers``."""
+
+    def run(batches):
+        at, known, texts = None, [], []
+
+        def done():
+            if not texts:
+                return
+            own = np.concatenate([np.zeros(1, np.int64), *known])
+            numbers = np.zeros(int(own.max() >> ID_BITS) + 1, np.int64)
+            numbers[own >> ID_BITS] = own & ((1 << ID_BITS) - 1)
+            found, n = [], 0
+            for x in texts:
+                text = unpacked(x)
+                found.append(np.where(text < len(numbers), numbers[np.minimum(text, len(numbers) - 1)], 0))
+                n += len(text)
+                if n >= CHUNK:
+                    yield from combined(found)
+                    found, n = [], 0
+            if found:
+                yield from combined(found)
+            trim()
+
+        for b in batches:
+            chunk = b.column("chunk").to_numpy()
+            bounds = [*starts_of(chunk), len(chunk)]
+            for i, j in zip(bounds, bounds[1:]):
+                if chunk[i] != at:
+                    yield from done()
+                    at, known, texts = chunk[i], [], []
+                part = b.slice(i, j - i)
+                known.append(part.column("code").filter(part.column("codes").is_null()).to_numpy(zero_copy_only=False))
+                texts += part.column("codes").drop_null().to_pylist()
+        yield from done()
+
+    both = own.withColumn("codes", F.lit(None).cast("binary")).unionAll(table.where(F.col("codes").isNotNull()).select("chunk", "code", "codes"))
+    return (both.repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("codes").isNotNull(), "code")
+            .mapInArrow(trimmed(run), "p bigint, q bigint, n bigint"))
 
 
 def cut_windows(sent: DataFrame, least: int, parts: int, heavy: int) -> DataFrame:
@@ -138,20 +260,18 @@ def cut_windows(sent: DataFrame, least: int, parts: int, heavy: int) -> DataFram
 
     ``heavy``: the words numbered up to this lead many windows.
     """
-    bits = ID_BITS
+    half, low = ID_BITS, (1 << ID_BITS) - 1
 
-    def cut(k, last, n, sums2, sums3, sums4):
-        """The four words after cutting; sums per row of its prefixes of 2, 3 and 4 words."""
-        w = [k >> 2 * bits, (k >> bits) & ((1 << bits) - 1), k & ((1 << bits) - 1), last]
-        keep = [None, sums2 >= least, sums3 >= least, sums4 >= least]
+    def cut(p, q, n, sums2, sums3):
+        """The four words after cutting; sums per row of its prefixes of 2 and 3 words."""
+        w = [p >> half, p & low, q >> half, q & low]
+        keep = [None, sums2 >= least, sums3 >= least, n >= least]
         for j in range(1, LONGEST):
             w[j] = np.where((w[j - 1] > 0) & keep[j], w[j], 0)
-        key = (w[0] << 2 * bits) | (w[1] << bits) | w[2]
-        order = np.lexsort((w[3], key))
-        key, last, n = key[order], w[3][order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (last[1:] != last[:-1])]))
-        n, key, last = np.add.reduceat(n, first), key[first], last[first]
-        words = [key >> 2 * bits, (key >> bits) & ((1 << bits) - 1), key & ((1 << bits) - 1), last]
+        p, q = (w[0] << half) | w[1], (w[2] << half) | w[3]
+        order = np.lexsort((q, p))
+        p, q, n = merge(p[order], q[order], n[order])
+        words = [p >> half, p & low, q >> half, q & low]
         for i in range(0, len(n), 100_000):
             s = slice(i, i + 100_000)
             yield pa.RecordBatch.from_arrays([pa.array(x[s], pa.int64(), mask=x[s] == 0) for x in words] + [pa.array(n[s])], names=[*WORDS, "n"])
@@ -160,71 +280,87 @@ def cut_windows(sent: DataFrame, least: int, parts: int, heavy: int) -> DataFram
         """Sum of each run, repeated for its rows."""
         return np.repeat(np.add.reduceat(n, starts), np.diff(np.append(starts, len(n))))
 
-    def starts_of(x):
-        return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-
-    def merge(k, last, n):
-        first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (last[1:] != last[:-1])]))
-        return k[first], last[first], np.add.reduceat(n, first)
+    def merge(p, q, n):
+        first = starts_of(p, q)
+        return p[first], q[first], np.add.reduceat(n, first)
 
     def run(batches):
         empty = np.empty(0, np.int64)
-        k, last, n, frequent = empty, empty, empty, -1  # frequent: a pair known to be so, rows of which are gone already
+        p, q, n, frequent = empty, empty, empty, -1  # frequent: a pair known to be so, rows of which are gone already
         waiting, size = [], 0
 
         def step(final):
-            nonlocal k, last, n, frequent, waiting, size
-            k, m = (np.concatenate([x, *[w[i] for w in waiting]]) for i, x in ((0, k), (1, (last << COUNT_BITS) | n)))
+            nonlocal p, q, n, frequent, waiting, size
+            p, q, n = (np.concatenate([x, *[w[i] for w in waiting]]) for i, x in enumerate((p, q, n)))
             waiting, size = [], 0
-            if not len(k):
+            if not len(p):
                 return
-            k, last, n = merge(k, m >> COUNT_BITS, m & ((1 << COUNT_BITS) - 1))
-            pair = k >> bits
-            upto = len(k) if final else int(np.searchsorted(pair, pair[-1]))  # the last pair may go on
-            early = not final and len(k) - upto > HELD
+            p, q, n = merge(p, q, n)
+            upto = len(p) if final else int(np.searchsorted(p, p[-1]))  # the last pair may go on
+            early = not final and len(p) - upto > HELD
             if early:  # more rows than ``least``: a frequent pair; only its last three words may go on
-                upto = int(np.searchsorted(k, k[-1]))
+                upto += int(np.searchsorted(q[upto:] >> half, q[-1] >> half))
             if upto:
-                a, b, c, p = k[:upto], last[:upto], n[:upto], pair[:upto]
-                sums2 = totals(starts_of(p), c)
-                sums2 = np.where((p == frequent) | (early and p == pair[-1]), np.maximum(sums2, least), sums2)
-                yield from cut(a, b, c, sums2, totals(starts_of(a), c), c)
+                a, b, c = p[:upto], q[:upto], n[:upto]
+                sums2 = totals(starts_of(a), c)
+                sums2 = np.where((a == frequent) | (early and a == p[-1]), np.maximum(sums2, least), sums2)
+                yield from cut(a, b, c, sums2, totals(starts_of(a, b >> half), c))
             if early:
-                frequent = pair[-1]
-            k, last, n = k[upto:], last[upto:], n[upto:]
+                frequent = p[-1]
+            p, q, n = p[upto:], q[upto:], n[upto:]
 
         for b in batches:
-            waiting.append((b.column("k").to_numpy(), b.column("m").to_numpy()))
+            waiting.append([b.column(x).to_numpy() for x in ("p", "q", "n")])
             size += b.num_rows
             if size >= STEP:
                 yield from step(False)
         yield from step(True)
 
-    first, second = F.shiftright("k", 2 * bits), F.shiftright("k", bits).bitwiseAND((1 << bits) - 1)
+    first, second = F.shiftright("p", half), F.col("p").bitwiseAND(low)
     spread = F.when(first <= heavy, second % SPREAD).otherwise(F.lit(0))
-    return (sent.repartition(parts, first, spread).sortWithinPartitions("k", "m")
+    return (sent.repartition(parts, first, spread).sortWithinPartitions("p", "q")
             .mapInArrow(trimmed(run), ", ".join(f"{w} bigint" for w in WORDS) + ", n bigint"))
 
 
-def plain_windows(docs: DataFrame) -> DataFrame:
-    """``lang, w1, w2, w3, w4, n`` by DataFrame functions: every window, of the words themselves."""
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    piece = docs.select("lang", F.explode(F.split(F.translate(F.coalesce("text", F.lit("")), upper, upper.lower()), r"[.,;:!?\x0A-\x0D]")).alias("p"))
-    words = piece.select("lang", F.filter(F.split("p", r"[\x20\x09]+"), lambda x: x != "").alias("a"))
-    lead = [F.slice("a", F.lit(j + 1), F.greatest(F.size("a"), F.lit(1))).alias(w) for j, w in enumerate(WORDS)]
-    return (words.where(F.size("a") > 0).select("lang", F.inline(F.arrays_zip(*lead)))
-            .toDF("lang", *WORDS).groupBy("lang", *WORDS).agg(F.count(F.lit(1)).alias("n")))
-
-
-def marginals(windows: DataFrame, keys: list[str]) -> DataFrame:
+def marginals(windows: DataFrame) -> DataFrame:
     """``size, w1..w4, f``: the count of every phrase, by ROLLUP over the words of the windows."""
-    by = ", ".join([*keys, f"ROLLUP({', '.join(WORDS)})"])
-    names = ", ".join([*keys, *WORDS])
-    rolled = windows.sparkSession.sql(f"SELECT {names}, grouping_id() AS __g, sum(n) AS f FROM {{windows}} GROUP BY {by}", windows=windows)
+    names = ", ".join(WORDS)
+    rolled = windows.sparkSession.sql(f"SELECT {names}, grouping_id() AS __g, sum(n) AS f FROM {{windows}} GROUP BY ROLLUP({names})", windows=windows)
     size = sum((F.when(F.col("__g") == (1 << (LONGEST - k)) - 1, k).otherwise(0) for k in range(1, LONGEST + 1)), F.lit(0))
     last = F.coalesce(*[F.when(F.col("size") == k, F.col(w)) for k, w in enumerate(WORDS, 1)])
     # a row whose last word is padding stands for windows that end earlier
-    return rolled.withColumn("size", size).where(last.isNotNull()).select(*keys, "size", *WORDS, "f")
+    return rolled.withColumn("size", size).where(last.isNotNull()).select("size", *WORDS, "f")
+
+
+def numbered(frequent: DataFrame) -> DataFrame:
+    """``id, lang, word, f``: words numbered from 1, most frequent first, by a range sort."""
+    sorted_ = frequent.orderBy(F.col("f").desc(), "lang", "word").select(F.monotonically_increasing_id().alias("place"), "lang", "word", "f")
+    placed = write_table(sorted_, "phrase-places")
+    task, within = F.shiftright("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
+    sizes = sorted(tuple(r) for r in placed.groupBy(task.alias("task")).agg(F.count(F.lit(1))).collect())  # a row for each task of the sort
+    before = frequent.sparkSession.createDataFrame(list(zip([t for t, _ in sizes], accumulate([n for _, n in sizes], initial=0))), "task bigint, before bigint")
+    ids = placed.withColumn("task", task).join(F.broadcast(before), "task").select((F.col("before") + within + 1).alias("id"), "lang", "word", "f")
+    named = write_table(ids, "phrase-dictionary")
+    discard(placed)
+    return named
+
+
+def spelled(found: DataFrame, named: DataFrame, n: int) -> DataFrame:
+    """``found`` with the words ``t0`` to ``t3`` of its numbers, and the language of the first."""
+    near = n if n * SIDE_BYTES <= BROADCAST_BYTES else COMMON
+    for j, w in enumerate(WORDS):
+        names = ["word", "lang"] if j == 0 else ["word"]
+        made = [f"t{j}", "lang"] if j == 0 else [f"t{j}"]
+
+        def side(rows, key, prefix=""):
+            return rows.select(F.col("id").alias(key), *[F.col(x).alias(f"{prefix}{y}") for x, y in zip(names, made)])
+
+        found = found.join(F.broadcast(side(named.where(F.col("id") <= near), w)), w, "left")
+        if n > near:  # rows that have their word are dealt out by numbers that no word has
+            key = F.when(F.col(w) > near, F.col(w)).otherwise(-1 - F.pmod(F.xxhash64(*WORDS), F.lit(1 << 20)))
+            found = (found.withColumn("far", key).join(side(named.where(F.col("id") > near), "far", "far_"), "far", "left")
+                     .withColumns({y: F.coalesce(y, f"far_{y}") for y in made}).drop("far", *[f"far_{y}" for y in made]))
+    return found
 
 
 def counts(docs: DataFrame, least: int, dictionary_bytes: int = DICTIONARY_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -237,26 +373,30 @@ def counts(docs: DataFrame, least: int, dictionary_bytes: int = DICTIONARY_BYTES
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("word").isNotNull())
     n, held, total = frequent.agg(F.count(F.lit(1)), F.sum(F.octet_length("word") + WORD_BYTES), F.sum("f")).first()
-    if (held or 0) > dictionary_bytes or n >= 1 << ID_BITS:
-        found = marginals(plain_windows(docs), ["lang"]).where(F.col("f") >= least)
-        return write_table(found.select("lang", F.concat_ws(" ", *WORDS).alias("phrase"), "size", "f"), "phrase-counts"), totals
-    # a bounded table: numbered in one task
-    order = Window.orderBy(F.col("f").desc(), "lang", "word")
-    named = write_table(frequent.withColumn("id", F.row_number().over(order).cast("bigint")).select("id", "lang", "word", "f"), "phrase-dictionary")
-    ids: dict[str, dict[bytes, int]] = {}
-    for b in named.select("id", "lang", "word").toArrow().to_batches():
-        for i, lang, word in zip(*[c.to_pylist() for c in b.columns]):
-            ids.setdefault(lang, {})[word.encode("utf-8", "surrogatepass")] = i
     parts = max(1, ceil((total or 0) / PART))
+    small = (held or 0) <= dictionary_bytes
+    if small:  # a bounded table: numbered in one task
+        order = Window.orderBy(F.col("f").desc(), "lang", "word")
+        named = write_table(frequent.withColumn("id", F.row_number().over(order).cast("bigint")).select("id", "lang", "word", "f"), "phrase-dictionary")
+        ids: dict[str, dict[bytes, int]] = {}
+        for b in named.select("id", "lang", "word").toArrow().to_batches():
+            for i, lang, word in zip(*[c.to_pylist() for c in b.columns]):
+                ids.setdefault(lang, {})[word.encode("utf-8", "surrogatepass")] = i
+        sent = numbered_windows(docs, ids)
+    else:
+        release(spark)
+        named = numbered(frequent)
+        table = write_table(chunks(docs), "phrase-chunks")
+        own = write_table(own_numbers(table, named), "phrase-own")
+        sent = joined_windows(table, own, parts)
     heavy = named.where(F.col("f") * max(4 * parts, HEAVY) >= F.lit(total or 0)).count()
-    windows = cut_windows(numbered_windows(docs, ids), least, parts, heavy)
-    found = write_table(marginals(windows, []).where(F.col("f") >= least), "phrase-numbers")
-    side = small_side(named.select("id", "word", "lang"), n, 64)
-    for j, w in enumerate(WORDS):
-        one = side.select(F.col("id").alias(w), F.col("word").alias(f"t{j}"), *([F.col("lang")] if j == 0 else []))
-        found = found.join(one, w, "inner" if j == 0 else "left")
-    out = write_table(found.select("lang", F.concat_ws(" ", *[f"t{j}" for j in range(LONGEST)]).alias("phrase"), F.col("size").cast("int").alias("size"), "f"),
-                      "phrase-counts")
+    release(spark)
+    found = write_table(marginals(cut_windows(sent, least, parts, heavy)).where(F.col("f") >= least), "phrase-numbers")
+    if not small:
+        discard(table, own)
+        release(spark)
+    out = write_table(spelled(found, named, n).select("lang", F.concat_ws(" ", *[f"t{j}" for j in range(LONGEST)]).alias("phrase"),
+                                                      F.col("size").cast("int").alias("size"), "f"), "phrase-counts")
     return out, totals
 
 
