@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
-from itertools import accumulate, count, repeat
+from itertools import accumulate, count, islice, repeat
 from math import ceil
 
 import numpy as np
@@ -112,13 +112,16 @@ def starts_of(*keys: np.ndarray) -> np.ndarray:
 
 def combined(found: list[np.ndarray]):
     """Batches of ``p`` (first two words), ``q`` (last two) and ``n``: the windows of numbered words; 0 ends a window."""
-    w = [np.concatenate([*found, np.zeros(LONGEST, np.int64)])]
+    w = [np.concatenate([*found, np.zeros(LONGEST, np.int32)])]
+    found.clear()
     for _ in range(LONGEST - 1):  # the lead columns; 0 is the padding
-        w.append(np.where(w[-1] > 0, np.append(w[0][len(w):], np.zeros(len(w), np.int64)), 0))
-    p, q = (w[0] << ID_BITS) | w[1], (w[2] << ID_BITS) | w[3]
-    p, q = p[w[0] > 0], q[w[0] > 0]
+        w.append(np.where(w[-1] > 0, np.append(w[0][len(w):], np.zeros(len(w), np.int32)), np.int32(0)))
+    w = [x[w[0] > 0] for x in w[::-1]][::-1]
+    p, q = ((a.astype(np.int64) << ID_BITS) | b for a, b in (w[:2], w[2:]))
+    del w
     order = np.lexsort((q, p))
     p, q = p[order], q[order]
+    del order
     first = starts_of(p, q)
     n = np.diff(np.append(first, len(p)))
     p, q = p[first], q[first]
@@ -136,7 +139,7 @@ def numbered_windows(docs: DataFrame, ids: dict[str, dict[bytes, int]]) -> DataF
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 words = tokens(text)
                 words.append(END)
-                found.append(np.fromiter(map(numbers.get(lang, {}).get, words, repeat(0)), np.int64, len(words)))
+                found.append(np.fromiter(map(numbers.get(lang, {}).get, words, repeat(0)), np.int32, len(words)))
                 n += len(words)
                 if n >= CHUNK:
                     yield from combined(found)
@@ -178,15 +181,16 @@ def chunks(docs: DataFrame) -> DataFrame:
             chunk = task + made
             for lang, words in held.items():
                 del words[END]
-                names, codes = [w.decode("utf-8", "surrogatepass") for w in words], list(words.values())
-                for i in range(0, len(names), 50_000):
-                    x, c = names[i:i + 50_000], codes[i:i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(x)), pa.array(c), pa.array([lang] * len(x), pa.string()),
-                                                      pa.array(x, pa.string()), pa.nulls(len(x), pa.binary())], schema=schema)
+                rows = iter(words.items())
+                while part := list(islice(rows, 50_000)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([chunk] * len(part)), pa.array([c for _, c in part]), pa.array([lang] * len(part), pa.string()),
+                         pa.array([w.decode("utf-8", "surrogatepass") for w, _ in part], pa.string()), pa.nulls(len(part), pa.binary())], schema=schema)
+            held = {}
             for i, x in enumerate(pieces):
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([i]), pa.nulls(1, pa.string()), pa.nulls(1, pa.string()),
                                                   pa.array([x], pa.binary())], schema=schema)
-            pieces, n, held, free, made = [], 0, {}, count(1), made + 1
+            pieces, n, free, made = [], 0, count(1), made + 1
             trim()
 
         for b in batches:
@@ -224,12 +228,12 @@ def joined_windows(table: DataFrame, own: DataFrame, parts: int) -> DataFrame:
             if not texts:
                 return
             own = np.concatenate([np.zeros(1, np.int64), *known])
-            numbers = np.zeros(int(own.max() >> ID_BITS) + 1, np.int64)
+            numbers = np.zeros(int(own.max() >> ID_BITS) + 1, np.int32)
             numbers[own >> ID_BITS] = own & ((1 << ID_BITS) - 1)
             found, n = [], 0
             for x in texts:
                 text = unpacked(x)
-                found.append(np.where(text < len(numbers), numbers[np.minimum(text, len(numbers) - 1)], 0))
+                found.append(np.where(text < len(numbers), numbers[np.minimum(text, len(numbers) - 1)], np.int32(0)))
                 n += len(text)
                 if n >= CHUNK:
                     yield from combined(found)
